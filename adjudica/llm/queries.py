@@ -50,6 +50,27 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), vocabulary(), end_id=0, capacity=2048, with_ids=False)
 
 
+def op8_odd_sketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adjudica.llm.near_dup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+def op9_vp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adjudica.llm.vp_search import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), every=50, k=5, factor=1.0)
+
+
+def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adjudica.llm.rule_classifier import fit, held_out, score
+
+    documents = _table(spark, sf_dir, "documents")
+    model = fit(documents, _table(spark, sf_dir, "labels"))
+    scored = score(documents.select("doc_id", "text"), model, threshold=0.3)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_planes": op2_token_planes,
@@ -57,6 +78,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_kd_shards": op5_kd_shards,
         "op6_url_filter": op6_url_filter,
         "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_odd_sketch_near_dup": op8_odd_sketch_near_dup,
+        "op9_vp_tree_search": op9_vp_tree_search,
+        "op10_rule_ensemble": op10_rule_ensemble,
     }
 
 
