@@ -19,6 +19,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adjudica.llm.line_dedup import line_dedup
+
+    return line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50).drop("had_words")
+
+
 def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adjudica.llm.token_binary import token_digest
 
@@ -31,6 +37,12 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), share=1.5, most=2.0).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adjudica.llm.quality_rules import judge
+
+    return judge(_table(spark, sf_dir, "documents"))
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adjudica.llm.kd_shards import kd_shards
 
@@ -73,8 +85,10 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_token_planes": op2_token_planes,
         "op3_mix_sources": op3_mix_sources,
+        "op4_divergence_rules": op4_divergence_rules,
         "op5_kd_shards": op5_kd_shards,
         "op6_url_filter": op6_url_filter,
         "op7_best_fit_packing": op7_best_fit_packing,
