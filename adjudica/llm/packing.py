@@ -69,7 +69,9 @@ def pack(pieces: DataFrame, keys: list[str], length: str = "length", capacity: i
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 2048, with_ids: bool = True) -> DataFrame:
-    """Pieces of whole documents: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), ids_crc32.
+    """Pieces of whole documents: doc_id, piece, start, length, ids_crc32, piece_key, ids (little-endian unsigned 32-bit).
+
+    piece_key is a number of each row's own; rewritten tasks give their rows the same.
 
     A null or empty text has just the end id. Documents without doc_id, and repeated rows, are documents too.
     with_ids=False leaves ids out, for plans that only place the pieces.
@@ -77,14 +79,16 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int =
     from adjudica.llm.tokenizing import batches, grouped
 
     small_batches(docs.sparkSession)
-    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("piece_key", pa.int64())]
     fields += [("ids", pa.binary())] * with_ids
     schema = pa.schema(fields)
 
     def cut(stream):
         from zlib import crc32
 
-        encoder = batches(vocabulary)
+        from pyspark import TaskContext
+
+        encoder, key = batches(vocabulary), TaskContext.get().partitionId() << 40
         for table in grouped(stream):
             counts, ids = encoder.encode(table["text"].combine_chunks() if table.num_rows else pa.array([], pa.string()))
             counts = counts + 1
@@ -102,36 +106,22 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int =
             length = np.minimum(counts[doc] - start, capacity)
             at = (ends - counts)[doc] + start
             cuts = [data[4 * a : 4 * (a + k)] for a, k in zip(at.tolist(), length.tolist(), strict=True)]
-            out = [table["doc_id"].combine_chunks().take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array([crc32(x) for x in cuts], pa.int64())]
+            out = [table["doc_id"].combine_chunks().take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array([crc32(x) for x in cuts], pa.int64()), pa.array(np.arange(key, key + len(doc)))]
+            key += len(doc)
             out += [pa.array([bytes(x) for x in cuts], pa.binary())] * with_ids
             whole = pa.RecordBatch.from_arrays(out, schema=schema)
             for k in range(0, whole.num_rows, 2000):
                 yield whole.slice(k, 2000)
 
-    ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    ddl = "doc_id long, piece int, start long, length long, ids_crc32 long, piece_key long" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, ddl)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = 2048, with_ids: bool = True) -> DataFrame:
     """Cuts and packs whole documents: the columns of token_pieces with sequence_id and offset."""
     pieces = written(token_pieces(docs, vocabulary, end_id, capacity, with_ids), "pieces")
-    keys = ["doc_id", "piece", "ids_crc32"]
+    placed = pack(pieces.drop("ids"), ["doc_id", "piece", "ids_crc32"], capacity=capacity)
     if not with_ids:
-        return pack(pieces, keys, capacity=capacity)
-    placed = pack(pieces.drop("ids"), keys, capacity=capacity)
-    # rows that agree in all keys hold the same ids: number them, so that a repeated row meets one place
-    on = ["doc_id", "piece", "length", "ids_crc32"]
-    return _numbered(placed, on).join(_numbered(pieces.select(*[F.col(c).alias(f"_{c}") for c in on], "ids"), [f"_{c}" for c in on]).withColumnRenamed("_nth", "_other"), _same(on), "inner").select(*placed.columns, "ids")
-
-
-def _numbered(df: DataFrame, on: list[str]) -> DataFrame:
-    from pyspark.sql import Window
-
-    return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*on).orderBy(F.lit(1))))
-
-
-def _same(on: list[str]):
-    test = F.col("_nth") == F.col("_other")
-    for c in on:
-        test = test & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return test
+        return placed.drop("piece_key")
+    ids = pieces.select(F.col("piece_key").alias("_key"), "ids")
+    return placed.join(ids, F.col("piece_key") == F.col("_key")).drop("piece_key", "_key")
