@@ -14,7 +14,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large-star and small-star rounds in turn, each written out, until no edge changes: a number of rounds that grows
     with the logarithm of the graph. Hot nodes are pre-aggregated; nothing is collected.
     """
-    edges = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u is not null and v is not null").distinct(), "edges")
+    edges = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    edges = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     loops = edges.filter("u = v").select(F.col("u").alias("node"))
     edges, seen = edges.filter("u <> v"), None
     while True:

@@ -52,8 +52,8 @@ def accumulate(base: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
 def union_files(parts: DataFrame, keys: list[str]) -> DataFrame:
     """The files of all datasets; a file that two hold stops the job."""
     n = F.count("*").over(Window.partitionBy(*keys))
-    ok = F.when(n > 1, F.raise_error(F.concat(F.lit("file in several datasets: "), F.concat_ws("/", *keys))).cast("boolean")).otherwise(F.lit(True))
-    return parts.filter(ok)
+    ok = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("file in several datasets: "), F.concat_ws("/", *keys))).cast("boolean")).otherwise(F.lit(True))
+    return parts.withColumn("_n", n).filter(ok).drop("_n")
 
 
 def container_values(parts: DataFrame, keys: list[str], values: list[str], ordinal: str) -> DataFrame:

@@ -378,7 +378,7 @@ def null_census(spark, sf):
 @query("""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, array_to_string(list_transform(embedding[1:8], lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS block FROM embeddings),
 p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.e, b.e) AS s FROM v a JOIN v b ON a.block = b.block AND a.vec_id < b.vec_id)
-SELECT a, b, CAST(round(s * 1000) AS BIGINT) AS permille FROM p WHERE s >= 0.6""")
+SELECT a, b, CAST(round(s * 1000) AS BIGINT) AS permille FROM p WHERE s >= 0.25""")
 def near_dup_blocked(spark, sf):
     """Pairs of one block whose normalised vectors correlate; a block shares the signs of the first eight components."""
     bits = F.array_join(F.transform(F.slice("embedding", 1, 8), lambda x: F.when(x > 0, "1").otherwise("0")), "")
@@ -387,7 +387,7 @@ def near_dup_blocked(spark, sf):
     v = v.select("vec_id", "block", "e", norm.alias("n"))
     a, b = (v.select("block", F.col("vec_id").alias(s), F.col("e").alias(f"e{s}"), F.col("n").alias(f"n{s}")) for s in "ab")
     dot = F.aggregate(F.zip_with("ea", "eb", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x) / (F.col("na") * F.col("nb"))
-    return a.join(b, "block").filter("a < b").select("a", "b", dot.alias("s")).filter("s >= 0.6").select("a", "b", F.round(F.col("s") * 1000).cast("long").alias("permille"))
+    return a.join(b, "block").filter("a < b").select("a", "b", dot.alias("s")).filter("s >= 0.25").select("a", "b", F.round(F.col("s") * 1000).cast("long").alias("permille"))
 
 
 @query("SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1, 2")
