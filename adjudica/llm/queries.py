@@ -40,7 +40,7 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adjudica.llm.quality_rules import judge
 
-    return judge(_table(spark, sf_dir, "documents"))
+    return judge(_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,38 +98,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-OP3_SQL = r"""
-WITH RECURSIVE sized AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
-  FROM documents),
-sources AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-         CASE (row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
-  FROM sized GROUP BY source),
-total AS (SELECT sum(source_size)::DOUBLE AS s, sum(weight) AS w FROM sources),
-rounds AS (
-  SELECT 0 AS n, 1.5::DOUBLE * s AS rest, w FROM total
-  UNION ALL
-  SELECT n + 1, rest2, w2 FROM (
-    SELECT r.n, r.rest, r.w,
-      1.5::DOUBLE * (SELECT s FROM total) - (SELECT coalesce(sum(2.0::DOUBLE * source_size), 0) FROM sources WHERE weight * r.rest / r.w > 2.0::DOUBLE * source_size) AS rest2,
-      (SELECT sum(weight) FROM sources WHERE weight * r.rest / r.w <= 2.0::DOUBLE * source_size) AS w2
-    FROM rounds r)
-  WHERE w2 IS NOT NULL AND w2 <> w),
-final AS (SELECT rest, w FROM rounds ORDER BY n DESC LIMIT 1),
-targets AS (
-  SELECT source, source_size, CASE WHEN weight * rest / w > 2.0::DOUBLE * source_size THEN 2.0::DOUBLE * source_size ELSE weight * rest / w END AS target
-  FROM sources, final),
-budgets AS (
-  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM targets),
-placed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sized)
-SELECT p.doc_id, p.size, b.source_size, b.target,
-       CAST(b.epochs * p.size + least(greatest(CAST(floor(b.target) AS BIGINT) - b.epochs * b.source_size - p.before, 0), p.size) AS BIGINT) AS taken
-FROM placed p JOIN budgets b ON p.source IS NOT DISTINCT FROM b.source
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": OP3_SQL}
+    from adjudica.llm import oracle
+
+    return {
+        "op3_mix_sources": oracle.OP3_SQL,
+        "op4_divergence_rules": oracle.OP4_SQL,
+        "op6_url_filter": oracle.op6_sql(),
+        "op8_odd_sketch_near_dup": oracle.OP8_SQL,
+        "op9_vp_tree_search": oracle.OP9_SQL,
+    }
