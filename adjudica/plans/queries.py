@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adjudica.operators import checks, components, contracts, ladders, merges, rollups, survivors
+from adjudica.operators import checks, components, contracts, ladders, merges, reports, review, rollups, survivors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -570,3 +570,51 @@ def label_composition(spark, sf):
     lines = _t(spark, sf, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.count("*").alias("c"))
     j = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
     return j.groupBy("o_orderpriority", "l_returnflag").agg(F.sum("c").alias("n"))
+
+
+@query("SELECT o_orderpriority AS code, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS excluded FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'F') > 0")
+def lost_by_class(spark, sf):
+    """Classes that lost annotations."""
+    o = _t(spark, sf, "orders").select(F.col("o_orderpriority").alias("code"), F.when(F.col("o_orderstatus") == "F", "exclude").otherwise("keep").alias("decision"))
+    return reports.lost_by_class(o, "code", "decision")
+
+
+@query("""
+SELECT coalesce(a.v, b.v) AS value, coalesce(a.n, 0) AS before, coalesce(b.n, 0) AS after
+FROM (SELECT lang AS v, count(*) AS n FROM documents GROUP BY 1) a FULL JOIN (SELECT lang AS v, count(*) AS n FROM documents WHERE n_chars > 3000 GROUP BY 1) b ON a.v = b.v""")
+def merge_distributions(spark, sf):
+    """A distribution before and after."""
+    d = _t(spark, sf, "documents").select("lang", "n_chars")
+    return reports.before_and_after(d, d.filter("n_chars > 3000"), "lang")
+
+
+@query("""SELECT source, printf('%d/%d (%.1f%%)', count(*) FILTER (lang = 'en'), count(*), count(*) FILTER (lang = 'en') * 100.0 / count(*)) AS english FROM documents GROUP BY 1""")
+def coverage_cells(spark, sf):
+    """Formatted shares by dataset."""
+    return reports.coverage_cells(_t(spark, sf, "documents").select("source", "lang"), "source", {"english": F.col("lang") == "en"})
+
+
+@query("""
+WITH c AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS r FROM c)
+SELECT source, string_agg(lang || ' ' || n, ', ' ORDER BY r) FILTER (r <= 2) AS top, count(*) FILTER (r > 2) AS others FROM r GROUP BY 1""")
+def top_classes(spark, sf):
+    """The leading classes of each dataset, and how many others."""
+    return reports.top_classes(_t(spark, sf, "documents").select("source", "lang"), "source", "lang", 2)
+
+
+@query("""
+WITH a AS (SELECT conv_id AS g, turn AS uid, length(text) AS t FROM conversations)
+SELECT x.g AS conv_id, x.uid AS uid_a, y.uid AS uid_b, y.t - x.t AS seconds, CASE WHEN x.t <> y.t THEN y.t < x.t END AS a_is_newer FROM a x JOIN a y ON x.g = y.g AND x.uid <> y.uid""")
+def partner_hint(spark, sf):
+    """Pairs of a group, the time between them, and which is newer."""
+    c = _t(spark, sf, "conversations").select("conv_id", "turn", F.timestamp_seconds(F.length("text")).alias("t"))
+    return review.partner_hint(c, "conv_id", "t", "turn").select("conv_id", "uid_a", "uid_b", "seconds", "a_is_newer")
+
+
+@query("""SELECT status, count(*) AS n FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN 'keep' WHEN o_orderpriority LIKE '1%' THEN 'exclude' ELSE 'pending' END AS status FROM orders) GROUP BY 1""")
+def effective_status(spark, sf):
+    """The status by a field, else by a tag, else the default."""
+    o = _t(spark, sf, "orders")
+    field = F.when(F.col("o_orderstatus") == "F", "keep")
+    tags = F.array(F.lit("other"), F.when(F.col("o_orderpriority").startswith("1"), "status:exclude").otherwise("x"))
+    return o.select(review.effective_status(field, tags).alias("status")).groupBy("status").agg(F.count("*").alias("n"))

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from adjudica import config, ids
-from adjudica.operators import checks, components, contracts, ladders, merges, policy, rollups, survivors
+from adjudica.operators import checks, components, contracts, ladders, merges, policy, reports, review, rollups, survivors
 from adjudica.schema import FILES_DDL, MASKS_DDL, PAIRS_DDL
 
 
@@ -180,3 +180,29 @@ def test_summaries(spark):
     assert rows(rollups.upper_median(df, ["g"], "v")) == [("g", 3)]
     assert json.dumps(rows(rollups.width_buckets(df, "v", [0, 2, 4]))) == "[[0, 1], [1, 2], [2, 1]]"
     assert rows(rollups.top_and_other(df, "v", 1)) == [("1", 1), ("other", 3)]
+
+
+def test_review(spark):
+    items = spark.createDataFrame([("a", "image", "pending", ["conflict"], 1, True), ("b", "annotation", "pending", [], 0, False), ("c", "annotation", "keep", None, 0, False)], "uid string, kind string, status string, tags array<string>, n_reasons int, flagged boolean")
+    names = review.register_views(items)
+    assert len(names) == 12 and rows(spark.table("review_pending_images").select("uid")) == [("a",)] and spark.table("review_tagged_conflict").count() == 1
+    df = spark.createDataFrame([("small|zz", ["reason:x"], "y"), ("", ["reason:x", "status:keep"], "y"), (None, None, "y|none"), ("none", [], None)], "f string, t array<string>, l string")
+    got = [r[0] for r in df.select(review.effective_reasons(F.col("f"), F.col("t"), F.col("l"), ["x", "y", "small"])).collect()]
+    assert got == ["small", "x", "y", "none"]
+    assert [r[0] for r in df.select(review.effective_status(F.lit(None).cast("string"), F.col("t"))).collect()] == ["pending", "keep", "pending", "pending"]
+    clock = spark.createDataFrame([("bad", "010203.5"), ("235959", None), (None, None)], "a string, b string")
+    assert [r[0] for r in clock.select(review.clock_seconds(F.col("a"), F.col("b"))).collect()] == [3723.5, 86399.0, None]
+    assert [r[0] for r in spark.createDataFrame([(5,), (65,), (-7200,), (90000,), (None,)], "s int").select(review.elapsed_text(F.col("s"))).collect()] == ["5 seconds", "1 minutes", "2 hours", "1 days", None]
+    box = spark.range(1).select(review.display_box(F.lit(10), F.lit(10), F.lit(12), F.lit(50), F.lit(100), F.lit(100))).first()[0]
+    assert abs(box["x"] - 0.07) < 1e-12 and abs(box["w"] - 0.08) < 1e-12 and abs(box["h"] - 0.4) < 1e-12
+    assert rows(review.dictionary_codes(items, "status", ["uid"])) == [("keep", 1), ("pending", 0)]
+    assert review.run_gate({"checks_partial": True, "measurements": {"n_files": 3, "n_measured": 1}}) == ["not all checks were run", "2 files are not measured"] and review.run_gate({"measurements": {"scan_required": False, "n_files": 3}}) == []
+    proof = spark.createDataFrame([(1, ["a"], ["b", "a"])], "schema_version int, explicit_negative_normal array<string>, explicit_negative_report array<string>")
+    assert rows(review.protected_ids(proof)) == [("a",), ("b",)]
+    with pytest.raises(Exception, match="evidence version"):
+        review.protected_ids(proof.withColumn("schema_version", F.lit(2))).collect()
+    with pytest.raises(ValueError):
+        review.one_fingerprint(items.withColumnRenamed("uid", "fingerprint"))
+    assert rows(review.searched(items, {"kind": "annotation"}, "B", ["uid"]).select("uid")) == [("b",)]
+    assert "| pending | 2 |" in reports.markdown("t", {"s": items.groupBy("status").count()}) and json.loads(reports.payload({"s": items.select("uid")}))["s"][0] == {"uid": "a"}
+    assert reports.page(items, [F.col("uid")], 1, 2).first()["uid"] == "c"
