@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import written
-from adjudica.llm.text_stats import CLASSES, characters, class_counts, duplicate_lines, js_distance, repeated_words, word_chars, words
+from adjudica.llm.common import SPACE, written
+from adjudica.llm.text_stats import CLASSES, characters, class_counts, duplicate_lines, js_distance, repeated_words, uncommon, word_chars, words
 
 #: Cells of the word histogram besides the rest; languages with references of their own, the largest ones, the others
 #: (and documents without language) share a reference of all; and the parts that words are ranked in first.
@@ -26,30 +26,26 @@ CLASS_LIMIT, CLASS_SLACK, MIN_CHARS = 0.11, 5.0, 200
 WORD_LIMIT, WORD_SLACK, MIN_WORDS = 0.13, 2.5, 40
 
 
-def _lower_words(text: Column) -> Column:
-    return words(F.lower(text))
-
-
 def references(docs: DataFrame) -> DataFrame:
-    """A row for each language: lang (null: all documents), common (words), word_shares (one more, the rest), class_shares.
+    """A row for each language: lang (null: all documents), common (hashes of words), word_shares (one more, the rest), class_shares.
 
     docs has text and lang. Counts are over all documents; ranks take the more frequent word, then the lesser.
     """
     slim = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     per_lang = _class_sums(slim)
-    counts = slim.select("lang", F.explode(_lower_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counts = slim.select("lang", F.explode(words(F.col("text"))).alias("word")).groupBy("lang", F.lower("word").alias("word")).agg(F.count("*").alias("n"))
     counts = written(counts, "word-counts")
     sizes = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     known = sizes.filter("lang is not null").orderBy(F.desc("total"), "lang").limit(LANGUAGES)
     known = written(known, "languages")
     own = counts.join(F.broadcast(known.select("lang")), "lang").select("lang", "word", "n")
     pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n")
-    ranked = _top(own.unionByName(pooled))
+    ranked = _top(own.unionByName(pooled))  # words as themselves; documents are searched for their hashes
     totals = known.unionByName(sizes.select(F.lit(None).cast("string").alias("lang"), "total").groupBy("lang").agg(F.sum("total").alias("total")))
     common = ranked.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "word", "n"))).alias("top"))
     shares = common.alias("a").join(totals.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang"))).select("a.lang", "top", F.col("total").cast("double").alias("total"))
     shares = shares.select(
-        "lang", F.transform("top", lambda x: x["word"]).alias("common"), F.transform("top", lambda x: x["n"] / F.col("total")).alias("_shares"),
+        "lang", F.transform("top", lambda x: F.xxhash64(x["word"])).alias("common"), F.transform("top", lambda x: x["n"] / F.col("total")).alias("_shares"),
     )
     shares = shares.withColumn("word_shares", F.concat("_shares", F.array(F.greatest(F.lit(0.0), 1 - F.aggregate("_shares", F.lit(0.0), lambda a, b: a + b))))).drop("_shares")
     classes = per_lang.filter("lang is not null").unionByName(_pooled(per_lang)).withColumnRenamed("lang", "_lang")
@@ -57,8 +53,10 @@ def references(docs: DataFrame) -> DataFrame:
 
 
 def _class_sums(slim: DataFrame) -> DataFrame:
-    counted = slim.select("lang", "text", word_chars(words(F.col("text"))).alias("chars"))
-    counted = counted.select("lang", class_counts(F.col("text"), F.col("chars")).alias("c"))
+    raw = F.coalesce("text", F.lit(""))
+    chars = F.length(F.regexp_replace(raw, f"{SPACE}+", ""))
+    counted = slim.select("lang", uncommon(raw).alias("left"), chars.cast("double").alias("chars"))
+    counted = counted.select("lang", class_counts(F.col("left"), F.col("chars")).alias("c"))
     sums = counted.groupBy("lang").agg(*[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(CLASS_CELLS)])
     sums = written(sums, "class-sums")
     return _shares(sums)
@@ -99,23 +97,22 @@ def _judged(slim: DataFrame, refs: DataFrame) -> DataFrame:
     everyone = F.broadcast(refs.filter("lang is null").select(F.struct("common", "word_shares", "class_shares").alias("_all")))
     n = F.col("n_words")
     base = slim.join(own, slim["lang"] == F.col("_lang"), "left").join(everyone, F.lit(True), "left")
-    base = base.withColumn("_words", words(F.col("text"))).withColumn("_ref", F.coalesce("_own", "_all"))
-    base = base.select(
-        "doc_id", "text", "_words", "_ref.common", "_ref.word_shares", "_ref.class_shares",
-        F.size("_words").cast("long").alias("n_words"), word_chars(F.col("_words")).cast("long").alias("word_chars"),
+    raw = F.coalesce("text", F.lit(""))
+    base = base.withColumn("_ref", F.coalesce("_own", "_all")).select(
+        "doc_id", "text", words(raw).alias("_words"), uncommon(raw).alias("_left"), "_ref.common", "_ref.word_shares", "_ref.class_shares",
     )
-    places = F.filter(F.transform(_lower_words(F.col("text")), lambda w: F.array_position(F.col("common"), w)), lambda k: k > 0)
     base = base.select(
-        "doc_id", *[c for c in base.columns if c not in ("doc_id", "text", "_words", "common")],
-        characters(F.coalesce("text", F.lit("")), CLASSES["symbol"]).cast("long").alias("n_symbols"),
-        duplicate_lines(F.col("text")).alias("n_dup_lines"),
-        repeated_words(F.col("_words"), F.size("_words")).alias("n_repeat_words"),
-        class_counts(F.col("text"), F.col("word_chars")).alias("_classes"), F.col("common"), places.alias("_places"),
+        "doc_id", "common", "word_shares", "class_shares", "_left", F.size("_words").cast("long").alias("n_words"), word_chars(F.col("_words")).cast("long").alias("word_chars"),
+        characters(F.col("_left"), CLASSES["symbol"]).cast("long").alias("n_symbols"), duplicate_lines(F.col("text")).alias("n_dup_lines"),
+        repeated_words(F.col("_words"), F.size("_words")).alias("n_repeat_words"), F.transform("_words", lambda w: F.xxhash64(F.lower(w))).alias("_hashes"),
     )
+    # how often each common word occurs: what its removal takes away
+    hits = F.array(*[F.coalesce(F.size("_hashes") - F.size(F.array_remove("_hashes", F.get("common", F.lit(k)))), F.lit(0)) for k in range(COMMON_WORDS)])
+    base = base.select(*[c for c in base.columns if c not in ("_left", "_hashes")], class_counts(F.col("_left"), F.col("word_chars")).alias("_classes"), hits.alias("_hits"))
     failed = (n < 20) | (100 * F.col("n_repeat_words") > 30 * n)
-    hits = [F.size("_places") - F.size(F.array_remove("_places", F.lit(k + 1).cast("long"))) for k in range(COMMON_WORDS)]
-    counts = F.slice(F.array(*hits), F.lit(1), F.size("common"))
-    p = F.concat(F.transform(counts, lambda c: c / n), F.array((n - F.size("_places")) / n))
+    counts = F.slice("_hits", F.lit(1), F.size("common"))
+    rest = n - F.aggregate("_hits", F.lit(0), lambda a, b: a + b)
+    p = F.concat(F.transform(counts, lambda c: c / n), F.array(rest / n))
     long_enough = (n >= MIN_WORDS) & (F.size("common") > 0)
     word_distance = F.when(long_enough, js_distance(p, F.col("word_shares")))
     chars = F.col("word_chars")

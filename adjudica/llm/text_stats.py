@@ -80,9 +80,9 @@ def characters(left: Column, of: str) -> Column:
     return F.length(F.regexp_replace(left, f"[^{of}]+", ""))
 
 
-def class_counts(text: Column, chars: Column) -> Column:
-    """Counts of the character classes among the so many characters of a text's words; the last is the rest."""
-    counts = let(uncommon(text), lambda t: F.array(*[characters(t, p).cast("double") for p in CLASSES.values()]))
+def class_counts(left: Column, chars: Column) -> Column:
+    """Counts of the character classes, by a text's uncommon(), among the so many characters of its words; the last is the rest."""
+    counts = F.array(*[characters(left, p).cast("double") for p in CLASSES.values()])
     return let(counts, lambda c: F.concat(c, F.array(chars - F.aggregate(c, F.lit(0.0), lambda a, b: a + b))))
 
 
