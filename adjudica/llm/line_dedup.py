@@ -135,7 +135,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = written(_lines(keyed.withColumn("text_key", F.xxhash64("text")), min_words), "lines")
     marks = lines.select("doc_id", F.explode("marks").alias("mark"))
     first = marks.groupBy("mark").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("last")).filter("earlier < last").select("mark", "earlier")
-    pairs = written(marks.join(first, "mark").filter("doc_id > earlier").select("doc_id", "earlier").distinct(), "pairs")
+    pairs = written(marks.join(first.hint("merge"), "mark").filter("doc_id > earlier").select("doc_id", "earlier").distinct(), "pairs")
     later = pairs.join(lines.select("doc_id", "text_key", "hashes", "words"), "doc_id")
     before = lines.select(F.col("doc_id").alias("_earlier"), F.col("hashes").alias("before"))
     both = later.join(before, F.col("earlier") == F.col("_earlier")).select("doc_id", "text_key", "hashes", "words", "earlier", "before")
@@ -169,7 +169,8 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
     text = F.col("_row.text").cast("string")
     on = (F.col("_row.doc_id").cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_key"))
-    joined = rows.join(gone, on, "left").withColumn("_lines", F.split(text, "\n"))
+    # texts meet the deletions by a shuffle at every size: what is deleted grows with the corpus and is never broadcast
+    joined = rows.join(gone.hint("merge"), on, "left").withColumn("_lines", F.split(text, "\n"))
     inside = lambda i: F.exists("_gone", lambda b: (i >= b["begin"]) & (i < b["end"]))
     joined = joined.withColumn("_left", F.when(F.col("_gone").isNotNull(), F.filter("_lines", lambda x, i: ~inside(i))))
     new = F.when(F.col("_left").isNotNull(), F.array_join("_left", "\n")).otherwise(text)
