@@ -5,8 +5,9 @@
 2. Each mark pairs the documents that hold it with the earliest one that does: as many pairs as there are holders,
    however common the mark is.
 3. Each pair is aligned with patience diff: lines that occur once on both sides and keep their order are anchors;
-   equal lines around them join in; the gaps between are aligned the same way.
-4. Aligned blocks of at least min_words words, and blocks that are all of a document, are deleted from the later one.
+   equal lines around them join in; the gaps between are aligned the same way. Runs of min_words words that this chain
+   leaves, as passages that are repeated or cross, are looked up one by one.
+4. Shared blocks of at least min_words words, and blocks that are all of a document, are deleted from the later one.
 
 Every deleted line equals a line of an earlier document, so the earliest holder of a passage keeps it.
 """
@@ -82,20 +83,78 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def blocks(later: list, earlier: list, words: list[int], min_words: int, blank=None) -> list[tuple[int, int]]:
-    """Ranges (begin, end) of lines of the later document to delete: runs of lines aligned with runs of the earlier one."""
-    pairs = patience(later, earlier, blank)
-    out, total = [], sum(words)
-    k = 0
+def runs(words: list[int], min_words: int):
+    """The shortest runs (begin, end) that reach min_words: from each line on, up to each line, and two lines where one alone does.
+
+    A longer run is made of these, each overlapping the next, and whether a run is one of them shows in its lines alone.
+    """
+    least = max(min_words, 1)
+    end = held = 0
+    for begin, n in enumerate(words):
+        while held < least and end < len(words):
+            held, end = held + words[end], end + 1
+        if held < least:
+            break
+        yield begin, end
+        if n >= least and begin + 1 < len(words):
+            yield begin, begin + 2
+        held -= n
+    begin = held = 0
+    for end, n in enumerate(words, 1):
+        held += n
+        while held - words[begin] >= least:
+            held, begin = held - words[begin], begin + 1
+        if held >= least:
+            yield begin, end
+
+
+def _spans(a: list, b: list, words: list[int], min_words: int, blank) -> list[tuple[int, int]]:
+    """Runs (begin, end) of a of min_words or more that b holds, wherever and however often: together all such lines."""
+    pairs = patience(a, b, blank)
+    out, k = [], 0
     while k < len(pairs):
         n = k + 1
         while n < len(pairs) and pairs[n][0] == pairs[n - 1][0] + 1 and pairs[n][1] == pairs[n - 1][1] + 1:
             n += 1
-        begin, end = pairs[k][0], pairs[n - 1][0] + 1
-        held = sum(words[begin:end])
-        if held and (held >= min_words or held == total):
-            out.append((begin, end))
+        if sum(words[pairs[k][0] : pairs[n - 1][0] + 1]) >= max(min_words, 1):
+            out.append((pairs[k][0], pairs[n - 1][0] + 1))
         k = n
+    # repeats and crossings are off the chain: runs that it leaves are looked up among those of b
+    stop = list(range(len(a)))
+    for begin, end in out:
+        stop[begin:end] = [end] * (end - begin)
+    left: dict[tuple, set[tuple[int, int]]] = {}
+    for begin, end in runs(words, min_words):
+        if end > stop[begin]:
+            left.setdefault(tuple(a[begin:end]), set()).add((begin, end))
+    known = dict(zip(a, words, strict=True))
+    at = 0
+    while left and at < len(b):
+        to = at
+        while to < len(b) and b[to] in known:
+            to += 1
+        for begin, end in runs([known[x] for x in b[at:to]], min_words):
+            out += left.pop(tuple(b[at + begin : at + end]), ())
+        at = to + 1
+    return out
+
+
+def blocks(later: list, earlier: list, words: list[int], min_words: int, blank=None) -> list[tuple[int, int]]:
+    """Ranges (begin, end) of lines of the later document to delete: all runs of min_words that the earlier one holds.
+
+    A document of less goes if the earlier one holds all of it in a row; a single line only if that is all of the other too.
+    """
+    solid = [x for x in later if x != blank]
+    if sum(words) < min_words:
+        held, n = [x for x in earlier if x != blank], len(solid)
+        whole = held == solid or (n > 1 and any(held[k : k + n] == solid for k in range(len(held) - n + 1)))
+        return [(0, len(later))] if solid and whole else []
+    out: list[tuple[int, int]] = []
+    for begin, end in sorted(_spans(later, earlier, words, min_words, blank)):
+        if out and begin < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((begin, end))
     return out
 
 

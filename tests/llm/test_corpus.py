@@ -315,6 +315,23 @@ def test_line_dedup(spark, odd, nothing):
     assert line_dedup.line_dedup(nothing).count() == 0 and line_dedup.line_dedup(odd).count() == len(ODD)
 
 
+def test_blocks_of_repeats_and_crossings():
+    p, q = ["p1", "p2"], ["q1", "q2"]
+    found = lambda later, earlier: line_dedup.blocks(later, earlier, [30] * len(later), 50)
+    assert found(["x", *p, "y"], ["a", *p, "b", *p, "c"]) == [(1, 3)]  # the earlier document repeats the passage
+    assert found(["x", *p, "y", *p, "z"], ["a", *p, "b"]) == [(1, 3), (4, 6)]  # the later one does
+    assert found(["x", *q, "y", *p, "z"], ["a", *p, "b", *q, "c"]) == [(1, 3), (4, 6)]  # another order
+    random = np.random.default_rng(6)
+    for _ in range(2000):
+        a, b = ([int(v) for v in random.integers(0, 5, random.integers(1, 12))] for _ in "ab")
+        words = [(1, 2, 3, 7, 9)[v] for v in a]
+        if sum(words) >= 8:
+            shared = [(i, j) for i in range(len(a)) for j in range(i + 1, len(a) + 1) if sum(words[i:j]) >= 8 and any(b[k : k + j - i] == a[i:j] for k in range(len(b)))]
+            got = line_dedup.blocks(a, b, words, 8)
+            assert {k for i, j in got for k in range(i, j)} == {k for i, j in shared for k in range(i, j)}
+            assert all(any(x <= i and j <= y for x, y in got) for i, j in shared)
+
+
 def _nearest(rows, every, k):
     usable = {}
     for i, v in rows:
