@@ -1,9 +1,10 @@
 """Line dedup by pairwise alignment: blocks of lines that an earlier document holds go from the later one.
 
-1. Each document's lines get 128-bit hashes. Two lines in a row, a line of at least min_words words, and the whole
-   document are its marks: rarely shared but by documents that share a passage, since single common lines are none.
+1. Each document's lines get 128-bit hashes. The shortest runs of lines that reach min_words words, from each line on
+   and up to each line, are its marks, and the whole of a document of less: a mark is itself what is deleted.
 2. Each mark pairs the documents that hold it with the earliest one that does: as many pairs as there are holders,
-   however common the mark is.
+   however common the mark is. A document below min_words of several lines is paired with the earliest that holds its
+   lines in a row: such runs are only made where a document has the first two lines of a short one.
 3. Each pair is aligned with patience diff: lines that occur once on both sides and keep their order are anchors;
    equal lines around them join in; the gaps between are aligned the same way. Runs of min_words words that this chain
    leaves, as passages that are repeated or cross, are looked up one by one.
@@ -159,33 +160,72 @@ def blocks(later: list, earlier: list, words: list[int], min_words: int, blank=N
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, text_key, hashes and word counts of lines, and marks. docs has doc_id, text, text_key."""
+    """doc_id, text_key, hashes and word counts of lines, marks, twos and whole. docs has doc_id, text, text_key.
+
+    twos are hashes of two lines in a row; whole is the hash of a document below min_words of several lines, or null.
+    """
     small_batches(docs.sparkSession)
 
     def split(stream):
         from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
         white = b" \t\n\x0b\x0c\r"
+        signed = lambda x: np.array(x, dtype=np.uint64).view(np.int64)
         for batch in stream:
-            hashes, counts, marks = [], [], []
+            hashes, counts, marks, twos, wholes = [], [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 lines = [x.strip(white) for x in (text or b"").split(b"\n")]
                 own = [xxh3_128_digest(x) if x else BLANK for x in lines]
                 words = [len(x.split()) for x in lines]
-                solid = [(h, n) for h, n in zip(own, words, strict=True) if n]
-                keys = {xxh3_64_intdigest(h + g) for (h, _), (g, _) in zip(solid, solid[1:], strict=False)}
-                keys.update(xxh3_64_intdigest(h) for h, n in solid if n >= min_words)
-                if solid:
-                    keys.add(xxh3_64_intdigest(b"all" + b"".join(h for h, _ in solid)))
+                solid = b"".join(h for h, n in zip(own, words, strict=True) if n)
+                held = [n for n in words if n]
+                keys = {xxh3_64_intdigest(solid[DIGEST * a : DIGEST * b]) for a, b in runs(held, min_words)}
+                short = 0 < sum(held) < min_words
+                if short and len(held) == 1:
+                    keys.add(xxh3_64_intdigest(b"all" + solid))
                 hashes.append(b"".join(own))
                 counts.append(words)
-                marks.append(np.array(sorted(keys), dtype=np.uint64).view(np.int64))
+                marks.append(signed(sorted(keys)))
+                twos.append(signed([xxh3_64_intdigest(solid[DIGEST * k : DIGEST * (k + 2)]) for k in range(len(held) - 1) if held[k] + held[k + 1] < min_words]))
+                wholes.append(int(signed([xxh3_64_intdigest(solid)])[0]) if short and len(held) > 1 else None)
+            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(hashes, pa.binary()), pa.array(counts, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int64()))],
-                names=["doc_id", "text_key", "hashes", "words", "marks"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(hashes, pa.binary()), pa.array(counts, pa.list_(pa.int32())), pa.array(marks, longs), pa.array(twos, longs), pa.array(wholes, pa.int64())],
+                names=["doc_id", "text_key", "hashes", "words", "marks", "twos", "whole"],
             )
 
-    return docs.mapInArrow(split, "doc_id long, text_key long, hashes binary, words array<int>, marks array<long>")
+    return docs.mapInArrow(split, "doc_id long, text_key long, hashes binary, words array<int>, marks array<long>, twos array<long>, whole long")
+
+
+def _short_pairs(lines: DataFrame, min_words: int) -> DataFrame:
+    """doc_id and earlier: documents below min_words of several lines, and the earliest one that holds all of each in a row."""
+    short = lines.filter("whole is not null").select("doc_id", "whole", F.get("twos", F.lit(0)).alias("two"))
+    places = lines.select("doc_id", "text_key", F.explode("twos").alias("two"))
+    places = places.join(short.select("two").distinct().hint("merge"), "two").groupBy("doc_id", "text_key").agg(F.collect_set("two").alias("openings"))
+    places = places.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "openings")
+    on = (F.col("doc_id") == F.col("_doc")) & (F.col("text_key") == F.col("_key"))
+    holders = lines.select("doc_id", "text_key", "hashes", "words").join(places.hint("merge"), on).select("doc_id", "hashes", "words", "openings")
+
+    def below(stream):
+        from xxhash import xxh3_64_intdigest
+
+        for batch in stream:
+            ids, marks = [], []
+            for doc_id, hashes, words, openings in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                solid = b"".join(hashes[DIGEST * k : DIGEST * (k + 1)] for k, n in enumerate(words) if n)
+                held, wanted, found = [n for n in words if n], set(np.array(openings, dtype=np.int64).view(np.uint64).tolist()), set()
+                for begin in range(len(held) - 1):
+                    if xxh3_64_intdigest(solid[DIGEST * begin : DIGEST * (begin + 2)]) in wanted:
+                        end, total = begin + 1, held[begin]
+                        while end < len(held) and (total := total + held[end]) < min_words:
+                            end += 1
+                            found.add(xxh3_64_intdigest(solid[DIGEST * begin : DIGEST * end]))
+                ids += [doc_id] * len(found)
+                marks += sorted(found)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(marks, dtype=np.uint64).view(np.int64))], names=["held_by", "mark"])
+
+    first = holders.mapInArrow(below, "held_by long, mark long").groupBy("mark").agg(F.min("held_by").alias("earlier"))
+    return short.join(first.hint("merge"), F.col("whole") == F.col("mark")).filter("doc_id > earlier").select("doc_id", "earlier")
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -194,7 +234,8 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = written(_lines(keyed.withColumn("text_key", F.xxhash64("text")), min_words), "lines")
     marks = lines.select("doc_id", F.explode("marks").alias("mark"))
     first = marks.groupBy("mark").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("last")).filter("earlier < last").select("mark", "earlier")
-    pairs = written(marks.join(first.hint("merge"), "mark").filter("doc_id > earlier").select("doc_id", "earlier").distinct(), "pairs")
+    pairs = marks.join(first.hint("merge"), "mark").filter("doc_id > earlier").select("doc_id", "earlier")
+    pairs = written(pairs.unionByName(_short_pairs(lines, min_words)).distinct(), "pairs")
     later = pairs.join(lines.select("doc_id", "text_key", "hashes", "words"), "doc_id")
     before = lines.select(F.col("doc_id").alias("_earlier"), F.col("hashes").alias("before"))
     both = later.join(before, F.col("earlier") == F.col("_earlier")).select("doc_id", "text_key", "hashes", "words", "earlier", "before")

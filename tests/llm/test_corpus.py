@@ -332,6 +332,54 @@ def test_blocks_of_repeats_and_crossings():
             assert all(any(x <= i and j <= y for x, y in got) for i, j in shared)
 
 
+def _brute_lines(rows, min_words):
+    """(doc_id, text) and the lines that are left: all runs of min_words words that an earlier document holds are deleted, blank lines inside too."""
+    split = lambda t: [x.strip(" \t\n\x0b\x0c\r") for x in t.split("\n")]
+    solid = {(i, t): [(k, x, len(WORD.findall(x))) for k, x in enumerate(split(t)) if x] for i, t in rows if i is not None and t is not None}
+    places: dict = {}
+    for (i, t), own in solid.items():
+        for at, (_, x, _n) in enumerate(own):
+            places.setdefault(x, []).append((i, t, at))
+    out = {}
+    for (i, t), own in solid.items():
+        gone, total = set(), sum(n for _, _, n in own)
+        for at, (_, x, _n) in enumerate(own):
+            for j, u, to in places[x] if total else ():
+                other = solid[j, u]
+                if j >= i or (at and to and own[at - 1][1] == other[to - 1][1]):
+                    continue
+                n = 0
+                while at + n < len(own) and to + n < len(other) and own[at + n][1] == other[to + n][1]:
+                    n += 1
+                if sum(w for _, _, w in own[at : at + n]) >= min_words:
+                    gone |= set(range(own[at][0], own[at + n - 1][0] + 1))
+                elif n == len(own) and (n > 1 or len(other) == 1):
+                    gone |= set(range(len(t.split("\n"))))
+        out[i, t] = [x for k, x in enumerate(t.split("\n")) if k not in gone]
+    return out
+
+
+def _same_as_brute(spark, rows, min_words=50):
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").withColumn("was", F.col("text")), min_words).filter("doc_id is not null and was is not null").collect()
+    want = _brute_lines(rows, min_words)
+    assert {(r["doc_id"], r["was"]): r["text"] for r in got} == {k: "\n".join(v) for k, v in want.items()}
+    return {r["doc_id"]: r["n_removed"] for r in got}
+
+
+def test_marks_stand_for_what_is_deleted(spark):
+    line = lambda k, n=15: " ".join(f"l{k}w{i}" for i in range(n))
+    own = lambda k, *ks: (k, "\n".join([line(100 + k), *[line(x) for x in ks], line(200 + k)]))
+    # documents 1 and 2 hold line pairs of the passage, but 45 words of it only; 3 is its first holder
+    got = _same_as_brute(spark, [own(1, 1, 2, 3), own(2, 3, 4, 5), *[own(k, 1, 2, 3, 4, 5) for k in (3, 4, 5)]])
+    assert got == {1: 0, 2: 0, 3: 0, 4: 5, 5: 5}
+    # a line of 60 words has an earlier holder than it has with the short one behind it; short documents inside longer ones
+    tail = [(1, f"{line(1, 60)}\nown"), (2, f"first\n{line(1, 60)}\n{line(2, 5)}"), (3, f"{line(1, 60)}\n{line(2, 5)}\nlast"), (4, f"a b\n{line(3)}"), (5, f"x\na b\n{line(3)}\nc"), (6, f"a b\n{line(3)}\nc"), (7, f"a b\n{line(3)}"), (8, "c"), (9, "c")]
+    assert _same_as_brute(spark, tail) == {1: 0, 2: 1, 3: 2, 4: 0, 5: 0, 6: 3, 7: 2, 8: 0, 9: 1}
+    random = np.random.default_rng(8)
+    lines = [" ".join([f"v{k}"] * n) for k, n in enumerate((1, 2, 3, 7, 9, 4))]
+    _same_as_brute(spark, [(k // 2 if k < 40 else k, "\n".join(lines[v] for v in random.integers(0, 6, random.integers(1, 9)))) for k in range(300)], 8)
+
+
 def _nearest(rows, every, k):
     usable = {}
     for i, v in rows:
