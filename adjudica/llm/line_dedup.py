@@ -8,6 +8,7 @@
 3. Each pair is aligned with patience diff: lines that occur once on both sides and keep their order are anchors;
    equal lines around them join in; the gaps between are aligned the same way. Runs of min_words words that this chain
    leaves, as passages that are repeated or cross, are looked up one by one.
+   Blank lines are left out, as in the marks.
 4. Shared blocks of at least min_words words, and blocks that are all of a document, are deleted from the later one.
 
 Every deleted line equals a line of an earlier document, so the earliest holder of a passage keeps it.
@@ -109,9 +110,9 @@ def runs(words: list[int], min_words: int):
             yield begin, end
 
 
-def _spans(a: list, b: list, words: list[int], min_words: int, blank) -> list[tuple[int, int]]:
+def _spans(a: list, b: list, words: list[int], min_words: int) -> list[tuple[int, int]]:
     """Runs (begin, end) of a of min_words or more that b holds, wherever and however often: together all such lines."""
-    pairs = patience(a, b, blank)
+    pairs = patience(a, b)
     out, k = [], 0
     while k < len(pairs):
         n = k + 1
@@ -143,15 +144,18 @@ def _spans(a: list, b: list, words: list[int], min_words: int, blank) -> list[tu
 def blocks(later: list, earlier: list, words: list[int], min_words: int, blank=None) -> list[tuple[int, int]]:
     """Ranges (begin, end) of lines of the later document to delete: all runs of min_words that the earlier one holds.
 
+    Blank lines part no run on either side, and those inside a run go with it; those around it stay.
     A document of less goes if the earlier one holds all of it in a row; a single line only if that is all of the other too.
     """
-    solid = [x for x in later if x != blank]
+    at = [k for k, x in enumerate(later) if x != blank]
+    solid, held = [later[k] for k in at], [x for x in earlier if x != blank]
     if sum(words) < min_words:
-        held, n = [x for x in earlier if x != blank], len(solid)
+        n = len(solid)
         whole = held == solid or (n > 1 and any(held[k : k + n] == solid for k in range(len(held) - n + 1)))
         return [(0, len(later))] if solid and whole else []
     out: list[tuple[int, int]] = []
-    for begin, end in sorted(_spans(later, earlier, words, min_words, blank)):
+    for begin, end in sorted(_spans(solid, held, [words[k] for k in at], min_words)):
+        begin, end = at[begin], at[end - 1] + 1
         if out and begin < out[-1][1]:
             out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:

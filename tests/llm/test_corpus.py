@@ -380,6 +380,15 @@ def test_marks_stand_for_what_is_deleted(spark):
     _same_as_brute(spark, [(k // 2 if k < 40 else k, "\n".join(lines[v] for v in random.integers(0, 6, random.integers(1, 9)))) for k in range(300)], 8)
 
 
+def test_blank_lines_part_no_passage(spark):
+    a, b, c = (" ".join(f"l{k}w{i}" for i in range(20)) for k in range(3))
+    got = _same_as_brute(spark, [(1, f"x\n\n{a}\n\n{b}\n \n{c}\n\ny"), (2, f"z\n{a}\n{b}\n{c}\nw"), (3, f"\n{a}\n\n\n{b}\n{c}\n\nv")])
+    assert got == {1: 0, 2: 3, 3: 5}
+    random = np.random.default_rng(9)
+    lines = ["", " ".join(["u"] * 9), "", *[" ".join([f"v{k}"] * n) for k, n in enumerate((1, 2, 3, 7))]]
+    _same_as_brute(spark, [(k, "\n".join(lines[v] for v in random.integers(0, 7, random.integers(1, 12)))) for k in range(300)], 8)
+
+
 def _nearest(rows, every, k):
     usable = {}
     for i, v in rows:
