@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from adjudica.llm.common import SPACE, written
 from adjudica.llm.text_stats import CLASSES, characters, class_counts, duplicate_lines, js_distance, repeated_words, uncommon, word_chars, words
 
-#: Cells of the word histogram besides the rest; languages with references of their own, the largest ones, the others
-#: (and documents without language) share a reference of all; and the parts that words are ranked in first.
+#: Cells of the word histogram besides the rest; languages whose references are broadcast, the largest ones, while those
+#: of all others meet their documents by a shuffle; and the parts that words are ranked in first.
 COMMON_WORDS = 32
 LANGUAGES = 64
 CLASS_CELLS = len(CLASSES) + 1
@@ -27,7 +27,7 @@ WORD_LIMIT, WORD_SLACK, MIN_WORDS = 0.13, 2.5, 40
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """A row for each language: lang (null: all documents), common (hashes of words), word_shares (one more, the rest), class_shares.
+    """A row for each language: lang (null: all documents), common (hashes of words), word_shares (one more, the rest), class_shares, total (words).
 
     docs has text and lang. Counts are over all documents; ranks take the more frequent word, then the lesser.
     """
@@ -36,20 +36,19 @@ def references(docs: DataFrame) -> DataFrame:
     counts = slim.select("lang", F.explode(words(F.col("text"))).alias("word")).groupBy("lang", F.lower("word").alias("word")).agg(F.count("*").alias("n"))
     counts = written(counts, "word-counts")
     sizes = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    known = sizes.filter("lang is not null").orderBy(F.desc("total"), "lang").limit(LANGUAGES)
-    known = written(known, "languages")
-    own = counts.join(F.broadcast(known.select("lang")), "lang").select("lang", "word", "n")
+    known = sizes.filter("lang is not null")
+    own = counts.filter("lang is not null").select("lang", "word", "n")
     pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n")
     ranked = _top(own.unionByName(pooled))  # words as themselves; documents are searched for their hashes
     totals = known.unionByName(sizes.select(F.lit(None).cast("string").alias("lang"), "total").groupBy("lang").agg(F.sum("total").alias("total")))
     common = ranked.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "word", "n"))).alias("top"))
     shares = common.alias("a").join(totals.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang"))).select("a.lang", "top", F.col("total").cast("double").alias("total"))
     shares = shares.select(
-        "lang", F.transform("top", lambda x: F.xxhash64(x["word"])).alias("common"), F.transform("top", lambda x: x["n"] / F.col("total")).alias("_shares"),
+        "lang", "total", F.transform("top", lambda x: F.xxhash64(x["word"])).alias("common"), F.transform("top", lambda x: x["n"] / F.col("total")).alias("_shares"),
     )
     shares = shares.withColumn("word_shares", F.concat("_shares", F.array(F.greatest(F.lit(0.0), 1 - F.aggregate("_shares", F.lit(0.0), lambda a, b: a + b))))).drop("_shares")
     classes = per_lang.filter("lang is not null").unionByName(_pooled(per_lang)).withColumnRenamed("lang", "_lang")
-    return shares.join(classes, F.col("lang").eqNullSafe(F.col("_lang"))).select("lang", "common", "word_shares", "class_shares")
+    return shares.join(classes, F.col("lang").eqNullSafe(F.col("_lang"))).select("lang", "common", "word_shares", "class_shares", "total")
 
 
 def _class_sums(slim: DataFrame) -> DataFrame:
@@ -83,20 +82,35 @@ def judge(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept.
 
     docs has doc_id, text and lang; other columns are not looked at. A null text is empty: it has no words and fails
-    the base rules. A null or rare language is held against all documents. A distance is null where the text is too
-    short for it. Repeated rows are judged alike; an empty table stays empty.
+    the base rules. A null language is held against all documents, any other against its own, however rare. A distance
+    is null where the text is too short for it. Repeated rows are judged alike; an empty table stays empty.
     """
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     refs = references(slim)
-    refs = written(refs, "references")  # at most LANGUAGES + 1 rows of bounded size
+    refs = written(refs, "references")  # a row of bounded size for each language
     return _judged(slim, refs)
 
 
+def _with_own(slim: DataFrame, own: DataFrame) -> DataFrame:
+    """Documents with the reference of their language as _own, null where there is none."""
+    on = F.col("lang") == F.col("_lang")
+    if own.count() <= LANGUAGES:
+        return slim.join(F.broadcast(own.drop("total")), on, "left").drop("_lang")
+    # the largest are broadcast; each of the others holds less than a LANGUAGES-th of all words, so their shuffle has no hot key
+    large = written(own.orderBy(F.desc("total"), "_lang").limit(LANGUAGES).drop("total"), "large-languages")
+    small = own.drop("total").join(F.broadcast(large.select("_lang")), "_lang", "left_anti")
+    marked = slim.join(F.broadcast(large), on, "left").drop("_lang")
+    rare = F.col("_own").isNull() & F.col("lang").isNotNull()
+    found = marked.filter(rare).drop("_own").join(small.hint("merge"), on, "left").select(*slim.columns, "_own")
+    return marked.filter(~rare).unionByName(found)
+
+
 def _judged(slim: DataFrame, refs: DataFrame) -> DataFrame:
-    own = F.broadcast(refs.filter("lang is not null").select(F.col("lang").alias("_lang"), F.struct("common", "word_shares", "class_shares").alias("_own")))
-    everyone = F.broadcast(refs.filter("lang is null").select(F.struct("common", "word_shares", "class_shares").alias("_all")))
+    struct = F.struct("common", "word_shares", "class_shares")
+    everyone = F.broadcast(refs.filter("lang is null").select(struct.alias("_all")))
+    own = refs.filter("lang is not null").select(F.col("lang").alias("_lang"), struct.alias("_own"), "total")
     n = F.col("n_words")
-    base = slim.join(own, slim["lang"] == F.col("_lang"), "left").join(everyone, F.lit(True), "left")
+    base = _with_own(slim, own).join(everyone, F.lit(True), "left")
     raw = F.coalesce("text", F.lit(""))
     base = base.withColumn("_ref", F.coalesce("_own", "_all")).select(
         "doc_id", "text", words(raw).alias("_words"), uncommon(raw).alias("_left"), "_ref.common", "_ref.word_shares", "_ref.class_shares",

@@ -332,6 +332,20 @@ def test_blocks_of_repeats_and_crossings():
             assert all(any(x <= i and j <= y for x, y in got) for i, j in shared)
 
 
+def test_rare_languages_keep_their_references(spark, docs, monkeypatch):
+    # 70 languages without common words, the first large, the last six the smallest: each document is as its language is
+    random = np.random.default_rng(7)
+    text = lambda k: " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + i)}" for _ in range(10) for i in random.permutation(20))
+    rows = [(100 * k + d, text(k), f"l{k}") for k in range(70) for d in range(100 if k == 0 else 4 if k < 64 else 2)]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert sum(r["kept"] for r in got) == len(rows) and all(r["word_distance"] < 0.01 for r in got)
+    some = docs.limit(300).select("doc_id", "text", "lang")
+    some = some.unionByName(some.limit(30).withColumn("lang", F.lit(None).cast("string")))
+    want = sorted(map(repr, quality_rules.judge(some).collect()))
+    monkeypatch.setattr(quality_rules, "LANGUAGES", 2)
+    assert sorted(map(repr, quality_rules.judge(some).collect())) == want
+
+
 def _brute_lines(rows, min_words):
     """(doc_id, text) and the lines that are left: all runs of min_words words that an earlier document holds are deleted, blank lines inside too."""
     split = lambda t: [x.strip(" \t\n\x0b\x0c\r") for x in t.split("\n")]
