@@ -394,6 +394,17 @@ def test_marks_stand_for_what_is_deleted(spark):
     _same_as_brute(spark, [(k // 2 if k < 40 else k, "\n".join(lines[v] for v in random.integers(0, 6, random.integers(1, 9)))) for k in range(300)], 8)
 
 
+def test_line_dedup_of_a_table(spark):
+    import corpus_pipeline
+
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [tuple(r) for r in table.select("doc_id", "text").collect()]
+    removed = _same_as_brute(spark, rows)
+    assert sum(removed.values()) > 0
+    want = {i: "\n".join(x) for (i, t), x in _brute_lines(rows, 50).items() if WORD.search("\n".join(x)) or not WORD.search(t)}
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, table, "").filter("doc_id is not null and text is not null").collect()} == want
+
+
 def test_blank_lines_part_no_passage(spark):
     a, b, c = (" ".join(f"l{k}w{i}" for i in range(20)) for k in range(3))
     got = _same_as_brute(spark, [(1, f"x\n\n{a}\n\n{b}\n \n{c}\n\ny"), (2, f"z\n{a}\n{b}\n{c}\nw"), (3, f"\n{a}\n\n\n{b}\n{c}\n\nv")])
