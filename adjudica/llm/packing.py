@@ -49,11 +49,12 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return bins, offsets
 
 
-def pack(pieces: DataFrame, keys: list[str], length: str = "length", capacity: int = 2048, group_pieces: int = GROUP_PIECES) -> DataFrame:
+def pack(pieces: DataFrame, keys: list[str], deal: list[str] | None = None, length: str = "length", capacity: int = 2048, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Adds sequence_id and offset to pieces of 1 to capacity tokens.
 
-    keys order equal lengths and deal pieces into groups; rows that agree in all keys and the length are alike, and
-    any of them may take either place. Null keys are values like any other. An empty table stays empty.
+    keys order equal lengths; rows that agree in all keys and the length are alike, and any of them may take either
+    place. The columns `deal` (the keys, if none are given) deal pieces into groups: where many rows are alike, name one
+    that numbers rows, or they come into one group. Null keys are values like any other. An empty table stays empty.
     """
     groups = max(1, -(-pieces.count() // group_pieces))
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
@@ -64,7 +65,7 @@ def pack(pieces: DataFrame, keys: list[str], length: str = "length", capacity: i
         bins, offsets = sum_of_squares(frame[length].to_numpy(dtype=np.int64), capacity)
         return frame[columns].assign(sequence_id=bins + (int(key[0]) << 32), offset=offsets)
 
-    dealt = pieces.select(*columns, F.pmod(F.xxhash64(*keys), F.lit(groups)).alias("_group"))
+    dealt = pieces.select(*columns, F.pmod(F.xxhash64(*(deal or keys)), F.lit(groups)).alias("_group"))
     return dealt.groupBy("_group").applyInPandas(lambda key, frame: placed(key, frame), schema)
 
 
@@ -118,9 +119,12 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int =
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = 2048, with_ids: bool = True) -> DataFrame:
-    """Cuts and packs whole documents: the columns of token_pieces with sequence_id and offset."""
+    """Cuts and packs whole documents: the columns of token_pieces with sequence_id and offset.
+
+    Pieces are dealt by their own numbers, so that any count of repeated or nameless rows is shared out evenly.
+    """
     pieces = written(token_pieces(docs, vocabulary, end_id, capacity, with_ids), "pieces")
-    placed = pack(pieces.drop("ids"), ["doc_id", "piece", "ids_crc32"], capacity=capacity)
+    placed = pack(pieces.drop("ids"), ["doc_id", "piece", "ids_crc32"], ["piece_key"], capacity=capacity)
     if not with_ids:
         return placed.drop("piece_key")
     ids = pieces.select(F.col("piece_key").alias("_key"), "ids")

@@ -94,8 +94,10 @@ def read_chunk(content: bytes, index: dict, k: int) -> np.ndarray:
 def write_token_shards(docs: DataFrame, vocabulary: str, end_id: int = 2, path: str | None = None, plane_bits: int = 1, level: int = 3, shard_bytes: int = SHARD_BYTES, chunk_ids: int = CHUNK_IDS) -> str:
     """Encodes whole texts, appends end_id to each, and writes the shard files; returns their folder.
 
-    A null or empty text gives the end id alone. Rows with a null doc_id come first; rows with one doc_id are
-    ordered by text. An empty table gives a folder without shards. Other columns are not looked at.
+    A null or empty text gives the end id alone. Rows with a null doc_id come first; rows with one doc_id are ordered by
+    a hash of their text, so that many of them are shared out among shards too, and equal rows by their place in docs
+    (a table: read again, its rows come in the same places). An empty table gives a folder without shards. Other columns
+    are not looked at.
     """
     from adjudica.llm.tokenizing import batches, grouped
 
@@ -124,7 +126,7 @@ def write_token_shards(docs: DataFrame, vocabulary: str, end_id: int = 2, path:
             at += len(data) + 1
             return data
 
-        for table in grouped(stream, size=8 << 20):
+        for table in grouped(stream):
             if not at:
                 header = struct.pack(HEADER, MAGIC, VERSION, plane_bits, chunk_ids, shard)
                 at = len(header) + 1
@@ -153,7 +155,9 @@ def write_token_shards(docs: DataFrame, vocabulary: str, end_id: int = 2, path:
             yield frame(footer)
             yield frame(struct.pack(TAIL, len(footer), MAGIC))
 
-    placed = docs.repartitionByRange(int(shards), "doc_id").sortWithinPartitions("doc_id", "text") if size else docs.sortWithinPartitions("doc_id", "text").coalesce(1)
+    order = ["doc_id", "_key", "_place"]
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_key"), F.monotonically_increasing_id().alias("_place"))
+    placed = (keyed.repartitionByRange(int(shards), *order) if size else keyed.coalesce(1)).sortWithinPartitions(*order).select("doc_id", "text")
     placed.mapInArrow(files, "frame binary").select(F.col("frame").cast("string").alias("value")).write.text(path, lineSep="\n")
     return path
 

@@ -55,6 +55,25 @@ def test_tokens_equal_the_library(tokenizer):
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_tokens_in_small_slices(tokenizer, monkeypatch):
+    import pyarrow as pa
+    import public_tokenizers
+
+    texts = [LONG, "", None, "a" * 500, " \t" * 300 + "é x1", "it's <|endoftext|> 5 \U0001f600 " * 40, LONG[:3000]]
+    want = lambda t: [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    monkeypatch.setattr(tokenizing, "SLICE", 100)
+    monkeypatch.setattr(tokenizing, "MEMO_WORDS", 200)  # starts anew, and grows from few places
+    monkeypatch.setattr(tokenizing, "PLACES", 8)
+    encoder = tokenizing.Batches(queries.vocabulary())
+    encoder.memo = tokenizing.Memo(8)
+    for part in (pa.array(texts), pa.array(["lost", *texts]).slice(1)):
+        counts, ids = encoder.encode(part)
+        assert counts.tolist() == [len(w) for w in want(tokenizer)] and ids.tolist() == [i for w in want(tokenizer) for i in w]
+    other = tokenizing.Batches(public_tokenizers.path("byte_bpe_50k.json"))  # other settings: no quick way
+    counts, ids = other.encode(pa.array(texts))
+    assert encoder.quick and not other.quick and ids.tolist() == [i for w in want(other.tokenizer) for i in w]
+
+
 @pytest.mark.parametrize("bits", [1, 8])
 def test_planes(bits):
     random = np.random.default_rng(bits)
@@ -75,6 +94,23 @@ def test_token_files(spark, odd, nothing, docs, tokenizer):
             assert g["start"] == at and np.frombuffer(g["ids"], dtype="<u4").tolist() == want
             at += len(want)
     assert token_binary.token_digest(nothing, queries.vocabulary()).count() == 0
+    clash = docs.withColumn("ids", F.lit("clash")).withColumn("shard", F.lit("clash")).withColumn("a.b", F.lit(1)).withColumn("_key", F.lit(1))
+    got = token_binary.token_digest(clash, queries.vocabulary(), 2).orderBy("start").collect()
+    at = 0
+    for r, (i, t) in zip(got, sorted(map(tuple, docs.select("doc_id", "text").collect())), strict=True):
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], dtype="<u4")
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+def test_rows_without_doc_id_share_shards_and_groups(spark):
+    rows = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.lit("the same words " * 40)).otherwise(F.concat(F.lit("others "), F.col("id").cast("string"))).alias("text"))
+    path = token_binary.write_token_shards(rows, queries.vocabulary(), 2, shard_bytes=30_000)
+    sizes = [r["n"] for r in token_binary.read_token_shards(spark, path).groupBy("shard").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 1000 and len(sizes) >= 8 and max(sizes) < 600
+    pieces = packing.token_pieces(rows.withColumn("text", F.lit("")), queries.vocabulary(), 0, with_ids=False)
+    groups = packing.pack(pieces, ["doc_id", "piece", "ids_crc32"], ["piece_key"], group_pieces=125).groupBy((F.col("sequence_id") / 2**32).cast("int")).count().collect()
+    assert len(groups) == 8 and max(r["count"] for r in groups) < 250
 
 
 def test_packing(spark, odd, nothing, docs, tokenizer):
