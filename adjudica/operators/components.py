@@ -2,47 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adjudica.operators.scale import numbered, skew_join
 from adjudica.storage import written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node and label, the least node of its component, for every node of the edges.
+    """node and label, the least node of its component, for every node of the edges; an edge to itself makes a node.
 
     Large-star and small-star rounds in turn, each written out, until no edge changes: a number of rounds that grows
-    with the logarithm of the graph. Hot nodes are pre-aggregated; nothing is collected.
+    with the logarithm of the graph. Edges of hubs are split over tasks; nothing is collected.
     """
     edges = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     edges = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     loops = edges.filter("u = v").select(F.col("u").alias("node"))
     edges, seen = edges.filter("u <> v"), None
-    while True:
+    n = edges.count()
+    while n:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = written(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(least.select("u", F.col("m").alias("v")))
-        edges = written(small.distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = skew_join(both, least, "u", "n", 2 * n, "v").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = written(large, "large-star")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = skew_join(large, least, "u", "n", large.count(), "v").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        edges = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        n, code = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if (n, code) == seen:
             break
-        seen = now
+        seen = (n, code)
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("label"))).union(loops.select("node", F.col("node").alias("label")).join(stars.select("node"), "node", "left_anti")).distinct()
+    labels = stars.union(edges.select("v", F.col("v").alias("label")).distinct())
+    return labels.union(loops.select("node", F.col("node").alias("label")).join(labels.select("node"), "node", "left_anti"))
 
 
 def numbered_groups(labels: DataFrame, order: DataFrame, prefix: str) -> DataFrame:
     """Adds group_id, prefix and four digits, to (node, label); groups are numbered by their first place in order (node, place)."""
     firsts = labels.join(order, "node").groupBy("label").agg(F.min("place").alias("_first"))
-    ids = firsts.select("label", F.format_string(prefix + "_%04d", F.dense_rank().over(Window.orderBy("_first"))).alias("group_id"))
+    ids = numbered(firsts, ["_first", "label"], "_n").select("label", F.format_string(prefix + "_%04d", F.col("_n") + 1).alias("group_id"))
     return labels.join(ids, "label")
 
 
 def star_clusters(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node and center: clusters of pairs around their least member that isn't in another's cluster, not transitive."""
-    edges = pairs.select(F.least(a, b).alias("center"), F.greatest(a, b).alias("node")).filter("center <> node").distinct()
-    taken = edges.groupBy("node").agg(F.min("center").alias("center"))
-    inner = taken.select(F.col("node").alias("center"))
-    return edges.join(inner, "center", "left_anti").groupBy("node").agg(F.min("center").alias("center"))
+    """center and node: clusters of linked nodes around centers, the center among its nodes; not transitive.
+
+    Nodes come up in the order in which the ascending pairs name them. A node that no earlier center is linked to becomes
+    a center, and all that is linked with it is its cluster, nodes of other clusters too. Each round decides all nodes
+    whose earlier neighbours are decided; nothing is collected.
+    """
+    edges = written(pairs.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).filter("x <> y").distinct(), "pairs")
+    both = edges.union(edges.select("y", "x"))
+    smaller = F.min(F.when(F.col("y") < F.col("x"), F.col("y")))
+    order = both.groupBy("x").agg(smaller.alias("l")).select(F.col("x").alias("node"), F.struct(F.coalesce("l", "x").alias("at"), F.when(F.col("l").isNotNull(), F.col("x")).alias("then")).alias("o"))
+    left = order.select(F.col("node").alias("x"), F.col("o").alias("ox"))
+    right = order.select(F.col("node").alias("y"), F.col("o").alias("oy"))
+    earlier = written(both.join(left, "x").join(right, "y").filter("oy < ox").select("x", "y"), "earlier")  # y comes up before x
+    state = written(order.select("node", F.lit(None).cast("boolean").alias("center")), "state")
+    while state.filter("center is null").limit(1).count():
+        before = earlier.join(state.select(F.col("node").alias("y"), "center"), "y").groupBy("x").agg(F.bool_or("center").alias("taken"), F.count_if(F.col("center").isNull()).alias("open"))
+        j = state.join(before, F.col("node") == F.col("x"), "left")
+        now = F.when(F.coalesce("taken", F.lit(False)), False).when(F.coalesce("open", F.lit(0)) == 0, True)
+        state = written(j.select("node", F.coalesce("center", now).alias("center")), "state")
+    centers = state.filter("center").select(F.col("node").alias("center"))
+    return centers.select("center", F.col("center").alias("node")).union(centers.join(both, F.col("center") == F.col("x")).select("center", F.col("y").alias("node")))

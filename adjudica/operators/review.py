@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudica.operators.rollups import vocabulary_ordered
+from adjudica.operators.scale import numbered
 
 
 
@@ -74,7 +75,7 @@ def effective_status(field: Column, tags: Column, default: str = "pending") -> C
 def dictionary_codes(df: DataFrame, column: str, order: list[str]) -> DataFrame:
     """value and code: codes by first appearance."""
     firsts = df.groupBy(column).agg(F.min(F.struct(*order)).alias("_o"))
-    return firsts.select(F.col(column).alias("value"), (F.dense_rank().over(Window.orderBy("_o")) - 1).alias("code"))
+    return numbered(firsts, ["_o", column], "code").select(F.col(column).alias("value"), "code")
 
 
 def display_box(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, height: Column, least: float = 8.0) -> Column:

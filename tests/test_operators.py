@@ -44,7 +44,8 @@ def test_components(spark):
     labels = components.components(edges)
     order = spark.createDataFrame([(8, 0), (1, 5), (7, 2)], "node int, place int")
     assert {r["label"]: r["group_id"] for r in components.numbered_groups(labels, order, "DUP").collect()} == {8: "DUP_0001", 7: "DUP_0002", 1: "DUP_0003"}
-    assert rows(components.star_clusters(edges.filter("b is not null"))) == [(2, 1), (9, 8), (10, 8)]
+    assert rows(components.star_clusters(edges.filter("b is not null"))) == [(1, 1), (1, 2), (3, 2), (3, 3), (3, 4), (8, 8), (8, 9), (8, 10)]
+    assert rows(components.star_clusters(spark.createDataFrame([(1, 2), (2, 9), (3, 9)], "a int, b int"))) == [(1, 1), (1, 2), (9, 2), (9, 3), (9, 9)]
 
 
 def test_newest_wins(spark):
