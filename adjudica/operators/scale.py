@@ -12,13 +12,15 @@ HOT = 1000
 
 
 def skew_join(rows: DataFrame, facts: DataFrame, key: str, count: str, total: int, spread: str, how: str = "inner") -> DataFrame:
-    """rows with the columns of facts, which has a row for each key and in `count` how many of the `total` rows have it.
+    """rows with the columns of facts, which have rows for each key and in `count` how many of the `total` rows have it.
 
-    A hot key's rows are split by a hash of the column `spread`, and its fact is repeated for each part, so no part has
-    more than a HOT-th of all rows. What is broadcast are the names of hot keys: fewer than HOT of them, at every size.
+    A hot key's rows are split by a hash of the column `spread`, and its facts are repeated for each part, so no part has
+    more than a HOT-th of all rows; rows without key are split too. What is broadcast are the names of hot keys: fewer
+    than HOT of them, at every size.
     """
-    hot = facts.filter(F.col(count) * HOT > total).select(F.col(key).alias("_hot"), F.ceil(F.col(count) * HOT / F.lit(max(total, 1))).cast("int").alias("_parts"))
-    part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_parts"))).otherwise(0).cast("int")
+    hot = facts.filter(F.col(count) * HOT > total).select(F.col(key).alias("_hot"), F.ceil(F.col(count) * HOT / F.lit(max(total, 1))).cast("int").alias("_parts")).distinct()
+    some = lambda n: F.pmod(F.xxhash64(spread), n).cast("int")
+    part = F.when(F.col("_parts").isNotNull(), some(F.col("_parts"))).when(F.col(key).isNull(), some(F.lit(HOT))).otherwise(0)
     left = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_part", part).drop("_hot", "_parts")
     right = facts.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
     right = right.select(F.col(key).alias("_key"), "_split", *[c for c in facts.columns if c not in (key, count)])
