@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from adjudica.storage import scratch_path, written
+
+__all__ = ["ARROW_ROWS", "SPACE", "WORD", "bucket_digits", "columns_of", "hash_key", "packed", "prefix_sums", "scratch_path", "ship", "small_batches", "written"]
+
 #: White space that separates words in every word count here (fixed by the query contracts).
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
@@ -16,32 +19,6 @@ SPACE = r"[\x20\x09-\x0D]"
 ARROW_ROWS = 512
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (local tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="adjudica-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    return base
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}-{name}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes df as Parquet into the shared folder and reads it back.
-
-    A lost executor costs nothing then, and nothing upstream runs twice.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Before Python code over whole texts: workers get this package, and Arrow batches stay small.
 
@@ -59,41 +36,63 @@ def hash_key(seed: str, *cols: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), *parts).cast("binary"))
 
 
-def key_bucket(key: Column, digits: int) -> Column:
-    """The leading hex digits of a hash key: buckets in the order of the keys, of about equal counts."""
-    return F.substring(key, 1, digits)
-
-
-def bucket_digits(rows: int, per_bucket: int = 20_000) -> int:
+def bucket_digits(rows: int, per_bucket: int = 2_500) -> int:
     """How many hex digits give buckets of about per_bucket rows, at least 16 of them."""
     digits = 1
-    while rows / 16**digits > per_bucket and digits < 8:
+    while rows / 16**digits > per_bucket and digits < 12:
         digits += 1
     return digits
 
 
+#: Hex digits that one window ranks: at most 16 ** LEVEL buckets are in a task.
+LEVEL = 3
+
+
 def prefix_sums(df: DataFrame, group: list[str], key: str, ties: list[str], values: dict[str, str], digits: int) -> DataFrame:
     """Exclusive prefix sums of columns inside each group, in the order of a uniform hash key.
 
     values maps new columns to the columns they sum. The leading digits of the key split every group into
     ordered buckets of bounded size, so that no task holds a group: a window sums inside each bucket, and
-    the totals of the buckets (a small, pre-aggregated table) give each bucket its offset. The buckets come
-    from the key itself, so reruns agree.
+    the totals of the buckets (a small, pre-aggregated table) give each bucket its offset, LEVEL digits at a time. The
+    buckets come from the key itself, so reruns agree.
     """
-    df = df.withColumn("_bucket", key_bucket(F.col(key), digits))
+    df = df.withColumn("_bucket", F.substring(key, 1, digits))
     inside = Window.partitionBy(*group, "_bucket").orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
     part = df.select("*", *[F.coalesce(F.sum(v).over(inside), F.lit(0).cast("long")).alias(f"_in_{k}") for k, v in values.items()])
-    totals = df.groupBy(*group, "_bucket").agg(*[F.sum(v).cast("long").alias(f"_sum_{k}") for k, v in values.items()])
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_bucket").alias("_b"),
-        *[F.coalesce(F.sum(f"_sum_{k}").over(before), F.lit(0).cast("long")).alias(f"_off_{k}") for k in values],
-    )
-    on = F.col("_bucket") == F.col("_b")
+    totals = df.groupBy(*group, "_bucket").agg(*[F.sum(v).cast("long").alias(k) for k, v in values.items()])
+    joined = _with_offsets(part, _offsets(totals, group, list(values), digits), group, "_bucket", list(values))
+    return joined.select(*[c for c in df.columns if c != "_bucket"], *[(F.col(f"_in_{k}") + F.col(f"_off_{k}")).alias(k) for k in values])
+
+
+def _offsets(totals: DataFrame, group: list[str], values: list[str], digits: int) -> DataFrame:
+    """_g_<group>, _b and _off_<value>: what comes before each bucket of its group."""
+    upper = ["_upper"] if digits > LEVEL else []
+    if upper:
+        totals = totals.withColumn("_upper", F.substring("_bucket", 1, digits - LEVEL))
+    before = Window.partitionBy(*group, *upper).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    out = totals.select("*", *[F.coalesce(F.sum(k).over(before), F.lit(0)).cast("long").alias(f"_here_{k}") for k in values])
+    if upper:
+        sums = totals.groupBy(*group, F.col("_upper").alias("_bucket")).agg(*[F.sum(k).cast("long").alias(k) for k in values])
+        out = _with_offsets(out, _offsets(sums, group, values, digits - LEVEL), group, "_upper", values)
+    off = [(F.col(f"_here_{k}") + (F.col(f"_off_{k}") if upper else F.lit(0))).alias(f"_off_{k}") for k in values]
+    return out.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_bucket").alias("_b"), *off)
+
+
+def _with_offsets(df: DataFrame, offsets: DataFrame, group: list[str], bucket: str, values: list[str]) -> DataFrame:
+    on = F.col(bucket) == F.col("_b")
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    joined = part.join(offsets, on, "left")
-    return joined.select(*[c for c in df.columns if c != "_bucket"], *[(F.col(f"_in_{k}") + F.coalesce(f"_off_{k}", F.lit(0))).alias(k) for k in values])
+    return df.join(offsets, on).drop("_b", *[f"_g_{g}" for g in group])
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """One column _row, a struct of all columns: nothing that is added beside it can clash with a name in it."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+
+
+def columns_of(df: DataFrame, **new: Column) -> list[Column]:
+    """The columns of df out of _row, some of them with new values."""
+    return [new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in df.columns]
 
 
 def ship(spark: SparkSession) -> None:

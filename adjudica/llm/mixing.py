@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import SPACE, WORD, bucket_digits, hash_key, prefix_sums, written
+from adjudica.llm.common import SPACE, WORD, bucket_digits, columns_of, hash_key, packed, prefix_sums, written
 
 #: Weights of sources in the order of their names, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -45,60 +45,73 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, sha
 def cuts(slim: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """A row for each source of rows (source, _key, doc_id, size): where its budget ends.
 
-    source_size, target; epochs, the whole passes over the source; and the row at which the last pass ends, with the
-    words it still gives. Rows alike in doc_id and size can't be told apart: at a cut, all of them give that part.
+    source_size, target; epochs, the whole passes over the source; and the row at which the last pass ends, how many
+    rows are like it, and the words that they still give. Rows that are alike are one row here, so no bucket is hot.
     """
-    sources = slim.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
+    units = slim.groupBy("source", "_key", "doc_id", "size").agg(F.count("*").alias("alike")).withColumn("words", F.col("size") * F.col("alike"))
+    units = written(units, "units")
+    sources = units.groupBy("source").agg(F.sum("words").cast("long").alias("source_size"))
     targets = source_targets(sources, weights, share, most)
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     budgets = targets.withColumn("epochs", epochs).withColumn("rest", budget - F.col("epochs") * F.col("source_size"))
     budgets = budgets.withColumnRenamed("source", "_source")
-    before = prefix_sums(slim, ["source"], "_key", ["doc_id", "size"], {"_before": "size"}, bucket_digits(slim.count()))
-    crossing = before.join(budgets, F.col("source").eqNullSafe(F.col("_source"))).filter("_before < rest and rest <= _before + size")
-    crossing = crossing.select(F.col("_source").alias("_at"), F.struct("_key", "doc_id", "size").alias("_cut"), (F.col("rest") - F.col("_before")).alias("_part"))
+    before = prefix_sums(units, ["source"], "_key", ["doc_id", "size"], {"_before": "words"}, bucket_digits(units.count()))
+    crossing = before.join(budgets, F.col("source").eqNullSafe(F.col("_source"))).filter("_before < rest and rest <= _before + words")
+    crossing = crossing.select(F.col("_source").alias("_at"), F.struct("_key", "doc_id", "size").alias("_cut"), "alike", (F.col("rest") - F.col("_before")).alias("_part"))
     return budgets.join(crossing, F.col("_source").eqNullSafe(F.col("_at")), "left").drop("_at", "rest")
 
 
+def _key(seed: str, doc_id, text):
+    """A document's random key, by its id and its text."""
+    return hash_key(seed, doc_id.cast("long"), F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
 def _slim(docs: DataFrame, seed: str) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), _size().alias("size"), hash_key(seed, F.col("doc_id")).alias("_key"))
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), _size(text).alias("size"), _key(seed, F.col("doc_id"), text).alias("_key"))
+
+
+def _part(here, size, cut, part, alike):
+    """What the last pass takes of a row: all before the cut, and of rows that are alike at the cut even shares."""
+    odd = F.pmod(F.xxhash64(F.monotonically_increasing_id()), alike) < part % alike  # what no even share is left of goes to some of them
+    return F.when(here < cut, size).when(here == cut, F.floor(part / alike) + odd.cast("int")).otherwise(0).cast("long")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = "mix") -> DataFrame:
     """doc_id, source, size, source_size, target and taken of documents (doc_id, text, source).
 
     size counts words; a null or empty text has 0 and is taken 0 times. A null source is a source. Documents without
-    doc_id share one key. An empty table stays empty. Other columns, whatever their names, are not looked at.
+    doc_id have keys by their texts. Rows alike in doc_id, source and text that a cut falls into give even shares, a word
+    more or less by a hash of their place. An empty table stays empty. Other columns, whatever their names, are not looked at.
     taken = whole epochs of the document plus what the last, partial epoch takes of it.
     """
     slim = written(_slim(docs, seed), "sized")
     joined = slim.join(written(cuts(slim, weights, share, most), "cuts"), F.col("source").eqNullSafe(F.col("_source")), "left")
-    here = F.struct("_key", "doc_id", "size")
-    part = F.when(here < F.col("_cut"), F.col("size")).when(here == F.col("_cut"), F.col("_part")).otherwise(0)
-    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
+    part = _part(F.struct("_key", "doc_id", "size"), F.col("size"), F.col("_cut"), F.col("_part"), F.col("alike"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = "mix") -> DataFrame:
     """The mix itself: the columns of docs, with a row for each time that a document is taken.
 
-    The one document at a source's cut is taken in part: that row's text is its first words. Documents without words
+    The document at a source's cut is taken in part: that row's text is its first words. Documents without words
     hold nothing to be taken and are left out. Texts never travel: the cuts, a row for each source, come to them.
+    Columns of any name stay as they are.
     """
-    columns = docs.columns
     ends = written(cuts(written(_slim(docs, seed), "sized"), weights, share, most), "cuts")
-    ends = ends.select(*[F.col(c).alias(f"_mix_{c}") for c in ends.columns])
-    joined = docs.withColumn("_mix_size", _size()).join(ends, F.col("source").cast("string").eqNullSafe(F.col("_mix__source")), "left")
-    here = F.struct(hash_key(seed, F.col("doc_id").cast("long")).alias("_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("_mix_size").alias("size"))
-    part = F.when(here < F.col("_mix__cut"), F.col("_mix_size")).when(here == F.col("_mix__cut"), F.col("_mix__part")).otherwise(0)
-    times = F.when(F.col("_mix_size") > 0, F.array_repeat(F.col("_mix_size"), F.col("_mix_epochs").cast("int"))).otherwise(F.array().cast("array<bigint>"))
-    takes = F.concat(times, F.when(part > 0, F.array(part.cast("long"))).otherwise(F.array().cast("array<bigint>")))
-    taken = joined.withColumn("_mix_words", F.explode(takes))
-    pieces = F.split(F.col("text"), rf"(?<={SPACE})(?=[^\x20\x09-\x0D])", -1)  # a word and the white space after it; white space may come first
-    lead = F.when(F.col("text").rlike(f"^{SPACE}"), 1).otherwise(0)
-    head = F.array_join(F.slice(pieces, F.lit(1), (F.col("_mix_words") + lead).cast("int")), "")
-    text = F.when(F.col("_mix_words") < F.col("_mix_size"), head).otherwise(F.col("text"))
-    return taken.withColumn("text", text).select(*columns)
-
-
-def _size():
-    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    text = F.col("_row.text").cast("string")
+    joined = packed(docs).withColumn("size", _size(text)).join(ends, F.col("_row.source").cast("string").eqNullSafe(F.col("_source")), "left")
+    here = F.struct(_key(seed, F.col("_row.doc_id"), text).alias("_key"), F.col("_row.doc_id").cast("long").alias("doc_id"), "size")
+    joined = joined.withColumn("part", _part(here, F.col("size"), F.col("_cut"), F.col("_part"), F.col("alike")))
+    none = F.array().cast("array<bigint>")
+    times = F.when(F.col("size") > 0, F.array_repeat("size", F.col("epochs").cast("int"))).otherwise(none)
+    taken = joined.withColumn("words", F.explode(F.concat(times, F.when(F.col("part") > 0, F.array("part")).otherwise(none))))
+    pieces = F.split(text, rf"(?<={SPACE})(?=[^\x20\x09-\x0D])", -1)  # a word and the white space after it; white space may come first
+    lead = F.when(text.rlike(f"^{SPACE}"), 1).otherwise(0)
+    head = F.array_join(F.slice(pieces, F.lit(1), (F.col("words") + lead).cast("int")), "")
+    return taken.select(*columns_of(docs, text=F.when(F.col("words") < F.col("size"), head).otherwise(F.col("_row.text"))))
+
+
+def _size(text):
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 OP3_SQL = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS k
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

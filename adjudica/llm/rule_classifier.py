@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adjudica.llm.common import columns_of
 from adjudica.llm.text_stats import CLASSES, characters, uncommon, word_chars, words
 
 #: Labelled documents that the model is fitted on, at most; trees, their depth and shrinkage; lasso weight and steps.
@@ -190,8 +191,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The columns of docs with score and predicted (1 from the threshold on). Null and empty texts get a score too."""
+    """The columns of docs with score and predicted (1 from the threshold on). Null and empty texts get a score too.
+
+    Columns of docs that are named score or predicted are replaced.
+    """
     columns = [c for c in docs.columns if c not in ("score", "predicted")]
     scored = with_statistics(docs.select(*[F.col(f"`{c}`") for c in columns]))
     scored = scored.select(*[F.col(f"_row.`{c}`") for c in columns], model.score().alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int"))
+
+
+def drop_low_quality(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of docs that score() predicts to be of label 1; columns of any name stay as they are."""
+    return with_statistics(docs).filter(model.score() >= threshold).select(*columns_of(docs))

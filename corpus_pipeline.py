@@ -11,7 +11,7 @@ from adjudica.llm.mixing import mixed_documents
 from adjudica.llm.near_dup import drop_near_duplicates
 from adjudica.llm.packing import pack_documents
 from adjudica.llm.queries import vocabulary
-from adjudica.llm.rule_classifier import fit, score
+from adjudica.llm.rule_classifier import drop_low_quality, fit
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents that the rule ensemble, learnt from the table labels, predicts to be of quality 0."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, model, threshold=0.3).filter("predicted = 1").select(*docs.columns)
+    return drop_low_quality(docs, model, threshold=0.3)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
