@@ -2,17 +2,16 @@
 
 Each document is a point: its coordinates are metadata columns brought to [0, 1]. A node is split at the weighted
 median along its widest dimension, until leaves reach the target bytes. Medians come from distributed histograms of
-byte weights that zoom in: all nodes of a level share each pass, which is one aggregate over a slim table. Where many
-documents share the median's coordinate, a hash of the document splits them, so one hot value can't unbalance a leaf.
+byte weights that zoom in: all nodes of a level share each pass, which is one aggregate over a slim table, and the tree
+is a table too, a row for each node of a level: nothing of it is collected. Where many documents share the median's
+coordinate, a hash of the row splits them, so neither one hot value nor many equal rows can unbalance a leaf.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adjudica.llm.common import bucket_digits, hash_key, prefix_sums, written
 
@@ -20,104 +19,114 @@ from adjudica.llm.common import bucket_digits, hash_key, prefix_sums, written
 CELLS = 256
 ZOOMS = ("coordinate", "coordinate", "hash", "hash")
 HASH_RANGE = float(1 << 32)
+#: Nodes of a level, a row of some numbers each, that are broadcast at most; more meet their points by a shuffle.
+BROADCAST_NODES = 10_000
 
 
-@dataclass
-class Node:
-    """A part of the points that becomes so many leaves; once split, its cut and two children."""
+def split_points(points: DataFrame, dims: list[str], leaves: int) -> DataFrame:
+    """Adds first: the leaf, from 0, that each point (columns dims in [0, 1], tie in [0, 2^32), size) falls into.
 
-    leaves: int
-    cut: tuple[int, float, float, float] | None = None  # dimension, low, high, hash
-    children: list["Node"] = field(default_factory=list)
+    A node is named by its first leaf and has so many leaves. An odd number of leaves is shared out as evenly as can be,
+    and the cut moves from the median to that share. Leaves have near equal sizes.
+    """
+    points = points.withColumn("first", F.lit(0)).withColumn("leaves", F.lit(leaves))
+    nodes = 1
+    for _ in range((leaves - 1).bit_length()):
+        nodes = min(2 * nodes, leaves)
+        state = written(_start(points.filter("leaves > 1"), dims), "nodes")
+        for i, zoom in enumerate(ZOOMS):
+            state = written(_zoom(_at_node(points.filter("leaves > 1"), state, nodes), state, dims, zoom, i + 1 == len(ZOOMS)), "nodes")
+        state = written(_ends(state), "cuts")
+        points = written(_descend(_at_node(points, state, nodes, "left"), dims).select(*points.columns), "points")
+    return points.drop("leaves")
 
-    def ends(self) -> list["Node"]:
-        return [x for c in self.children for x in c.ends()] if self.children else [self]
 
+def _extents(dims: list[str]) -> list[Column]:
+    return [f(d).alias(f"{f.__name__}_{i}") for i, d in enumerate(dims) for f in (F.min, F.max)]
 
-def _number(node: Node, dims: list[str], numbers: dict[int, int]) -> Column:
-    """The number of the leaf that a row falls into. Between low and high of a cut, the hash decides."""
-    if not node.children:
-        return F.lit(numbers[id(node)])
-    k, low, high, hashed = node.cut
-    below = (F.col(dims[k]) < low) | ((F.col(dims[k]) <= high) & (F.col("tie") < hashed))
-    return F.when(below, _number(node.children[0], dims, numbers)).otherwise(_number(node.children[1], dims, numbers))
 
+def _start(points: DataFrame, dims: list[str]) -> DataFrame:
+    """A row for each node that is to be split: its widest dimension, the ends there, and the weight below the cut."""
+    found = points.groupBy("first", "leaves").agg(F.sum("size").alias("w"), *_extents(dims))
+    sides = F.array(*[F.struct((F.col(f"max_{i}") - F.col(f"min_{i}")).alias("width"), F.lit(-i).alias("order"), F.col(f"min_{i}").alias("low"), F.col(f"max_{i}").alias("high")) for i in range(len(dims))])
+    widest = F.array_max(sides)
+    goal = F.col("w") * F.floor(F.col("leaves") / 2) / F.col("leaves")
+    return found.select("first", (-widest["order"]).alias("dim"), widest["low"].alias("low"), widest["high"].alias("high"), F.lit(0.0).alias("hash_low"), F.lit(HASH_RANGE).alias("hash_high"), goal.cast("double").alias("goal"))
 
-def build_tree(points: DataFrame, dims: list[str], leaves: int) -> Node:
-    """Splits points (columns dims in [0, 1], tie in [0, 2^32), size) into leaves of near equal size.
 
-    An odd number of leaves is shared out as evenly as can be, and the cut moves from the median to that share.
-    What reaches the driver is a row for each node, or for each cell of its histogram: never rows of points.
-    """
-    root = Node(leaves)
-    while open_nodes := [n for n in root.ends() if n.leaves > 1]:
-        numbers = {id(n): i for i, n in enumerate(root.ends())}
-        at_node = points.withColumn("_node", _number(root, dims, numbers))
-        found = {r["_node"]: r for r in at_node.groupBy("_node").agg(F.sum("size").alias("w"), *_extents(dims)).collect()}
-        state = {}
-        for n in open_nodes:
-            k, low, high, weight = 0, 0.0, 0.0, 0
-            if r := found.get(numbers[id(n)]):
-                k = -max((r[f"max_{i}"] - r[f"min_{i}"], -i) for i in range(len(dims)))[1]
-                low, high, weight = r[f"min_{k}"], r[f"max_{k}"], r["w"]
-            state[numbers[id(n)]] = {"dim": k, "low": low, "high": high, "hash_low": 0.0, "hash_high": HASH_RANGE, "goal": weight * (n.leaves // 2) / n.leaves}
-        for i, zoom in enumerate(ZOOMS):
-            _zoom(at_node, dims, state, zoom, i + 1 == len(ZOOMS))
-        for n in open_nodes:
-            s = state[numbers[id(n)]]
-            n.cut = (s["dim"], s["low"], s["high"], s["hash_low"])
-            n.children = [Node(n.leaves // 2), Node(n.leaves - n.leaves // 2)]
-    return root
+def _at_node(points: DataFrame, state: DataFrame, nodes: int, how: str = "inner") -> DataFrame:
+    """Points with what is known of their node, under names with a leading _."""
+    state = state.select(*[F.col(c).alias(f"_{c}") for c in state.columns])
+    return points.join(F.broadcast(state) if nodes <= BROADCAST_NODES else state, F.col("first") == F.col("_first"), how)
 
 
-def _extents(dims: list[str]) -> list[Column]:
-    return [f(d).alias(f"{f.__name__}_{i}") for i, d in enumerate(dims) for f in (F.min, F.max)]
+def _coordinate(dims: list[str]) -> Column:
+    return F.element_at(F.array(*[F.col(d) for d in dims]), F.col("_dim") + 1)
 
 
-def _zoom(at_node: DataFrame, dims: list[str], state: dict[int, dict], zoom: str, last: bool) -> None:
+def _zoom(at_node: DataFrame, state: DataFrame, dims: list[str], zoom: str, last: bool) -> DataFrame:
     """One pass: a histogram of the part of each node that still holds the cut, and in it the cell that does."""
-    cell = F.lit(None).cast("int")
-    for k, s in state.items():
-        x, at = F.col(dims[s["dim"]]), F.col("tie")
-        inside = (F.col("_node") == k) & (x >= s["low"]) & (x <= s["high"])
-        low, high = s["low"], s["high"]
-        if zoom == "hash":
-            low, high, x = s["hash_low"], s["hash_high"], at
-            inside = inside & (at >= low) & (at < high)
-        elif low >= high:
-            continue
-        cell = F.when(inside, F.least(F.lit(CELLS - 1), F.floor((x - low) / F.lit(high - low) * CELLS)).cast("int")).otherwise(cell)
-    cells: dict[int, list] = {}
-    for r in at_node.withColumn("_cell", cell).filter("_cell is not null").groupBy("_node", "_cell").agg(F.sum("size").alias("w"), *_extents(dims)).collect():
-        cells.setdefault(r["_node"], []).append(r)
-    for k, s in state.items():
-        for r in sorted(cells.get(k, []), key=lambda r: r["_cell"]):
-            if r["w"] > s["goal"]:
-                if zoom == "hash":
-                    width = (s["hash_high"] - s["hash_low"]) / CELLS
-                    nearer = last and 2 * s["goal"] > r["w"]  # the last cell is about one document: take the nearer side
-                    s["hash_low"] += (r["_cell"] + nearer) * width
-                    s["hash_high"] = s["hash_low"] + width
-                else:
-                    s["low"], s["high"] = r[f"min_{s['dim']}"], r[f"max_{s['dim']}"]
-                break
-            s["goal"] -= r["w"]
+    x = _coordinate(dims)
+    inside = (x >= F.col("_low")) & (x <= F.col("_high"))
+    if zoom == "hash":
+        low, high, at = F.col("_hash_low"), F.col("_hash_high"), F.col("tie")
+        inside = inside & (at >= low) & (at < high)
+    else:
+        low, high, at = F.col("_low"), F.col("_high"), x
+        inside = inside & (low < high)
+    cell = F.least(F.lit(CELLS - 1), F.floor((at - low) / (high - low) * CELLS)).cast("int")
+    cells = at_node.filter(inside).groupBy(F.col("first").alias("_node"), cell.alias("_cell")).agg(F.sum("size").alias("_w"), F.min(x).alias("_x0"), F.max(x).alias("_x1"))
+    before = F.coalesce(F.sum("_w").over(Window.partitionBy("_node").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = cells.withColumn("_before", before).join(state.select(F.col("first").alias("_of"), F.col("goal").alias("_goal")), F.col("_node") == F.col("_of"))
+    chosen = chosen.filter("_before <= _goal and _goal < _before + _w").select("_node", "_cell", "_before", "_w", "_x0", "_x1")
+    both = state.join(chosen, F.col("first") == F.col("_node"), "left")
+    goal = F.col("goal") - F.coalesce("_before", F.lit(0))
+    if zoom != "hash":
+        return both.select("first", "dim", F.coalesce("_x0", "low").alias("low"), F.coalesce("_x1", "high").alias("high"), "hash_low", "hash_high", goal.alias("goal"))
+    width = (F.col("hash_high") - F.col("hash_low")) / CELLS
+    nearer = F.when(2 * goal > F.col("_w"), 1).otherwise(0) if last else F.lit(0)  # the last cell is about one row: the nearer side
+    low = F.when(F.col("_cell").isNull(), F.col("hash_low")).otherwise(F.col("hash_low") + (F.col("_cell") + nearer) * width)
+    return both.select("first", "dim", "low", "high", low.alias("hash_low"), F.when(F.col("_cell").isNull(), F.col("hash_high")).otherwise(low + width).alias("hash_high"), goal.alias("goal"))
+
+
+def _ends(state: DataFrame) -> DataFrame:
+    return state.select("first", "dim", "low", "high", F.col("hash_low").alias("hash"))
+
+
+def _descend(at_node: DataFrame, dims: list[str]) -> DataFrame:
+    """Each point in the child of its node that it falls into. Between low and high of a cut, the hash decides."""
+    x, half = _coordinate(dims), F.floor(F.col("leaves") / 2).cast("int")
+    below = (x < F.col("_low")) | ((x <= F.col("_high")) & (F.col("tie") < F.col("_hash")))
+    leaf = F.col("_first").isNull()
+    at_node = at_node.withColumn("_below", below).withColumn("_half", half)
+    first = F.when(leaf | F.col("_below"), F.col("first")).otherwise(F.col("first") + F.col("_half"))
+    count = F.when(leaf, F.col("leaves")).when(F.col("_below"), F.col("_half")).otherwise(F.col("leaves") - F.col("_half"))
+    return at_node.withColumn("_count", count).withColumn("first", first).drop("leaves").withColumnRenamed("_count", "leaves")
+
+
+def _common_prefix(low: str | None, high: str | None) -> int:
+    """Bytes that the least and the largest text of a column, and so all between, have in common at their beginning."""
+    a, b = (low or "").encode(), (high or "").encode()
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
 def coordinates(docs: DataFrame, dims: list[str]) -> list[Column]:
-    """Numbers that keep the order of metadata columns: strings by their first six bytes, counts by logarithm.
+    """Numbers that keep the order of metadata columns: strings by the six bytes after what all of them begin with, counts by logarithm.
 
     Null is the least value.
     """
+    texts = [d for d in dims if isinstance(docs.schema[d].dataType, T.StringType)]
+    ends = docs.agg(*[f(F.col(f"`{d}`")).alias(f"{f.__name__}_{i}") for i, d in enumerate(texts) for f in (F.min, F.max)]).first() if texts else None
     out = []
     for d in dims:
-        kind = docs.schema[d].dataType
-        if isinstance(kind, T.StringType):
-            first = F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(d), "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+        kind, c = docs.schema[d].dataType, F.col(f"`{d}`")
+        if d in texts:
+            skip = _common_prefix(ends[f"min_{texts.index(d)}"], ends[f"max_{texts.index(d)}"])
+            first = F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), skip + 1, 6)), 12, "0"), 16, 10).cast("double")
         elif isinstance(kind, T.NumericType):
-            first = F.log1p(F.greatest(F.col(d).cast("double"), F.lit(0.0))) if d.startswith("n_") else F.col(d).cast("double")
+            first = F.log1p(F.greatest(c.cast("double"), F.lit(0.0))) if d.startswith("n_") else c.cast("double")
         else:
-            first = F.unix_micros(F.col(d).cast("timestamp")).cast("double")
+            first = F.unix_micros(c.cast("timestamp")).cast("double")
         out.append(F.when(F.isnan(first), None).otherwise(first))
     return out
 
@@ -126,28 +135,25 @@ def kd_shards(docs: DataFrame, dims: list[str] | None = None, target_bytes: int
     """doc_id, size, text_crc32, shard and slot of documents (doc_id, text and the metadata columns dims).
 
     size is the bytes of the text plus 1, a null text has none and the crc32 of an empty one. Give the leaves, or the
-    bytes they should reach. dims default to those of lang, source, n_chars and doc_id that docs has. Null metadata is
-    the least value of its column. Equal rows get places of their own. An empty table stays empty. slot numbers the
-    rows of a shard from 0 in the order of a hash.
+    bytes they should reach. dims default to those of lang, source, n_chars and doc_id that docs has; columns of other
+    names are not looked at. Null metadata is the least value of its column. Rows alike in all of this, repeated or
+    nameless ones, have hashes of their own by their place in the table, and are shared out like others. An empty table
+    stays empty. slot numbers the rows of a shard from 0 in the order of a hash.
     """
     dims = [d for d in dims or ["lang", "source", "n_chars", "doc_id"] if d in docs.columns]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    doc_id = F.col("doc_id").cast("long")
+    doc_id, crc = F.col("doc_id").cast("long"), F.crc32(text.cast("binary"))
     raw = docs.select(
-        doc_id.alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        hash_key(seed, doc_id).alias("_key"), *[c.alias(f"_d{i}") for i, c in enumerate(coordinates(docs, dims))],
+        doc_id.alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), crc.alias("text_crc32"),
+        hash_key(seed, doc_id, crc, F.monotonically_increasing_id()).alias("_key"), *[c.alias(f"_d{i}") for i, c in enumerate(coordinates(docs, dims))],
     )
     raw = written(raw.withColumn("tie", F.conv(F.substring("_key", 9, 8), 16, 10).cast("double")), "points")
     names = [f"_d{i}" for i in range(len(dims))] or ["tie"]
     span = raw.agg(F.sum("size").alias("w"), F.count("*").alias("n"), *_extents(names)).first()
-    total = span["w"] or 0
-    leaves = leaves or max(1, -(-total // (target_bytes or 1 << 30)))
-    scaled = raw.select(*[c for c in raw.columns if c not in names or c == "tie"], *[_scaled(d, span[f"min_{i}"], span[f"max_{i}"]).alias(f"_s{i}") for i, d in enumerate(names)])
-    dims = [f"_s{i}" for i in range(len(names))]
-    tree = build_tree(scaled, dims, leaves)
-    ends = tree.ends()
-    placed = scaled.withColumn("shard", _number(tree, dims, {id(n): i for i, n in enumerate(ends)}).cast("int"))
-    rows = placed.select("doc_id", "size", "text_crc32", "shard", "_key", F.lit(1).cast("long").alias("_one"))
+    leaves = leaves or max(1, -(-(span["w"] or 0) // (target_bytes or 1 << 30)))
+    scaled = raw.select("doc_id", "size", "text_crc32", "_key", "tie", *[_scaled(d, span[f"min_{i}"], span[f"max_{i}"]).alias(f"_s{i}") for i, d in enumerate(names)])
+    placed = split_points(scaled, [f"_s{i}" for i in range(len(names))], leaves)
+    rows = placed.select("doc_id", "size", "text_crc32", F.col("first").cast("int").alias("shard"), "_key", F.lit(1).cast("long").alias("_one"))
     return prefix_sums(rows, ["shard"], "_key", ["doc_id", "size", "text_crc32"], {"slot": "_one"}, bucket_digits(span["n"])).drop("_key", "_one")
 
 

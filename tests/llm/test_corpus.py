@@ -182,7 +182,7 @@ def test_mixing(spark, odd, nothing, docs):
     assert mixing.mixed_documents(odd.withColumn("size", F.lit(1)).withColumn("_key", F.lit(1))).columns == [*odd.columns, "size", "_key"]
 
 
-def test_kd_shards(odd, nothing, docs):
+def test_kd_shards(spark, odd, nothing, docs):
     for df in (odd, docs):
         got = kd_shards.kd_shards(df, leaves=8).toPandas()
         rows = sorted((r["doc_id"] is None, r["doc_id"] or 0, len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode())) for r in df.collect())
@@ -195,8 +195,41 @@ def test_kd_shards(odd, nothing, docs):
     assert kd_shards.kd_shards(nothing, leaves=8).count() == 0
     assert kd_shards.kd_shards(docs, target_bytes=200_000).select("shard").distinct().count() == 13
     same = docs.withColumn("lang", F.lit("en")).withColumn("source", F.lit("s")).withColumn("n_chars", F.lit(5)).withColumn("doc_id", F.col("doc_id") % 3)
-    sizes = kd_shards.kd_shards(same, leaves=4).groupBy("shard").agg(F.sum("size").alias("n")).toPandas().n
-    assert len(sizes) >= 2
+    nameless = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same text").alias("text"), F.lit("en").alias("lang"), F.lit(1).alias("a.b"), F.lit(0).alias("first"), F.lit(0).alias("size"))
+    for df, leaves in ((same, 4), (nameless, 8)):
+        sizes = kd_shards.kd_shards(df, leaves=leaves).groupBy("shard").agg(F.sum("size").alias("n")).toPandas().n
+        assert len(sizes) == leaves and sizes.max() < 1.15 * sizes.min()
+
+
+def _plain_tree(points, leaves, first=0):
+    """Point -> leaf by sorting: (coordinate, tie) along the widest dimension, cut where the weight reaches the share."""
+    if leaves == 1 or not points:
+        return {p[0]: first for p in points}
+    widths = [max(p[2][k] for p in points) - min(p[2][k] for p in points) for k in range(len(points[0][2]))]
+    k = max(range(len(widths)), key=lambda i: (widths[i], -i))
+    ordered, half = sorted(points, key=lambda p: (p[2][k], p[3])), leaves // 2
+    goal, total, cut = sum(p[1] for p in points) * half / leaves, 0, 0
+    while cut < len(ordered) and total + ordered[cut][1] <= goal:
+        total, cut = total + ordered[cut][1], cut + 1
+    cut += cut < len(ordered) and 2 * (goal - total) > ordered[cut][1]
+    return _plain_tree(ordered[:cut], half, first) | _plain_tree(ordered[cut:], leaves - half, first + half)
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 5, 8])
+def test_kd_tree_equals_a_plain_one(spark, leaves, monkeypatch):
+    monkeypatch.setattr(kd_shards, "BROADCAST_NODES", 3)  # the last level meets its points by a shuffle
+    random = np.random.default_rng(leaves)
+    points = [(i, int(random.integers(1, 50)), (float(random.integers(0, 6)) / 5, float(random.integers(0, 40)) / 39), float(random.integers(0, 1 << 32))) for i in range(400)]
+    df = spark.createDataFrame([(i, w, x[0], x[1], t) for i, w, x, t in points], "id long, size long, x double, y double, tie double")
+    got = {r["id"]: r["first"] for r in kd_shards.split_points(df, ["x", "y"], leaves).select("id", "first").collect()}
+    assert got == _plain_tree(points, leaves)
+
+
+def test_coordinates_skip_what_all_begin_with(spark):
+    names = ["common-crawl-2019", "common-crawl-2023", "common-crawl-20", None]
+    df = spark.createDataFrame([(n,) for n in names], "source string")
+    got = [r[0] for r in df.select(kd_shards.coordinates(df, ["source"])[0]).collect()]
+    assert got[2] < got[0] < got[1] and got[3] is None
 
 
 def test_url_filter(spark):
