@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adjudica.llm.common import small_batches, written
+from adjudica.llm.common import columns_of, packed, small_batches, written
+from adjudica.operators.scale import skew_join
 
 MIN_WORDS = 50
 DIGEST = 16
@@ -237,12 +238,16 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null and text is not null")
     lines = written(_lines(keyed.withColumn("text_key", F.xxhash64("text")), min_words), "lines")
     marks = lines.select("doc_id", F.explode("marks").alias("mark"))
-    first = marks.groupBy("mark").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("last")).filter("earlier < last").select("mark", "earlier")
-    pairs = marks.join(first.hint("merge"), "mark").filter("doc_id > earlier").select("doc_id", "earlier")
+    held = marks.groupBy("mark").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    first = held.filter("earlier < last").select("mark", "earlier", "n")
+    total = lines.agg(F.sum(F.size("marks"))).first()[0] or 0
+    pairs = skew_join(marks, first, "mark", "n", total, "doc_id").filter("doc_id > earlier").select("doc_id", "earlier")
     pairs = written(pairs.unionByName(_short_pairs(lines, min_words)).distinct(), "pairs")
-    later = pairs.join(lines.select("doc_id", "text_key", "hashes", "words"), "doc_id")
-    before = lines.select(F.col("doc_id").alias("_earlier"), F.col("hashes").alias("before"))
-    both = later.join(before, F.col("earlier") == F.col("_earlier")).select("doc_id", "text_key", "hashes", "words", "earlier", "before")
+    # a document that a third of all others share a passage with is one partner of many: its lines are repeated for parts of them
+    partners = pairs.groupBy(F.col("earlier").alias("_earlier")).agg(F.count("*").alias("n"))
+    before = lines.select(F.col("doc_id").alias("earlier"), F.col("hashes").alias("before")).join(partners.hint("merge"), F.col("earlier") == F.col("_earlier")).drop("_earlier")
+    later = pairs.join(lines.select("doc_id", "text_key", "hashes", "words").hint("merge"), "doc_id")
+    both = skew_join(later, before, "earlier", "n", pairs.count(), "doc_id").select("doc_id", "text_key", "hashes", "words", "earlier", "before")
 
     def aligned(stream):
         cut = lambda x: [x[k : k + DIGEST] for k in range(0, len(x), DIGEST)]
@@ -257,37 +262,44 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return both.mapInArrow(aligned, "doc_id long, text_key long, begin int, end int, earlier long")
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows of docs with text less the deleted blocks, and n_lines, n_removed, removed, had_words.
-
-    removed lists (begin, end, earlier), lines from 0; n_lines counts the lines of the text as it was. Lines are equal
-    that agree but for white space at their ends. The later document is the one with the larger doc_id. A row without
-    doc_id or text stays as it is, and no other row loses lines to it. Rows with one doc_id never lose lines to each
-    other; repeated rows lose the same. A document can lose all lines: its text is empty then. An empty table stays empty.
-    """
-    made = ("n_lines", "n_removed", "removed", "had_words")
-    columns = [c for c in docs.columns if c not in made]
+def _deduped(docs: DataFrame, min_words: int) -> DataFrame:
+    """_row, a struct of the columns of docs, and new_text, n_lines, n_removed, removed, had_words."""
     gone = written(removals(docs, min_words), "removals")
     gone = gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("begin", "end", "earlier"))).alias("_gone"))
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "_gone")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
     text = F.col("_row.text").cast("string")
-    on = (F.col("_row.doc_id").cast("long") == F.col("_doc")) & (F.xxhash64(text) == F.col("_key"))
+    on = (F.col("_row.doc_id").cast("long") == F.col("doc_id")) & (F.xxhash64(text) == F.col("text_key"))
     # texts meet the deletions by a shuffle at every size: what is deleted grows with the corpus and is never broadcast
-    joined = rows.join(gone.hint("merge"), on, "left").withColumn("_lines", F.split(text, "\n"))
+    joined = packed(docs).join(gone.hint("merge"), on, "left").withColumn("_lines", F.split(text, "\n"))
     inside = lambda i: F.exists("_gone", lambda b: (i >= b["begin"]) & (i < b["end"]))
     joined = joined.withColumn("_left", F.when(F.col("_gone").isNotNull(), F.filter("_lines", lambda x, i: ~inside(i))))
-    new = F.when(F.col("_left").isNotNull(), F.array_join("_left", "\n")).otherwise(text)
     return joined.select(
-        *[(new if c == "text" else F.col(f"_row.`{c}`")).alias(c) for c in columns],
+        "_row", F.when(F.col("_left").isNotNull(), F.array_join("_left", "\n")).otherwise(text).alias("new_text"),
         F.coalesce(F.size("_lines"), F.lit(0)).alias("n_lines"),
         F.when(F.col("_left").isNotNull(), F.size("_lines") - F.size("_left")).otherwise(0).alias("n_removed"),
         F.coalesce("_gone", F.array().cast("array<struct<begin:int,end:int,earlier:bigint>>")).alias("removed"),
-        F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("had_words"),
+        _has_words(text).alias("had_words"),
     )
 
 
+def _has_words(text):
+    return F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of docs with text less the deleted blocks, and n_lines, n_removed, removed, had_words.
+
+    removed lists (begin, end, earlier), lines from 0; n_lines counts the lines of the text as it was. Lines are equal
+    that agree but for white space at their ends. The later document is the one with the larger doc_id. A row without
+    doc_id or text stays as it is, and no other row loses lines to it. Rows with one doc_id never lose lines to each
+    other; repeated rows lose the same. A document can lose all lines: its text is empty then. An empty table stays
+    empty. Columns of docs that are named like one of the four are replaced.
+    """
+    made = ["n_lines", "n_removed", "removed", "had_words"]
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made])
+    return _deduped(docs, min_words).select(*columns_of(kept, text=F.col("new_text")), *made)
+
+
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The columns of docs after line_dedup(), without the rows whose every word was deleted."""
-    left = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return line_dedup(docs, min_words).filter(left | ~F.col("had_words")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The columns of docs, of any name, after line_dedup(), without the rows whose every word was deleted."""
+    left = _has_words(F.col("new_text")) | ~F.col("had_words")
+    return _deduped(docs, min_words).filter(left).select(*columns_of(docs, text=F.col("new_text")))

@@ -334,7 +334,10 @@ def test_near_duplicates(spark, odd, nothing, width, percent):
         else:
             assert r.component_id != r.component_id and r.kept
     assert near_dup.near_duplicates(nothing, width, percent).count() == 0
-    assert near_dup.drop_near_duplicates(df, width, percent).count() == got.kept.sum()
+    left = near_dup.drop_near_duplicates(df.withColumn("a.b", F.lit(2)).withColumn("text_key", F.lit("clash")), width, percent)
+    assert left.count() == got.kept.sum() and left.columns == ["doc_id", "text", "label", "a.b", "text_key"] and left.filter("text_key != 'clash'").count() == 0
+    two = spark.createDataFrame([(1, base[0]), (2, base[0]), (2, base[1]), (3, base[1]), (None, base[0])], "doc_id long, text string")
+    assert sorted((r[0] or 0, r[1]) for r in near_dup.drop_near_duplicates(two, width, percent).collect()) == sorted([(0, base[0]), (1, base[0]), (2, base[1])])
 
 
 def test_chunks_and_sketches(spark, monkeypatch):
@@ -342,10 +345,12 @@ def test_chunks_and_sketches(spark, monkeypatch):
     words = [f"v{x}" for x in random.integers(0, 500, 60)]
     rows = [(k, " ".join(words[:50] + [f"n{k}"] * (k % 3) + words[50:])) for k in range(60)]
     rows = [(k, t.replace("v7", f"u{k % 5}")) for k, t in rows]
-    monkeypatch.setattr(near_dup, "CHUNK_SHINGLES", 600)  # a blob of several chunks
-    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).toPandas()
     want = _classes(rows, 3, 85)
-    assert all(r.component_id == want[r.doc_id] for r in got.itertuples())
+    for size in (600, 150):  # blobs of several chunks
+        monkeypatch.setattr(near_dup, "CHUNK_SHINGLES", size)
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).toPandas()
+        assert all(r.component_id == want[r.doc_id] for r in got.itertuples())
+    assert 0.65 < near_dup.sketch_floor(85, 140) < 0.75
     a, b = shingles.coefficients(400)
     x = np.unique(random.integers(0, 2**63, 1000, dtype=np.uint64))
     low = np.stack([shingles.minhash(x, a, b), shingles.minhash(np.concatenate([x[80:], random.integers(0, 2**63, 80, dtype=np.uint64)]), a, b)])
