@@ -66,26 +66,26 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """A tree over vectors with ids."""
+    """A tree over vectors with ids and numbers of their rows."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
-        by_id = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[by_id], vectors[by_id].astype(np.float64)
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
+        by_id = np.lexsort((rows, ids))
+        self.ids, self.rows, self.vectors = ids[by_id], rows[by_id], vectors[by_id].astype(np.float64)
         self.unit = self.vectors / np.sqrt((self.vectors**2).sum(axis=1))[:, None]
         self.order, self.tree = build(self.unit, leaf)
 
-    def search(self, ids: np.ndarray, vectors: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For queries of these ids: (query row, candidate id, cosine) of up to k nearest each, their own id left out."""
+    def search(self, rows: np.ndarray, vectors: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For queries of these rows: (place of the query, candidate id, cosine) of up to k nearest each, their own row left out."""
         vectors = vectors.astype(np.float64)
         unit = vectors / np.sqrt((vectors**2).sum(axis=1))[:, None]
-        score, row = np.full((len(ids), k), -np.inf), np.full((len(ids), k), -1, dtype=np.int64)
+        score, row = np.full((len(rows), k), -np.inf), np.full((len(rows), k), -1, dtype=np.int64)
         self.seen = 0
 
         def visit(node, active: np.ndarray) -> None:
             if not len(active):
                 return
             if len(node) == 2:
-                self._leaf(node, active, ids, vectors, unit, score, row)
+                self._leaf(node, active, rows, vectors, unit, score, row)
                 return
             _, _, vantage, (a, b, c, d), inner, outer = node
             far = _distances(unit[active], self.unit[vantage])
@@ -97,18 +97,18 @@ class Shard:
                 worst = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * score[own, k - 1]))
                 visit(other, own[bound[mine] * factor <= worst + ROUNDING])
 
-        visit(self.tree, np.arange(len(ids)))
+        visit(self.tree, np.arange(len(rows)))
         q, c = np.nonzero(row >= 0)
         return q, self.ids[row[q, c]], score[q, c]
 
-    def _leaf(self, node, active, ids, vectors, unit, score, row) -> None:
+    def _leaf(self, node, active, rows, vectors, unit, score, row) -> None:
         """Takes a leaf's members into the best of the active queries. Rough cosines choose whom to measure exactly."""
         members = self.order[node[0] : node[1]]
         if not len(members):
             return
         self.seen += len(active) * len(members)
         rough = unit[active] @ self.unit[members].T
-        rough[self.ids[members][None, :] == ids[active][:, None]] = -np.inf
+        rough[self.rows[members][None, :] == rows[active][:, None]] = -np.inf
         k = score.shape[1]
         known = np.concatenate([score[active], rough], axis=1)
         least = np.partition(known, known.shape[1] - k, axis=1)[:, known.shape[1] - k]
@@ -138,52 +138,50 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, factor: float = 1.0, key: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest by cosine of the rows whose key is divisible by `every`.
 
-    Candidates are all rows but those of the query's own id. Null, zero and non-finite vectors take no part, nor do rows
-    without id; vectors are compared with those of their own length only. Of repeated ids, one vector stands (the
-    least). Ties go to the smaller id. Fewer candidates than k give fewer rows; an empty table none.
+    Candidates are all rows but the query's own. Null, zero and non-finite vectors take no part, nor do rows without
+    id; vectors are compared with those of their own length only. Rows that repeat an id are rows like others: a
+    candidate each, and a query each, with ranks of its own. Ties go to the smaller id. Fewer candidates than k give
+    fewer rows; an empty table none. Other columns, whatever their names, are not looked at.
     """
     spark = vectors.sparkSession
     ship(spark)
-    rows = usable(vectors, key, vector).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    rows = written(rows, "vectors")
+    rows = written(usable(vectors, key, vector).select("id", F.monotonically_increasing_id().alias("row"), "v", F.size("v").alias("dim")), "vectors")
     sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).filter("q > 0")
     sizes = sizes.select(F.col("dim").alias("_dim"), F.ceil(F.col("n") / shard_rows).cast("int").alias("shards"), F.ceil(F.col("q") / block_rows).cast("int").alias("blocks"))
     joined = rows.join(sizes, F.col("dim") == F.col("_dim"))
-    at = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    shards = joined.select("id", "v", "dim", at("shards").alias("shard"), "blocks")
-    queries = joined.filter(F.col("id") % every == 0).select("id", "v", "dim", at("blocks").alias("block"), "shards")
-
-    def packed(table: pa.Table) -> tuple[bytes, bytes]:
-        v = np.asarray(table["v"].combine_chunks().flatten(), dtype="<f8")
-        return np.asarray(table["id"], dtype="<i8").tobytes(), v.tobytes()
+    at = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
+    shards = joined.select("id", "row", "v", "dim", at("shards").alias("shard"), "blocks")
+    queries = joined.filter(F.col("id") % every == 0).select("id", "row", "v", "dim", at("blocks").alias("block"), "shards")
 
     def as_row(name, other):
         def make(table):
-            ids, v = packed(table)
+            v = np.asarray(table["v"].combine_chunks().flatten(), dtype="<f8").tobytes()
             first = table.slice(0, 1)
-            return pa.table({"dim": first["dim"], name: first[name], other: first[other], "ids": pa.array([ids], pa.binary()), "vectors": pa.array([v], pa.binary())})
+            numbers = {c: pa.array([np.asarray(table[c], dtype="<i8").tobytes()], pa.binary()) for c in ("id", "row")}
+            return pa.table({"dim": first["dim"], name: first[name], other: first[other], "ids": numbers["id"], "rows": numbers["row"], "vectors": pa.array([v], pa.binary())})
 
         return make
 
-    ddl = "dim int, {} int, {} int, ids binary, vectors binary"
+    ddl = "dim int, {} int, {} int, ids binary, rows binary, vectors binary"
     index = shards.groupBy("dim", "shard").applyInArrow(as_row("shard", "blocks"), ddl.format("shard", "blocks"))
     asked = queries.groupBy("dim", "block").applyInArrow(as_row("block", "shards"), ddl.format("block", "shards"))
     # a row for each shard and block that meet; few and of bounded size
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(F.col("dim").alias("_dim"), F.col("shard").alias("_shard"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    pairs = index.join(asked, (F.col("dim") == F.col("_dim")) & (F.col("shard") == F.col("_shard"))).select("dim", "shard", "ids", "vectors", "q_ids", "q_vectors")
+    parts = ["ids", "rows", "vectors"]
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(F.col("dim").alias("_dim"), F.col("shard").alias("_shard"), *[F.col(c).alias(f"q_{c}") for c in parts])
+    pairs = index.join(asked, (F.col("dim") == F.col("_dim")) & (F.col("shard") == F.col("_shard"))).select("dim", "shard", *parts, *[f"q_{c}" for c in parts])
 
     def searched(stream):
         last, shard = None, None
         for batch in stream:
             for r in batch.to_pylist():
                 this = (r["dim"], r["shard"])
-                load = lambda ids, v: (np.frombuffer(r[ids], dtype="<i8"), np.frombuffer(r[v], dtype="<f8").reshape(-1, r["dim"]))  # noqa: B023, E731
+                longs = lambda c: np.frombuffer(r[c], dtype="<i8")  # noqa: B023, E731
+                doubles = lambda c: np.frombuffer(r[c], dtype="<f8").reshape(-1, r["dim"])  # noqa: B023, E731
                 if this != last:
-                    shard, last = Shard(*load("ids", "vectors")), this
-                ids, v = load("q_ids", "q_vectors")
-                q, c, score = shard.search(ids, v, k, factor)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(c), pa.array(score)], names=["query_id", "vec_id", "score"])
+                    shard, last = Shard(longs("ids"), longs("rows"), doubles("vectors")), this
+                q, c, score = shard.search(longs("q_rows"), doubles("q_vectors"), k, factor)
+                yield pa.RecordBatch.from_arrays([pa.array(longs("q_ids")[q]), pa.array(longs("q_rows")[q]), pa.array(c), pa.array(score)], names=["query_id", "query_row", "vec_id", "score"])
 
-    found = pairs.repartition("dim", "shard").mapInArrow(searched, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.repartition("dim", "shard").mapInArrow(searched, "query_id long, query_row long, vec_id long, score double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -489,27 +489,23 @@ def test_blank_lines_part_no_passage(spark):
 
 
 def _nearest(rows, every, k):
-    usable = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            usable[i] = min(usable.get(i, v), v)
-    ids = sorted(usable)
+    usable = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     out = []
-    for q in (i for i in ids if i % every == 0):
-        others = [i for i in ids if i != q and len(usable[i]) == len(usable[q])]
-        if others:
-            s = vp_search.cosine(np.array([usable[q]] * len(others), dtype=float), np.array([usable[i] for i in others], dtype=float))
-            out += [(q, r + 1, i, x) for r, (x, i) in enumerate(sorted(zip((-s).tolist(), others, strict=True))[:k])]
-    return [(q, r, i, -x) for q, r, i, x in out]
+    for place, (q, own) in enumerate(usable):
+        others = [(i, v) for at, (i, v) in enumerate(usable) if at != place and len(v) == len(own)]
+        if q % every == 0 and others:
+            s = vp_search.cosine(np.array([own] * len(others), dtype=float), np.array([v for _, v in others], dtype=float))
+            out += [(q, r + 1, i, -x) for r, (x, i) in enumerate(sorted(zip((-s).tolist(), [i for i, _ in others], strict=True))[:k])]
+    return sorted(out)
 
 
 def test_vp_search(spark):
     random = np.random.default_rng(3)
     rows = [(i, random.normal(size=8).tolist()) for i in range(400)]
-    rows += [(400 + i, rows[7][1]) for i in range(60)] + [(500, None), (501, [0.0] * 8), (502, [float("nan")] * 8), (503, [1.0, None] * 4), (504, [float("inf")] * 8), (505, [1.0, 2.0]), (510, [2.0, 1.0]), (None, [1.0] * 8), (3, [9.0] * 8), (506, [])]
+    rows += [(400 + i, rows[7][1]) for i in range(60)] + [(500, None), (501, [0.0] * 8), (502, [float("nan")] * 8), (503, [1.0, None] * 4), (504, [float("inf")] * 8), (505, [1.0, 2.0]), (510, [2.0, 1.0]), (None, [1.0] * 8), (3, [9.0] * 8), (506, []), (20, rows[20][1]), (20, rows[7][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("id", F.lit("clash"))
     want = _nearest(rows, 10, 5)
-    got = lambda **how: [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vp_search.nearest(df, every=10, k=5, **how).orderBy("query_id", "rank").collect()]
+    got = lambda **how: [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vp_search.nearest(df, every=10, k=5, **how).orderBy("query_id", "rank", "vec_id", "score").collect()]
     assert got() == want and got(shard_rows=100, block_rows=7) == want
     pair = lambda rs: {(r[0], r[2]) for r in rs}
     assert len(pair(got(factor=1.2)) & pair(want)) >= 0.9 * len(want)
