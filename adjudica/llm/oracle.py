@@ -65,7 +65,7 @@ def op6_sql():
     """The model's weights are part of the text, as the driver fits them."""
     from adjudica.llm import url_filter as U
 
-    bias, weights = U.train(U.LABELLED)
+    bias, weights = U.own_model()
     rules = ", ".join(f"('{v}', '{r}', '{r[:r.index('/')]}', '{r[r.index('/'):]}')" for v, r in U.RULES)
     code = "0"
     for k in range(U.GRAM):
