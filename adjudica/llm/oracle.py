@@ -99,16 +99,21 @@ rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat FROM (SELECT doc_id, unnest
 word AS (SELECT doc_id, lang, lower(unnest(w)) AS word FROM k),
 wc AS (SELECT lang, word, count(*) AS m FROM word GROUP BY 1, 2),
 total AS (SELECT lang, sum(m) AS total FROM wc GROUP BY 1),
-known AS (SELECT lang, total FROM total WHERE lang IS NOT NULL ORDER BY total DESC, lang LIMIT 64),
+known AS (SELECT lang, total FROM total WHERE lang IS NOT NULL),
+vocab AS (SELECT word, sum(m) AS m FROM wc GROUP BY word), everyone AS (SELECT sum(m)::DOUBLE AS t FROM vocab),
 pool AS (SELECT wc.lang AS ref, word, m FROM wc JOIN known USING (lang) UNION ALL SELECT NULL, word, sum(m) FROM wc GROUP BY word),
 sizes AS (SELECT lang AS ref, total FROM known UNION ALL SELECT NULL, sum(total) FROM total),
 top AS (SELECT ref, word, m FROM (SELECT *, row_number() OVER (PARTITION BY ref ORDER BY m DESC, word) AS r FROM pool) WHERE r <= 32),
-share AS (SELECT t.ref, word, m::DOUBLE / s.total::DOUBLE AS q FROM top t JOIN sizes s ON t.ref IS NOT DISTINCT FROM s.ref),
-cls AS (SELECT ref, list(v / s ORDER BY i) AS q FROM (
-  SELECT ref, i, v, sum(v) OVER (PARTITION BY ref) AS s FROM (
-    SELECT lang AS ref, i, sum(classes[i])::DOUBLE AS v FROM k, range(1, 8) r(i) WHERE lang IS NOT NULL GROUP BY 1, 2 UNION ALL
-    SELECT NULL, i, sum(classes[i])::DOUBLE FROM k, range(1, 8) r(i) GROUP BY 2)) GROUP BY ref),
-ref AS (SELECT doc_id, n, CASE WHEN lang IN (SELECT lang FROM known) THEN lang END AS ref FROM k),
+share AS (
+  SELECT ref, word, (m + w * (vm::DOUBLE / e)) / (total::DOUBLE + w) AS q FROM (
+    SELECT t.ref, t.word, t.m, v.m AS vm, s.total, everyone.t AS e, CASE WHEN t.ref IS NULL THEN 0.0 ELSE 50.0 END::DOUBLE AS w
+    FROM top t JOIN sizes s ON t.ref IS NOT DISTINCT FROM s.ref JOIN vocab v ON v.word = t.word, everyone)),
+sums AS (SELECT lang, i, sum(classes[i])::DOUBLE AS v FROM k, range(1, 8) r(i) GROUP BY 1, 2),
+pooled AS (SELECT i, CASE WHEN sum(v) OVER () > 0 THEN v / sum(v) OVER () ELSE 0 END AS q FROM (SELECT i, sum(v) AS v FROM sums GROUP BY 1)),
+cls AS (
+  SELECT lang AS ref, list((v + 500.0::DOUBLE * pooled.q) / (s + 500.0::DOUBLE) ORDER BY i) AS q FROM (SELECT *, sum(v) OVER (PARTITION BY lang) AS s FROM sums WHERE lang IS NOT NULL) JOIN pooled USING (i) GROUP BY 1
+  UNION ALL SELECT NULL, list(q ORDER BY i) FROM pooled),
+ref AS (SELECT doc_id, n, CASE WHEN lang IN (SELECT ref FROM share) THEN lang END AS ref FROM k),
 hits AS (SELECT doc_id, word, count(*) AS h FROM word GROUP BY 1, 2),
 cell AS (
   SELECT r.doc_id, coalesce(h.h, 0)::DOUBLE / r.n AS p, s.q FROM ref r JOIN share s ON r.ref IS NOT DISTINCT FROM s.ref LEFT JOIN hits h ON h.doc_id = r.doc_id AND h.word = s.word WHERE r.n >= 40),

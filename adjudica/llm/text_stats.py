@@ -86,13 +86,14 @@ def class_counts(left: Column, chars: Column) -> Column:
     return let(counts, lambda c: F.concat(c, F.array(chars - F.aggregate(c, F.lit(0.0), lambda a, b: a + b))))
 
 
-def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of two histograms of shares, as arrays of one length."""
+def js_term(a: Column, b: Column) -> Column:
+    """What a cell of two histograms, with shares a and b, adds to their Jensen-Shannon divergence (base 2)."""
+    m = (a + b) / 2
+    part = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
+    return (part(a) + part(b)) / 2
 
-    def term(a: Column, b: Column) -> Column:
-        m = (a + b) / 2
-        part = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-        return (part(a) + part(b)) / 2
 
-    total = F.aggregate(F.zip_with(p, q, term), F.lit(0.0), lambda a, b: a + b)
+def js_distance(p: Column, q: Column) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) of two histograms of shares, as arrays of one length."""
+    total = F.aggregate(F.zip_with(p, q, js_term), F.lit(0.0), lambda a, b: a + b)
     return F.sqrt(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))
