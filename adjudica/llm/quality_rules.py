@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adjudica.llm.common import SPACE, written
-from adjudica.llm.text_stats import CLASSES, characters, class_counts, duplicate_lines, js_distance, js_term, let, repeated_words, uncommon, word_chars, words
+from adjudica.llm.text_stats import CLASSES, class_counts, duplicate_lines, js_distance, js_term, let, repeated_words, uncommon, word_chars, words
 
 #: Cells of the word histogram besides the rest, and the parts that words are ranked in first.
 COMMON_WORDS = 32
@@ -121,10 +121,11 @@ def _judged(slim: DataFrame, refs: DataFrame) -> DataFrame:
     )
     base = base.select(
         "doc_id", "common", "word_shares", "class_shares", "_left", F.size("_words").cast("long").alias("n_words"), word_chars(F.col("_words")).cast("long").alias("word_chars"),
-        characters(F.col("_left"), CLASSES["symbol"]).cast("long").alias("n_symbols"), duplicate_lines(F.col("text")).alias("n_dup_lines"),
+        duplicate_lines(F.col("text")).alias("n_dup_lines"),
         repeated_words(F.col("_words"), F.size("_words")).alias("n_repeat_words"), F.transform("_words", lambda w: F.xxhash64(F.lower(w))).alias("_hashes"),
     )
     base = base.select(*[c for c in base.columns if c not in ("_left", "_hashes")], class_counts(F.col("_left"), F.col("word_chars")).alias("_classes"), _hits().alias("_hits"))
+    base = base.withColumn("n_symbols", F.get("_classes", F.lit(list(CLASSES).index("symbol"))).cast("long"))
     failed = (n < 20) | (100 * F.col("n_repeat_words") > 30 * n)
     word_distance = F.when((n >= MIN_WORDS) & (F.size("common") > 0), _word_distance(n))
     chars = F.col("word_chars")

@@ -30,7 +30,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text; none of a null one."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), "")
 
 
 def word_chars(words_of: Column) -> Column:
@@ -47,27 +47,22 @@ def duplicate_lines(text: Column) -> Column:
 def repeated_words(words_of: Column, n: Column, width: int = 8) -> Column:
     """Words inside windows of `width` (a power of two) words that occur twice or more in the text, the first included.
 
-    A window is known by a 64-bit hash, made of the hashes of its halves. Texts without a repeated window, nearly all,
-    end at a count of distinct hashes.
+    A window is known by a 64-bit hash, made of the hashes of its halves. Texts without a repeated word, pair or window,
+    nearly all, end at a count of distinct hashes.
     """
-    hashes, k, size = F.transform(words_of, lambda w: F.xxhash64(w)), 1, n
-    while k < width:
-        hashes = let(hashes, _joined(k, size - k))
-        size, k = size - k, 2 * k
-
     def covered(h: Column) -> Column:
         ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
         twice = let(ordered, lambda s: F.transform(F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"])), lambda x: x["i"]))
         steps = let(F.array_sort(twice), lambda p: F.transform(p, lambda x, i: F.least(F.lit(width), F.coalesce(F.get(p, i + 1) - x, F.lit(width)))))
         return F.aggregate(steps, F.lit(0), lambda a, b: a + b)
 
-    found = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
-    return F.when(n > width, found).otherwise(F.lit(0)).cast("long")
-
+    def repeats(h: Column, k: int, size: Column) -> Column:
+        """h holds hashes of k neighbouring words: where all differ, so do all longer windows."""
+        longer = covered(h) if k == width else let(F.zip_with(F.slice(h, F.lit(1), size - k), F.slice(h, F.lit(1 + k), size - k), lambda a, b: F.xxhash64(a, b)), lambda x: repeats(x, 2 * k, size - k))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(longer)
 
-def _joined(k: int, size: Column) -> Callable[[Column], Column]:
-    """Hashes of neighbouring hashes that are k apart."""
-    return lambda h: F.zip_with(F.slice(h, F.lit(1), size), F.slice(h, F.lit(1 + k), size), lambda a, b: F.xxhash64(a, b))
+    found = let(F.transform(words_of, lambda w: F.xxhash64(w)), lambda h: repeats(h, 1, n))
+    return F.when(n > width, found).otherwise(F.lit(0)).cast("long")
 
 
 def uncommon(text: Column) -> Column:
@@ -81,9 +76,17 @@ def characters(left: Column, of: str) -> Column:
 
 
 def class_counts(left: Column, chars: Column) -> Column:
-    """Counts of the character classes, by a text's uncommon(), among the so many characters of its words; the last is the rest."""
-    counts = F.array(*[characters(left, p).cast("double") for p in CLASSES.values()])
-    return let(counts, lambda c: F.concat(c, F.array(chars - F.aggregate(c, F.lit(0.0), lambda a, b: a + b))))
+    """Counts of the character classes, by a text's uncommon(), among the so many characters of its words; the last is the rest.
+
+    One class after another is taken out, so that each pattern meets only what is left.
+    """
+
+    def taken(text: Column, patterns: list[str], counts: list[Column]) -> Column:
+        if not patterns:
+            return F.array(*counts, chars - sum(counts[1:], counts[0]))
+        return let(F.regexp_replace(text, f"[{patterns[0]}]+", ""), lambda rest: taken(rest, patterns[1:], [*counts, (F.length(text) - F.length(rest)).cast("double")]))
+
+    return let(left, lambda text: taken(text, list(CLASSES.values()), []))
 
 
 def js_term(a: Column, b: Column) -> Column:
