@@ -16,7 +16,15 @@ DEFAULTS: dict[str, Any] = {
     "outside_body": {"error": 0.80, "warn": 0.98, "min_mm2": 100.0},
     "mask": {"full_ratio": 0.95, "inverted_ratio": 0.5, "expected_values": [0, 255]},
     "divergence": {"negligible_ratio": 0.001},
-    "policy": {"auto": ["M02", "M03", "M04", "M05", "D01", "D05"], "review": ["M01", "M08", "D02", "D03", "S03", "S04", "S05"], "informational": ["M06", "M07", "D04_CONTAINED_DIFFERENT_LABEL"]},
+    "policy": {
+        "auto": ["D01_EXACT_DUPLICATE", "D05_CROSS_DATASET_DUPLICATE", "M01_MASK_RESOLUTION", "M02_MASK_CHANNELS", "M03_MASK_BINARY", "M04_MASK_NOT_EMPTY", "M05_FILE_EXISTS"],
+        "review": [
+            "D02_EXACT_MASK_LABEL_CONFLICT", "D03_NEAR_DUPLICATE", "D04_CONTAINED_DUPLICATE", "D05_CROSS_DATASET_DUPLICATE_TIE", "D05_CROSS_DATASET_MISMATCH",
+            "S03_TINY_ANNOTATION", "S03_STRAY_COMPONENT", "S03_SUSPICIOUSLY_SMALL", "S04_ORIGINAL_FINAL_DIVERGENCE", "S05_OUTSIDE_BODY",
+            "M07_BBOX_DEGENERATE", "M07_BBOX_OUT_OF_IMAGE", "M09_UNANNOTATED_VIEW",
+        ],
+        "informational": ["M06_PATH_FORMAT", "M07_BBOX_GEOMETRY", "M08_JSON_MASK_CONSISTENCY", "M07_SIZE_FIELDS_NULL"],
+    },
     "cannot_determine_as_review_required": False,
     "review_image_classes": ["unannotated_view"],
     "finding_code_systems": ["Findings"],

@@ -17,22 +17,24 @@ def has_label(labels: Column, system: str, name: str) -> Column:
 def case_labels(config: dict = settings.DEFAULTS) -> dict[str, Column]:
     """Labels of an image by its annotations' and its case's labels (L10); three-valued statuses are never folded.
 
-    Columns: ann_labels (of kept annotations) and case_labels.
+    Columns: ann_labels (of the image's annotations) and case_labels. Evidence of a normal case counts on any level; that
+    there are no annotations is none. A bulla is present or unknown, for nothing says that it was looked for; an effusion
+    is absent only for a normal case without any finding.
     """
     systems = config["finding_code_systems"]
-    found = F.array_sort(F.array_distinct(F.transform(F.filter("ann_labels", lambda x: x["code_system"].isin(*systems)), lambda x: x["code_text_eng"])))
-    normal = F.lit(False)
-    for system, name in config["normal_evidence"]:
-        normal = normal | has_label(F.col("case_labels"), system, name)
-    any_found = F.size(found) > 0
-    absent = normal & ~any_found
-    three = lambda name: F.when(F.array_contains(found, name), "present").when(absent, "absent").otherwise("unknown")
+    found = F.array_sort(F.array_distinct(F.transform(F.filter("ann_labels", lambda x: x["code_system"].isin(*systems) & (F.coalesce(x["code_text_eng"], F.lit("")) != "")), lambda x: x["code_text_eng"])))
+    found = F.coalesce(found, F.array().cast("array<string>"))
+    everywhere = F.concat(*[F.coalesce(F.transform(c, lambda x: F.concat_ws("/", x["code_system"], x["code_text_eng"])), F.array().cast("array<string>")) for c in ("case_labels", "ann_labels")])
+    evidence = F.array(*[F.lit(f"{system}/{name}") for system, name in config["normal_evidence"]])
+    hits = F.array_sort(F.array_intersect(evidence, everywhere))
+    any_found, normal, has = F.size(found) > 0, F.size(hits) > 0, lambda name: F.array_contains(found, name)
     return {
         "findings": found, "abnormal_finding_status": F.when(any_found, "present").when(normal, "absent").otherwise("unknown"),
-        "pneumothorax_case": F.when(F.array_contains(found, "pneumothorax"), "true").when(normal, "false").otherwise("unconfirmed"),
-        "bulla_bleb_status": F.when(F.arrays_overlap(found, F.array(F.lit("bulla"), F.lit("bleb"))), "present").when(absent, "absent").otherwise("unknown"),
-        "pleural_effusion_status": three("pleural_effusion"),
-        "case_evidence": F.when(any_found, "annotation").when(normal, "explicit_negative_normal").otherwise("none"),
+        "pneumothorax_case": has("pneumothorax"),
+        "bulla_bleb_status": F.when(has("bulla_bleb"), "present").otherwise("unknown"),
+        "pleural_effusion_status": F.when(has("pleural_effusion"), "present").when(normal & ~any_found, "absent").otherwise("unknown"),
+        "normal_evidence_hits": hits,
+        "case_evidence": F.when(has("pneumothorax"), "explicit_positive_annotation").when(normal, "explicit_negative_normal").otherwise("unconfirmed"),
     }
 
 

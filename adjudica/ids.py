@@ -6,7 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Families of findings by English label (fixed values); others are regional.
-LABEL_FAMILIES = {"nodule": "focal", "mass": "focal", "calcification": "focal", "fracture": "focal", "bulla": "localized", "bleb": "localized", "cavity": "localized", "cyst": "localized"}
+LABEL_FAMILIES = {
+    "nodule": "focal", "multiple_granular_shadows": "focal",
+    "atelectasis": "localized", "bulla_bleb": "localized", "cavity": "localized", "hilar_expansion": "localized", "hyperinflation": "localized",
+    "pneumothorax": "regional", "pleural_effusion": "regional", "infiltrative_shadow": "regional", "interstitial_opacity": "regional", "pneumomediastinum": "regional",
+    "mediastinum_enlargement": "regional", "aortic_protrusion": "regional",
+    "fracture": "localized", "other": "regional",
+}
 
 
 def file_uid(source: Column, *path: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adjudica import config as settings
+from adjudica.operators import scale, survivors
 
 ISSUE = ["check_ord", "check_id", "category", "severity", "status", "dataset_id", "file_uid", "geometry_uid", "cannot_determine_reason", "detail"]
 
@@ -189,15 +190,57 @@ def duplicates(ctx: Context) -> DataFrame:
     return issues(sided, F.col("check"), "duplicate", F.col("sev"), containment=F.bround("most", 6), iou=F.bround("iou", 6), related_uid=F.col("related_uid"))
 
 
-def cross_dataset_pairs(records: DataFrame, path: str, dataset: str, uid: str, content: str, labels: str, same_uid: str) -> DataFrame:
-    """Pairs (a, b) of records on one image in different datasets with equal labels (J6), and whether their contents match.
+def cross_dataset(records: DataFrame, images: str = "image_path") -> tuple[DataFrame, DataFrame]:
+    """Decisions and issues of annotations that several datasets hold of one image.
 
-    A match joins them; equal geometry with other contents is a mismatch (C22) and joins nothing.
+    records: dataset_id, geometry_uid, image_path, label_key, content (the mask's hash, else the box), stamp, export (when
+    the source document was written) and place (the order of records). Equal labels and contents of one image are copies,
+    in whatever datasets they are but one. A group keeps the newest, or of equal stamps the oldest export, and the others go;
+    what neither decides is a tie for review. One geometry uid with other labels or contents is a mismatch, and joins nothing.
+
+    Copies meet by their key, not in pairs: a representative of each dataset stands for the equal ones. Decisions have
+    dataset_id, geometry_uid, decision, reason, kept_uid, related_uid and group_id; issues the columns of ISSUE besides.
     """
-    side = lambda s: records.select(F.col(path).alias("_p"), *[F.col(c).alias(f"{n}_{s}") for n, c in (("uid", uid), ("ds", dataset), ("content", content), ("labels", labels), ("geo", same_uid))])
-    joined = side("a").join(side("b"), "_p").filter("ds_a < ds_b and labels_a <=> labels_b")
-    outcome = F.when(F.col("content_a") == F.col("content_b"), "match").when(F.col("geo_a") == F.col("geo_b"), "mismatch")
-    return joined.withColumn("outcome", outcome).filter("outcome is not null").select("uid_a", "uid_b", "outcome")
+    uid = F.struct("dataset_id", "geometry_uid")
+    records = records.withColumn("_uid", uid)
+    copy = [images, "label_key", "content"]
+    known = F.lit(True)
+    for c in copy:
+        known = known & F.col(c).isNotNull()
+    spread = records.filter(known).groupBy(*copy).agg(F.count_distinct("dataset_id").alias("_datasets"), F.min("place").alias("_first")).filter("_datasets > 1")
+    group = scale.numbered(spread, ["_first"], "_nth").select(*[F.col(c).alias(f"_{c}") for c in copy], F.format_string("XDUP_%04d", F.col("_nth") + 1).alias("group_id"))
+    on = F.lit(True)
+    for c in copy:
+        on = on & (F.col(c) == F.col(f"_{c}"))
+    members = records.join(group, on).drop(*[f"_{c}" for c in copy])
+    chosen = survivors.survivor(members, ["group_id"], "stamp", "export", "_uid")
+    stays = F.col("_uid") == F.col("survivor")
+    decided = chosen.filter("survivor is not null")
+    decisions = decided.select(
+        "dataset_id", "geometry_uid", F.when(stays, "keep").otherwise("exclude").alias("decision"),
+        F.when(stays, "newest_of_cross_dataset_duplicate_group").otherwise("cross_dataset_duplicate").alias("reason"),
+        F.col("survivor.geometry_uid").alias("kept_uid"), F.when(~stays, F.col("survivor.geometry_uid")).alias("related_uid"), "group_id",
+    )
+    other = F.struct(F.col("survivor.dataset_id").alias("dataset_id"), F.col("survivor.geometry_uid").alias("geometry_uid"))
+    gone = decided.filter(~stays).select("_uid", other.alias("_other"), "group_id")
+    sides = gone.union(gone.select("_other", "_uid", "group_id")).select("_uid.*", F.col("_other.geometry_uid").alias("related_uid"), F.col("_other.dataset_id").alias("other_dataset"), "group_id")
+    ties = chosen.filter("survivor is null").select("dataset_id", "geometry_uid", "group_id", F.col("outcome").alias("why"))
+    # equal uids of one image: of each dataset, what differs from it elsewhere
+    key = F.struct("label_key", "content")
+    versions = records.groupBy(F.col(images).alias("_image"), F.col("geometry_uid").alias("_geo"), "dataset_id").agg(F.min(key).alias("_key"))
+    several = versions.groupBy("_image", "_geo").agg(F.array_sort(F.collect_list(F.struct("dataset_id", "_key"))).alias("_all")).filter(F.size("_all") > 1)  # a row for each dataset
+    differs = F.filter("_all", lambda x: (x["dataset_id"] != F.col("_own.dataset_id")) & (~x["_key"].eqNullSafe(F.col("_own._key"))))
+    wrong = several.select("_geo", "_all", F.explode("_all").alias("_own")).withColumn("_x", F.explode(differs))
+    wrong = wrong.select(F.col("_own.dataset_id").alias("dataset_id"), F.col("_geo").alias("geometry_uid"), F.col("_geo").alias("related_uid"), F.col("_x.dataset_id").alias("other_dataset"))
+    found = issues(sides, "D05_CROSS_DATASET_DUPLICATE", "duplicate", "error", group=F.col("group_id"), other_dataset=F.col("other_dataset"), related_uid=F.col("related_uid"))
+    found = found.unionByName(issues(ties, "D05_CROSS_DATASET_DUPLICATE_TIE", "duplicate", "warning", group=F.col("group_id"), undecidable_reason=F.col("why")))
+    return decisions, found.unionByName(issues(wrong, "D05_CROSS_DATASET_MISMATCH", "duplicate", "error", other_dataset=F.col("other_dataset"), related_uid=F.col("related_uid")))
+
+
+def without_excluded(annotations: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The annotations that other checks look at: copies that another dataset's stand for are left out."""
+    gone = decisions.filter("decision = 'exclude'").select("dataset_id", "geometry_uid")
+    return annotations.join(gone, ["dataset_id", "geometry_uid"], "left_anti")
 
 
 def tiny(ctx: Context) -> DataFrame:

@@ -6,23 +6,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def annotation_ladder(human: Column, automatic: Column, needs_review: Column, unverified: Column, in_scope: Column) -> Column:
-    """A struct (decision, source, reason) of an annotation (L1).
+def _rung(decision, source: str, reason) -> Column:
+    status = {"human": "reviewed", "-": "pending"}.get(source, "not_needed")
+    lit = lambda x: x if isinstance(x, Column) else F.lit(x)
+    return F.struct(lit(decision).alias("decision"), F.lit(source).alias("source"), lit(reason).alias("reason"), F.lit(status).alias("review_status"))
 
-    Human verdicts first; then automatic exclusions (an automatic keep is not final); review needed is pending;
-    what could not be verified is kept as such; out of scope is kept; the rest is kept.
+
+def annotation_ladder(human: Column, automatic: Column, needs_review: Column, unverified: Column, in_scope: Column, human_reason: Column | None = None, automatic_reason: Column | None = None) -> Column:
+    """A struct (decision, source, reason, review_status) of an annotation (L1).
+
+    Human verdicts first, with their own reason or else the decision as one; then automatic exclusions with theirs (an
+    automatic keep is not final); review needed is pending and decided by nobody (-); what could not be verified is kept as
+    such; out of scope is kept; the rest is kept.
     """
-    rung = lambda d, s, r: F.struct((d if isinstance(d, Column) else F.lit(d)).alias("decision"), F.lit(s).alias("source"), F.lit(r).alias("reason"))
+    said = human if human_reason is None else F.coalesce(F.nullif(human_reason, F.lit("")), human)
     return (
-        F.when(human.isNotNull(), rung(human, "human", "human_verdict"))
-        .when(automatic == "exclude", rung("exclude", "automatic", "automatic_exclusion"))
-        .when(needs_review, rung("pending", "default", "review_required"))
-        .when(unverified, rung("keep", "default", "kept_without_full_check"))
-        .when(~in_scope, rung("keep", "default", "out_of_scope"))
-        .otherwise(rung("keep", "default", "no_issue"))
+        F.when(human.isNotNull(), _rung(human, "human", said))
+        .when(automatic == "exclude", _rung("exclude", "automatic", automatic_reason if automatic_reason is not None else "older_exact_duplicate"))
+        .when(needs_review, _rung("pending", "-", "review_required"))
+        .when(unverified, _rung("keep", "default", "kept_without_full_check"))
+        .when(~in_scope, _rung("keep", "default", "out_of_scope"))
+        .otherwise(_rung("keep", "default", "no_issue_detected"))
     )
 
 
+def overrides_automatic(human: Column, automatic: Column) -> Column:
+    """Whether a human verdict differs from the automatic one (L1)."""
+    return F.coalesce(human != automatic, F.lit(False))
+
+
 def image_class(n_records: Column, negative: Column, series_annotated: Column) -> Column:
     """annotated, negative_case, unannotated_view or unannotated_orphan."""
     return F.when(n_records > 0, "annotated").when(negative, "negative_case").when(series_annotated, "unannotated_view").otherwise("unannotated_orphan")
@@ -33,16 +45,16 @@ def negative_case(labels: Column, n_records: Column) -> Column:
     return (n_records == 0) & F.coalesce(F.exists(labels, lambda x: (x["code_system"] == "No Findings") | (F.lower(x["code_text_eng"]) == "normal")), F.lit(False))
 
 
-def image_ladder(human: Column, kind: Column, needs_review: Column) -> Column:
-    """A struct (decision, source, reason) of an image."""
-    rung = lambda d, s, r: F.struct((d if isinstance(d, Column) else F.lit(d)).alias("decision"), F.lit(s).alias("source"), F.lit(r).alias("reason"))
+def image_ladder(human: Column, kind: Column, needs_review: Column, human_reason: Column | None = None) -> Column:
+    """A struct (decision, source, reason, review_status) of an image."""
+    said = human if human_reason is None else F.coalesce(F.nullif(human_reason, F.lit("")), human)
     return (
-        F.when(human.isNotNull(), rung(human, "human", "human_verdict"))
-        .when(kind == "annotated", rung("keep", "default", "has_records"))
-        .when(kind == "unannotated_orphan", rung("exclude", "default", "orphan"))
-        .when(needs_review, rung("pending", "default", "needs_review"))
-        .when(kind == "negative_case", rung("keep", "default", "negative_case"))
-        .otherwise(rung("keep", "default", "kept"))
+        F.when(human.isNotNull(), _rung(human, "human", said))
+        .when(kind == "annotated", _rung("keep", "default", "has_annotations"))
+        .when(kind == "unannotated_orphan", _rung("exclude", "default", "unannotated_orphan_unused"))
+        .when(needs_review, _rung("pending", "-", "review_required"))
+        .when(kind == "negative_case", _rung("keep", "default", "negative_case"))
+        .otherwise(_rung("keep", "default", "kept_without_review"))
     )
 
 
@@ -62,7 +74,7 @@ def matching_override(rules: list[dict], columns: dict[str, Column]) -> Column:
 def overridden(verdict: Column, rule: Column) -> Column:
     """A default exclusion that a rule matches is kept; its reason stays."""
     flips = (verdict["source"] == "default") & (verdict["decision"] == "exclude") & rule.isNotNull()
-    return F.when(flips, F.struct(F.lit("keep").alias("decision"), F.lit("override").alias("source"), verdict["reason"].alias("reason"))).otherwise(verdict)
+    return F.when(flips, F.struct(F.lit("keep").alias("decision"), F.lit("override").alias("source"), verdict["reason"].alias("reason"), verdict["review_status"].alias("review_status"))).otherwise(verdict)
 
 
 def case_status(decisions: DataFrame, keys: list[str], decision: str = "decision") -> DataFrame:

@@ -33,12 +33,18 @@ def upsert(base: DataFrame, incoming: DataFrame, keys: list[str], decision: str,
     return j.select(*[F.when(has_b, F.col(f"b.{k}")).otherwise(F.col(f"i.{k}")).alias(k) for k in keys], *[F.when(take, F.col(f"i.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in value], action.alias("action"))
 
 
+def without_conflicts(merged: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of upsert() without action; a conflict that no stamp decides stops the job, so nothing is written of it."""
+    stop = F.raise_error(F.concat(F.lit("verdicts differ and no stamp decides: "), F.concat_ws("/", *[F.col(k).cast("string") for k in keys]))).cast("boolean")
+    return merged.filter(F.when(F.col("action") == "conflict", stop).otherwise(F.lit(True))).drop("action")
+
+
 def fold_stores(stores: list[DataFrame], keys: list[str], decision: str, stamp: str) -> DataFrame:
-    """Upserts stores in order; rows without a dataset are left out before."""
-    out = stores[0].filter(F.col("dataset_id").isNotNull()) if "dataset_id" in stores[0].columns else stores[0]
+    """Upserts stores in order (U11); rows without a dataset are left out before, and undecided conflicts stop the job."""
+    named = lambda s: s.filter(F.col("dataset_id").isNotNull()) if "dataset_id" in s.columns else s
+    out = named(stores[0])
     for s in stores[1:]:
-        s = s.filter(F.col("dataset_id").isNotNull()) if "dataset_id" in s.columns else s
-        out = upsert(out, s, keys, decision, stamp).drop("action")
+        out = without_conflicts(upsert(out, named(s), keys, decision, stamp), keys)
     return out
 
 

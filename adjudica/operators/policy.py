@@ -9,14 +9,12 @@ ORDER = ("auto", "review", "informational")
 
 
 def match_rank(check_id: str, selectors: list[str]) -> int:
-    """2 for an exact selector, 1 for one of the check's module, 0 for none; case does not count."""
-    this, best = check_id.upper(), 0
-    for s in map(str.upper, selectors):
-        if s == this:
-            return 2
-        if s == this.split("_", 1)[0]:
-            best = 1
-    return best
+    """2 for a selector that is the check itself, 1 for one that names its module, or a check of it, 0 for none; case does not count."""
+    module = lambda x: x.partition("_")[0]
+    named = {s.strip().upper() for s in selectors} - {""}
+    if check_id.upper() in named:
+        return 2
+    return int(module(check_id.upper()) in map(module, named))
 
 
 def policy_for(check_id: str, policy: dict[str, list[str]]) -> str:

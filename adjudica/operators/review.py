@@ -58,18 +58,32 @@ def review_targets(images: DataFrame, pending_images: DataFrame, pending_annotat
     return images.join(pending_images.select(key).union(pending_annotations.select(key)).distinct(), key, "left_semi")
 
 
-def effective_reasons(field: Column, tags: Column, legacy: Column, vocabulary: list[str]) -> Column:
-    """Reasons by the first source that has any, field, tags, legacy text, in the vocabulary's order."""
-    split = lambda c: F.filter(F.split(F.coalesce(c, F.lit("")), r"\|"), lambda x: (x != "") & (x != "none"))
-    own = F.filter(F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.regexp_extract(t, "^reason:(.+)$", 1)), lambda x: x != "")
-    first = F.when(F.size(split(field)) > 0, split(field)).when(F.size(own) > 0, own).otherwise(split(legacy))
+#: Reasons that a person may give for a verdict (fixed values); machine reasons are none of them.
+REASONS = [
+    "visually_valid", "true_small_lesion", "valid_nested_annotation", "boundary_tolerance", "frontal_view",
+    "invalid_annotation", "invalid_duplicate", "older_duplicate", "stray_component", "outside_body", "lateral_view", "wrong_label",
+]
+DECIDED = ("keep", "exclude", "uncertain")
+
+
+def tagged(tags: Column, prefix: str) -> Column:
+    """What follows a prefix in tags."""
+    return F.filter(F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.regexp_extract(t, f"^{prefix}(.+)$", 1)), lambda x: x != "")
+
+
+def effective_reasons(field: Column, tags: Column, legacy: Column, vocabulary: list[str] = REASONS) -> Column:
+    """Reasons by the first source that has known ones: the field, reason: tags, legacy text; in the vocabulary's order."""
+    known = F.array(*[F.lit(v) for v in vocabulary])
+    split = lambda c: F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), F.trim)
+    sources = [F.array_intersect(known, s) for s in (split(field), tagged(tags, "reason:"), split(legacy))]
+    first = F.when(F.size(sources[0]) > 0, sources[0]).when(F.size(sources[1]) > 0, sources[1]).otherwise(sources[2])
     return vocabulary_ordered(first, vocabulary)
 
 
-def effective_status(field: Column, tags: Column, default: str = "pending") -> Column:
-    """The status by the field, else by the first tag that names one."""
-    tag = F.get(F.filter(F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.regexp_extract(t, "^status:(.+)$", 1)), lambda x: x != ""), F.lit(0))
-    return F.coalesce(F.nullif(field, F.lit("")), tag, F.lit(default))
+def effective_status(field: Column, tags: Column) -> Column:
+    """The decided status of the field, else that of the first review: tag with one, else pending."""
+    first = F.get(F.filter(tagged(tags, "review:"), lambda v: v.isin(*DECIDED)), F.lit(0))
+    return F.when(field.isin(*DECIDED), field).otherwise(F.coalesce(first, F.lit("pending")))
 
 
 def dictionary_codes(df: DataFrame, column: str, order: list[str]) -> DataFrame:

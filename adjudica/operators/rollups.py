@@ -32,15 +32,23 @@ def severity_rank(severity: Column) -> Column:
 
 
 def issue_rollup(issues: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each entity (A6, A7): n_issues, needs_review, max_severity, detected and unverified checks in first-seen order."""
-    seen = lambda test: F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("check_ord", "check_id")))), lambda x: x["check_id"])), "|")
-    named = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("none"))
+    """One row for each entity that has issues.
+
+    n_issues, max_severity (or none) and detected_checks are of checked issues only; unverified_checks are those that
+    could not be determined; what does not apply counts nowhere. Check ids come in first-seen order, the registry's.
+    duplicate_group_id and related_uid, where issues have them, are the first ones seen of any status.
+    """
+    checked, open_ = F.col("status") == "checked", F.col("status") == "cannot_determine"
+    seen = lambda test: F.array_join(F.transform(F.array_sort(F.collect_set(F.when(test, F.struct("check_ord", "check_id")))), lambda x: x["check_id"]), "|")
+    named = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("none")).alias(c)
+    firsts = [c for c in ("duplicate_group_id", "related_uid") if c in issues.columns]
     out = issues.groupBy(*keys).agg(
-        F.count("*").alias("n_issues"), F.bool_or("review_required").alias("needs_review"), F.max(severity_rank(F.col("severity"))).alias("_s"),
-        seen(F.col("status") == "checked").alias("detected_checks"), seen(F.col("status") == "cannot_determine").alias("unverified_checks"),
+        F.count_if(checked).alias("n_issues"), F.bool_or("review_required").alias("needs_review"), F.max(F.when(checked, severity_rank(F.col("severity")))).alias("_s"),
+        seen(checked).alias("detected_checks"), seen(open_).alias("unverified_checks"), *[F.min(F.when(F.col(c).isNotNull(), F.struct("check_ord", c)))[c].alias(c) for c in firsts],
     )
     names = F.array(*[F.lit(s) for s in SEVERITIES])
-    return out.select(*keys, "n_issues", "needs_review", F.when(F.col("_s") > 0, F.element_at(names, F.col("_s"))).alias("max_severity"), named(F.col("detected_checks")).alias("detected_checks"), named(F.col("unverified_checks")).alias("unverified_checks"))
+    worst = F.when(F.col("_s") > 0, F.element_at(names, F.col("_s"))).otherwise("none")
+    return out.select(*keys, "n_issues", "needs_review", worst.alias("max_severity"), named("detected_checks"), named("unverified_checks"), *firsts)
 
 
 def precision(hits: DataFrame, check: str, uid: str, decision: str) -> DataFrame:

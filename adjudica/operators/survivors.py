@@ -6,42 +6,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _with_group(df: DataFrame, group: list[str], *facts: Column) -> DataFrame:
+    """df with aggregates of its groups: partial sums meet the rows by a join, so no window holds a large group."""
+    found = df.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group]).agg(*facts)
+    on = F.lit(True)
+    for g in group:
+        on = on & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    return df.join(found, on).drop(*[f"_g_{g}" for g in group])
+
+
 def newest_wins(df: DataFrame, group: list[str], stamp: str, uid: str) -> DataFrame:
-    """Adds decision, reason and kept_uid (L3): the newest of a group stays.
+    """Adds decision, reason and kept_uid (L3): the newest of a group of exact copies stays, the older ones go.
 
     A group with a missing stamp, or with equal stamps, is undecidable: decision is null, the reason says why.
     """
-    w = Window.partitionBy(*group)
-    n, known = F.count("*").over(w), F.count(stamp).over(w)
-    distinct = F.size(F.collect_set(stamp).over(w))
-    top = F.max(F.struct(F.col(stamp), F.col(uid))).over(w)[uid]
-    reason = F.when(n == 1, "single").when(known < n, "timestamp_missing").when(distinct < n, "timestamp_tie").otherwise("newest")
-    out = df.withColumn("reason", reason).withColumn("_top", top)
-    decided = F.col("reason").isin("single", "newest")
-    decision = F.when(decided & (F.col(uid) == F.col("_top")), "keep").when(decided, "exclude")
-    return out.withColumn("decision", decision).withColumn("kept_uid", F.when(decided, F.col("_top"))).drop("_top")
+    distinct = F.count_distinct(stamp).alias("_distinct")
+    out = _with_group(df, group, F.count("*").alias("_n"), F.count(stamp).alias("_known"), distinct, F.max(F.struct(F.col(stamp), F.col(uid)))[uid].alias("_top"))
+    open_ = F.when(F.col("_known") < F.col("_n"), "timestamp_missing").when(F.col("_distinct") < F.col("_n"), "timestamp_tie")
+    newest = F.col(uid) == F.col("_top")
+    out = out.withColumn("_open", F.when(F.col("_n") > 1, open_))
+    reason = F.when(F.col("_n") == 1, "single").when(F.col("_open").isNotNull(), F.col("_open")).when(newest, "newest_of_exact_duplicate_group").otherwise("older_exact_duplicate")
+    decision = F.when(F.col("_open").isNull(), F.when(newest, "keep").otherwise("exclude"))
+    kept = F.when(F.col("_open").isNull(), F.col("_top"))
+    return out.withColumn("reason", reason).withColumn("decision", decision).withColumn("kept_uid", kept).drop("_n", "_known", "_distinct", "_top", "_open")
 
 
 def survivor(df: DataFrame, group: list[str], stamp: str, export: str, uid: str) -> DataFrame:
     """Adds outcome and survivor (T1): all stamps distinct, the newest; any tie, the oldest export decides.
 
-    A missing stamp or export is undecidable, as are equal exports.
+    A missing stamp or, where it is asked, export is timestamp_missing, equal exports are timestamp_tie; both decide nothing.
     """
-    w = Window.partitionBy(*group)
-    n = F.count("*").over(w)
-    distinct = lambda c: F.size(F.collect_set(c).over(w))
-    newest = F.max(F.struct(F.col(stamp), F.col(uid))).over(w)[uid]
-    oldest = F.min(F.struct(F.col(export), F.col(uid))).over(w)[uid]
+    facts = [F.count("*").alias("_n")]
+    for c, best in ((stamp, F.max), (export, F.min)):
+        facts += [F.count(c).alias(f"_known_{c}"), F.count_distinct(c).alias(f"_distinct_{c}"), best(F.struct(F.col(c), F.col(uid)))[uid].alias(f"_best_{c}")]
+    out = _with_group(df, group, *facts)
+    n = F.col("_n")
     outcome = (
-        F.when(F.count(stamp).over(w) < n, "timestamp_missing")
-        .when(distinct(stamp) == n, "newest")
-        .when(F.count(export).over(w) < n, "export_missing")
-        .when(distinct(export) < n, "export_tie")
-        .otherwise("oldest_export")
+        F.when(F.col(f"_known_{stamp}") < n, "timestamp_missing").when(F.col(f"_distinct_{stamp}") == n, "newest")
+        .when(F.col(f"_known_{export}") < n, "timestamp_missing").when(F.col(f"_distinct_{export}") < n, "timestamp_tie").otherwise("oldest_export")
     )
-    out = df.withColumn("outcome", outcome).withColumn("_newest", newest).withColumn("_oldest", oldest)
-    kept = F.when(F.col("outcome") == "newest", F.col("_newest")).when(F.col("outcome") == "oldest_export", F.col("_oldest"))
-    return out.withColumn("survivor", kept).drop("_newest", "_oldest")
+    out = out.withColumn("outcome", outcome)
+    kept = F.when(F.col("outcome") == "newest", F.col(f"_best_{stamp}")).when(F.col("outcome") == "oldest_export", F.col(f"_best_{export}"))
+    return out.withColumn("survivor", kept).drop("_n", *[f"_{x}_{c}" for x in ("known", "distinct", "best") for c in (stamp, export)])
 
 
 def winner(df: DataFrame, path: str, has_kept: str, stamp: str, dataset: str, ties: list[str] = ()) -> DataFrame:
@@ -55,11 +61,10 @@ def winner(df: DataFrame, path: str, has_kept: str, stamp: str, dataset: str, ti
 
 
 def fill_kept(df: DataFrame, group: str, decision: str, uid: str, kept: str) -> DataFrame:
-    """Fills a null kept uid (L2): where exactly one of a group is kept, that one; rows without group stay as they are."""
-    w = Window.partitionBy(group)
-    one = F.count_if(F.col(decision) == "keep").over(w) == 1
-    which = F.max(F.when(F.col(decision) == "keep", F.col(uid))).over(w)
-    return df.withColumn(kept, F.when(F.col(group).isNotNull() & F.col(kept).isNull() & one, which).otherwise(F.col(kept)))
+    """Fills a null kept uid (L2): where exactly one of a group is kept, that one; rows without group stay as they are, and meet nothing."""
+    one = df.filter(F.col(group).isNotNull() & (F.col(decision) == "keep")).groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_n"), F.max(uid).alias("_one")).filter("_n = 1")
+    asked = df.filter(F.col(group).isNotNull() & F.col(kept).isNull()).join(one, F.col(group) == F.col("_group"), "left").withColumn(kept, F.col("_one").cast(df.schema[kept].dataType))
+    return asked.select(*df.columns).unionByName(df.filter(F.col(group).isNull() | F.col(kept).isNotNull()))
 
 
 def merged_automatic(df: DataFrame, uid: str, decision: str, source_ord: str) -> DataFrame:

@@ -37,8 +37,8 @@ LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedp
 
 def _hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     """dataset, institution, patient, image and annotation of each line, images without lines too."""
-    nation = _t(spark, sf, "nation").join(F.broadcast(_t(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    customer = _t(spark, sf, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    nation = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    customer = _t(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = _t(spark, sf, "orders").join(customer.select("c_custkey", "c_nationkey", "n_name", "r_name"), F.col("o_custkey") == F.col("c_custkey"))
     return orders
 
@@ -85,8 +85,8 @@ _ISSUES_SQL = "WITH i AS (" + " UNION ALL ".join(
 
 @query(_ISSUES_SQL + """,
 f AS (SELECT l_orderkey, check_id, status, min(check_ord) AS o FROM i GROUP BY ALL)
-SELECT l_orderkey, count(*) AS n_issues, bool_or(status = 'checked' AND severity IN ('warning', 'error')) AS needs_review,
-  CASE max(CASE severity WHEN 'info' THEN 1 WHEN 'warning' THEN 2 WHEN 'error' THEN 3 END) WHEN 1 THEN 'info' WHEN 2 THEN 'warning' ELSE 'error' END AS max_severity,
+SELECT l_orderkey, count(*) FILTER (status = 'checked') AS n_issues, bool_or(status = 'checked' AND severity IN ('warning', 'error')) AS needs_review,
+  CASE max(CASE WHEN status <> 'checked' THEN 0 ELSE CASE severity WHEN 'info' THEN 1 WHEN 'warning' THEN 2 WHEN 'error' THEN 3 END END) WHEN 0 THEN 'none' WHEN 1 THEN 'info' WHEN 2 THEN 'warning' ELSE 'error' END AS max_severity,
   coalesce((SELECT string_agg(check_id, '|' ORDER BY o) FROM f WHERE f.l_orderkey = i.l_orderkey AND f.status = 'checked'), 'none') AS detected_checks,
   coalesce((SELECT string_agg(check_id, '|' ORDER BY o) FROM f WHERE f.l_orderkey = i.l_orderkey AND f.status = 'cannot_determine'), 'none') AS unverified_checks
 FROM i GROUP BY l_orderkey""")
@@ -111,9 +111,9 @@ s AS (SELECT *,
   CASE WHEN toxic = 1 THEN 'exclude' END AS human, n_chars > 8000 AS review, n_chars < 150 AS unverified, lang IN ('en', 'de') AS in_scope FROM v),
 t AS (SELECT doc_id, source, lang, quality, toxic,
   CASE WHEN human IS NOT NULL THEN human WHEN automatic = 'exclude' THEN 'exclude' WHEN review THEN 'pending' ELSE 'keep' END AS decision,
-  CASE WHEN human IS NOT NULL THEN 'human' WHEN automatic = 'exclude' THEN 'automatic' ELSE 'default' END AS decided_by,
-  CASE WHEN human IS NOT NULL THEN 'human_verdict' WHEN automatic = 'exclude' THEN 'automatic_exclusion' WHEN review THEN 'review_required'
-       WHEN unverified THEN 'kept_without_full_check' WHEN NOT in_scope THEN 'out_of_scope' ELSE 'no_issue' END AS reason FROM s)"""
+  CASE WHEN human IS NOT NULL THEN 'human' WHEN automatic = 'exclude' THEN 'automatic' WHEN review THEN '-' ELSE 'default' END AS decided_by,
+  CASE WHEN human IS NOT NULL THEN human WHEN automatic = 'exclude' THEN 'older_exact_duplicate' WHEN review THEN 'review_required'
+       WHEN unverified THEN 'kept_without_full_check' WHEN NOT in_scope THEN 'out_of_scope' ELSE 'no_issue_detected' END AS reason FROM s)"""
 
 
 def _verdicts(spark, sf) -> DataFrame:
@@ -208,7 +208,7 @@ def _copies(spark, sf) -> DataFrame:
 
 
 @query(_DUP_SQL + """, g AS (SELECT h, count(DISTINCT stamp) AS k, count(*) AS n, max(stamp) AS s FROM m GROUP BY h)
-SELECT doc_id, CASE WHEN k < g.n THEN 'timestamp_tie' ELSE 'newest' END AS reason, CASE WHEN k < g.n THEN NULL WHEN stamp = s THEN 'keep' ELSE 'exclude' END AS decision,
+SELECT doc_id, CASE WHEN k < g.n THEN 'timestamp_tie' WHEN stamp = s THEN 'newest_of_exact_duplicate_group' ELSE 'older_exact_duplicate' END AS reason, CASE WHEN k < g.n THEN NULL WHEN stamp = s THEN 'keep' ELSE 'exclude' END AS decision,
   CASE WHEN k = g.n THEN (SELECT max(doc_id) FROM m x WHERE x.h = m.h AND x.stamp = s) END AS kept_uid FROM m JOIN g USING (h)""")
 def exact_dup_survivor(spark, sf):
     """L3: of exact copies the newest stays; ties decide nothing."""
@@ -216,21 +216,50 @@ def exact_dup_survivor(spark, sf):
 
 
 @query(_DUP_SQL + """, g AS (SELECT h, count(DISTINCT stamp) AS ks, count(DISTINCT export) AS ke, count(*) AS n, max(stamp) AS s, min(export) AS e FROM m GROUP BY h)
-SELECT doc_id, CASE WHEN ks = g.n THEN 'newest' WHEN ke < g.n THEN 'export_tie' ELSE 'oldest_export' END AS outcome,
+SELECT doc_id, CASE WHEN ks = g.n THEN 'newest' WHEN ke < g.n THEN 'timestamp_tie' ELSE 'oldest_export' END AS outcome,
   CASE WHEN ks = g.n THEN (SELECT max(doc_id) FROM m x WHERE x.h = m.h AND x.stamp = s) WHEN ke = g.n THEN (SELECT min(doc_id) FROM m x WHERE x.h = m.h AND x.export = e) END AS survivor FROM m JOIN g USING (h)""")
 def cross_dataset_survivor(spark, sf):
     """The newest, or on a tie the oldest export."""
     return survivors.survivor(_copies(spark, sf), ["h"], "stamp", "export", "doc_id").select("doc_id", "outcome", "survivor")
 
 
-@query(_DUP_SQL + """, r AS (SELECT a.doc_id AS x, b.doc_id AS y, a.lang = b.lang AS same FROM m a JOIN m b ON a.h = b.h AND a.source < b.source)
-SELECT least(x, y) AS a, greatest(x, y) AS b, CASE WHEN same THEN 'match' ELSE 'other_label' END AS outcome FROM r""")
+@query("""
+WITH d AS (SELECT doc_id, source AS dataset_id, md5(text) AS content, lang, doc_id % 97 AS stamp, doc_id % 7 AS export FROM documents),
+c AS (SELECT content, lang, count(DISTINCT dataset_id) AS k, min(doc_id) AS first FROM d GROUP BY 1, 2),
+g AS (SELECT content, lang, printf('XDUP_%04d', row_number() OVER (ORDER BY first)) AS group_id FROM c WHERE k > 1),
+m AS (SELECT d.*, group_id FROM d JOIN g USING (content, lang)),
+s AS (SELECT group_id, count(*) AS n, count(DISTINCT stamp) AS ks, count(DISTINCT export) AS ke, arg_max(doc_id, stamp) AS newest, arg_min(doc_id, export) AS oldest FROM m GROUP BY 1),
+x AS (SELECT m.*, CASE WHEN ks = n THEN newest WHEN ke = n THEN oldest END AS survivor FROM m JOIN s USING (group_id))
+SELECT doc_id AS geometry_uid, group_id, CASE WHEN survivor IS NULL THEN 'tie' WHEN survivor = doc_id THEN 'keep' ELSE 'exclude' END AS outcome, survivor AS kept_uid FROM x""")
 def cross_source_dup(spark, sf):
-    """Equal texts in different sources."""
-    c = _copies(spark, sf)
-    a, b = (c.select("h", F.col("doc_id").alias(f"x{s}"), F.col("source").alias(f"s{s}"), F.col("lang").alias(f"l{s}")) for s in "12")
-    j = a.join(b, "h").filter("s1 < s2")
-    return j.select(F.least("x1", "x2").alias("a"), F.greatest("x1", "x2").alias("b"), F.when(F.col("l1") == F.col("l2"), "match").otherwise("other_label").alias("outcome"))
+    """Copies with equal labels in several datasets, their groups, and which of each stays; ties decide nothing."""
+    decisions, found = checks.cross_dataset(_cross_records(spark, sf))
+    tie = found.filter("check_id = 'D05_CROSS_DATASET_DUPLICATE_TIE'").select("geometry_uid", F.col("detail")["group"].alias("group_id"), F.lit("tie").alias("outcome"), F.lit(None).cast("long").alias("kept_uid"))
+    return decisions.select("geometry_uid", "group_id", F.col("decision").alias("outcome"), "kept_uid").union(tie)
+
+
+def _cross_records(spark, sf) -> DataFrame:
+    d = _t(spark, sf, "documents")
+    content = F.md5(F.col("text").cast("binary"))
+    return d.select(
+        F.col("source").alias("dataset_id"), F.col("doc_id").alias("geometry_uid"), content.alias("image_path"), F.col("lang").alias("label_key"), content.alias("content"),
+        (F.col("doc_id") % 97).alias("stamp"), (F.col("doc_id") % 7).alias("export"), F.col("doc_id").alias("place"),
+    )
+
+
+@query("""
+WITH l AS (SELECT l_returnflag AS ds, l_orderkey AS image, l_linenumber AS uid, min(l_quantity) AS content FROM lineitem GROUP BY 1, 2, 3)
+SELECT a.ds AS dataset_id, a.image, a.uid AS geometry_uid, b.ds AS other_dataset FROM l a JOIN l b ON a.image = b.image AND a.uid = b.uid AND a.ds <> b.ds AND a.content <> b.content""")
+def cross_dataset_mismatch(spark, sf):
+    """One geometry uid that several datasets hold with other contents."""
+    line = _t(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("dataset_id"), F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("uid")).agg(F.min("l_quantity").alias("content"))
+    records = line.select(
+        "dataset_id", F.concat_ws("/", "image", "uid").alias("geometry_uid"), F.col("image").alias("image_path"), F.lit("x").alias("label_key"), F.concat_ws("/", "image", "uid", "content").alias("content"),
+        F.lit(1).alias("stamp"), F.lit(1).alias("export"), F.col("image").alias("place"),
+    )
+    found = checks.cross_dataset(records)[1].filter("check_id = 'D05_CROSS_DATASET_MISMATCH'")
+    uid = F.split("geometry_uid", "/")
+    return found.select("dataset_id", uid[0].cast("long").alias("image"), uid[1].cast("long").alias("geometry_uid"), F.col("detail")["other_dataset"].alias("other_dataset"))
 
 
 @query("""
@@ -284,8 +313,8 @@ def unannotated_class(spark, sf):
 
 @query(_CLASS_SQL + """
 SELECT o_orderkey, CASE WHEN image_class = 'annotated' THEN 'keep' WHEN image_class = 'unannotated_orphan' AND o_custkey % 2 = 0 THEN 'keep' WHEN image_class = 'unannotated_orphan' THEN 'exclude' WHEN image_class = 'unannotated_view' THEN 'pending' ELSE 'keep' END AS decision,
-  CASE WHEN image_class = 'unannotated_orphan' AND o_custkey % 2 = 0 THEN 'override' ELSE 'default' END AS decided_by,
-  CASE image_class WHEN 'annotated' THEN 'has_records' WHEN 'unannotated_orphan' THEN 'orphan' WHEN 'unannotated_view' THEN 'needs_review' ELSE 'negative_case' END AS reason FROM k""")
+  CASE WHEN image_class = 'unannotated_orphan' AND o_custkey % 2 = 0 THEN 'override' WHEN image_class = 'unannotated_view' THEN '-' ELSE 'default' END AS decided_by,
+  CASE image_class WHEN 'annotated' THEN 'has_annotations' WHEN 'unannotated_orphan' THEN 'unannotated_orphan_unused' WHEN 'unannotated_view' THEN 'review_required' ELSE 'negative_case' END AS reason FROM k""")
 def image_ladder(spark, sf):
     """One verdict for each image, and rules that keep default exclusions."""
     k = _classes(spark, sf).withColumn("parity", (F.col("o_custkey") % 2).cast("string"))
@@ -300,7 +329,7 @@ WITH c AS (SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey
 SELECT CASE WHEN r <= 10 THEN n_name ELSE 'other' END AS n_name, CAST(sum(n) AS BIGINT) AS n FROM t GROUP BY 1""")
 def top_plus_other(spark, sf):
     """The ten largest institutions and the rest."""
-    j = _t(spark, sf, "customer").join(F.broadcast(_t(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = _t(spark, sf, "customer").join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return rollups.top_and_other(j, "n_name", 10)
 
 
@@ -616,5 +645,5 @@ def effective_status(spark, sf):
     """The status by a field, else by a tag, else the default."""
     o = _t(spark, sf, "orders")
     field = F.when(F.col("o_orderstatus") == "F", "keep")
-    tags = F.array(F.lit("other"), F.when(F.col("o_orderpriority").startswith("1"), "status:exclude").otherwise("x"))
+    tags = F.array(F.lit("other"), F.when(F.col("o_orderpriority").startswith("1"), "review:exclude").otherwise("review:later"))
     return o.select(review.effective_status(field, tags).alias("status")).groupBy("status").agg(F.count("*").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.operators.merges import upsert
+from adjudica.operators.merges import upsert, without_conflicts
 from adjudica.schema import VERDICT_DDL
 
 KEYS = ["kind", "dataset_id", "key"]
@@ -15,7 +15,7 @@ def merge_stream(spark: SparkSession, incoming: str, store: str, checkpoint: str
     """Reads JSON lines of verdicts from a folder as they come and upserts them; returns the running query.
 
     Each batch writes a version of its own, store/v=<batch>, from the one before: a batch that is repeated after a
-    failure writes the same version again, so verdicts count once. Within a batch the latest verdict of a key counts.
+    failure writes the same version again, so verdicts count once. A conflict that no stamp decides stops the query and its batch is not written. Within a batch the latest verdict of a key counts.
     """
     stream = spark.readStream.schema(VERDICT_DDL).json(incoming)
 
@@ -23,7 +23,7 @@ def merge_stream(spark: SparkSession, incoming: str, store: str, checkpoint: str
         value = [c for c in df.columns if c not in KEYS]
         latest = df.groupBy(*KEYS).agg(F.max_by(F.struct(*value), F.struct(F.col("reviewed_at"), F.col("decision"))).alias("v")).select(*KEYS, *[F.col(f"v.{c}").alias(c) for c in value])
         before = current(spark, store, number)
-        out = latest.withColumn("action", F.lit("inserted")) if before is None else upsert(before.drop("action"), latest, KEYS, "decision", "reviewed_at")
+        out = latest if before is None else without_conflicts(upsert(before, latest, KEYS, "decision", "reviewed_at"), KEYS)
         out.write.mode("overwrite").parquet(f"{store}/v={number}")
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

@@ -26,6 +26,9 @@ def test_policy():
     assert policy.policy_for("M06_PATH", p) == "informational"
     assert policy.policy_for("X", p) == "review"
     assert policy.policy_for("M01", {"auto": ["M01"], "review": ["M01"]}) == "auto"
+    known = lambda c: policy.policy_for(c, config.DEFAULTS["policy"])
+    assert known("M02_MASK_NOT_8BIT") == "auto" and known("M07_BBOX_DEGENERATE") == "review" and known("M07_SIZE_FIELDS_NULL") == "informational" and known("D05_CROSS_DATASET_DUPLICATE_TIE") == "review"
+    assert known("M08_REGION_COUNT_MISMATCH") == "informational" and known("M01_MASK_RESOLUTION") == "auto" and known("D05_CROSS_DATASET_DUPLICATE") == "auto" and known("D04_CONTAINED_DIFFERENT_LABEL") == "review"
     assert policy.selected(["M01_A", "M02_B", "D01_C"], only=["M01", "D01"], skip=["D01_C"]) == ["M01_A"]
 
 
@@ -51,7 +54,7 @@ def test_components(spark):
 def test_newest_wins(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), ("b", 1, "y"), ("c", None, "x"), ("c", 3, "y"), ("d", 1, "x")], "g string, t int, u string")
     got = {(r["g"], r["u"]): (r["decision"], r["reason"], r["kept_uid"]) for r in survivors.newest_wins(df, ["g"], "t", "u").collect()}
-    assert got[("a", "x")] == ("exclude", "newest", "y") and got[("a", "y")] == ("keep", "newest", "y")
+    assert got[("a", "x")] == ("exclude", "older_exact_duplicate", "y") and got[("a", "y")] == ("keep", "newest_of_exact_duplicate_group", "y")
     assert got[("b", "x")] == (None, "timestamp_tie", None) and got[("c", "y")] == (None, "timestamp_missing", None)
     assert got[("d", "x")] == ("keep", "single", "x")
 
@@ -59,14 +62,19 @@ def test_newest_wins(spark):
 def test_survivor(spark):
     df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 2, 6, "y"), ("b", 1, 5, "x"), ("b", 1, 4, "y"), ("c", 1, 4, "x"), ("c", 1, 4, "y"), ("d", 1, None, "x"), ("d", 1, 4, "y"), ("e", None, 1, "x"), ("e", 2, 2, "y")], "g string, t int, e int, u string")
     got = {r["g"]: (r["outcome"], r["survivor"]) for r in survivors.survivor(df, ["g"], "t", "e", "u").collect()}
-    assert got == {"a": ("newest", "y"), "b": ("oldest_export", "y"), "c": ("export_tie", None), "d": ("export_missing", None), "e": ("timestamp_missing", None)}
+    assert got == {"a": ("newest", "y"), "b": ("oldest_export", "y"), "c": ("timestamp_tie", None), "d": ("timestamp_missing", None), "e": ("timestamp_missing", None)}
 
 
 def test_annotation_ladder(spark):
     df = spark.createDataFrame([("keep", "exclude", True, True, True), (None, "exclude", True, True, True), (None, "keep", True, True, True), (None, None, False, True, True), (None, None, False, False, False), (None, None, False, False, True)], "h string, a string, r boolean, u boolean, s boolean")
     got = [tuple(r["v"]) for r in df.select(ladders.annotation_ladder(*[F.col(c) for c in "harus"]).alias("v")).collect()]
     assert [g[0] for g in got] == ["keep", "exclude", "pending", "keep", "keep", "keep"]
-    assert [g[2] for g in got] == ["human_verdict", "automatic_exclusion", "review_required", "kept_without_full_check", "out_of_scope", "no_issue"]
+    assert [g[1] for g in got] == ["human", "automatic", "-", "default", "default", "default"]
+    assert [g[2] for g in got] == ["keep", "older_exact_duplicate", "review_required", "kept_without_full_check", "out_of_scope", "no_issue_detected"]
+    assert [g[3] for g in got] == ["reviewed", "not_needed", "pending", "not_needed", "not_needed", "not_needed"]
+    said = ladders.annotation_ladder(*[F.col(c) for c in "harus"], human_reason=F.lit("visually_valid"), automatic_reason=F.lit("broken_mask"))
+    assert [r[0] for r in df.select(said["reason"]).collect()][:2] == ["visually_valid", "broken_mask"]
+    assert [r[0] for r in df.select(ladders.overrides_automatic(F.col("h"), F.col("a"))).collect()][:3] == [True, False, False]
 
 
 def test_overrides(spark):
@@ -74,7 +82,7 @@ def test_overrides(spark):
     rules = [{"id": "r0", "action": "drop", "ds": ["A"]}, {"id": "r1", "action": "keep", "ds": ["A", "C"]}, {"id": "r2", "action": "keep", "ds": ["A"]}]
     assert [r[0] for r in df.select(ladders.matching_override(rules, {"ds": F.col("ds"), "k": F.col("k")})).collect()] == ["r1", None, None]
     verdict = ladders.image_ladder(F.lit(None).cast("string"), F.lit("unannotated_orphan"), F.lit(False))
-    assert tuple(df.select(ladders.overridden(verdict, F.lit("r1")).alias("v")).first()["v"]) == ("keep", "override", "orphan")
+    assert tuple(df.select(ladders.overridden(verdict, F.lit("r1")).alias("v")).first()["v"]) == ("keep", "override", "unannotated_orphan_unused", "not_needed")
 
 
 def test_case_status(spark):
@@ -121,9 +129,12 @@ def test_significant(spark):
 
 
 def test_rollup_order(spark):
-    df = spark.createDataFrame([("u", 2, "B", "checked", "error", True), ("u", 1, "A", "checked", "info", False), ("u", 2, "B", "checked", "error", True), ("u", 3, "C", "cannot_determine", "info", False)], "u string, check_ord int, check_id string, status string, severity string, review_required boolean")
-    r = rollups.issue_rollup(df, ["u"]).first()
-    assert (r["n_issues"], r["needs_review"], r["max_severity"], r["detected_checks"], r["unverified_checks"]) == (4, True, "error", "A|B", "C")
+    df = spark.createDataFrame([("u", 2, "B", "checked", "error", True), ("u", 1, "A", "checked", "info", False), ("u", 2, "B", "checked", "error", True), ("u", 3, "C", "cannot_determine", "critical", False), ("u", 4, "D", "not_applicable", "critical", False), ("v", 4, "D", "not_applicable", "error", False)], "u string, check_ord int, check_id string, status string, severity string, review_required boolean")
+    r, none = rollups.issue_rollup(df, ["u"]).orderBy("u").collect()
+    assert (r["n_issues"], r["needs_review"], r["max_severity"], r["detected_checks"], r["unverified_checks"]) == (3, True, "error", "A|B", "C")
+    assert (none["n_issues"], none["max_severity"], none["detected_checks"], none["unverified_checks"]) == (0, "none", "none", "none")
+    more = df.withColumn("duplicate_group_id", F.when(F.col("check_ord") > 1, F.concat(F.lit("G"), "check_ord"))).withColumn("related_uid", F.when(F.col("check_ord") == 3, "w"))
+    assert tuple(rollups.issue_rollup(more, ["u"]).filter("u = 'u'").select("duplicate_group_id", "related_uid").first()) == ("G2", "w")
 
 
 def test_vocabulary(spark):
@@ -187,10 +198,12 @@ def test_review(spark):
     items = spark.createDataFrame([("a", "image", "pending", ["conflict"], 1, True), ("b", "annotation", "pending", [], 0, False), ("c", "annotation", "keep", None, 0, False)], "uid string, kind string, status string, tags array<string>, n_reasons int, flagged boolean")
     names = review.register_views(items)
     assert len(names) == 12 and rows(spark.table("review_pending_images").select("uid")) == [("a",)] and spark.table("review_tagged_conflict").count() == 1
-    df = spark.createDataFrame([("small|zz", ["reason:x"], "y"), ("", ["reason:x", "status:keep"], "y"), (None, None, "y|none"), ("none", [], None)], "f string, t array<string>, l string")
+    df = spark.createDataFrame([("small|zz", ["reason:x"], "y"), ("", ["reason:x", "review:later", "review:keep"], "y"), (None, None, "y|none"), ("none", ["status:keep"], None)], "f string, t array<string>, l string")
     got = [r[0] for r in df.select(review.effective_reasons(F.col("f"), F.col("t"), F.col("l"), ["x", "y", "small"])).collect()]
     assert got == ["small", "x", "y", "none"]
     assert [r[0] for r in df.select(review.effective_status(F.lit(None).cast("string"), F.col("t"))).collect()] == ["pending", "keep", "pending", "pending"]
+    assert [r[0] for r in df.select(review.effective_status(F.lit("pending"), F.col("t"))).collect()] == ["pending", "keep", "pending", "pending"]
+    assert df.select(review.effective_reasons(F.lit("review_required|older_duplicate|invalid_duplicate"), F.col("t"), F.col("l"))).first()[0] == "invalid_duplicate|older_duplicate"
     clock = spark.createDataFrame([("bad", "010203.5"), ("235959", None), (None, None)], "a string, b string")
     assert [r[0] for r in clock.select(review.clock_seconds(F.col("a"), F.col("b"))).collect()] == [3723.5, 86399.0, None]
     assert [r[0] for r in spark.createDataFrame([(5,), (65,), (-7200,), (90000,), (None,)], "s int").select(review.elapsed_text(F.col("s"))).collect()] == ["5 seconds", "1 minutes", "2 hours", "1 days", None]
@@ -207,3 +220,49 @@ def test_review(spark):
     assert rows(review.searched(items, {"kind": "annotation"}, "B", ["uid"]).select("uid")) == [("b",)]
     assert "| pending | 2 |" in reports.markdown("t", {"s": items.groupBy("status").count()}) and json.loads(reports.payload({"s": items.select("uid")}))["s"][0] == {"uid": "a"}
     assert reports.page(items, [F.col("uid")], 1, 2).first()["uid"] == "c"
+
+
+def test_cross_dataset(spark):
+    r = lambda ds, uid, image, label, content, stamp, export, place: (ds, uid, image, label, content, stamp, export, place)
+    records = spark.createDataFrame([
+        r("A", "g1", "i1", "x", "m1", 5, 1, 3), r("B", "g2", "i1", "x", "m1", 7, 2, 4),  # the newer one stays, whatever its uid
+        r("A", "g3", "i2", "x", "m2", 5, 2, 1), r("B", "g3", "i2", "x", "m2", 5, 1, 2), r("C", "g3", "i2", "x", "m2", 5, 3, 9),  # equal stamps: the oldest export
+        r("A", "g4", "i3", "x", "m3", 5, 1, 5), r("B", "g4", "i3", "x", "m3", 5, 1, 6),  # a tie
+        r("A", "g5", "i4", "x", "m4", 5, 1, 7), r("B", "g5", "i4", "y", "m4", 6, 1, 8),  # other labels under one uid
+        r("A", "g6", "i5", "x", "m5", None, 1, 10), r("B", "g6", "i5", "x", "m5", 5, 2, 11), r("A", "g7", "i6", "x", "m6", 1, 1, 12), r("A", "g8", "i6", "x", "m6", 2, 1, 13),
+    ], "dataset_id string, geometry_uid string, image_path string, label_key string, content string, stamp int, export int, place int")
+    decisions, found = checks.cross_dataset(records)
+    got = {(d["dataset_id"], d["geometry_uid"]): (d["decision"], d["kept_uid"], d["related_uid"], d["group_id"]) for d in decisions.collect()}
+    assert got == {
+        ("A", "g3"): ("exclude", "g3", "g3", "XDUP_0001"), ("B", "g3"): ("keep", "g3", None, "XDUP_0001"), ("C", "g3"): ("exclude", "g3", "g3", "XDUP_0001"),
+        ("A", "g1"): ("exclude", "g2", "g2", "XDUP_0002"), ("B", "g2"): ("keep", "g2", None, "XDUP_0002"),
+    }
+    n = {(x["check_id"], x["dataset_id"], x["geometry_uid"]) for x in found.collect()}
+    tie, wrong, copy = "D05_CROSS_DATASET_DUPLICATE_TIE", "D05_CROSS_DATASET_MISMATCH", "D05_CROSS_DATASET_DUPLICATE"
+    assert n == {(copy, "A", "g1"), (copy, "B", "g2"), *[(copy, d, "g3") for d in "ABC"], (tie, "A", "g4"), (tie, "B", "g4"), (wrong, "A", "g5"), (wrong, "B", "g5"), (tie, "A", "g6"), (tie, "B", "g6")}
+    assert found.count() == 12 and {x["severity"] for x in found.filter(F.col("check_id").isin(copy, wrong)).collect()} == {"error"}
+    assert checks.without_excluded(records, decisions).count() == records.count() - 3
+
+
+def test_conflicts_stop(spark):
+    one = spark.createDataFrame([("d", "k", "keep", "1")], "dataset_id string, key string, decision string, stamp string")
+    other = spark.createDataFrame([("d", "k", "exclude", "1"), (None, "z", "keep", "1")], one.schema)
+    with pytest.raises(Exception, match="no stamp decides"):
+        merges.fold_stores([one, other], ["dataset_id", "key"], "decision", "stamp").collect()
+    later = other.withColumn("stamp", F.lit("2"))
+    assert rows(merges.fold_stores([one, later], ["dataset_id", "key"], "decision", "stamp")) == [("d", "k", "exclude", "2")]
+
+
+def test_case_labels(spark):
+    from adjudica.functions.samples import case_labels
+
+    lab = "array<struct<code_system: string, code_text_eng: string>>"
+    f, normal = lambda *names: [("Findings", n) for n in names], [("No Findings", "normal")]
+    df = spark.createDataFrame([(f("pneumothorax"), normal), (f("nodule"), normal), (f("bulla_bleb", "pleural_effusion"), []), ([], normal), ([], []), (normal, None), (f("nodule"), [])], f"ann_labels {lab}, case_labels {lab}")
+    names = ["abnormal_finding_status", "pneumothorax_case", "bulla_bleb_status", "pleural_effusion_status", "case_evidence"]
+    got = [tuple(r) for r in df.select(*[case_labels()[n].alias(n) for n in names]).collect()]
+    negative, open_ = "explicit_negative_normal", "unconfirmed"
+    assert got == [
+        ("present", True, "unknown", "unknown", "explicit_positive_annotation"), ("present", False, "unknown", "unknown", negative), ("present", False, "present", "present", open_),
+        ("absent", False, "unknown", "absent", negative), ("unknown", False, "unknown", "unknown", open_), ("absent", False, "unknown", "absent", negative), ("present", False, "unknown", "unknown", open_),
+    ]

@@ -55,8 +55,8 @@ def test_samples(docs):
     imgs = nested.images(docs[0])
     found = F.flatten(F.transform("records", lambda r: r["labels"]))
     got = {r["sample_id"]: r for r in samples.samples(imgs.withColumn("ann_labels", found)).collect()}
-    assert (got["a"]["pneumothorax_case"], got["a"]["abnormal_finding_status"], got["a"]["case_evidence"]) == ("false", "absent", "explicit_negative_normal")
-    assert (got["b"]["pneumothorax_case"], got["b"]["findings"], got["b"]["bulla_bleb_status"]) == ("true", ["pneumothorax"], "unknown")
+    assert (got["a"]["pneumothorax_case"], got["a"]["abnormal_finding_status"], got["a"]["case_evidence"]) == (False, "absent", "explicit_negative_normal")
+    assert (got["b"]["pneumothorax_case"], got["b"]["findings"], got["b"]["bulla_bleb_status"]) == (True, ["pneumothorax"], "unknown")
     assert got["a"]["spacing"] is None and got["a"]["image_shape"]["w"] == 10
     chosen, dropped = samples.export_groups(imgs, ["DS"], ["absent"], None)
     assert chosen.count() == 0 and rows(dropped) == [("present", 2)]
@@ -89,11 +89,15 @@ def test_stream(spark, tmp_path):
 
     def run():
         incremental.merge_stream(spark, str(tmp_path / "in"), str(tmp_path / "store"), str(tmp_path / "cp")).awaitTermination(60)
-        return {r["key"]: (r["decision"], r["action"]) for r in incremental.current(spark, str(tmp_path / "store")).collect()}
+        return {r["key"]: r["decision"] for r in incremental.current(spark, str(tmp_path / "store")).collect()}
 
     assert incremental.current(spark, str(tmp_path / "store")) is None
     put("1.json", ("a", "keep", "1"), ("a", "exclude", "2"), ("b", "keep", "1"))
-    assert run() == {"a": ("exclude", "inserted"), "b": ("keep", "inserted")}
+    assert run() == {"a": "exclude", "b": "keep"}
     put("2.json", ("a", "keep", "1"), ("b", "exclude", "5"), ("c", "keep", "1"))
-    assert run() == {"a": ("exclude", "kept"), "b": ("exclude", "replaced"), "c": ("keep", "inserted")}
+    assert run() == {"a": "exclude", "b": "exclude", "c": "keep"}
+    put("3.json", ("c", "exclude", "1"), ("d", "keep", "1"))  # no stamp decides: the batch stops and nothing of it is written
+    with pytest.raises(Exception, match="no stamp decides"):
+        run()
+    assert {r["key"] for r in incremental.current(spark, str(tmp_path / "store")).collect()} == {"a", "b", "c"}
     assert "decision" in VERDICT_DDL
