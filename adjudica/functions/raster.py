@@ -154,6 +154,15 @@ def outside_body(mask: np.ndarray, region: np.ndarray, spacing_x: float, spacing
     return {"containment": float(1 - out.sum() / m.sum()), "outside_pixels": int(out.sum()), "outside_mm2": float(out.sum() * spacing_x * spacing_y), "max_mm": float(mm[m].max())}
 
 
+def original_difference(brush: np.ndarray, final: np.ndarray) -> dict:
+    """How a stroke's filled outline differs from the final mask (G13); other shapes can't be compared."""
+    if brush.shape != final.shape:
+        return {"read_error": f"shape {brush.shape} != final {final.shape}"}
+    whole, m = filled(brush), final.astype(bool)
+    difference, size = int((whole ^ m).sum()), int(m.sum())
+    return {"filled_pixels": int(whole.sum()), "filled_iou_vs_mask": iou(whole, m), "difference_pixels": difference, "difference_ratio": difference / size if size else None}
+
+
 def merge_masks(masks: list[np.ndarray]) -> np.ndarray | None:
     """The union of masks of one shape, the first one's; others are left out; nothing if it is empty."""
     same = [m.astype(bool) for m in masks if m.shape == masks[0].shape] if masks else []

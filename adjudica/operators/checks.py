@@ -146,7 +146,7 @@ def bbox_geometry(ctx: Context) -> DataFrame:
 def json_consistency(ctx: Context) -> DataFrame:
     df = measured(ctx, "mask").filter("m.bbox is not null")
     declared = F.struct(*[F.col(c).cast("int").alias(c) for c in ("min_x", "min_y", "max_x", "max_y")])
-    a = issues(df.filter(~F.to_json("m.bbox").eqNullSafe(F.to_json(declared))), "M08_JSON_BBOX_MISMATCH", "machine", "warning")
+    a = issues(df.filter(~F.col("m.bbox").eqNullSafe(declared)), "M08_JSON_BBOX_MISMATCH", "machine", "warning")
     b = issues(df.filter(F.col("region_count") != F.col("m.n_components")), "M08_REGION_COUNT_MISMATCH", "machine", "warning", components=F.col("m.n_components"))
     return a.unionByName(b)
 

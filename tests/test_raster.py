@@ -74,3 +74,15 @@ def test_measured(spark):
     assert got["a"]["fg_pixels"] == 16 and got["a"]["unique_values"] == [0, 255] and got["c"]["read_error"] and got["c"]["fg_pixels"] is None
     p = R.measured_pairs(df).collect()
     assert len(p) == 1 and abs(p[0]["iou"] - 4 / 28) < 1e-12 and not p[0]["pixel_identical"]
+
+
+def test_original_difference():
+    final = np.zeros((8, 8), dtype=bool)
+    final[2:6, 2:6] = True
+    brush = final.copy()
+    brush[3:5, 3:5] = False  # an outline
+    assert R.original_difference(brush, final) == {"filled_pixels": 16, "filled_iou_vs_mask": 1.0, "difference_pixels": 0, "difference_ratio": 0.0}
+    brush[2, 2:6] = False  # open: its inside is background
+    got = R.original_difference(brush, final)
+    assert got["filled_pixels"] == 8 and got["difference_pixels"] == 8 and got["difference_ratio"] == 0.5
+    assert R.original_difference(brush, np.zeros((8, 8), dtype=bool))["difference_ratio"] is None and "read_error" in R.original_difference(brush, final[:4])
