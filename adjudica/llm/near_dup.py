@@ -32,7 +32,7 @@ BAND_ROWS = 5
 MISS = 1e-7
 SKETCH_BITS = 1024
 #: Shingles of the nodes in one task of steps 3 and 4, about.
-CHUNK_SHINGLES = 1_000_000
+CHUNK_SHINGLES = 250_000
 #: Standard deviations of a sketch's estimate below the threshold at which a pair is dropped unseen: a chance below MISS.
 GUARD = 5.5
 
