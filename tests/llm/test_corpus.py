@@ -182,6 +182,33 @@ def test_mixing(spark, odd, nothing, docs):
     assert mixing.mixed_documents(odd.withColumn("size", F.lit(1)).withColumn("_key", F.lit(1))).columns == [*odd.columns, "size", "_key"]
 
 
+def test_alike_rows_share_a_cut(spark):
+    for size, copies in ((1, 999), (7, 400)):
+        text = " ".join(["w"] * size)
+        rows = spark.range(copies).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"), F.lit("a").alias("source"), F.lit(3).alias("alike"), F.lit(1).alias("a.b"))
+        rows = rows.unionByName(spark.createDataFrame([(1, "x " * 3000, "b", 3, 1), (1, "x " * 3000, "b", 3, 1), (2, "y z", "c", 3, 1)], "doc_id long, text string, source string, alike int, `a.b` int"))
+        got = mixing.mix(rows, share=0.7).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max(F.col("taken") - 2 * F.col("size")).alias("over")).collect()
+        assert all(abs(r["taken"] - r["target"]) < 0.06 * r["target"] + 2 and r["over"] <= 0 for r in got)
+        whole = mixing.mixed_documents(rows, share=0.7)
+        assert whole.columns == rows.columns
+        taken = {r["source"]: r["n"] for r in whole.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("[^ ]+"))).alias("n")).collect()}
+        assert all(abs(taken[r["source"]] - r["target"]) < 0.06 * r["target"] + 2 for r in got)
+
+
+def test_prefix_sums_in_levels(spark):
+    from adjudica.llm.common import hash_key, prefix_sums
+
+    df = spark.range(3000).select("id", (F.col("id") % 3).alias("g"), hash_key("s", F.col("id")).alias("k"), (F.col("id") % 7).alias("v"))
+    df = df.withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    rows = sorted(df.collect(), key=lambda r: r["k"])
+    for digits in (1, 3, 5):
+        got = {r["id"]: r["s"] for r in prefix_sums(df, ["g"], "k", ["id"], {"s": "v"}, digits).collect()}
+        sums: dict = {}
+        for r in rows:
+            assert got[r["id"]] == sums.get(r["g"], 0)
+            sums[r["g"]] = sums.get(r["g"], 0) + r["v"]
+
+
 def test_kd_shards(spark, odd, nothing, docs):
     for df in (odd, docs):
         got = kd_shards.kd_shards(df, leaves=8).toPandas()
@@ -549,6 +576,40 @@ def test_vp_search(spark):
     assert vp_search.nearest(df.limit(0)).count() == 0
 
 
+def plain_statistics(text):
+    """The statistics of the classifier in plain Python."""
+    words, lines = WORD.findall(text), text.split("\n")
+    n, c = len(words), sum(map(len, words))
+    of = lambda test: sum(map(test, text))
+    ratio = lambda a, b: a / b if b else 0.0
+    return {
+        "log_words": np.log1p(n), "word_length": ratio(c, n), "upper": ratio(of(lambda x: bool(re.match("[A-ZÀ-ÖØ-Þ]", x))), c), "digits": ratio(of(lambda x: x in "0123456789"), c),
+        "marks": ratio(of(lambda x: x in "!?"), c), "symbols": ratio(of(lambda x: x in "#*$%&|<>"), c), "periods": ratio(text.count("."), c), "commas": ratio(of(lambda x: x in ",;:"), c),
+        "beyond": ratio(of(lambda x: x >= "\x80"), c), "lines": ratio(len(lines), n), "distinct": ratio(len(set(words)), n), "short": ratio(sum(len(w) <= 3 for w in words), n),
+        "stutter": ratio(sum(a == b for a, b in zip(words, words[1:], strict=False)), n), "distinct_lines": ratio(len(set(lines)), len(lines)),
+    }
+
+
+def plain_score(model, text):
+    x = plain_statistics(text)
+    z = model.bias + sum(w for w, rule in model.rules if all((x[name] > at) == above for name, above, at in rule))
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_equal_plain_ones(spark, odd, docs):
+    model = rule_classifier.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    for df in (odd, docs):
+        for r in rule_classifier.score(df, model).collect():
+            assert abs(r["score"] - plain_score(model, r["text"] or "")) < 1e-9 and r["predicted"] == (r["score"] >= 0.3)
+    clash = docs.withColumn("score", F.lit(7.0)).withColumn("a.b", F.lit(1)).withColumn("predicted", F.lit("clash"))
+    left = rule_classifier.drop_low_quality(clash, model)
+    assert left.columns == clash.columns and left.filter("score <> 7 or predicted <> 'clash'").count() == 0
+    assert left.count() == sum(plain_score(model, r["text"] or "") >= 0.3 for r in docs.collect())
+    for op in (lambda d: line_dedup.drop_repeated_lines(d.withColumn("removed", F.lit("kept"))), lambda d: mixing.mixed_documents(d.withColumn("removed", F.lit("kept")))):
+        got = op(clash)
+        assert got.columns == [*clash.columns, "removed"] and got.filter("score <> 7 or removed <> 'kept'").count() == 0
+
+
 def test_rule_classifier(spark, odd, nothing, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = rule_classifier.fit(docs, labels)
