@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from adjudica.llm.slices import text_slices
+
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -57,41 +59,55 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(begin, offsets), hashes
 
 
-def slices(texts: pa.Array, size: int = 1 << 20):
-    """Consecutive parts of an array of texts of about so many bytes."""
-    lengths = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(texts):
-        before = lengths[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(lengths, before + size, side="right")))
-        yield texts.slice(at, stop - at)
-        at = stop
+#: Bytes of text that are hashed together, about: what bounds the memory of a worker.
+SLICE = 1 << 20
 
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
-    """The set of each text's shingles as a sorted array; fewer words than a shingle has are one shingle, none give none."""
-    return [x for part in slices(texts) for x in _sets(part, width)]
+    """The set of each text's shingles as a sorted array; fewer words than a shingle has are one shingle, none give none.
+
+    A very long text is hashed in parts, whose words then come together.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    out: list[np.ndarray] = [np.empty(0, dtype=np.uint64)] * len(texts)
+    parts: dict[int, list[np.ndarray]] = {}
+    for rows, part in text_slices(texts, SLICE):
+        starts, words = word_hashes(part)
+        joined = _joined(words, width)
+        for k, (row, a, b) in enumerate(zip(rows.tolist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
+            if row in parts or (k + 1 == len(rows) and len(part) == 1 and _goes_on(texts, row, part)):
+                parts.setdefault(row, []).append(words[a:b])
+            else:
+                out[row] = _set(words[a:b], joined[a : max(b - width + 1, a)], width)
+    for row, words in parts.items():
+        whole = np.concatenate(words)
+        out[row] = _set(whole, _joined(whole, width), width)
+    return out
 
 
-def _sets(texts: pa.Array, width: int) -> list[np.ndarray]:
-    starts, words = word_hashes(texts)
-    joined = np.zeros(max(len(words) - width + 1, 0), dtype=np.uint64)
+def _goes_on(texts: pa.Array, row: int, part: pa.Array) -> bool:
+    """Whether a part is less than its text."""
+    size = lambda x: int(pc.binary_length(x).to_numpy(zero_copy_only=False)[0])
+    return size(part) < size(texts.slice(row, 1))
+
+
+def _joined(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of so many words."""
+    out = np.zeros(max(len(words) - width + 1, 0), dtype=np.uint64)
     for k in range(width):
-        joined = mixed(joined * _C1 + words[k : k + len(joined)] + _C2)
-    out = []
-    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-        if b - a >= width:
-            out.append(np.unique(joined[a : b - width + 1]))
-        elif b > a:
-            h = np.array([b - a], dtype=np.uint64)
-            for k in range(a, b):
-                h = mixed(h * _C3 + words[k : k + 1])
-            out.append(h)
-        else:
-            out.append(np.empty(0, dtype=np.uint64))
+        out = mixed(out * _C1 + words[k : k + len(out)] + _C2)
     return out
 
 
+def _set(words: np.ndarray, joined: np.ndarray, width: int) -> np.ndarray:
+    if len(words) >= width or not len(words):
+        return np.unique(joined[: max(len(words) - width + 1, 0)])
+    h = np.array([len(words)], dtype=np.uint64)
+    for k in range(len(words)):
+        h = mixed(h * _C3 + words[k : k + 1])
+    return h
+
+
 def minhash(shingles: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 2048) -> np.ndarray:
     """The least value of each hash a * x + b over a set that isn't empty."""
     low = np.full(len(a), np.iinfo(np.uint64).max, dtype=np.uint64)

@@ -11,13 +11,14 @@ against encode() of the texts.
 from __future__ import annotations
 
 import json
-import re
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from adjudica.llm.slices import text_slices
+
 #: Bytes of text that are looked at together, about; a longer text is cut at white space.
 SLICE = 1 << 20
 #: Places of the memo at first (a power of two); words and ids that a worker remembers before the memo starts anew.
@@ -37,7 +38,6 @@ QUICK = {
 PLAIN = "^[!-&(-~À-ÖØ-öø-ÿ]+$"
 #: Ends of words inside a plain chunk: a digit alone, or a run of neither letters nor digits.
 CUTS = r"([^\pL\pN]+|\pN)"
-_WHITE = re.compile(rb"[\x20\x09-\x0D]")
 
 #: Bytes of a word that the memo knows by its bytes; longer words are rare and encoded again in each slice.
 SHORT = 24
@@ -170,7 +170,7 @@ class Batches:
             got = [e.ids for e in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
             return np.array([len(x) for x in got], dtype=np.int64), np.fromiter(chain.from_iterable(got), dtype=np.uint32)
         counts, out = np.zeros(len(texts), dtype=np.int64), [np.empty(0, dtype=np.uint32)]
-        for rows, part in _slices(texts):
+        for rows, part in text_slices(texts, SLICE):
             n, ids = self._encode(part)
             np.add.at(counts, rows, n)
             out.append(ids)
@@ -216,30 +216,6 @@ def _with_room(array: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _slices(texts: pa.Array, size: int | None = None):
-    """Rows and their texts, a slice at a time; a text longer than a slice comes in parts that end before white space."""
-    size = size or SLICE
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64, count=texts.offset + len(texts) + 1)[texts.offset :]
-    if not len(texts) or texts.buffers()[2] is None:
-        return
-    data = texts.buffers()[2]
-    at, rows = [int(offsets[0])], []
-    for row, (begin, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-        while end - begin > size and (white := _WHITE.search(data, begin + size, end)):
-            begin = white.start()
-            at.append(begin)
-            rows.append(row)
-        at.append(end)
-        rows.append(row)
-    at, rows = np.array(at, dtype=np.int64), np.array(rows, dtype=np.int64)
-    k = 0
-    while k < len(rows):
-        stop = max(k + 1, int(np.searchsorted(at, at[k] + size, side="right")) - 1)
-        own = np.ascontiguousarray(at[k : stop + 1])
-        yield rows[k:stop], pa.LargeStringArray.from_buffers(stop - k, pa.py_buffer(own), data)
-        k = stop
-
-
 def batches(path: str) -> Batches:
     """The encoder of a vocabulary file, once in each Python worker."""
     if path not in _BATCHES:

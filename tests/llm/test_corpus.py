@@ -416,6 +416,18 @@ def test_chunks_and_sketches(spark, monkeypatch):
     assert shingles.odd_similarity(sketch[0], sketch[:1], 400)[0] == 1
 
 
+def test_shingles_of_long_texts(monkeypatch):
+    import pyarrow as pa
+
+    texts = pa.array([LONG[:5000], None, "a b", "", LONG[:900], "x" * 2000, "c d e f", LONG[:1500] + " tail"])
+    want = shingles.shingle_sets(texts, 3)
+    words = [WORD.findall((t or "").lower()) for t in texts.to_pylist()]
+    assert [len(x) for x in want] == [len({tuple(w[k : k + 3]) for k in range(len(w) - 2)}) if len(w) >= 3 else int(bool(w)) for w in words]
+    for size in (10, 100, 1000):
+        monkeypatch.setattr(shingles, "SLICE", size)
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(shingles.shingle_sets(texts, 3), want, strict=True))
+
+
 def test_patience():
     assert line_dedup.patience(list("abcd"), list("abcd")) == [(k, k) for k in range(4)]
     assert line_dedup.patience(list("xabcy"), list("zabcw")) == [(1, 1), (2, 2), (3, 3)]
