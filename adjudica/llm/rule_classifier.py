@@ -203,4 +203,6 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 
 def drop_low_quality(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of docs that score() predicts to be of label 1; columns of any name stay as they are."""
-    return with_statistics(docs).filter(model.score() >= threshold).select(*columns_of(docs))
+    # a numbered row keeps the filter above the statistics: below them, it would compute them anew for each rule
+    scored = with_statistics(docs).select("_row", model.score().alias("_score"), F.monotonically_increasing_id().alias("_place"))
+    return scored.filter(F.col("_score") >= threshold).select(*columns_of(docs))
