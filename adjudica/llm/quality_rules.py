@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adjudica.llm.common import SPACE, written
-from adjudica.llm.text_stats import CLASSES, class_counts, duplicate_lines, js_distance, js_term, let, repeated_words, uncommon, word_chars, words
+from adjudica.llm.text_stats import CLASSES, class_counts, duplicate_lines, js_distance, js_term, let, repeated_words, split_words, uncommon, word_chars, words
 
 #: Cells of the word histogram besides the rest, and the parts that words are ranked in first.
 COMMON_WORDS = 32
@@ -37,7 +37,7 @@ def references(docs: DataFrame) -> DataFrame:
     docs has text and lang. Counts are over all documents; ranks take the more frequent word, then the lesser.
     """
     slim = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = slim.select("lang", F.explode(words(F.col("text"))).alias("word")).groupBy("lang", F.lower("word").alias("word")).agg(F.count("*").alias("n"))
+    counts = slim.select("lang", F.explode(F.array_remove(split_words(F.col("text")), "")).alias("word")).groupBy("lang", F.lower("word").alias("word")).agg(F.count("*").alias("n"))
     counts = written(counts, "word-counts")
     sizes = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     known = sizes.filter("lang is not null")

@@ -30,7 +30,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text; none of a null one."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), "")
+    return F.filter(split_words(text), lambda w: w != "")  # a lambda is computed once, however often it is named
+
+
+def split_words(text: Column) -> Column:
+    """A text's words, and an empty one where white space begins or ends it."""
+    return F.split(F.coalesce(text, F.lit("")), f"{SPACE}+")
 
 
 def word_chars(words_of: Column) -> Column:
