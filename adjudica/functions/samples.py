@@ -49,8 +49,8 @@ def effective_spacing(json_value: Column, dicom_value: Column) -> Column:
 
 
 def view_position(labels: Column) -> Column:
-    """The first case label of the series types."""
-    return F.get(F.filter(labels, lambda x: x["code_system"] == "CRSeriesTypes"), F.lit(0))["code_text_eng"]
+    """The first named case label of the series types."""
+    return F.get(F.filter(labels, lambda x: (x["code_system"] == "CRSeriesTypes") & (F.coalesce(x["code_text_eng"], F.lit("")) != "")), F.lit(0))["code_text_eng"]
 
 
 def relative_path(path: Column, base: str) -> Column:
@@ -65,20 +65,68 @@ def reference_status(corrupt: Column, shapes_differ: Column, kinds: Column, requ
     return F.when(whole & ~corrupt & ~shapes_differ, "available").when(corrupt, "corrupt").when(shapes_differ, "shape_mismatch").when(F.array_contains(kinds, "lung"), "lung_only").otherwise("no_reference")
 
 
-#: A sample's columns by name; a new column is a line here.
-FIELD_BUILDERS: dict[str, Callable[[], Column]] = {
-    "sample_id": lambda: F.col("file"), "dataset_id": lambda: F.col("dataset_id"), "patient_id": lambda: F.nullif(F.col("patient_id"), F.lit("")),
-    "study_date": lambda: F.nullif(F.col("study_date"), F.lit("")), "dicom_file": lambda: F.col("image_path"), "spacing": lambda: spacing(F.col("spacing_x"), F.col("spacing_y")),
-    "image_shape": lambda: F.when(F.col("shape_w").isNotNull(), F.struct(F.col("shape_w").alias("w"), F.col("shape_h").alias("h"))),
-    "manufacturer": lambda: F.nullif(F.col("manufacturer"), F.lit("")), "view_position": lambda: view_position(F.col("case_labels")),
-    "series_image_index": lambda: F.col("series_image_index"), "series_image_count": lambda: F.col("series_image_count"),
+def record_path(column: str, base: str | None) -> Column:
+    return relative_path(F.col(column), base) if base else F.col(column)
+
+
+def mask(column: str, base: str | None) -> Column:
+    """A mask's struct, which is there even if its path is null."""
+    return F.struct(record_path(column, base).alias("pixel_array"))
+
+
+def lung_rect(lung: Column, thorax: Column) -> Column:
+    """The box around both, its far edges exclusive; none without both."""
+    return F.when(lung.isNotNull() & thorax.isNotNull(), F.struct(
+        F.least(lung["min_x"], thorax["min_x"]).alias("x_min"), F.least(lung["min_y"], thorax["min_y"]).alias("y_min"),
+        (F.greatest(lung["max_x"], thorax["max_x"]) + 1).alias("x_max"), (F.greatest(lung["max_y"], thorax["max_y"]) + 1).alias("y_max"),
+    ))
+
+
+def _blank(column: str) -> Column:
+    return F.nullif(F.col(column), F.lit(""))
+
+
+#: A sample's columns by name, of the folder that paths are written below; a new column is a line here (X4). Labels come
+#: with the row (case_labels(), enrichment), measurements of pixels too.
+FIELD_BUILDERS: dict[str, Callable[[str | None], Column]] = {
+    "patient_id": lambda base: _blank("patient_id"),
+    "dicom_file": lambda base: record_path("image_path", base),
+    "image_file": lambda base: record_path("image_file", base),
+    "pixel_spacing": lambda base: spacing(F.col("spacing_x"), F.col("spacing_y")),
+    "image_shape": lambda base: F.when(F.col("shape_w").isNotNull() & F.col("shape_h").isNotNull(), F.struct(F.col("shape_h").alias("height"), F.col("shape_w").alias("width"))),
+    "facility_id": lambda base: _blank("institution"),
+    "vendor_id": lambda base: _blank("manufacturer"),
+    "view_position": lambda base: view_position(F.col("case_labels")),
+    "pneumothorax_case": lambda base: F.col("pneumothorax_case"),
+    "abnormal_finding_status": lambda base: F.col("abnormal_finding_status"),
+    "pneumothorax_side": lambda base: F.col("pneumothorax_side"),
+    "bulla_bleb_status": lambda base: F.col("bulla_bleb_status"),
+    "pleural_effusion_status": lambda base: F.col("pleural_effusion_status"),
+    "pneumothorax_mask": lambda base: mask("mask_path", base),
+    "lung_mask": lambda base: mask("lung_mask_path", base),
+    "thorax_mask": lambda base: mask("thorax_mask_path", base),
+    "lung_rect": lambda base: lung_rect(F.col("lung_box"), F.col("thorax_box")),
+    "pneumothorax_area_pix2": lambda base: F.col("pneumothorax_pixels"),
+    "pneumothorax_area_mm2": lambda base: F.col("pneumothorax_area"),
 }
+_BOX = "struct<min_x:int,min_y:int,max_x:int,max_y:int>"
+#: Of what an image may lack, null by then.
+MEASURED = {
+    "image_file": "string", "mask_path": "string", "lung_mask_path": "string", "thorax_mask_path": "string", "lung_box": _BOX, "thorax_box": _BOX,
+    "pneumothorax_pixels": "bigint", "pneumothorax_area": "double", "pneumothorax_side": "string",
+}
+
+
+def labelled(images: DataFrame, config: dict = settings.DEFAULTS) -> DataFrame:
+    """Images with ann_labels, and the columns of case_labels() beside (L10); no annotation names a side."""
+    out = images.withColumns(case_labels(config))
+    return out if "pneumothorax_side" in out.columns else out.withColumn("pneumothorax_side", F.lit(None).cast("string"))
 
 
-def samples(images: DataFrame, config: dict = settings.DEFAULTS) -> DataFrame:
-    """The sample table of images with ann_labels."""
-    fields = {k: f() for k, f in FIELD_BUILDERS.items()} | case_labels(config)
-    return images.select(*[c.alias(k) for k, c in fields.items()])
+def samples(images: DataFrame, base: str | None = None) -> DataFrame:
+    """sample_id (the file's name) and the 19 fields of labelled images (P5)."""
+    known = images.withColumns({c: F.lit(None).cast(kind) for c, kind in MEASURED.items() if c not in images.columns})
+    return known.select(F.col("file").alias("sample_id"), *[f(base).alias(k) for k, f in FIELD_BUILDERS.items()])
 
 
 def report_in_scope(report: Column, statuses: list[str]) -> Column:

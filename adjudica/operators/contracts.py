@@ -41,14 +41,31 @@ def decision_rules() -> dict[str, Column]:
     }
 
 
-def sample_rules() -> dict[str, Column]:
-    """What holds of every exported sample (V3)."""
+def sample_rules(columns: list[str] | None = None) -> dict[str, Column]:
+    """What holds of every exported sample (V3), of those of its columns that it has; a side needs a case."""
     three = lambda c: F.col(c).isin("present", "absent", "unknown")
+    has = lambda c: columns is None or c in columns
+    rules = {c: three(c) for c in ("abnormal_finding_status", "bulla_bleb_status", "pleural_effusion_status") if has(c)}
     side = F.col("pneumothorax_side")
-    return {
-        "abnormal_finding_status": three("abnormal_finding_status"), "bulla_bleb_status": three("bulla_bleb_status"), "pleural_effusion_status": three("pleural_effusion_status"),
-        "side_vocabulary": side.isNull() | side.isin("left", "right", "bilateral"), "side_needs_case": side.isNull() | F.col("pneumothorax_case"),
-    }
+    if has("pneumothorax_side"):
+        rules["side_vocabulary"] = side.isNull() | side.isin("left", "right", "bilateral")
+        if has("pneumothorax_case"):
+            rules["side_needs_case"] = side.isNull() | F.col("pneumothorax_case")
+    return rules
+
+
+def image_violations(decisions: DataFrame, images: DataFrame, key: str = "file_uid") -> DataFrame:
+    """key and rule (V2): images without a decision, decisions without an image, images with several."""
+    n = decisions.groupBy(F.col(key).alias("_d")).agg(F.count("*").alias("_n"))
+    j = images.select(key).distinct().withColumn("_i", F.lit(True)).join(n, F.col(key) == F.col("_d"), "full_outer")
+    rule = F.when(F.col("_n").isNull(), "no_decision").when(F.col("_i").isNull(), "no_image").when(F.col("_n") > 1, "several_decisions")
+    return j.select(F.coalesce(key, "_d").alias(key), rule.alias("rule")).filter("rule is not null")
+
+
+def changed_sources(before: DataFrame, after: DataFrame, name: str = "path", digest: str = "sha256") -> DataFrame:
+    """Sources whose contents changed or went while a build ran (V7); empty if all is well."""
+    new = after.select(F.col(name).alias("_n"), F.col(digest).alias("_h"))
+    return before.join(new, F.col(name) == F.col("_n"), "left").filter(~F.col(digest).eqNullSafe(F.col("_h"))).select(name, F.col(digest).alias("before"), F.col("_h").alias("after"))
 
 
 def structure_diff(left: dict | DataFrame, right: dict | DataFrame) -> dict[str, list[str]]:

@@ -116,3 +116,36 @@ def gate(count: int, what: str, allow: bool = False, treat_as: str | None = None
     if not count or (allow and treat_as):
         return None
     return f"{count} {what}: " + ("say what they count as" if allow else "not allowed")
+
+
+def with_issues(rows: DataFrame, issues: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with check_ids, the sorted checks whose issues share their keys (J7); an empty list without any."""
+    found = issues.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.array_sort(F.collect_set("check_id")).alias("_checks"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    return rows.join(found, on, "left").withColumn("check_ids", F.coalesce("_checks", F.array().cast("array<string>"))).drop("_checks", *[f"_{k}" for k in keys])
+
+
+def review_scope(issues: DataFrame, decisions: DataFrame, keys: list[str], levels: list[str]) -> DataFrame:
+    """check_id, annotations and distinct levels (institutions, patients) that pending decisions leave to review.
+
+    issues has asks, whether a finding asks for review. An annotation counts once a check, however many issues it has."""
+    asked = issues.filter("asks").select("check_id", *keys).distinct()
+    open_ = decisions.filter("decision = 'pending'").select(*keys, *levels)
+    return asked.join(open_, keys).groupBy("check_id").agg(F.count("*").alias("annotations"), *[F.count_distinct(level).alias(level) for level in levels])
+
+
+def image_inputs(images: DataFrame, human: DataFrame, issues: DataFrame) -> DataFrame:
+    """What the ladder of images reads (J9): human_decision by stable_file_uid, which outlives a new export; detected, the
+    sorted checks that ask for review of the image as a whole, by file_uid; and whether its series is annotated.
+
+    images has dataset_id, study, series, file_uid, stable_file_uid and n_records; issues file_uid, geometry_uid, check_id
+    and asks; human key, decision and reason, one row a key.
+    """
+    verdict = human.select(F.col("key").alias("_v"), F.col("decision").alias("human_decision"), F.col("reason").alias("human_reason"))
+    whole = issues.filter("geometry_uid is null and asks").groupBy(F.col("file_uid").alias("_f")).agg(F.array_sort(F.collect_set("check_id")).alias("_checks"))
+    series = images.filter("n_records > 0").select(*[F.col(c).alias(f"_{c}") for c in ("dataset_id", "study", "series")]).distinct()
+    same = (F.col("dataset_id") == F.col("_dataset_id")) & (F.col("study") == F.col("_study")) & (F.col("series") == F.col("_series"))
+    j = images.join(verdict, F.col("stable_file_uid") == F.col("_v"), "left").join(whole, F.col("file_uid") == F.col("_f"), "left").join(series, same, "left")
+    return j.withColumns({"detected": F.coalesce("_checks", F.array().cast("array<string>")), "series_annotated": F.col("_series").isNotNull()}).drop("_v", "_f", "_checks", "_dataset_id", "_study", "_series")

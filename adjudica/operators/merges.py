@@ -1,4 +1,4 @@
-"""Merging trees, samples and verdict stores without losing rows."""
+"""Merging trees, samples and verdict stores without losing rows."""
 
 from __future__ import annotations
 
@@ -84,7 +84,7 @@ def empty_containers(containers: DataFrame, files: DataFrame, keys: list[str]) -
 
 
 def merge_samples(primary: DataFrame, secondary: DataFrame, key: str, fill: dict[str, list]) -> DataFrame:
-    """All samples of both (J11, L12): primary rows, their columns of `fill` enriched where they hold one of the given
+    """All samples of both (J11): primary rows, their columns of `fill` enriched where they hold one of the given
     weak values (None for null) and the secondary's is not; rows that only the secondary has; and origin (J21)."""
     j = primary.withColumn("_p", F.lit(True)).alias("p").join(secondary.withColumn("_s", F.lit(True)).alias("s"), F.col(f"p.{key}") == F.col(f"s.{key}"), "full_outer")
     in_p, in_s = F.col("_p").isNotNull(), F.col("_s").isNotNull()
@@ -103,22 +103,6 @@ def merge_samples(primary: DataFrame, secondary: DataFrame, key: str, fill: dict
     return j.select(*cols, origin.alias("origin"))
 
 
-def enriched_case(status: Column, case: Column, report_status: Column, n_findings: Column) -> Column:
-    """A struct (case, evidence, change, conflict) of labels enriched by a report (L11): annotations beat reports.
-
-    A report of presence upgrades an unconfirmed case only; one of absence without findings adds evidence; a report
-    that contradicts a confirmed case is a conflict and changes nothing.
-    """
-    up = (case == "unconfirmed") & (report_status == "present")
-    explicit = (report_status == "absent") & (n_findings == 0) & (status != "present")
-    clash = ((case == "true") & (report_status == "absent")) | ((case == "false") & (report_status == "present"))
-    return F.struct(
-        F.when(up, "true").when(explicit & (case == "unconfirmed"), "false").otherwise(case).alias("case"),
-        F.when(up, "report_positive").when(explicit, "report_negative").otherwise("annotation").alias("evidence"),
-        (up | (explicit & (case == "unconfirmed"))).alias("change"), F.coalesce(clash, F.lit(False)).alias("conflict"),
-    )
-
-
 def version_diff(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """what and n: keys removed, added and common, and for each field how many common keys differ in it."""
     removed = old.join(new, key, "left_anti").agg(F.count("*").alias("n")).select(F.lit("removed").alias("what"), "n")

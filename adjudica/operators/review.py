@@ -9,25 +9,46 @@ from adjudica.operators.rollups import vocabulary_ordered
 from adjudica.operators.scale import numbered
 
 
-
-def views() -> dict[str, Column]:
-    """Conditions of the saved views, over status, kind, tags (an array), n_reasons and flagged."""
-    has = lambda t: F.array_contains("tags", t)
-    pending = F.col("status") == "pending"
+#: Tags of machine findings, of rows to report, of rows to look at by chance, and of rows that are none (fixed values).
+OUTSIDE, DIVERGENT, NESTED = "auto:s05_outside_body", "auto:s04_original_final_divergence", "auto:d04_contained_different_label"
+TINY = ("auto:s03_suspiciously_small", "auto:s03_tiny_annotation", "auto:s03_stray_component")
+TO_REPORT, SPOT_CHECK, SEED = "flag:needs_report", "spot_check", "system:schema_seed"
+
+
+def views() -> dict[str, tuple[Column, list[Column]]]:
+    """The saved views (F16): a condition and an order each, over kind, status, tags (an array), n_reasons, display_adjusted,
+    dataset_id, image_class, series_image_index and uid."""
+    has = lambda *tags: F.arrays_overlap(F.coalesce("tags", F.array().cast("array<string>")), F.array(*[F.lit(t) for t in tags]))
+    annotation, image, pending = F.col("kind") == "annotation", F.col("kind") == "image", F.col("status") == "pending"
+    plain = [F.col("uid")]
     return {
-        "pending_annotations": pending & (F.col("kind") == "annotation"), "pending_images": pending & (F.col("kind") == "image"), "kept": F.col("status") == "keep",
-        "excluded": F.col("status") == "exclude", "uncertain": F.col("status") == "uncertain", "tagged_conflict": has("conflict"), "tagged_duplicate": has("duplicate"),
-        "tagged_small": has("small"), "with_reasons": F.col("n_reasons") > 0, "without_reasons": F.col("n_reasons") == 0, "flagged": F.col("flagged"), "spot_check": has("spot_check"),
+        "all": (F.lit(True), plain), "pending_annotations": (annotation & pending, plain), "pending_images": (image & pending, plain),
+        "outside_body": (annotation & has(OUTSIDE), plain), "tiny_region": (annotation & has(*TINY), plain), "contained_different_label": (annotation & has(NESTED), plain),
+        "broken_box": (annotation & F.col("display_adjusted").isNotNull(), plain), "flagged_for_report": (image & has(TO_REPORT), plain),
+        "original_final_divergence": (annotation & has(DIVERGENT), plain), "needs_report_first": (F.lit(True), [has(TO_REPORT).desc(), *plain]),
+        "reasoned_decisions": (annotation & (F.col("n_reasons") > 0) & ~has(SEED), plain),
+        "spot_check_unannotated": (image & has(SPOT_CHECK), [F.col("dataset_id"), F.col("image_class"), F.col("series_image_index"), *plain]),
     }
 
 
+def view(items: DataFrame, name: str) -> DataFrame:
+    test, order = views()[name]
+    return items.filter(F.coalesce(test, F.lit(False))).orderBy(*order)
+
+
 def register_views(items: DataFrame, prefix: str = "review_") -> list[str]:
-    """Temporary views by the saved conditions, flagged rows first in each."""
-    for name, test in views().items():
-        items.filter(F.coalesce(test, F.lit(False))).orderBy(F.desc("flagged"), "uid").createOrReplaceTempView(prefix + name)
+    """Temporary views by the saved conditions and orders."""
+    for name in views():
+        view(items, name).createOrReplaceTempView(prefix + name)
     return [prefix + n for n in views()]
 
 
+def view_counts(items: DataFrame) -> DataFrame:
+    """name and n of each saved view, zeros too, in one pass."""
+    one = items.agg(*[F.count_if(F.coalesce(test, F.lit(False))).alias(name) for name, (test, _) in views().items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(v).alias("name"), F.col(v).alias("n")) for v in views()])).alias("x")).select("x.*")
+
+
 def unverified(df: DataFrame) -> DataFrame:
     """Rows with checks that could not be done."""
     return df.filter(F.coalesce(F.col("unverified_checks"), F.lit("none")) != "none")

@@ -142,3 +142,22 @@ def vocabulary_ordered(tags: Column, vocabulary: list[str]) -> Column:
     """The tags that the vocabulary knows, in its order, pipe-joined; none if there are none."""
     known = F.filter(F.array(*[F.lit(v) for v in vocabulary]), lambda v: F.coalesce(F.array_contains(tags, v), F.lit(False)))
     return F.coalesce(F.nullif(F.array_join(known, "|"), F.lit("")), F.lit("none"))
+
+
+def counted_once(df: DataFrame, uid: str, order: list[str], levels: list[str]) -> DataFrame:
+    """n, the rows of different uid, and distinct levels of the first row of each uid by order."""
+    first = df.groupBy(uid).agg(F.min_by(F.struct(*levels), F.struct(*order)).alias("x"))
+    return first.agg(F.count("*").alias("n"), *[F.count_distinct(f"x.{c}").alias(c) for c in levels])
+
+
+def counts_by_type(df: DataFrame, keys: list[str], kind: str) -> DataFrame:
+    """counts, a map of kinds to numbers of rows by key (A35); one entry a kind, its keys sorted."""
+    n = df.groupBy(*keys, kind).agg(F.count("*").alias("_n"))
+    return n.filter(F.col(kind).isNotNull()).groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(kind, "_n")))).alias("counts"))
+
+
+def automatic_summary(decisions: DataFrame, undecidable: DataFrame) -> DataFrame:
+    """One row (A36): automatic exclusions and keeps, groups (one keep each), and what neither rule decides."""
+    d = F.col("decision")
+    one = decisions.agg(F.count_if(d == "exclude").alias("automatic_exclude"), F.count_if(d == "keep").alias("automatic_keep"), F.count_if(d == "keep").alias("duplicate_groups"))
+    return one.crossJoin(undecidable.agg(F.count("*").alias("undecidable")))  # two tables of one row

@@ -492,7 +492,7 @@ s AS (SELECT o_custkey AS id, CASE WHEN max(o_orderstatus) = 'P' THEN 'absent' W
 SELECT coalesce(p.id, s.id) AS id, CASE WHEN p.id IS NULL THEN s.status WHEN s.id IS NOT NULL AND coalesce(p.status, 'unknown') = 'unknown' AND coalesce(s.status, 'unknown') <> 'unknown' THEN s.status ELSE p.status END AS status,
   CASE WHEN p.id IS NOT NULL AND s.id IS NOT NULL THEN 'both' WHEN p.id IS NOT NULL THEN 'primary' ELSE 'secondary' END AS origin FROM p FULL JOIN s ON p.id = s.id""")
 def sample_merge(spark, sf):
-    """A full outer merge in which the primary wins and only weak values are filled."""
+    """A full outer merge in which the primary wins and only weak values are filled."""
     k = F.col("c_custkey") % 3
     p = _t(spark, sf, "customer").filter("c_acctbal >= 0").select(F.col("c_custkey").alias("id"), F.when(k == 0, None).when(k == 1, "unknown").otherwise("present").alias("status"))
     top = F.max("o_orderstatus")

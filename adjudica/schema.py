@@ -10,9 +10,11 @@ SOURCE_DDL = f"""
 version_id STRING, version_date STRING,
 dataset MAP<STRING, MAP<STRING, STRUCT<
   patient_id: STRING, study_name: STRING, study_date: STRING, annotations: {_CASE},
-  report_labels: STRUCT<pneumothorax_status: STRING, pneumothorax_side: STRING, bulla_bleb_status: STRING, pleural_effusion_status: STRING,
-    finding_labels_observed: ARRAY<STRING>, pneumothorax_evidence: STRING, pneumothorax_certainty_max: STRING,
-    pneumothorax_certainty_counts: MAP<STRING, INT>, schema_version: INT, needs_review: BOOLEAN, flags: ARRAY<STRING>>,
+  report_labels: STRUCT<study_name: STRING, source_dataset_id: STRING, source_json: STRING, schema_version: INT, needs_review: BOOLEAN, flags: ARRAY<STRING>, finding_labels_observed: ARRAY<STRING>,
+    pneumothorax_status: STRING, pneumothorax_side: STRING, pneumothorax_subtype: STRING, pneumothorax_evidence: STRING, pneumothorax_certainty_max: STRING,
+    pneumothorax_certainty_counts: MAP<STRING, INT>, pneumothorax_absent_certainty_counts: MAP<STRING, INT>,
+    bulla_bleb_status: STRING, bulla_bleb_evidence: STRING, bulla_bleb_certainty_max: STRING, bulla_bleb_certainty_counts: MAP<STRING, INT>,
+    pleural_effusion_status: STRING, pleural_effusion_evidence: STRING, pleural_effusion_certainty_max: STRING, pleural_effusion_flags: ARRAY<STRING>>,
   series_list: MAP<STRING, STRUCT<
     spacing: STRUCT<x: DOUBLE, y: DOUBLE, z: DOUBLE>, shape: STRUCT<w: INT, h: INT, z: INT>, manufacturer: STRING, annotations: {_CASE},
     file_list: MAP<STRING, STRUCT<

@@ -16,9 +16,10 @@ def read_cache(spark: SparkSession, path: str, schema: str, files: DataFrame | N
     return rows.join(files.select("file_uid"), "file_uid", "left_semi") if files is not None else rows
 
 
-def pending(groups: DataFrame, done: DataFrame, key: str = "file_uid") -> DataFrame:
-    """What a resumed scan still has to do (SC20)."""
-    return groups.join(done.select(key), key, "left_anti")
+def pending(groups: DataFrame, done: DataFrame, key: str = "file_uid", limit: int | None = None) -> DataFrame:
+    """What a resumed scan still has to do (SC20), or the first `limit` of it by key."""
+    left = groups.join(done.select(key), key, "left_anti")
+    return left.orderBy(key).limit(limit) if limit is not None else left
 
 
 def blank_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -52,6 +53,14 @@ def read_samples(spark: SparkSession, path: str, sample_ddl: str) -> DataFrame:
     return checked.select(F.explode("d.samples").alias("sample_id", "s")).select("sample_id", "s.*")
 
 
+def read_sample_lines(spark: SparkSession, path: str, sample_ddl: str) -> DataFrame:
+    """read_samples() of a folder by export.write_dataset(), line by line, so that no task holds the document (SC13)."""
+    lines = spark.read.text(path).filter(F.col("value").startswith('"'))
+    whole = F.concat(F.lit("{"), F.regexp_replace("value", ",$", ""), F.lit("}"))
+    read = lines.select(F.explode(F.from_json(whole, f"MAP<STRING, STRUCT<{sample_ddl}>>")).alias("sample_id", "s"))
+    return read.select("sample_id", "s.*")
+
+
 def read_rules(path: str | None) -> list[dict]:
     """Override rules; none without a file. A scalar is a list of one, null a wildcard (SC15)."""
     if not path:
@@ -94,13 +103,89 @@ def sorted_detail(detail: Column) -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(detail))))
 
 
+#: Columns of the issue table in their order (fixed values).
+ISSUE_COLUMNS = (
+    "check_id", "category", "severity", "status", "review_priority", "review_required", "dataset_id", "source_json", "institution", "study", "series", "file",
+    "geometry_uid", "annotation_type", "image_path", "mask_path", "message", "cannot_determine_reason", "duplicate_group_id", "related_geometry_uids", "detail",
+)
+
+
+def issue_table(issues: DataFrame) -> DataFrame:
+    """Issues flattened to ISSUE_COLUMNS (SK2): lists joined by |, detail as sorted JSON, blanks for what is missing."""
+    def flat(c: str) -> Column:
+        if c not in issues.columns:
+            return F.lit("")
+        kind = issues.schema[c].dataType.typeName()
+        value = F.array_join(c, "|") if kind == "array" else sorted_detail(F.col(c)) if kind == "map" else F.col(c).cast("string")
+        return F.coalesce(value, F.lit("{}" if c == "detail" else ""))
+
+    return issues.select(*[c for c in ("check_ord",) if c in issues.columns], *[flat(c).alias(c) for c in ISSUE_COLUMNS])
+
+
 def write_issues(issues: DataFrame, path: str) -> None:
-    """SK2: JSON lines and CSV, in registry order."""
-    flat = null_to_blank(issues.withColumn("detail", sorted_detail(F.col("detail")))).orderBy("check_ord", "dataset_id", "file_uid", "geometry_uid")
+    """SK2: JSON lines and CSV of the 21 columns, in registry order."""
+    flat = issue_table(issues if "check_ord" in issues.columns else issues.withColumn("check_ord", F.lit(0)))
+    flat = flat.orderBy("check_ord", "dataset_id", "source_json", "institution", "study", "series", "file", "geometry_uid").drop("check_ord")
     flat.write.mode("overwrite").json(f"{path}/json")
     flat.write.mode("overwrite").csv(f"{path}/csv", header=True)
 
 
+def write_verdicts(base: DataFrame | None, incoming: DataFrame, path: str) -> DataFrame:
+    """The verdict store after incoming rows are merged into base (SK8), as JSON lines and CSV below path; returns its rows.
+
+    Annotations first, then images, each by dataset and key, so that versions compare line by line. A conflict that no
+    stamp decides stops the job before anything is written.
+    """
+    from adjudica.operators import merges
+    from adjudica.storage import written
+
+    keys = ["kind", "dataset_id", "key"]
+    rows = incoming.filter("dataset_id is not null and key is not null")
+    if base is not None:
+        rows = merges.without_conflicts(merges.upsert(base, rows, keys, "decision", "reviewed_at"), keys)
+    rows = written(null_to_blank(rows), "verdicts")
+    ordered = rows.orderBy(*keys)
+    ordered.write.mode("overwrite").json(f"{path}/json")
+    ordered.write.mode("overwrite").csv(f"{path}/csv", header=True)
+    return rows
+
+
+def ordered_distinct(values: list) -> list:
+    """Each value once, in the order of its first place."""
+    return list(dict.fromkeys(values))
+
+
+def newest_tagged(root: str, name: str) -> str | None:
+    """The file of that name in the last of root's folders by name that holds one (T11): tags count, not times."""
+    import os
+
+    held = [os.path.join(root, d, name) for d in sorted(os.listdir(root), reverse=True)] if os.path.isdir(root) else []
+    return next((p for p in held if os.path.isfile(p)), None)
+
+
+def newest_written(root: str, name: str) -> str | None:
+    """The folder whose file of that name was written last."""
+    import glob
+    import os
+
+    held = glob.glob(os.path.join(glob.escape(root), "*", name))
+    return os.path.dirname(max(held, key=os.path.getmtime)) if held else None
+
+
+def runs(root: str, current: str, artifacts: tuple[str, ...] = ("issues", "dashboard", "selection"), selected: str = "selection") -> list[dict]:
+    """Runs below a root, a folder by fingerprint (A34): which artifacts each has and when its selection was written; those
+    with a selection first, by that time."""
+    import os
+
+    found = []
+    for name in sorted(os.listdir(root)) if os.path.isdir(root) else []:
+        home = os.path.join(root, name)
+        if os.path.isdir(home):
+            has = {a: os.path.exists(os.path.join(home, a)) for a in artifacts}
+            found.append({"fingerprint": name, "is_current": name == current, "artifacts": has, "mtime": os.path.getmtime(os.path.join(home, selected)) if has.get(selected) else None})
+    return sorted(found, key=lambda r: (r["mtime"] is None, r["mtime"] or 0))
+
+
 def write_table(df: DataFrame, path: str, key: list[str]) -> None:
     """SK3, SK4, SK9: a CSV table in the order of its key."""
     null_to_blank(df).orderBy(*key).write.mode("overwrite").csv(path, header=True)

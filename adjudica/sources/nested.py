@@ -62,10 +62,14 @@ def report_labels(r: Column) -> Column:
     status = lambda c: F.coalesce(F.nullif(r[c], F.lit("")), F.lit("unknown")).alias(c)
     seen = F.coalesce(r["finding_labels_observed"], F.array())
     known = F.filter(F.array(*[F.lit(x) for x in OBSERVED]), lambda x: F.array_contains(seen, x))
+    listed = lambda c: F.coalesce(r[c], F.array().cast("array<string>")).alias(c)
+    counts = lambda c: F.coalesce(r[c], F.create_map().cast("map<string,int>")).alias(c)
+    as_is = ("pneumothorax_side", "pneumothorax_subtype", "pneumothorax_evidence", "pneumothorax_certainty_max", "bulla_bleb_evidence", "bulla_bleb_certainty_max", "pleural_effusion_evidence", "pleural_effusion_certainty_max")
     return F.when(r.isNotNull(), F.struct(
-        status("pneumothorax_status"), r["pneumothorax_side"].alias("pneumothorax_side"), status("bulla_bleb_status"), status("pleural_effusion_status"),
-        known.alias("findings"), F.size(seen).alias("observed_finding_count"), r["pneumothorax_certainty_max"].alias("certainty_max"),
-        F.coalesce(r["needs_review"], F.lit(False)).alias("needs_review"), F.coalesce(r["flags"], F.array()).alias("flags"),
+        status("pneumothorax_status"), status("bulla_bleb_status"), status("pleural_effusion_status"), *[r[c].alias(c) for c in as_is],
+        *[counts(c) for c in ("pneumothorax_certainty_counts", "pneumothorax_absent_certainty_counts", "bulla_bleb_certainty_counts")], listed("pleural_effusion_flags"), listed("flags"),
+        known.alias("pleural_effusion_findings"), F.size(seen).alias("observed_finding_count"), F.coalesce(r["needs_review"], F.lit(False)).alias("needs_review"),
+        *[r[c].alias(c) for c in ("study_name", "source_dataset_id", "source_json", "schema_version")],
     ))
 
 

@@ -195,9 +195,16 @@ def test_summaries(spark):
 
 
 def test_review(spark):
-    items = spark.createDataFrame([("a", "image", "pending", ["conflict"], 1, True), ("b", "annotation", "pending", [], 0, False), ("c", "annotation", "keep", None, 0, False)], "uid string, kind string, status string, tags array<string>, n_reasons int, flagged boolean")
+    ddl = "uid string, kind string, status string, tags array<string>, n_reasons int, display_adjusted string, dataset_id string, image_class string, series_image_index int"
+    items = spark.createDataFrame([
+        ("a", "image", "pending", ["spot_check"], 1, None, "e", "x", 0), ("b", "annotation", "pending", ["auto:s03_stray_component"], 0, "x", "d", None, 0), ("c", "annotation", "keep", None, 2, None, "d", None, 0),
+        ("d", "image", "keep", ["spot_check", "flag:needs_report"], 0, None, "d", "x", 0), ("s", "annotation", "keep", ["system:schema_seed"], 9, None, "d", None, 0),
+    ], ddl)
     names = review.register_views(items)
-    assert len(names) == 12 and rows(spark.table("review_pending_images").select("uid")) == [("a",)] and spark.table("review_tagged_conflict").count() == 1
+    seen = {n: [r["uid"] for r in spark.table(n).collect()] for n in names}
+    assert len(names) == 12 and seen["review_pending_images"] == ["a"] and seen["review_pending_annotations"] == ["b"] and seen["review_tiny_region"] == ["b"] and seen["review_broken_box"] == ["b"]
+    assert seen["review_spot_check_unannotated"] == ["d", "a"] and seen["review_needs_report_first"] == ["d", "a", "b", "c", "s"] and seen["review_flagged_for_report"] == ["d"] and seen["review_reasoned_decisions"] == ["c"]
+    assert dict(rows(review.view_counts(items)))["reasoned_decisions"] == 1 and len(seen["review_all"]) == 5
     df = spark.createDataFrame([("small|zz", ["reason:x"], "y"), ("", ["reason:x", "review:later", "review:keep"], "y"), (None, None, "y|none"), ("none", ["status:keep"], None)], "f string, t array<string>, l string")
     got = [r[0] for r in df.select(review.effective_reasons(F.col("f"), F.col("t"), F.col("l"), ["x", "y", "small"])).collect()]
     assert got == ["small", "x", "y", "none"]

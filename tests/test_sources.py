@@ -42,7 +42,7 @@ def test_nested(spark, docs):
     assert got == [("a", 0, 2, "DS", 0), ("b", 1, 2, "DS", 2)]
     assert imgs.first()["file_uid"].startswith("engineer-set-DS-20260102_030405.json::INST/ST/S1/")
     report = imgs.first()["report"]
-    assert report["findings"] == ["pleural_effusion", "hemothorax"] and report["observed_finding_count"] == 3 and report["bulla_bleb_status"] == "unknown"
+    assert report["pleural_effusion_findings"] == ["pleural_effusion", "hemothorax"] and report["observed_finding_count"] == 3 and report["bulla_bleb_status"] == "unknown"
     ann = nested.annotations(imgs)
     got = [(r["geometry_uid"], r["ann_index"], r["min_x"], r["min_y"], r["region_count"], len(r["labels"]), r["stamp"] is None) for r in ann.orderBy("ann_index").collect()]
     assert got == [("g1", 0, 1, 0, None, 1, False), ("g2", 1, 0, 0, None, 1, True)]
@@ -54,10 +54,15 @@ def test_nested(spark, docs):
 def test_samples(docs):
     imgs = nested.images(docs[0])
     found = F.flatten(F.transform("records", lambda r: r["labels"]))
-    got = {r["sample_id"]: r for r in samples.samples(imgs.withColumn("ann_labels", found)).collect()}
+    labelled = samples.labelled(imgs.withColumn("ann_labels", found))
+    got = {r["file"]: r for r in labelled.collect()}
     assert (got["a"]["pneumothorax_case"], got["a"]["abnormal_finding_status"], got["a"]["case_evidence"]) == (False, "absent", "explicit_negative_normal")
     assert (got["b"]["pneumothorax_case"], got["b"]["findings"], got["b"]["bulla_bleb_status"]) == (True, ["pneumothorax"], "unknown")
-    assert got["a"]["spacing"] is None and got["a"]["image_shape"]["w"] == 10
+    made = samples.samples(labelled.withColumn("lung_box", F.struct(*[F.lit(v).alias(k) for k, v in (("min_x", 1), ("min_y", 2), ("max_x", 5), ("max_y", 6))])).withColumn("thorax_box", F.struct(*[F.lit(v).alias(k) for k, v in (("min_x", 0), ("min_y", 3), ("max_x", 9), ("max_y", 4))])))
+    a = made.filter("sample_id = 'a'").first()
+    assert a["pixel_spacing"] is None and a["image_shape"].asDict() == {"height": 20, "width": 10} and a["lung_rect"].asDict() == {"x_min": 0, "y_min": 2, "x_max": 10, "y_max": 7}
+    assert len(made.columns) == 20 and a["pneumothorax_mask"]["pixel_array"] is None and a["vendor_id"] is None
+    assert samples.samples(labelled).first()["lung_rect"] is None
     chosen, dropped = samples.export_groups(imgs, ["DS"], ["absent"], None)
     assert chosen.count() == 0 and rows(dropped) == [("present", 2)]
 
