@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,7 +130,10 @@ def largest_component(mask: np.ndarray) -> np.ndarray:
 
 
 def distance_outside(region: np.ndarray) -> np.ndarray:
-    """Euclidean distance of each pixel to a region, exactly, in pixels (G9): columns first, then rows by lower envelopes."""
+    """Euclidean distance of each pixel to a region, exactly, in pixels (G9): columns first, then rows.
+
+    A pixel's distance along its row can't be more than what it has already, so the walk ends at the greatest distance left.
+    """
     h, w = region.shape
     far = float((h + w) ** 2)
     d = np.where(region, 0.0, far)
@@ -137,10 +141,12 @@ def distance_outside(region: np.ndarray) -> np.ndarray:
         d[y] = np.where(region[y], 0.0, np.minimum(far, (np.sqrt(d[y - 1]) + 1) ** 2))
     for y in range(h - 2, -1, -1):
         d[y] = np.minimum(d[y], np.minimum(far, (np.sqrt(d[y + 1]) + 1) ** 2))
-    x = np.arange(w, dtype=np.float64)
-    out = np.empty_like(d)
-    for k in range(w):
-        out[:, k] = (d + (x - k) ** 2).min(axis=1)
+    out = d.copy()
+    for k in range(1, w):
+        if k * k >= out.max(initial=0.0):
+            break
+        np.minimum(out[:, k:], d[:, :-k] + k * k, out=out[:, k:])
+        np.minimum(out[:, :-k], d[:, k:] + k * k, out=out[:, :-k])
     return np.sqrt(out)
 
 
@@ -219,6 +225,39 @@ def write_png(image: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", image.shape[1], image.shape[0], depth, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
 
 
+def _unfiltered(raw: np.ndarray, kinds: np.ndarray, step: int) -> np.ndarray:
+    """Bytes of a PNG's rows (h x w * step) without their filters (0 to 4 a row).
+
+    Rows that look left or up only are sums. Where a row needs both, the image is walked by anti-diagonals of pixels: all
+    that a pixel looks at lies on the two before its own.
+    """
+    h, n = raw.shape
+    if not np.isin(kinds, (3, 4)).any():
+        out = raw.copy()
+        for y in range(h):
+            if kinds[y] == 1:
+                out[y] = np.cumsum(raw[y].reshape(-1, step), axis=0, dtype=np.uint8).reshape(-1)
+            elif kinds[y] == 2 and y:
+                out[y] += out[y - 1]
+        return out
+    w = n // step
+    pixels = raw.reshape(h, w, step)
+    walk = np.zeros((w + h + 1, h + 1, step), dtype=np.int16)  # by diagonal + 2 and row + 1; what lies outside stays 0
+    kind = kinds.astype(np.int16)[:, None]
+    rows = np.arange(h)
+    for k in range(w + h - 1):
+        lo, hi = max(0, k - w + 1), min(h, k + 1)
+        left, up, corner = walk[k + 1, lo + 1 : hi + 1], walk[k + 1, lo:hi], walk[k, lo:hi]
+        by_left, by_up, by_corner = np.abs(up - corner), np.abs(left - corner), np.abs(left + up - 2 * corner)
+        nearest = np.where((by_left <= by_up) & (by_left <= by_corner), left, np.where(by_up <= by_corner, up, corner))
+        own = kind[lo:hi]
+        guess = np.where(own == 4, nearest, np.where(own == 3, (left + up) >> 1, np.where(own == 2, up, np.where(own == 1, left, 0))))
+        y = rows[lo:hi]
+        walk[k + 2, lo + 1 : hi + 1] = (pixels[y, k - y] + guess) & 255
+    y, x = np.ogrid[:h, :w]
+    return walk[x + y + 2, y + 1].astype(np.uint8).reshape(h, n)
+
+
 def read_png(data: bytes) -> np.ndarray:
     """A PNG of 8 or 16 bits a channel without interlacing (SC16)."""
     if data[:8] != b"\x89PNG\r\n\x1a\n":
@@ -234,20 +273,7 @@ def read_png(data: bytes) -> np.ndarray:
         raise ValueError("unsupported PNG")
     channels = {0: 1, 2: 3, 4: 2, 6: 4}[colour]
     step, raw = channels * depth // 8, np.frombuffer(zlib.decompress(body), dtype=np.uint8).reshape(h, -1)
-    out = np.zeros((h, raw.shape[1] - 1), dtype=np.uint8)
-    above = np.zeros(raw.shape[1] - 1, dtype=np.uint8)
-    for y in range(h):
-        row, kind = raw[y, 1:].copy(), raw[y, 0]
-        if kind == 2:
-            row += above
-        elif kind:
-            for x in range(len(row)):
-                a = int(row[x - step]) if x >= step else 0
-                b, c = int(above[x]), int(above[x - step]) if x >= step else 0
-                p = a + b - c
-                best = min(((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c)))[2]
-                row[x] = (int(row[x]) + {1: a, 3: (a + b) // 2, 4: best}[int(kind)]) & 255
-        out[y] = above = row
+    out = _unfiltered(raw[:, 1:], raw[:, 0], step)
     image = out.reshape(h, w, channels) if depth == 8 else out.view(">u2").astype(np.uint16).reshape(h, w, channels)
     return image[..., 0] if channels == 1 else image
 
@@ -307,3 +333,41 @@ def measured_pairs(masks: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["file_uid", "uid_a", "uid_b", "iou", "containment_a_in_b", "containment_b_in_a", "pixel_identical"])
 
     return masks.select("file_uid", "geometry_uid", "ann_index", "content").groupBy("file_uid").applyInPandas(pairs, PAIR_DDL)
+
+
+def written_files(files: DataFrame, folder: str, force: bool = False) -> DataFrame:
+    """Writes name and content (bytes) of each row into a folder that all executors mount (SK12); name and status.
+
+    A status is written, exists (left alone but by force), empty (no content) or the error. A file appears whole, by a
+    rename, so that a task that runs twice does no harm. Names stay below the folder. Nothing is written before the
+    result is used, and it should be used once.
+    """
+
+    def rows(stream):
+        import os
+        import uuid
+
+        home = os.path.realpath(folder)
+        for batch in stream:
+            names, states = batch.column("name").to_pylist(), []
+            for name, content in zip(names, batch.column("content").to_pylist(), strict=True):
+                target = os.path.realpath(os.path.join(home, name or ""))
+                try:
+                    if content is None:
+                        states.append("empty")
+                    elif not name or not target.startswith(home + os.sep):
+                        states.append("error: not below the folder")
+                    elif os.path.exists(target) and not force:
+                        states.append("exists")
+                    else:
+                        os.makedirs(os.path.dirname(target), exist_ok=True)
+                        part = f"{target}.{uuid.uuid4().hex}.part"
+                        with open(part, "wb") as f:
+                            f.write(content)
+                        os.replace(part, target)
+                        states.append("written")
+                except OSError as e:
+                    states.append(f"error: {e.strerror}")
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(states, pa.string())], names=["name", "status"])
+
+    return files.select(F.col("name").cast("string").alias("name"), F.col("content").cast("binary").alias("content")).mapInArrow(rows, "name string, status string")

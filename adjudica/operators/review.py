@@ -148,6 +148,53 @@ def clock_seconds(*times: Column) -> Column:
     return F.coalesce(*[one(t) for t in times])
 
 
+#: What tags of an image are searched for, by kind, and how far apart exposures of one session may be (fixed values).
+TEXT_TAGS = ("ViewPosition", "AcquisitionDeviceProcessingDescription", "SeriesDescription")
+LATERAL_HINTS = ("lat", "側面", "l-r", "r-l")
+EXPIRATION_HINTS = ("呼気", "こき", "expir", "max-exp")
+INSPIRATION_HINTS = ("吸気", "inspir", "max-insp")
+SESSION_SECONDS = 600
+#: What is said of an image, in the order in which it is tried (fixed values).
+VIEW_KINDS = {
+    "lateral": "側面像 -> 除外のまま", "expiration": "呼気像（記述あり）-> train候補", "inspiration": "吸気像（記述あり）-> 呼気ではない", "paired_expiration": "ペアが呼気像 -> この枚は吸気側",
+    "same_view": "同一体位を連続撮影 -> 呼気像の候補", "same_size": "要目視（同サイズ・連続撮影だが撮影法タグが空）", "unknown": "要目視（判別材料なし）",
+}
+
+
+def _tag(tags: Column, name: str) -> Column:
+    return F.coalesce(tags[name], F.lit(""))
+
+
+def _mentions(tags: Column, hints: tuple[str, ...]) -> Column:
+    text = F.lower(F.concat_ws(" ", *[_tag(tags, t) for t in TEXT_TAGS]))
+    return F.greatest(*[text.contains(h) for h in hints])
+
+
+def phase(tags: Column) -> Column:
+    """expiration, inspiration or blank, by the first whose hints the tags hold."""
+    return F.when(_mentions(tags, EXPIRATION_HINTS), "expiration").when(_mentions(tags, INSPIRATION_HINTS), "inspiration").otherwise("")
+
+
+def view_kind(tags: Column, paired: Column, seconds: Column) -> Column:
+    """What can be said of an image by its tags and those of its pair (F17): a key of VIEW_KINDS.
+
+    tags and paired are maps of strings (null: none), seconds the time between the two, null if unknown.
+    """
+    near = F.coalesce(F.abs(seconds) <= SESSION_SECONDS, F.lit(False))
+    same = lambda t: _tag(tags, t) == _tag(paired, t)
+    described, sized = "AcquisitionDeviceProcessingDescription", "Rows"
+    own = phase(tags)
+    return (
+        F.when(_mentions(tags, LATERAL_HINTS), "lateral").when(own != "", own).when(phase(paired) == "expiration", "paired_expiration")
+        .when((_tag(tags, described) != "") & same(described) & near, "same_view").when((_tag(tags, sized) != "") & same(sized) & same("Columns") & near, "same_size").otherwise("unknown")
+    )
+
+
+def view_text(kind: Column) -> Column:
+    """The sentence of a kind."""
+    return F.create_map(*[F.lit(x) for pair in VIEW_KINDS.items() for x in pair])[kind]
+
+
 def protected_ids(provenance: DataFrame, key: str = "sample_id") -> DataFrame:
     """Identities that a merge must not relabel (L13): both lists of the evidence; another version of it is an error."""
     ok = F.when(F.col("schema_version") == 1, True).otherwise(F.raise_error(F.lit("unknown evidence version")).cast("boolean"))

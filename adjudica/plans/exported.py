@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudica.functions import samples
-from adjudica.operators import contracts, enrichment, export, ladders, merges, review, rollups
+from adjudica.operators import build, contracts, enrichment, export, ladders, merges, review, rollups
 from adjudica.plans.queries import _t, query
 from adjudica.sources import adapters, artifacts
 from adjudica.storage import scratch_path
@@ -299,3 +299,41 @@ def verdict_store(spark, sf):
     path = scratch_path(spark, "verdicts")
     artifacts.write_verdicts(base, fixed(o.filter(k % 3 == 0), F.lit("keep"), F.lit("2026-02-01")), path)
     return spark.read.json(f"{path}/json").groupBy("kind", "decision", "reviewed_at").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH v AS (SELECT o_orderkey AS f, CASE o_orderkey % 6 WHEN 0 THEN 'exclude' WHEN 1 THEN 'pending' ELSE 'keep' END AS iv, o_orderkey % 6 = 0 AS gone, o_orderkey % 6 <> 0 AND o_custkey % 9 = 0 AS dup FROM orders),
+a AS (SELECT DISTINCT l_orderkey AS f, l_linenumber AS n, CASE l_linenumber WHEN 1 THEN 'keep' WHEN 2 THEN 'pending' WHEN 3 THEN 'exclude' WHEN 4 THEN 'uncertain' WHEN 5 THEN NULL ELSE 'keep' END AS d FROM lineitem),
+g AS (SELECT f, count(*) AS n, count(*) FILTER (d = 'keep' OR d = 'pending') AS k, count(*) FILTER (d = 'keep') AS kept, count(*) FILTER (d = 'exclude') AS ex, count(*) FILTER (d = 'pending') AS pe, count(*) FILTER (d = 'uncertain') AS un, count(*) FILTER (d IS NULL OR d = 'uncertain') AS uk FROM a GROUP BY 1),
+j AS (SELECT v.*, NOT gone AND NOT dup AS stays, coalesce(n, 0) AS n, coalesce(k, 0) AS k, kept, ex, pe, un, uk FROM v LEFT JOIN g USING (f))
+SELECT count(*) AS images_total, count(*) FILTER (iv = 'pending') AS images_pending, count(*) FILTER (gone) AS images_dropped, count(*) FILTER (dup) AS duplicates_dropped, count(*) FILTER (stays) AS files_total, count(*) FILTER (stays AND n > 0 AND k = 0) AS files_emptied,
+  count(*) FILTER (stays AND n = 0) AS files_already_empty, CAST(sum(kept) FILTER (stays) AS BIGINT) AS kept, CAST(sum(ex) FILTER (stays) AS BIGINT) AS excluded, CAST(sum(pe) FILTER (stays) AS BIGINT) AS pending, CAST(sum(un) FILTER (stays) AS BIGINT) AS uncertain, CAST(sum(uk) FILTER (stays) AS BIGINT) AS unknown FROM j""")
+def build_numbers(spark, sf):
+    """A build with images and annotations taken out, pending ones kept, in numbers."""
+    o, k, n = _t(spark, sf, "orders"), F.col("o_orderkey"), F.col("l_linenumber")
+    images = o.select(F.lit("s").alias("source_json"), k.alias("file_uid"), *[F.lit("x").alias(c) for c in build.PATH], F.lit("p").alias("image_path"))
+    lines = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct().withColumn("annotation_uid", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    said = F.when(n == 2, "pending").when(n == 3, "exclude").when(n == 4, "uncertain").otherwise("keep")
+    verdicts = lines.filter(n != 5).select("annotation_uid", said.alias("decision"))
+    image_verdicts = o.select(k.alias("file_uid"), F.when(k % 6 == 0, "exclude").when(k % 6 == 1, "pending").otherwise("keep").alias("decision"))
+    annotations = lines.select(F.col("l_orderkey").alias("file_uid"), "annotation_uid", n.alias("ann_index"), F.struct("annotation_uid").alias("annotation"))
+    return build.build(images, annotations, verdicts, image_verdicts, pending_as="keep", losers=o.filter("o_custkey % 9 = 0").select(k.alias("file_uid")))[1]
+
+
+_HINTS = {"lateral": review.LATERAL_HINTS, "expiration": review.EXPIRATION_HINTS, "inspiration": review.INSPIRATION_HINTS}
+
+
+@query("""
+WITH t AS (SELECT lower(coalesce(split_part(text, ' ', 1), '') || ' ' || coalesce(split_part(text, ' ', 2), '') || ' ' || coalesce(split_part(text, ' ', 3), '')) AS h, split_part(text, ' ', 2) AS a, doc_id FROM documents WHERE text IS NOT NULL)
+SELECT CASE """ + " ".join("WHEN " + " OR ".join(f"contains(h, '{x}')" for x in hints) + f" THEN '{kind}'" for kind, hints in _HINTS.items()) + """ WHEN doc_id % 7 = 0 THEN 'paired_expiration'
+  WHEN a <> '' AND doc_id % 7 = 1 AND doc_id % 900 <= 600 THEN 'same_view' WHEN doc_id % 7 = 2 AND doc_id % 900 <= 600 THEN 'same_size' ELSE 'unknown' END AS kind, count(*) AS n FROM t GROUP BY 1""")
+def view_kinds(spark, sf):
+    """What the tags of an image and of its pair say, the first rule that fits."""
+    part = F.split("text", " ", -1)
+    word = lambda i: F.coalesce(F.get(part, F.lit(i)), F.lit(""))
+    tags = F.create_map(F.lit("ViewPosition"), word(0), F.lit("AcquisitionDeviceProcessingDescription"), word(1), F.lit("SeriesDescription"), word(2), F.lit("Rows"), F.lit("9"), F.lit("Columns"), F.lit("9"))
+    rest = F.col("doc_id") % 7
+    paired = F.when(rest == 0, F.create_map(F.lit("SeriesDescription"), F.lit("EXPIRATION"))).when(rest == 1, F.create_map(F.lit("AcquisitionDeviceProcessingDescription"), word(1)))
+    paired = paired.when(rest == 2, F.create_map(F.lit("Rows"), F.lit("9"), F.lit("Columns"), F.lit("9")))
+    kind = review.view_kind(tags, paired, F.col("doc_id") % 900)
+    return _t(spark, sf, "documents").filter("text is not null").select(kind.alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))

@@ -3,11 +3,13 @@
 import json
 import os
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from adjudica.operators import contracts, enrichment, export, ladders, rollups
+from adjudica.functions import raster
+from adjudica.operators import build, contracts, enrichment, export, ladders, review, rollups
 from adjudica.schema import VERDICT_DDL
 from adjudica.sources import adapters, artifacts
 
@@ -138,3 +140,41 @@ def test_lookups(spark):
     assert {r["d"]: r["check_ids"] for r in ladders.with_issues(held, found, ["d", "g"]).collect()} == {"a": ["C1", "C2"], "b": [], None: []}
     df = spark.createDataFrame([("a", "brush"), ("a", "rect"), ("a", "brush"), ("b", None)], "i string, t string")
     assert [(r["i"], r["counts"]) for r in rollups.counts_by_type(df, ["i"], "t").collect()] == [("a", {"brush": 2, "rect": 1})]
+
+
+def test_build(spark):
+    images = spark.createDataFrame([("s", f, "i", "st", "se", f, f"p/{f}") for f in "abcde"], "source_json string, file_uid string, institution string, study string, series string, file string, image_path string")
+    ddl = "file_uid string, annotation_uid string, ann_index int, annotation struct<geometry_uid:string>"
+    ann = spark.createDataFrame([("a", "2", 1, ("2",)), ("a", "1", 0, ("1",)), ("b", "3", 0, ("3",)), ("c", "4", 0, ("4",)), ("d", "5", 0, ("5",)), ("a", "6", 2, ("6",))], ddl)
+    said = spark.createDataFrame([("1", "keep"), ("2", "keep"), ("3", "exclude"), ("4", "keep"), ("5", "pending")], "annotation_uid string, decision string")
+    seen = spark.createDataFrame([("c", "exclude"), ("d", "pending")], "file_uid string, decision string")
+    built, numbers = build.build(images, ann, said, seen, losers=images.filter("file_uid in ('c', 'e')").select("file_uid"))
+    assert {r["file_uid"]: [x["geometry_uid"] for x in r["annotations"]] for r in built.collect()} == {"a": ["1", "2"], "b": [], "d": []}
+    assert numbers.first().asDict() == {
+        "images_total": 5, "images_pending": 1, "images_dropped": 1, "duplicates_dropped": 1, "files_total": 3, "files_emptied": 2, "files_already_empty": 0,
+        "kept": 2, "excluded": 1, "pending": 1, "uncertain": 0, "unknown": 2}
+    value = json.loads(build.documents(built).first()["value"])
+    files = value["dataset"]["i"]["st"]["series_list"]["se"]["file_list"]
+    assert list(files) == ["a", "b", "d"] and [x["geometry_uid"] for x in files["a"]["annotations"]] == ["1", "2"]
+    kept, numbers = build.build(images, ann, said, seen.limit(0), pending_as="keep")
+    assert kept.filter("file_uid = 'd'").first()["annotations"][0]["geometry_uid"] == "5" and numbers.first()["unknown"] == 1
+    assert build.build(images.limit(0), ann, said, seen)[1].first()["kept"] == 0
+
+
+def test_view_kinds(spark):
+    made = [({"SeriesDescription": "Chest LAT"}, None, None), ({"SeriesDescription": "吸気 max-exp"}, None, None), ({"ViewPosition": "Inspiration"}, None, None), ({}, {"ViewPosition": "呼気"}, None),
+            ({"AcquisitionDeviceProcessingDescription": "PA"}, {"AcquisitionDeviceProcessingDescription": "PA"}, -600.0), ({"Rows": "1", "Columns": "2"}, {"Rows": "1", "Columns": "2"}, 5.0),
+            ({"Rows": "1"}, {"Rows": "1"}, 601.0), (None, None, None)]
+    df = spark.createDataFrame(made, "t map<string,string>, p map<string,string>, s double").select(review.view_kind(F.col("t"), F.col("p"), F.col("s")).alias("k"))
+    assert [r["k"] for r in df.collect()] == ["lateral", "expiration", "inspiration", "paired_expiration", "same_view", "same_size", "unknown", "unknown"]
+    assert df.select(review.view_text(F.col("k"))).first()[0] == review.VIEW_KINDS["lateral"]
+
+
+def test_written_files(spark, tmp_path):
+    image = np.arange(12, dtype=np.uint8).reshape(3, 4)
+    df = spark.createDataFrame([("a/x.png", raster.write_png(image)), ("y.png", None), ("../z.png", b"z"), (None, b"n")], "name string, content binary")
+    got = {r["name"]: r["status"] for r in raster.written_files(df, str(tmp_path / "out")).collect()}
+    assert got == {"a/x.png": "written", "y.png": "empty", "../z.png": "error: not below the folder", None: "error: not below the folder"}
+    assert (raster.read_png((tmp_path / "out" / "a" / "x.png").read_bytes()) == image).all() and not (tmp_path / "z.png").exists()
+    assert raster.written_files(df.limit(1), str(tmp_path / "out")).first()["status"] == "exists" and raster.written_files(df.limit(1), str(tmp_path / "out"), force=True).first()["status"] == "written"
+    assert sorted(os.listdir(tmp_path / "out" / "a")) == ["x.png"]

@@ -86,3 +86,34 @@ def test_original_difference():
     got = R.original_difference(brush, final)
     assert got["filled_pixels"] == 8 and got["difference_pixels"] == 8 and got["difference_ratio"] == 0.5
     assert R.original_difference(brush, np.zeros((8, 8), dtype=bool))["difference_ratio"] is None and "read_error" in R.original_difference(brush, final[:4])
+
+
+def _filtered(raw, kinds, step):
+    """Rows of bytes with PNG's filters applied, byte by byte."""
+    h, n = raw.shape
+    out = np.zeros((h, n + 1), dtype=np.uint8)
+    at = lambda y, x: int(raw[y, x]) if y >= 0 and x >= 0 else 0
+    for y in range(h):
+        out[y, 0] = kinds[y]
+        for x in range(n):
+            a, b, c = at(y, x - step), at(y - 1, x), at(y - 1, x - step)
+            p = a + b - c
+            best = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+            out[y, x + 1] = (at(y, x) - [0, a, b, (a + b) // 2, best][kinds[y]]) % 256
+    return out
+
+
+def test_png_filters():
+    import struct
+    import zlib
+
+    g = np.random.default_rng(3)
+    for h, w, channels, depth, kinds in [(7, 5, 1, 8, (0, 1, 2, 3, 4)), (5, 9, 3, 8, (0, 1, 2, 3, 4)), (6, 4, 4, 16, (3, 4)), (6, 4, 2, 8, (0, 1, 2)), (1, 1, 1, 16, (4,)), (9, 2, 1, 8, (1, 2))]:
+        image = g.integers(0, 256**(depth // 8), (h, w, channels)).astype(np.uint8 if depth == 8 else np.uint16)
+        raw = np.frombuffer(image.astype(f">u{depth // 8}").tobytes(), dtype=np.uint8).reshape(h, -1)
+        body = _filtered(raw, g.choice(kinds, h), channels * depth // 8)
+        chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+        colour = {1: 0, 2: 4, 3: 2, 4: 6}[channels]
+        data = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, depth, colour, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(body.tobytes())) + chunk(b"IEND", b"")
+        got = R.read_png(data)
+        assert (got.reshape(h, w, channels) == image).all()
