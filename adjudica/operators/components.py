@@ -12,15 +12,15 @@ from adjudica.storage import written
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and label, the least node of its component, for every node of the edges; an edge to itself makes a node.
 
-    Large-star and small-star rounds in turn, each written out, until no edge changes: a number of rounds that grows
-    with the logarithm of the graph. Edges of hubs are split over tasks; nothing is collected.
+    Large-star and small-star rounds in turn, each written out, until all edges lead straight to a node that leads nowhere:
+    a number of rounds that grows with the logarithm of the graph, none if the edges are such stars already. Edges of
+    hubs are split over tasks; nothing is collected.
     """
     edges = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     edges = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     loops = edges.filter("u = v").select(F.col("u").alias("node"))
-    edges, seen = edges.filter("u <> v"), None
-    n = edges.count()
-    while n:
+    edges = edges.filter("u <> v")
+    while (n := _unfinished(edges)) is not None:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         large = skew_join(both, least, "u", "n", 2 * n, "v").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -28,15 +28,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = skew_join(large, least, "u", "n", large.count(), "v").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         edges = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        n, code = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if (n, code) == seen:
-            break
-        seen = (n, code)
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     labels = stars.union(edges.select("v", F.col("v").alias("label")).distinct())
     return labels.union(loops.select("node", F.col("node").alias("label")).join(labels.select("node"), "node", "left_anti"))
 
 
+def _unfinished(edges: DataFrame) -> int | None:
+    """The number of edges (u, v), u > v, or None where each u has one v, and no v is a u."""
+    by_u = edges.groupBy("u").agg(F.count("*").alias("n"))  # whoever is a v of others meets this once
+    n, several = by_u.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") > 1).cast("int")), F.lit(0))).first()
+    if several:
+        return n
+    return n if by_u.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").limit(1).count() else None
+
+
 def numbered_groups(labels: DataFrame, order: DataFrame, prefix: str) -> DataFrame:
     """Adds group_id, prefix and four digits, to (node, label); groups are numbered by their first place in order (node, place)."""
     firsts = labels.join(order, "node").groupBy("label").agg(F.min("place").alias("_first"))
