@@ -60,6 +60,29 @@ k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
 """
 
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS late FROM documents),
+f AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN late THEN 'E' ELSE '' END AS fails FROM t),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+h AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+x(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT o, CAST(s AS INTEGER) AS step, substr(o, CAST(s AS INTEGER), 1) AS letter FROM o, range(1, 6) r(s)),
+m AS (SELECT h.*, o, coalesce(list_min(list_transform(regexp_extract_all(fails, '.'), lambda c: instr(o, c))), 6) AS first FROM h, o),
+r AS (
+  SELECT part, s.o AS filter_order, step, letter, sum(CASE WHEN first > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN first = step THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN first < step AND contains(fails, letter) THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = letter THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN first = step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN first = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM m JOIN s ON m.o = s.o GROUP BY part, s.o, step, letter)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM r
+"""
+
 
 def op6_sql():
     """The model's weights are part of the text, as the driver fits them."""

@@ -83,6 +83,24 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adjudica.llm.filter_audit import audit
+
+    return audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adjudica.llm.periodic_runs import collapse_runs, run_digests, with_planted_runs
+
+    return run_digests(collapse_runs(with_planted_runs(_table(spark, sf_dir, "documents"))))
+
+
+def op13_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adjudica.llm.prefix_hashes import compare_with_next
+
+    return compare_with_next(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -95,6 +113,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_odd_sketch_near_dup": op8_odd_sketch_near_dup,
         "op9_vp_tree_search": op9_vp_tree_search,
         "op10_rule_ensemble": op10_rule_ensemble,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_prefix_fingerprints": op13_prefix_fingerprints,
     }
 
 
@@ -107,4 +128,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filter": oracle.op6_sql(),
         "op8_odd_sketch_near_dup": oracle.OP8_SQL,
         "op9_vp_tree_search": oracle.OP9_SQL,
+        "op11_filter_audit": oracle.OP11_SQL,
     }
