@@ -21,10 +21,10 @@ def skew_join(rows: DataFrame, facts: DataFrame, key: str, count: str, total: in
     hot = facts.filter(F.col(count) * HOT > total).select(F.col(key).alias("_hot"), F.ceil(F.col(count) * HOT / F.lit(max(total, 1))).cast("int").alias("_parts")).distinct()
     some = lambda n: F.pmod(F.xxhash64(spread), n).cast("int")
     part = F.when(F.col("_parts").isNotNull(), some(F.col("_parts"))).when(F.col(key).isNull(), some(F.lit(HOT))).otherwise(0)
-    left = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_part", part).drop("_hot", "_parts")
-    right = facts.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-    right = right.select(F.col(key).alias("_key"), "_split", *[c for c in facts.columns if c not in (key, count)])
-    return left.join(right.hint("merge"), (F.col(key) == F.col("_key")) & (F.col("_part") == F.col("_split")), how).drop("_key", "_part", "_split")
+    left = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_join_part", part).drop("_hot", "_parts")
+    right = facts.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_join_split", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    right = right.select(F.col(key).alias("_join_key"), "_join_split", *[c for c in facts.columns if c not in (key, count)])
+    return left.join(right.hint("merge"), (F.col(key) == F.col("_join_key")) & (F.col("_join_part") == F.col("_join_split")), how).drop("_join_key", "_join_part", "_join_split")
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -36,3 +36,14 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     starts = sizes.select(F.col("_range").alias("_of"), before.alias("_start"))
     at = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_start")  # the lower bits of _at count inside a range
     return placed.join(F.broadcast(starts), F.col("_range") == F.col("_of")).withColumn(name, at).drop("_range", "_at", "_of", "_start")
+
+
+def numbered_within(df: DataFrame, group: str, name: str) -> DataFrame:
+    """Adds name, a number from 0 for each row of a group, null being one, in no particular order: parts count by themselves and start after those before."""
+    placed = df.sortWithinPartitions(group).select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_at"))
+    placed = written(placed, "places")
+    parts = placed.groupBy(F.col(group).alias("_group"), F.col("_range").alias("_of")).agg(F.min("_at").alias("_low"), F.count("*").alias("_n"))  # a row for each group and part
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_group").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.select("_group", "_of", (before - F.col("_low")).alias("_start"))
+    on = (F.col("_range") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group"))
+    return placed.join(starts, on).withColumn(name, F.col("_at") + F.col("_start")).drop("_range", "_at", "_group", "_of", "_start")
