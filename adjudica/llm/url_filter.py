@@ -18,45 +18,58 @@ BUCKETS = 1 << 13
 GRAM = 4
 MAX_LABELLED = 10_000
 
-#: Words of the labelled urls: what ordinary hosts are named after, and what unwanted ones advertise.
+#: Words of the labelled urls: what ordinary hosts are named after, what unwanted ones advertise, and what both add.
 ORDINARY = """
 academy airport almanac alphabet archive arts astronomy atlas bakery ballet bank basket beach bicycle biology bookshop botany bridge
 cabinet calendar camera canal castle cathedral chemistry choir cinema city classroom clinic coffee college community concert
 cooking council country crafts culture dentist design dictionary diary doctor economy education embassy energy engineer
-evening factory family farmers festival fishing flower football forest forum freedom gallery garden gazette geography
+evening factory family festival fishing flower football forest forum gallery garden gazette geography geology gymnastics
 geometry glacier golf government grammar guide harbour health heritage history hockey homework hospital hotel house
 institute island journal justice kitchen laboratory lakes language law lecture letters library linden literature magazine
 market mathematics medicine meteo mountain museum music nature newspaper notes nursery observatory ocean opera orchard
-orchestra parents park parliament photography physics piano planet poetry police pottery press primary project radio railway
-reading research restaurant review river sailing school science sculpture seaside season society software sports station stories
-student studio summer teacher technology tennis theatre ticket tourism town track trade traveller university valley village
-violin volunteer weather wedding wildlife window winter wiki wood workshop writer zoology farm windows credits clicker adults
-pillow pillar lender winery winner freely bettering lottie slope poke dates
+orchestra parents park parcel parliament photography physics piano planet poetry police pottery press primary project radio railway
+reading research restaurant review river sailing school science sculpture seaside season sessions society software sports station stories
+student studio summer teacher technology tennis theatre ticket tourism town trade traveller university valley village
+violin volunteer weather wedding wildlife wiki wood workshop writer zoology credits essays sussex hackney linked lines
+repair report stock stocking popular poplar hoist singing single scarf cam campus loaner leading prism private slope date dates update
 """.split()
 UNWANTED = """
-ads adserver adult banner bets betting bingo bitcoins bonus cams casino cheap clicks credit dating deals discount doubler earn
-escorts fake fast forex free gambling hookup instant jackpot lenders link loans lotto lottery lucky meds millions money nude offers
-payday pharma pharmacy pills poker popup porn prizes profit replica rich rx sexy slots spam spins sweepstakes track tracker traffic
-viagra wager webcams weightloss win winner xxx
+bingo poker roulette blackjack baccarat slots slotmachine jackpot lottery lotto raffle sweepstakes gamble gambling gambler wager bookmaker
+sportsbook croupier highroller porn porno pornstar xxx sexy sexcam nude naked erotic escort hookup webcam camgirl hentai fetish
+stripper viagra cialis levitra kamagra tramadol xanax valium steroids pharma pharmacy rxmeds painkiller weightloss slimming fatburner
+miracle detox enlargement potency payday loans lender cashadvance fastcash moneymaker earnmoney getrich doubler bitcoin crypto forex
+ponzi millionaire giveaway prize prizes voucher giftcard coupon discount replica counterfeit knockoff rolex warez keygen cracked
+torrent serialz malware trojan phishing popup popunder banner clickbank clickfraud traffic backlink linkbuilding followers telemarketer
+robocall scam hoax fakeid fakes hotsingles singles dating affair flirt
 """.split()
+TAILS = "online now best direct club shop zone hub world pro central point".split()
 
 
 def _invented(count: int, draw: random.Random) -> list[str]:
-    """Names without meaning: two to four syllables."""
+    """Names without meaning: four to six syllables."""
     syllable = lambda: draw.choice("b c d f g h k l m n p r s t v w z th sh st tr br pl".split()) + draw.choice("a e i o u ea ou io".split()) + draw.choice(["", "", "n", "r", "s", "t", "l", "nd", "ng", "sh", "nt", "th"])
-    return ["".join(syllable() for _ in range(draw.randint(2, 4))) for _ in range(count)]
+    return ["".join(syllable() for _ in range(draw.randint(4, 6))) for _ in range(count)]
 
 
 def labelled_urls(seed: int = 4) -> list[tuple[str, int]]:
-    """A table of 2,800 urls, 1 for those to block, made by rule from the words above; it holds no host of any test table."""
+    """A table of some 4,000 urls, 1 for those to block, made by rule from the words above.
+
+    Hosts are one or two words of a kind, or a word and a tail that both kinds have, joined by a hyphen or by nothing; ends and paths are the same
+    for both kinds. No word, host, end of a host or path is taken from a table that is judged.
+    """
     draw = random.Random(seed)
-    ends = lambda: draw.choice(["com", "net", "org", "info", "de", "fr", "example.com", "example.net", "example.org"])
-    path = lambda: draw.choice(["", "en/", "de/", "fr/", "es/", "news/", "page/"]) + str(draw.randint(1, 9999)) + draw.choice(["", "/", ".html"])
+    ends = lambda: draw.choice(["com", "net", "org", "info", "io", "biz", "co.uk", "de", "fr", "it", "nl"])
+    path = lambda: draw.choice(["", "", "index", "item/", "about/", "post-", "2021/"]) + draw.choice(["", str(draw.randint(1, 9999))]) + draw.choice(["", "/", ".html"])
     lead = lambda: draw.choice(["", "", "www.", "blog.", "m.", "shop."])
-    ordinary = [draw.choice(ORDINARY) + draw.choice(["", "-", ""]) + draw.choice(["", *ORDINARY]) for _ in range(900)] + _invented(900, draw)
-    unwanted = [a + draw.choice(["-", "-", ""]) + draw.choice([w for w in [*UNWANTED, "online", "now", "best", "direct", "club"] if w != a]) for a in UNWANTED for _ in range(15)]
-    urls = [(f"https://{lead()}{name}.{ends()}/{path()}", 0) for name in ordinary]
-    return urls + [(f"https://{lead()}{name}.{ends()}/{path()}", 1) for name in unwanted][:1000]
+    joint = lambda: draw.choice(["", "-"])
+
+    def names(words: list[str], each: int) -> list[str]:
+        others = lambda w: draw.choice([x for x in words if x != w])
+        return [n for w in words for k in range(each) for n in [w + ("" if k % 3 == 0 else joint() + (draw.choice(TAILS) if k % 3 == 1 else others(w)))]]
+
+    ordinary = names(ORDINARY, 6) + _invented(900, draw)
+    unwanted = names(UNWANTED, 15)
+    return [(f"https://{lead()}{name}.{ends()}/{path()}", y) for y, some in ((0, ordinary), (1, unwanted)) for name in some]
 
 
 #: Rules as (verdict, rule): a host and a leading part of the path.
