@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adjudica.storage import scratch_path, written
 
-__all__ = ["ARROW_ROWS", "SPACE", "WORD", "bucket_digits", "columns_of", "hash_key", "packed", "prefix_sums", "scratch_path", "ship", "small_batches", "written"]
+__all__ = ["ARROW_ROWS", "SPACE", "WORD", "bucket_digits", "columns_of", "hash_key", "packed", "prefix_sums", "repeated", "scratch_path", "ship", "small_batches", "written"]
 
 #: White space that separates words in every word count here (fixed by the query contracts).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,6 +85,22 @@ def _with_offsets(df: DataFrame, offsets: DataFrame, group: list[str], bucket: s
     return df.join(offsets, on).drop("_b", *[f"_g_{g}" for g in group])
 
 
+#: Rows that one row is repeated to at once.
+REPEATED = 10_000
+
+
+def repeated(units: DataFrame, count: str, name: str) -> DataFrame:
+    """Each row as many times as its column `count` says, with its number from 0 in the column `name`.
+
+    Rows that stand for many are split into blocks first, which tasks share: none makes a third of all rows.
+    """
+    last = F.col(count) - 1
+    few = units.filter(F.col(count) <= REPEATED).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    blocks = units.filter(F.col(count) > REPEATED).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / REPEATED)))).repartition("_block")
+    many = blocks.withColumn(name, F.explode(F.sequence(F.col("_block") * REPEATED, F.least(last, (F.col("_block") + 1) * REPEATED - 1)))).drop("_block")
+    return few.unionByName(many)
+
+
 def packed(df: DataFrame) -> DataFrame:
     """One column _row, a struct of all columns: nothing that is added beside it can clash with a name in it."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))

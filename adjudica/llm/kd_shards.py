@@ -4,7 +4,8 @@ Each document is a point: its coordinates are metadata columns brought to [0, 1]
 median along its widest dimension, until leaves reach the target bytes. Medians come from distributed histograms of
 byte weights that zoom in: all nodes of a level share each pass, which is one aggregate over a slim table, and the tree
 is a table too, a row for each node of a level: nothing of it is collected. Where many documents share the median's
-coordinate, a hash of the row splits them, so neither one hot value nor many equal rows can unbalance a leaf.
+coordinate, a hash of the row's id and text splits them, and rows alike in both have hashes by their number among their
+like, so neither one hot value nor many equal rows can unbalance a leaf. The place of a row in its file decides nothing.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adjudica.llm.common import bucket_digits, hash_key, prefix_sums, written
+from adjudica.llm.common import bucket_digits, hash_key, prefix_sums, repeated, written
+from adjudica.operators.scale import numbered, skew_join
 
 #: Cells of a histogram, and how often it zooms into the cell that holds the median: first by coordinate, then by hash.
 CELLS = 256
@@ -104,31 +106,30 @@ def _descend(at_node: DataFrame, dims: list[str]) -> DataFrame:
     return at_node.withColumn("_count", count).withColumn("first", first).drop("leaves").withColumnRenamed("_count", "leaves")
 
 
-def _common_prefix(low: str | None, high: str | None) -> int:
-    """Bytes that the least and the largest text of a column, and so all between, have in common at their beginning."""
-    a, b = (low or "").encode(), (high or "").encode()
-    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+def _ranked(rows: DataFrame, c: str, total: int) -> DataFrame:
+    """rows with a text column replaced by the rank of its value among all values of the column, from 1; null is 0.
 
-
-def coordinates(docs: DataFrame, dims: list[str]) -> list[Column]:
-    """Numbers that keep the order of metadata columns: strings by the six bytes after what all of them begin with, counts by logarithm.
-
-    Null is the least value.
+    The values meet their rows by a join that splits hot ones, and are numbered by ranges: there can be as many as rows.
     """
-    texts = [d for d in dims if isinstance(docs.schema[d].dataType, T.StringType)]
-    ends = docs.agg(*[f(F.col(f"`{d}`")).alias(f"{f.__name__}_{i}") for i, d in enumerate(texts) for f in (F.min, F.max)]).first() if texts else None
-    out = []
-    for d in dims:
-        kind, c = docs.schema[d].dataType, F.col(f"`{d}`")
-        if d in texts:
-            skip = _common_prefix(ends[f"min_{texts.index(d)}"], ends[f"max_{texts.index(d)}"])
-            first = F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), skip + 1, 6)), 12, "0"), 16, 10).cast("double")
-        elif isinstance(kind, T.NumericType):
-            first = F.log1p(F.greatest(c.cast("double"), F.lit(0.0))) if d.startswith("n_") else c.cast("double")
+    values = rows.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("_value")).agg(F.count("*").alias("_rows"))
+    ranks = numbered(values, ["_value"], "_rank").select(F.col("_value").alias(c), "_rows", "_rank")
+    joined = skew_join(rows, ranks, c, "_rows", total, "text_crc32", "left")
+    return joined.withColumn(c, F.coalesce(F.col("_rank") + 1, F.lit(0)).cast("double")).drop("_rank")
+
+
+def coordinates(rows: DataFrame, dims: list[str], kinds: dict[str, T.DataType], total: int) -> DataFrame:
+    """rows with the metadata columns dims as numbers that keep their order: texts by rank, counts by logarithm. Null is the least value."""
+    for i, d in enumerate(dims):
+        c = f"_d{i}"
+        if isinstance(kinds[d], T.StringType):
+            rows = _ranked(rows, c, total)
+            continue
+        if isinstance(kinds[d], T.NumericType):
+            number = F.log1p(F.greatest(F.col(c).cast("double"), F.lit(0.0))) if d.startswith("n_") else F.col(c).cast("double")
         else:
-            first = F.unix_micros(c.cast("timestamp")).cast("double")
-        out.append(F.when(F.isnan(first), None).otherwise(first))
-    return out
+            number = F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+        rows = rows.withColumn(c, F.when(~F.isnan(number), number))
+    return rows
 
 
 def kd_shards(docs: DataFrame, dims: list[str] | None = None, target_bytes: int | None = None, leaves: int | None = None, seed: str = "kd") -> DataFrame:
@@ -137,18 +138,21 @@ def kd_shards(docs: DataFrame, dims: list[str] | None = None, target_bytes: int
     size is the bytes of the text plus 1, a null text has none and the crc32 of an empty one. Give the leaves, or the
     bytes they should reach. dims default to those of lang, source, n_chars and doc_id that docs has; columns of other
     names are not looked at. Null metadata is the least value of its column. Rows alike in all of this, repeated or
-    nameless ones, have hashes of their own by their place in the table, and are shared out like others. An empty table
-    stays empty. slot numbers the rows of a shard from 0 in the order of a hash.
+    nameless ones, are counted, numbered, and shared out by their numbers: which shards they go to, and into which slots, does not
+    depend on how the table is stored. An empty table stays empty. slot numbers the rows of a shard from 0 in the order of a hash.
     """
     dims = [d for d in dims or ["lang", "source", "n_chars", "doc_id"] if d in docs.columns]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    doc_id, crc = F.col("doc_id").cast("long"), F.crc32(text.cast("binary"))
-    raw = docs.select(
-        doc_id.alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), crc.alias("text_crc32"),
-        hash_key(seed, doc_id, crc, F.monotonically_increasing_id()).alias("_key"), *[c.alias(f"_d{i}") for i, c in enumerate(coordinates(docs, dims))],
+    names = [f"_d{i}" for i in range(len(dims))]
+    slim = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        *[F.col(f"`{d}`").alias(c) for d, c in zip(dims, names, strict=True)],
     )
-    raw = written(raw.withColumn("tie", F.conv(F.substring("_key", 9, 8), 16, 10).cast("double")), "points")
-    names = [f"_d{i}" for i in range(len(dims))] or ["tie"]
+    units = written(slim.groupBy("doc_id", "size", "text_crc32", *names).agg(F.count("*").alias("_alike")), "alike")
+    points = coordinates(units, dims, {d: docs.schema[d].dataType for d in dims}, units.count())
+    points = repeated(points, "_alike", "_nth").withColumn("_key", hash_key(seed, F.col("doc_id"), F.col("text_crc32"), F.col("_nth")))
+    raw = written(points.drop("_alike", "_nth").withColumn("tie", F.conv(F.substring("_key", 9, 8), 16, 10).cast("double")), "points")
+    names = names or ["tie"]
     span = raw.agg(F.sum("size").alias("w"), F.count("*").alias("n"), *_extents(names)).first()
     leaves = leaves or max(1, -(-(span["w"] or 0) // (target_bytes or 1 << 30)))
     scaled = raw.select("doc_id", "size", "text_crc32", "_key", "tie", *[_scaled(d, span[f"min_{i}"], span[f"max_{i}"]).alias(f"_s{i}") for i, d in enumerate(names)])
