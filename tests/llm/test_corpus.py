@@ -167,7 +167,7 @@ def test_mixing(spark, odd, nothing, docs):
         assert len(got) == df.count() and (got.taken <= 2 * got["size"]).all()
         taken = got.assign(source=got.source.fillna("~")).groupby("source").taken.sum()
         for s, t in target.items():
-            assert t <= 2 * size[s] and abs(taken[s if s is not None else "~"] - int(t)) <= (0 if df is docs else 10)
+            assert t <= 2 * size[s] and abs(taken[s if s is not None else "~"] - int(t)) < 1e-9
         rest = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(size, key=lambda x: (x is None, x or "")))}
         left, full = 1.5 * sum(size.values()), {}
         while over := [s for s in rest if rest[s] * left / sum(rest.values()) > 2 * size[s]]:
@@ -185,14 +185,35 @@ def test_mixing(spark, odd, nothing, docs):
 def test_alike_rows_share_a_cut(spark):
     for size, copies in ((1, 999), (7, 400)):
         text = " ".join(["w"] * size)
-        rows = spark.range(copies).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"), F.lit("a").alias("source"), F.lit(3).alias("alike"), F.lit(1).alias("a.b"))
-        rows = rows.unionByName(spark.createDataFrame([(1, "x " * 3000, "b", 3, 1), (1, "x " * 3000, "b", 3, 1), (2, "y z", "c", 3, 1)], "doc_id long, text string, source string, alike int, `a.b` int"))
-        got = mixing.mix(rows, share=0.7).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max(F.col("taken") - 2 * F.col("size")).alias("over")).collect()
-        assert all(abs(r["taken"] - r["target"]) < 0.06 * r["target"] + 2 and r["over"] <= 0 for r in got)
-        whole = mixing.mixed_documents(rows, share=0.7)
-        assert whole.columns == rows.columns
-        taken = {r["source"]: r["n"] for r in whole.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("[^ ]+"))).alias("n")).collect()}
-        assert all(abs(taken[r["source"]] - r["target"]) < 0.06 * r["target"] + 2 for r in got)
+        rows = spark.range(copies).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"), F.lit("a").alias("source"), F.lit(3).alias("alike"), F.col("id").alias("a.b"))
+        rows = rows.unionByName(spark.createDataFrame([(1, "x " * 3000, "b", 3, 1), (1, "x " * 3000, "b", 3, 1), (2, "y z", "c", 3, 1)], "doc_id long, text string, source string, alike int, `a.b` long"))
+        seen = set()
+        for layout in (rows, rows.repartition(7), rows.orderBy(F.desc("`a.b`")).coalesce(1)):
+            got = mixing.mix(layout, share=0.7).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max(F.col("taken") - 2 * F.col("size")).alias("over")).collect()
+            assert all(r["taken"] == int(r["target"]) and r["over"] <= 0 for r in got)  # to the word
+            whole = mixing.mixed_documents(layout, share=0.7)
+            assert whole.columns == rows.columns
+            taken = {r["source"]: r["n"] for r in whole.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("[^ ]+"))).alias("n")).collect()}
+            assert all(taken.get(r["source"], 0) == int(r["target"]) for r in got)
+            seen.add(tuple(sorted(map(tuple, mixing.mix(layout, share=0.7).select("doc_id", "source", "size", "taken").collect()), key=repr)))
+        assert len(seen) == 1
+
+
+def test_more_sources_than_are_broadcast(docs, monkeypatch):
+    want = sorted(mixing.mix(docs).collect(), key=repr)
+    texts = sorted(r["text"] for r in mixing.mixed_documents(docs).collect())
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 2)
+    assert sorted(mixing.mix(docs).collect(), key=repr) == want
+    assert sorted(r["text"] for r in mixing.mixed_documents(docs).collect()) == texts
+
+
+def test_repeated_rows_in_blocks(spark, monkeypatch):
+    from adjudica.llm import common
+
+    monkeypatch.setattr(common, "REPEATED", 4)
+    df = spark.createDataFrame([(n, n) for n in (1, 3, 4, 5, 8, 9, 30)], "id long, n long")
+    got = sorted((r["id"], r["k"]) for r in common.repeated(df, "n", "k").collect())
+    assert got == [(n, k) for n in (1, 3, 4, 5, 8, 9, 30) for k in range(n)]
 
 
 def test_prefix_sums_in_levels(spark):
@@ -252,11 +273,19 @@ def test_kd_tree_equals_a_plain_one(spark, leaves, monkeypatch):
     assert got == _plain_tree(points, leaves)
 
 
-def test_coordinates_skip_what_all_begin_with(spark):
-    names = ["common-crawl-2019", "common-crawl-2023", "common-crawl-20", None]
-    df = spark.createDataFrame([(n,) for n in names], "source string")
-    got = [r[0] for r in df.select(kd_shards.coordinates(df, ["source"])[0]).collect()]
-    assert got[2] < got[0] < got[1] and got[3] is None
+def test_coordinates_of_texts_are_ranks(spark):
+    names = ["common-crawl-2019", "common-crawl-2023", "common-crawl-20", None, "common-crawl-2019"]
+    rows = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "_d0 string, text_crc32 long")
+    got = {r["text_crc32"]: r["_d0"] for r in kd_shards.coordinates(rows, ["source"], {"source": rows.schema["_d0"].dataType}, 5).collect()}
+    assert got == {0: 2.0, 1: 3.0, 2: 1.0, 3: 0.0, 4: 2.0}
+
+
+def test_shards_do_not_depend_on_the_layout(docs, odd):
+    rows = docs.unionByName(docs.filter("doc_id < 40")).unionByName(odd.withColumn("n_chars", F.length("text").cast("long")))
+    seen = set()
+    for layout in (rows, rows.repartition(5), rows.orderBy(F.desc("text")).coalesce(1)):
+        seen.add(tuple(sorted(map(tuple, kd_shards.kd_shards(layout, leaves=8).collect()), key=repr)))
+    assert len(seen) == 1 and len(next(iter(seen))) == rows.count()
 
 
 def test_url_filter(spark):
@@ -282,34 +311,43 @@ def test_url_filter(spark):
 
 #: Hosts that the model has not seen: ordinary ones, some with words near to unwanted ones, and unwanted ones.
 UNSEEN = """
-university weather-report city-museum free-software recipes aquarium butterfly carpenter dinosaur elephant fireworks grandmother horizon insurance
+university weather-report city-museum software recipes aquarium butterfly carpenter dinosaur elephant fireworks grandmother horizon insurance
 jewellery kangaroo lighthouse marathon navigation olympics penguin quarry rainforest satellite thunder umbrella volcano waterfall xylophone yesterday
 zebra accountant blueprint chocolate dragonfly earthquake furniture gymnasium hurricane imagination jasmine knowledge landscape microscope notebook
 oxygen passenger questionnaire republic sandwich telescope uniform vegetable wilderness zookeeper hiking-trails cycling-club tax-office open-source
-winter-sports credit-union trackandfield pharmacology adult-education cheapest-flights
+skiing-lessons credit-union athletics pharmacology distance-learning flight-search linkedin essex stockholm pillsbury cheapside parcel-post
+paintings sculptors villagers travelling teachers theatres readings researchers restaurants gardening newspapers poems kitchens musicians
 """.split()
+#: None of their words is in the labelled table: other forms of its words, and such words run together.
 UNSEEN_UNWANTED = """
-mega-casino casinoworld vip-poker pokerstarz best-slots slots4you hot-webcams webcamgirls free-porn pornhubz xxx-movies buy-viagra viagra-rx pills4less
-cheapmeds online-pharmacy pharmacy-rx fast-loans payday-cash get-loans betting-tips sportbets freespins lucky-jackpot jackpot-city sexy-dating
-hookups-now escort-list earn-money easy-profit forex-profit adserver1 ads-network banner-ads popup-ads click-tracker tracker-ads win-prizes bigwinner
-lottery-win free-bonus replica-deals cheap-replica discount-meds spam-links linkspam adult-cams nude-cams gambling-bonus sweepstakes-win
+gamblers gamblings roulettes blackjackpot pokerroom pokerz jackpotz lotteries lottoland wagers wagered bingohall slotz pornz pornstars pornhubz sexyz nudes nakeds
+erotica erotics escorts hookups webcamz camgirlz fetishes strippers viagraz cialisz tramadolz steroidz pharmacies painkillers paydayz loanz lenderz moneyz
+forexz millionaires giveaways prizez vouchers giftcards couponz discounted replicaz counterfeits warezz keygens torrentz malwares trojans phishers popups
+bannerz trafficz backlinkz followerz scamz scammers hoaxes datingz flirty singlez
 """.split()
+TEST_STEMS = "ads-track adult-x casino-win cheap-pills free-bets spam-farm".split()
 
 
 def test_url_model_on_unseen_hosts(spark):
-    labelled = url_filter.labelled_urls()
+    parts = lambda names: {w for n in names for w in re.split("[^a-z]+", n.lower()) if len(w) > 2}
     name = lambda url: re.sub(r"^(www|m|blog|shop|news|docs)\.", "", re.match(r".*?://([^/?#]*)", url)[1].lower()).split(".")[0]
-    known = {name(u) for u, _ in labelled}
-    assert len(labelled) <= url_filter.MAX_LABELLED
     pages = [r[0] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect() if r[0] and "://" in r[0]]
-    assert not known & {name(u) for u in pages}  # nothing is learnt from the tables that are judged
-    urls = [(f"https://{lead}{n}.{end}/en/12.html", y) for y, names in ((0, UNSEEN), (1, UNSEEN_UNWANTED)) for n in names if n not in known for lead in ("", "www.") for end in ("com", "example.org", "org")]
+    hosts, ends = {name(u) for u in pages}, {".".join(re.match(r".*?://([^/?#]*)", u)[1].lower().split(".")[1:]) for u in pages}
+    stems = parts(TEST_STEMS)
+    assert not [w for w in url_filter.UNWANTED + url_filter.ORDINARY + url_filter.TAILS for x in stems if x in w]  # not even inside a word
+    for seed in range(10):  # nothing is learnt from the tables that are judged, whatever the seed
+        labelled = url_filter.labelled_urls(seed)
+        assert len(labelled) <= url_filter.MAX_LABELLED
+        names = {name(u) for u, _ in labelled}
+        assert not names & hosts and not parts(names) & stems and not [n for n in {name(u) for u, y in labelled if y} for x in stems if len(x) > 3 and x in n]
+        assert not [u for u, _ in labelled if "example." in u]
+    known = parts(url_filter.UNWANTED + url_filter.ORDINARY + url_filter.TAILS)
+    assert not known & parts(UNSEEN_UNWANTED) and any("example" in e for e in ends)
+    urls = [(f"https://{lead}{n}.{end}/item/12.html", y) for y, few in ((0, UNSEEN), (1, UNSEEN_UNWANTED)) for n in few if n not in known for lead in ("", "www.") for end in ("com", "io", "org")]
     rows = [(k, u) for k, (u, _) in enumerate(urls)]
     got = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(rows, "page_id int, url string"), rules=[]).collect()}
-    for y in (0, 1):
-        right = [(got[k] == "block") == bool(y) for k, (_, label) in enumerate(urls) if label == y]
-        assert np.mean(right) >= (0.84 if y else 0.94)
-    assert np.mean([(got[k] == "block") == bool(y) for k, (_, y) in enumerate(urls)]) >= 0.9
+    share = [np.mean([(got[k] == "block") == bool(y) for k, (_, y) in enumerate(urls) if y == label]) for label in (0, 1)]
+    assert share[0] >= 0.9 and share[1] >= 0.9, share
 
 
 def _repeats(words):
