@@ -8,7 +8,7 @@ Statuses are never folded: checked, cannot_determine and not_applicable stay apa
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from adjudica import config as settings
 from adjudica.operators import scale, survivors
+from adjudica.storage import written
 
 ISSUE = ["check_ord", "check_id", "category", "severity", "status", "dataset_id", "file_uid", "geometry_uid", "cannot_determine_reason", "detail"]
 
@@ -27,6 +28,7 @@ class Context:
     files: DataFrame | None = None
     pairs: DataFrame | None = None
     images: DataFrame | None = None
+    cross: DataFrame | None = None  # issues across datasets, see resolve_cross_dataset()
     config: dict = field(default_factory=lambda: settings.DEFAULTS)
     roots: dict[str, str] = field(default_factory=lambda: {"image_path": "image", "path_mask": "mask", "path_original_mask": "mask"})
     depth: int = 8
@@ -198,22 +200,21 @@ def cross_dataset(records: DataFrame, images: str = "image_path") -> tuple[DataF
     in whatever datasets they are but one. A group keeps the newest, or of equal stamps the oldest export, and the others go;
     what neither decides is a tie for review. One geometry uid with other labels or contents is a mismatch, and joins nothing.
 
-    Copies meet by their key, not in pairs: a representative of each dataset stands for the equal ones. Decisions have
+    Copies meet by their key, not in pairs: a representative of each dataset stands for the equal ones. Contents that are
+    missing on both sides are equal, as are missing labels; a record without image meets none. Where a dataset holds one uid
+    in several versions, each version is compared with each of another dataset. Decisions have
     dataset_id, geometry_uid, decision, reason, kept_uid, related_uid and group_id; issues the columns of ISSUE besides.
     """
     uid = F.struct("dataset_id", "geometry_uid")
-    records = records.withColumn("_uid", uid)
+    records = records.filter(F.col(images).isNotNull()).withColumn("_uid", uid)
     copy = [images, "label_key", "content"]
-    known = F.lit(True)
-    for c in copy:
-        known = known & F.col(c).isNotNull()
-    spread = records.filter(known).groupBy(*copy).agg(F.count_distinct("dataset_id").alias("_datasets"), F.min("place").alias("_first")).filter("_datasets > 1")
+    spread = records.groupBy(*copy).agg(F.min("dataset_id").alias("_low"), F.max("dataset_id").alias("_high"), F.min("place").alias("_first")).filter("_low <> _high")
     group = scale.numbered(spread, ["_first"], "_nth").select(*[F.col(c).alias(f"_{c}") for c in copy], F.format_string("XDUP_%04d", F.col("_nth") + 1).alias("group_id"))
     on = F.lit(True)
     for c in copy:
-        on = on & (F.col(c) == F.col(f"_{c}"))
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
     members = records.join(group, on).drop(*[f"_{c}" for c in copy])
-    chosen = survivors.survivor(members, ["group_id"], "stamp", "export", "_uid")
+    chosen = written(survivors.survivor(members, ["group_id"], "stamp", "export", "_uid").select("dataset_id", "geometry_uid", "_uid", "group_id", "survivor", "outcome"), "cross-dataset")
     stays = F.col("_uid") == F.col("survivor")
     decided = chosen.filter("survivor is not null")
     decisions = decided.select(
@@ -222,21 +223,60 @@ def cross_dataset(records: DataFrame, images: str = "image_path") -> tuple[DataF
         F.col("survivor.geometry_uid").alias("kept_uid"), F.when(~stays, F.col("survivor.geometry_uid")).alias("related_uid"), "group_id",
     )
     other = F.struct(F.col("survivor.dataset_id").alias("dataset_id"), F.col("survivor.geometry_uid").alias("geometry_uid"))
-    gone = decided.filter(~stays).select("_uid", other.alias("_other"), "group_id")
-    sides = gone.union(gone.select("_other", "_uid", "group_id")).select("_uid.*", F.col("_other.geometry_uid").alias("related_uid"), F.col("_other.dataset_id").alias("other_dataset"), "group_id")
+    both = F.explode(F.array(F.struct(F.col("_uid").alias("own"), other.alias("other")), F.struct(other.alias("own"), F.col("_uid").alias("other"))))
+    sides = decided.filter(~stays).select("group_id", both.alias("_s")).select("_s.own.*", F.col("_s.other.geometry_uid").alias("related_uid"), F.col("_s.other.dataset_id").alias("other_dataset"), "group_id")
     ties = chosen.filter("survivor is null").select("dataset_id", "geometry_uid", "group_id", F.col("outcome").alias("why"))
-    # equal uids of one image: of each dataset, what differs from it elsewhere
-    key = F.struct("label_key", "content")
-    versions = records.groupBy(F.col(images).alias("_image"), F.col("geometry_uid").alias("_geo"), "dataset_id").agg(F.min(key).alias("_key"))
-    several = versions.groupBy("_image", "_geo").agg(F.array_sort(F.collect_list(F.struct("dataset_id", "_key"))).alias("_all")).filter(F.size("_all") > 1)  # a row for each dataset
-    differs = F.filter("_all", lambda x: (x["dataset_id"] != F.col("_own.dataset_id")) & (~x["_key"].eqNullSafe(F.col("_own._key"))))
-    wrong = several.select("_geo", "_all", F.explode("_all").alias("_own")).withColumn("_x", F.explode(differs))
-    wrong = wrong.select(F.col("_own.dataset_id").alias("dataset_id"), F.col("_geo").alias("geometry_uid"), F.col("_geo").alias("related_uid"), F.col("_x.dataset_id").alias("other_dataset"))
     found = issues(sides, "D05_CROSS_DATASET_DUPLICATE", "duplicate", "error", group=F.col("group_id"), other_dataset=F.col("other_dataset"), related_uid=F.col("related_uid"))
     found = found.unionByName(issues(ties, "D05_CROSS_DATASET_DUPLICATE_TIE", "duplicate", "warning", group=F.col("group_id"), undecidable_reason=F.col("why")))
+    wrong = cross_dataset_versions(records, images)
     return decisions, found.unionByName(issues(wrong, "D05_CROSS_DATASET_MISMATCH", "duplicate", "error", other_dataset=F.col("other_dataset"), related_uid=F.col("related_uid")))
 
 
+def cross_dataset_versions(records: DataFrame, images: str = "image_path") -> DataFrame:
+    """dataset_id, geometry_uid, related_uid and other_dataset: versions of one uid and image that differ between two datasets, a row a side.
+
+    A version is a label and a content; equal records of a dataset are one version. What one uid's versions list is as long
+    as the table has versions of it, and what comes out are their pairs, as asked.
+    """
+    versions = records.groupBy(F.col(images).alias("_image"), F.col("geometry_uid").alias("_geo"), "dataset_id", "label_key", "content").agg(F.count("*").alias("_n"))
+    all_of = F.collect_list(F.struct("dataset_id", F.struct("label_key", "content").alias("_key")))
+    several = versions.groupBy("_image", "_geo").agg(all_of.alias("_all"), F.min("dataset_id").alias("_low"), F.max("dataset_id").alias("_high")).filter("_low <> _high")
+    differs = F.filter("_all", lambda x: (x["dataset_id"] != F.col("_own.dataset_id")) & (~x["_key"].eqNullSafe(F.col("_own._key"))))
+    wrong = several.select("_geo", "_all", F.explode("_all").alias("_own")).withColumn("_x", F.explode(differs))
+    return wrong.select(F.col("_own.dataset_id").alias("dataset_id"), F.col("_geo").alias("geometry_uid"), F.col("_geo").alias("related_uid"), F.col("_x.dataset_id").alias("other_dataset"))
+
+
+def cross_records(ctx: Context) -> DataFrame:
+    """What cross_dataset() compares, of a context's annotations: the final mask's hash is the content, without one the box.
+
+    annotations has image_path, label_keys (an array), stamp and export_stamp besides; place is the order of files and annotations in them.
+    """
+    box = F.concat(F.lit("box:"), F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("min_x", "min_y", "max_x", "max_y")]))
+    content = box
+    found = ctx.annotations
+    if ctx.masks is not None:
+        masks = ctx.masks.filter("role = 'mask' and mask_hash is not null").groupBy(F.col("dataset_id").alias("_d"), F.col("geometry_uid").alias("_g")).agg(F.max("mask_hash").alias("_hash"))
+        found = found.join(masks, (F.col("dataset_id") == F.col("_d")) & (F.col("geometry_uid") == F.col("_g")), "left")
+        content = F.coalesce(F.concat(F.lit("mask:"), F.col("_hash")), box)
+    keys = F.array_join(F.sort_array("label_keys"), "|")
+    return found.select("dataset_id", "geometry_uid", "image_path", keys.alias("label_key"), content.alias("content"), "stamp", F.col("export_stamp").alias("export"), F.struct("file_uid", "ann_index").alias("place"))
+
+
+def resolve_cross_dataset(ctx: Context) -> tuple[Context, DataFrame]:
+    """The context that all checks look at, without the copies that another dataset's annotation stands for, and the automatic decisions.
+
+    This comes before any check: the losers are hidden from them, and what was found is reported by the check D05.
+    """
+    decisions, found = cross_dataset(cross_records(ctx))
+    decisions = written(decisions, "cross-decisions")
+    return replace(ctx, annotations=without_excluded(ctx.annotations, decisions), cross=written(found, "cross-issues")), decisions
+
+
+def cross_dataset_issues(ctx: Context) -> DataFrame:
+    """D05, as resolve_cross_dataset() found them."""
+    return ctx.cross.select(*ISSUE)
+
+
 def without_excluded(annotations: DataFrame, decisions: DataFrame) -> DataFrame:
     """The annotations that other checks look at: copies that another dataset's stand for are left out."""
     gone = decisions.filter("decision = 'exclude'").select("dataset_id", "geometry_uid")
@@ -285,7 +325,7 @@ def outside_body(ctx: Context) -> DataFrame:
 CHECKS: list[tuple[str, Callable[[Context], DataFrame], tuple[str, ...]]] = [
     ("M01", mask_resolution, ("masks", "files")), ("M01_JSON", declared_resolution, ("files",)), ("M02", mask_channels, ("masks",)),
     ("M03", mask_binary, ("masks",)), ("M04", mask_not_empty, ("masks",)), ("M05", files_exist, ("masks", "files")), ("M06", path_format, ()),
-    ("M07", bbox_geometry, ()), ("M08", json_consistency, ("masks",)), ("M09", unannotated_images, ("images",)), ("D01", duplicates, ("pairs",)),
+    ("M07", bbox_geometry, ()), ("M08", json_consistency, ("masks",)), ("M09", unannotated_images, ("images",)), ("D01", duplicates, ("pairs",)), ("D05", cross_dataset_issues, ("cross",)),
     ("S03", tiny, ("masks",)), ("S04", divergence, ("masks",)), ("S05", outside_body, ("masks",)),
 ]
 

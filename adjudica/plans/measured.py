@@ -122,20 +122,51 @@ def duplicate_checks(spark, sf):
     return checks.run(ctx, only=["D01"]).groupBy("check_id", "severity").agg(F.count("*").alias("n"))
 
 
-_POLICIES = [
-    ("M01_MASK_RESOLUTION", "auto"), ("M01_MASK_RESOLUTION_JSON", "auto"), ("M02_MASK_NOT_8BIT", "auto"), ("M05_FILE_MISSING", "auto"), ("M06_PATH_LEADING_SLASH", "informational"), ("M07_BBOX_DEGENERATE", "review"),
-    ("M07_BBOX_OUT_OF_IMAGE", "review"), ("M07_SIZE_FIELDS_NULL", "informational"), ("M08_JSON_BBOX_MISMATCH", "informational"), ("M09_UNANNOTATED_VIEW", "review"), ("M09_NEGATIVE_CASE", "review"), ("D01_EXACT_DUPLICATE", "auto"),
-    ("D03_OVERLAPPING_DIFFERENT_FINDING", "review"), ("D05_CROSS_DATASET_DUPLICATE", "auto"), ("D05_CROSS_DATASET_DUPLICATE_TIE", "review"), ("D05_CROSS_DATASET_MISMATCH", "review"), ("S03_NO_SPACING", "review"), ("S05_OUTSIDE_BODY", "review"), ("X99_NEW", "review"),
-]
+#: What SQL says of each check's policy; issues come from the table.
+_POLICY_SQL = """
+CASE WHEN check_id IN ('D05_CROSS_DATASET_DUPLICATE_TIE', 'D05_CROSS_DATASET_MISMATCH') THEN 'review' WHEN starts_with(check_id, 'D01') OR starts_with(check_id, 'D05') OR regexp_matches(check_id, '^M0[1-5]_') THEN 'auto'
+     WHEN check_id IN ('M07_BBOX_DEGENERATE', 'M07_BBOX_OUT_OF_IMAGE') THEN 'review' WHEN regexp_matches(check_id, '^M0[678]_') THEN 'informational' ELSE 'review' END"""
+#: Checks that selectors name: modules, single checks, and one that no check has.
+_ONLY, _SKIP = ["m01", "M02_MASK_NOT_8BIT", " m03 ", "M07", "S03", "S05", "X99"], ["M07_SIZE_FIELDS_NULL", "S05"]
 
 
-@query("SELECT check_id, policy, status, CASE status WHEN 'checked' THEN policy = 'review' ELSE false END AS asks FROM (VALUES " + ", ".join(f"('{c}', '{p}')" for c, p in _POLICIES) + ") v(check_id, policy), (VALUES ('checked'), ('cannot_determine'), ('not_applicable')) s(status)")
+@query(_LINES + """, x AS (
+SELECT 'M01_MASK_RESOLUTION' AS check_id, CASE WHEN d = 0 THEN 'cannot_determine' ELSE 'checked' END AS status FROM a WHERE p % 5 = 0 UNION ALL SELECT 'M02_MASK_NOT_8BIT', 'checked' FROM a WHERE d = 10 UNION ALL
+SELECT 'M02_MASK_NOT_GRAYSCALE', 'checked' FROM a WHERE n = 7 UNION ALL SELECT 'M03_MASK_NOT_BINARY', 'checked' FROM a WHERE t = 3 UNION ALL SELECT 'M07_BBOX_DEGENERATE', 'checked' FROM a WHERE q < 3 UNION ALL
+SELECT 'M07_BBOX_OUT_OF_IMAGE', CASE WHEN d = 5 THEN 'cannot_determine' ELSE 'checked' END FROM a WHERE d > 4 UNION ALL SELECT 'M07_SIZE_FIELDS_NULL', 'not_applicable' FROM a WHERE t = 4 UNION ALL
+SELECT 'S03_NO_SPACING', 'cannot_determine' FROM a WHERE t = 2 UNION ALL SELECT 'S05_OUTSIDE_BODY', 'checked' FROM a WHERE d > 1)
+SELECT check_id, status, policy, status = 'checked' AND policy = 'review' AS asks, count(*) AS n FROM (SELECT *, """ + _POLICY_SQL + """ AS policy FROM x) GROUP BY ALL""")
 def check_policies(spark, sf):
-    """What each check's findings lead to, the closest selector deciding, and which of them ask for review."""
-    names = [c for c, _ in _POLICIES]
-    df = spark.createDataFrame([(c, s) for c in policy.selected(names) for s in ("checked", "cannot_determine", "not_applicable")], "check_id string, status string")
-    df = df.withColumn("policy", policy.policy_column(F.col("check_id"), names, settings.DEFAULTS["policy"]))
-    return df.withColumn("asks", policy.review_required(F.col("policy"), F.col("status"), settings.DEFAULTS["cannot_determine_as_review_required"]))
+    """What the findings of the table's checks lead to, the closest selector deciding, and which of them ask for review."""
+    found = _policy_issues(spark, sf)
+    names = [r[0] for r in found.select("check_id").distinct().collect()]  # as many as the registry has
+    df = found.withColumn("policy", policy.policy_column(F.col("check_id"), names, settings.DEFAULTS["policy"]))
+    df = df.withColumn("asks", policy.review_required(F.col("policy"), F.col("status"), settings.DEFAULTS["cannot_determine_as_review_required"]))
+    return df.groupBy("check_id", "status", "policy", "asks").agg(F.count("*").alias("n"))
+
+
+def _policy_issues(spark, sf) -> DataFrame:
+    a = _lines(spark, sf)
+    n, d, t, p, q = (F.col(c) for c in "ndtpq")
+    checked = F.lit("checked")
+    found = [
+        ("M01_MASK_RESOLUTION", p % 5 == 0, F.when(d == 0, "cannot_determine").otherwise("checked")), ("M02_MASK_NOT_8BIT", d == 10, checked), ("M02_MASK_NOT_GRAYSCALE", n == 7, checked), ("M03_MASK_NOT_BINARY", t == 3, checked),
+        ("M07_BBOX_DEGENERATE", q < 3, checked), ("M07_BBOX_OUT_OF_IMAGE", d > 4, F.when(d == 5, "cannot_determine").otherwise("checked")), ("M07_SIZE_FIELDS_NULL", t == 4, F.lit("not_applicable")),
+        ("S03_NO_SPACING", t == 2, F.lit("cannot_determine")), ("S05_OUTSIDE_BODY", d > 1, checked),
+    ]
+    cases = F.array(*[F.when(when, F.struct(F.lit(c).alias("check_id"), status.alias("status"))) for c, when, status in found])
+    return a.select(F.explode(F.filter(cases, lambda x: x.isNotNull())).alias("x")).select("x.*")
+
+
+@query(_LINES + """, x AS (
+SELECT 'M01_MASK_RESOLUTION' AS check_id FROM a WHERE p % 5 = 0 UNION ALL SELECT 'M02_MASK_NOT_8BIT' FROM a WHERE d = 10 UNION ALL SELECT 'M02_MASK_NOT_GRAYSCALE' FROM a WHERE n = 7 UNION ALL SELECT 'M03_MASK_NOT_BINARY' FROM a WHERE t = 3 UNION ALL
+SELECT 'M07_BBOX_DEGENERATE' FROM a WHERE q < 3 UNION ALL SELECT 'M07_BBOX_OUT_OF_IMAGE' FROM a WHERE d > 4 UNION ALL SELECT 'M07_SIZE_FIELDS_NULL' FROM a WHERE t = 4 UNION ALL SELECT 'S03_NO_SPACING' FROM a WHERE t = 2 UNION ALL SELECT 'S05_OUTSIDE_BODY' FROM a WHERE d > 1)
+SELECT check_id, count(*) AS n FROM x WHERE regexp_matches(check_id, '^(M01|M02|M03|S03)_') GROUP BY ALL""")
+def check_selection(spark, sf):
+    """Findings of the checks that selectors choose, by module or by name, in any case; a selector of one check takes its whole module along as the rules of rank 1 say."""
+    found = _policy_issues(spark, sf)
+    names = [r[0] for r in found.select("check_id").distinct().collect()]
+    return found.filter(F.col("check_id").isin(policy.selected(sorted(names), _ONLY, _SKIP))).groupBy("check_id").agg(F.count("*").alias("n"))
 
 
 @query("""

@@ -248,18 +248,45 @@ def _cross_records(spark, sf) -> DataFrame:
 
 
 @query("""
-WITH l AS (SELECT l_returnflag AS ds, l_orderkey AS image, l_linenumber AS uid, min(l_quantity) AS content FROM lineitem GROUP BY 1, 2, 3)
-SELECT a.ds AS dataset_id, a.image, a.uid AS geometry_uid, b.ds AS other_dataset FROM l a JOIN l b ON a.image = b.image AND a.uid = b.uid AND a.ds <> b.ds AND a.content <> b.content""")
+WITH v AS (SELECT DISTINCT l_returnflag AS ds, l_orderkey AS image, l_linenumber AS uid, l_quantity AS content FROM lineitem),
+g AS (SELECT image, uid, list({'ds': ds, 'content': content}) AS versions FROM v GROUP BY image, uid HAVING min(ds) <> max(ds)),
+o AS (SELECT image, uid, versions, unnest(versions) AS own FROM g),
+x AS (SELECT image, uid, own.ds AS dataset_id, unnest(list_filter(versions, lambda w: w.ds <> own.ds AND w.content <> own.content)) AS other FROM o)
+SELECT dataset_id, image, uid AS geometry_uid, other.ds AS other_dataset, count(*) AS n FROM x GROUP BY ALL""")
 def cross_dataset_mismatch(spark, sf):
-    """One geometry uid that several datasets hold with other contents."""
-    line = _t(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("dataset_id"), F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("uid")).agg(F.min("l_quantity").alias("content"))
-    records = line.select(
-        "dataset_id", F.concat_ws("/", "image", "uid").alias("geometry_uid"), F.col("image").alias("image_path"), F.lit("x").alias("label_key"), F.concat_ws("/", "image", "uid", "content").alias("content"),
-        F.lit(1).alias("stamp"), F.lit(1).alias("export"), F.col("image").alias("place"),
+    """One geometry uid that several datasets hold with other contents, in one version or in several of each."""
+    line = _t(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("dataset_id"), F.concat_ws("/", "l_orderkey", "l_linenumber").alias("geometry_uid"), F.col("l_orderkey").alias("image_path"), F.lit("x").alias("label_key"), F.col("l_quantity").alias("content"),
     )
-    found = checks.cross_dataset(records)[1].filter("check_id = 'D05_CROSS_DATASET_MISMATCH'")
+    found = checks.cross_dataset_versions(line)
     uid = F.split("geometry_uid", "/")
-    return found.select("dataset_id", uid[0].cast("long").alias("image"), uid[1].cast("long").alias("geometry_uid"), F.col("detail")["other_dataset"].alias("other_dataset"))
+    return found.groupBy("dataset_id", uid[0].cast("long").alias("image"), uid[1].cast("long").alias("geometry_uid"), "other_dataset").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH d AS (SELECT source AS dataset_id, doc_id, md5(text) AS image, lang, doc_id % 97 AS stamp, doc_id % 7 AS export FROM documents),
+c AS (SELECT image, lang FROM d GROUP BY 1, 2 HAVING min(dataset_id) <> max(dataset_id)),
+m AS (SELECT d.* FROM d JOIN c ON d.image = c.image AND d.lang IS NOT DISTINCT FROM c.lang),
+s AS (SELECT image, lang, count(*) AS n, count(DISTINCT stamp) AS ks, count(DISTINCT export) AS ke, arg_max(doc_id, stamp) AS newest, arg_min(doc_id, export) AS oldest FROM m GROUP BY 1, 2),
+x AS (SELECT m.*, CASE WHEN ks = n THEN newest WHEN ke = n THEN oldest END AS kept FROM m JOIN s ON m.image = s.image AND m.lang IS NOT DISTINCT FROM s.lang),
+i AS (
+  SELECT 'D05_CROSS_DATASET_DUPLICATE' AS check_id, doc_id AS uid FROM x WHERE kept <> doc_id UNION ALL SELECT 'D05_CROSS_DATASET_DUPLICATE', kept FROM x WHERE kept <> doc_id UNION ALL
+  SELECT 'D05_CROSS_DATASET_DUPLICATE_TIE', doc_id FROM x WHERE kept IS NULL UNION ALL
+  SELECT 'M07_BBOX_DEGENERATE', doc_id FROM d WHERE doc_id % 4 = 0 AND doc_id NOT IN (SELECT doc_id FROM x WHERE kept IS NOT NULL AND kept <> doc_id))
+SELECT check_id, uid, count(*) AS n FROM i GROUP BY ALL""")
+def cross_dataset_run(spark, sf):
+    """Copies across datasets found before all checks, reported as D05, and the losers hidden from the other checks."""
+    d = _t(spark, sf, "documents")
+    lang = F.array("lang")
+    annotations = d.select(
+        F.col("source").alias("dataset_id"), F.col("doc_id").cast("string").alias("file_uid"), F.col("doc_id").cast("string").alias("geometry_uid"), F.md5(F.col("text").cast("binary")).alias("image_path"), lang.alias("label_keys"),
+        (F.col("doc_id") % 97).alias("stamp"), (F.col("doc_id") % 7).alias("export_stamp"), F.lit(0).alias("ann_index"), F.lit("rect").alias("annotation_type"),
+        F.lit(1).alias("min_x"), F.lit(1).alias("min_y"), F.when(F.col("doc_id") % 4 == 0, 1).otherwise(9).alias("max_x"), F.lit(9).alias("max_y"), F.lit(10).alias("shape_w"), F.lit(10).alias("shape_h"), F.lit(10).alias("declared_w"), F.lit(10).alias("declared_h"),
+    )
+    box = dict(max_x=F.lit(9))  # of copies, the box is the same; it degenerates by the row only after they were compared
+    ctx, _ = checks.resolve_cross_dataset(checks.Context(annotations=annotations.withColumns(box)))
+    ctx.annotations = ctx.annotations.withColumn("max_x", F.when(F.col("geometry_uid").cast("long") % 4 == 0, 1).otherwise(9))
+    return checks.run(ctx, only=["D05", "M07"]).groupBy("check_id", F.col("geometry_uid").cast("long").alias("uid")).agg(F.count("*").alias("n"))
 
 
 @query("""

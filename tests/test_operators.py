@@ -251,6 +251,37 @@ def test_cross_dataset(spark):
     assert checks.without_excluded(records, decisions).count() == records.count() - 3
 
 
+def test_cross_dataset_versions_and_missing_contents(spark):
+    ddl = "dataset_id string, geometry_uid string, image_path string, label_key string, content string, stamp int, export int, place int"
+    records = spark.createDataFrame([
+        ("A", "g1", "i1", "x", "c1", 1, 1, 1), ("A", "g1", "i1", "x", "c2", 2, 1, 2), ("B", "g1", "i1", "x", "c1", 3, 1, 3),  # of two versions, one differs
+        ("A", "g2", "i2", "x", None, 1, 1, 4), ("B", "g2", "i2", "x", None, 2, 1, 5),  # missing contents are equal
+        ("A", "g3", "i3", None, "m", 1, 1, 6), ("B", "g4", "i3", None, "m", 2, 1, 7), ("A", "g5", "i4", "x", None, 1, 1, 8), ("B", "g5", "i4", "x", "m", 2, 1, 9),
+        ("A", "g6", None, "x", "m", 1, 1, 10), ("B", "g6", None, "x", "m", 2, 1, 11),
+    ], ddl)
+    decisions, found = checks.cross_dataset(records)
+    assert {(d["geometry_uid"], d["dataset_id"], d["decision"]) for d in decisions.collect()} == {("g1", "A", "exclude"), ("g1", "B", "keep"), ("g2", "A", "exclude"), ("g2", "B", "keep"), ("g3", "A", "exclude"), ("g4", "B", "keep")}
+    wrong = sorted((r["geometry_uid"], r["dataset_id"], r["detail"]["other_dataset"]) for r in found.filter("check_id = 'D05_CROSS_DATASET_MISMATCH'").collect())
+    assert wrong == [("g1", "A", "B"), ("g1", "B", "A"), ("g5", "A", "B"), ("g5", "B", "A")]
+    assert checks.cross_dataset(records.limit(0))[1].count() == 0
+
+
+def test_cross_dataset_comes_before_the_checks(spark):
+    base = _context(spark)
+    one = base.annotations.filter("geometry_uid = 'g'").withColumns({"image_path": F.lit("image/x.dcm"), "label_keys": F.array(F.lit("l")), "stamp": F.lit(1), "export_stamp": F.lit(1)})
+    ctx = checks.Context(one.unionByName(one.withColumns({"dataset_id": F.lit("E"), "geometry_uid": F.lit("k"), "stamp": F.lit(2), "path_mask": F.lit("mask/k.png")})), base.masks)
+    assert "D05" not in checks.executed(ctx)
+    boxes, _ = checks.resolve_cross_dataset(checks.Context(ctx.annotations))
+    assert [r["geometry_uid"] for r in boxes.annotations.collect()] == ["k"]  # without masks, equal boxes are copies
+    resolved, decisions = checks.resolve_cross_dataset(ctx)
+    assert decisions.count() == 0 and resolved.annotations.count() == 2  # one has a mask, the other has none
+    twin = base.masks.filter("geometry_uid = 'g'").withColumns({"dataset_id": F.lit("E"), "geometry_uid": F.lit("k")})
+    resolved, decisions = checks.resolve_cross_dataset(checks.Context(ctx.annotations, base.masks.unionByName(twin)))
+    assert {(d["dataset_id"], d["decision"]) for d in decisions.collect()} == {("D", "exclude"), ("E", "keep")}
+    found = checks.run(resolved, only=["D05", "M07"])
+    assert {(r["check_id"], r["geometry_uid"]) for r in found.collect()} == {("D05_CROSS_DATASET_DUPLICATE", "g"), ("D05_CROSS_DATASET_DUPLICATE", "k"), ("M07_BBOX_DEGENERATE", "k")}
+
+
 def test_conflicts_stop(spark):
     one = spark.createDataFrame([("d", "k", "keep", "1")], "dataset_id string, key string, decision string, stamp string")
     other = spark.createDataFrame([("d", "k", "exclude", "1"), (None, "z", "keep", "1")], one.schema)
