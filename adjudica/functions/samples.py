@@ -60,9 +60,10 @@ def relative_path(path: Column, base: str) -> Column:
 
 
 def reference_status(corrupt: Column, shapes_differ: Column, kinds: Column, required: list[str]) -> Column:
-    """available, corrupt, shape_mismatch, lung_only or no_reference, in this order of precedence after availability."""
+    """available if all required kinds are whole, whatever else is broken; then corrupt, shape_mismatch, lung_only or no_reference."""
     whole = F.size(F.array_except(F.array(*[F.lit(k) for k in required]), kinds)) == 0
-    return F.when(whole & ~corrupt & ~shapes_differ, "available").when(corrupt, "corrupt").when(shapes_differ, "shape_mismatch").when(F.array_contains(kinds, "lung"), "lung_only").otherwise("no_reference")
+    reason = F.when(corrupt, "reference_corrupt").when(shapes_differ, "reference_shape_mismatch").when(F.array_contains(kinds, "lung"), "lung_only").otherwise("no_reference")
+    return F.when(whole, "available").otherwise(F.concat(F.lit("cannot_determine:"), reason))
 
 
 def record_path(column: str, base: str | None) -> Column:
