@@ -37,11 +37,20 @@ def _case_labels(container: Column) -> Column:
     return F.flatten(F.transform(F.coalesce(container, F.array()), lambda a: F.coalesce(a["labels"], F.array())))
 
 
+def studies_of(docs: DataFrame) -> DataFrame:
+    """source_json, institution, study and s, the study's struct, of whole documents; nested_text.studies() reads them in parts."""
+    d = docs.filter("doc.dataset is not null").select("source_json", F.explode("doc.dataset").alias("institution", "studies"))
+    return d.select("source_json", "institution", F.explode("studies").alias("study", "s"))
+
+
 def images(docs: DataFrame) -> DataFrame:
     """A row for each image, with its records (an array), labels of the case, and its place in the series."""
-    d = docs.filter("doc.dataset is not null").select("source_json", F.explode("doc.dataset").alias("institution", "studies"))
-    d = d.select("source_json", "institution", F.explode("studies").alias("study", "s"))
-    d = d.select("source_json", "institution", "study", "s", F.explode("s.series_list").alias("series", "x"))
+    return images_of(studies_of(docs))
+
+
+def images_of(studies: DataFrame) -> DataFrame:
+    """images() of a table of studies."""
+    d = studies.select("source_json", "institution", "study", "s", F.explode("s.series_list").alias("series", "x"))
     d = d.select("source_json", "institution", "study", "s", "series", "x", F.explode("x.file_list").alias("file", "f"))
     dataset = F.coalesce(F.nullif(F.col("f.dataset_id"), F.lit("")), ids.dataset_of(F.col("source_json")))
     path = [F.col(c) for c in ("institution", "study", "series", "file")]
