@@ -218,11 +218,11 @@ def thumbnail(image: np.ndarray, side: int = 32) -> list[float]:
 
 
 def write_png(image: np.ndarray) -> bytes:
-    """An 8- or 16-bit grey PNG (SK12)."""
-    depth = 8 * image.dtype.itemsize
+    """An 8- or 16-bit PNG, grey, or of three channels (SK12)."""
+    depth, colour = 8 * image.dtype.itemsize, 2 if image.ndim == 3 else 0
     raw = b"".join(b"\0" + row.astype(f">u{depth // 8}").tobytes() for row in image)
     chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", image.shape[1], image.shape[0], depth, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", image.shape[1], image.shape[0], depth, colour, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
 
 
 def _unfiltered(raw: np.ndarray, kinds: np.ndarray, step: int) -> np.ndarray:

@@ -118,6 +118,12 @@ def gate(count: int, what: str, allow: bool = False, treat_as: str | None = None
     return f"{count} {what}: " + ("say what they count as" if allow else "not allowed")
 
 
+def gate_column(count: Column, what: str, allow: Column, told: Column) -> Column:
+    """gate() of a table of counts: the sentence that stops a build, or null."""
+    reason = F.when(allow, "say what they count as").otherwise("not allowed")
+    return F.when((count > 0) & ~(allow & told), F.concat(count.cast("string"), F.lit(f" {what}: "), reason))
+
+
 def with_issues(rows: DataFrame, issues: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with check_ids, the sorted checks whose issues share their keys (J7); an empty list without any."""
     found = issues.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.array_sort(F.collect_set("check_id")).alias("_checks"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adjudica import config as settings
-from adjudica.functions import measure, raster, runs
+from adjudica.functions import measure, overlay, raster, runs
 from adjudica.operators import checks
 from adjudica.plans.measured import _LINES, _lines
 from adjudica.plans.queries import _t, query
@@ -218,3 +218,33 @@ def scan_to_checks(spark, sf):
     ctx = checks.Context(annotations, found["masks"], found["files"], found["pairs"])
     issues = checks.run(ctx, only=["M05", "S03", "S05"]).filter("check_id <> 'S03_STRAY_COMPONENT'")  # parts are counted by shape_masks
     return issues.groupBy("check_id", "severity").agg(F.count("*").alias("n"))
+
+
+@query(_PIXELS + """, c(side, red, green, blue) AS (VALUES (0, 228, 26, 28), (1, 55, 126, 184)),
+p AS (SELECT DISTINCT o FROM px), cells AS (SELECT o, y, x, CAST((o * 7 + y * 12 + x) % 256 AS DOUBLE) AS v FROM p, range(0, 12) r(y), range(0, 12) k(x)),
+edge AS (SELECT px.o, px.side, px.y, px.x FROM px LEFT JOIN px q ON q.o = px.o AND q.side = px.side AND abs(q.y - px.y) + abs(q.x - px.x) = 1 GROUP BY ALL HAVING count(q.o) < 4),
+nth AS (SELECT o, side, row_number() OVER (PARTITION BY o ORDER BY side) - 1 AS n FROM (SELECT DISTINCT o, side FROM px)),
+m AS (SELECT cells.*, max(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS f0, max(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS f1, max(CASE WHEN edge.o IS NOT NULL AND n = 0 THEN 1 ELSE 0 END) AS e0, max(CASE WHEN edge.o IS NOT NULL AND n = 1 THEN 1 ELSE 0 END) AS e1
+  FROM cells LEFT JOIN px ON px.o = cells.o AND px.y = cells.y AND px.x = cells.x LEFT JOIN nth ON nth.o = px.o AND nth.side = px.side LEFT JOIN edge ON edge.o = px.o AND edge.side = px.side AND edge.y = px.y AND edge.x = px.x GROUP BY cells.o, cells.y, cells.x, v),
+r AS (SELECT o, e0, e1, f1, CASE WHEN f0 = 1 THEN floor(v * (1 - 0.28::DOUBLE) + 228 * 0.28::DOUBLE + 0.5) ELSE v END AS a, CASE WHEN f0 = 1 THEN floor(v * (1 - 0.28::DOUBLE) + 28 * 0.28::DOUBLE + 0.5) ELSE v END AS b FROM m),
+s AS (SELECT o, e0, e1, CASE WHEN f1 = 1 THEN floor(a * (1 - 0.28::DOUBLE) + 55 * 0.28::DOUBLE + 0.5) ELSE a END AS a, CASE WHEN f1 = 1 THEN floor(b * (1 - 0.28::DOUBLE) + 184 * 0.28::DOUBLE + 0.5) ELSE b END AS b FROM r)
+SELECT o, CAST(sum(CASE WHEN e1 = 1 THEN 55 WHEN e0 = 1 THEN 228 ELSE a END) AS BIGINT) AS red, CAST(sum(CASE WHEN e1 = 1 THEN 184 WHEN e0 = 1 THEN 28 ELSE b END) AS BIGINT) AS blue FROM s GROUP BY o""")
+def drawn_masks(spark, sf):
+    """G19, SK12: images with their masks blended and outlined, as PNG files; sums of two channels against single pixels."""
+    masks = _masks(spark, sf, "o", "side").select(F.col("o").cast("string").alias("file_uid"), F.col("side").cast("int").alias("ann_index"), "mask")
+
+    def grey(stream):
+        y, x = np.ogrid[:SIDE, :SIDE]
+        for batch in stream:
+            made = [raster.write_png(((int(o) * 7 + y * 12 + x) % 256).astype(np.uint8)) for o in batch.column("file_uid").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("file_uid"), batch.column("file_uid"), pa.array(made, pa.binary())], names=["file_uid", "name", "content"])
+
+    images = masks.select("file_uid").distinct().mapInArrow(grey, "file_uid string, name string, content binary")
+
+    def summed(stream):
+        for batch in stream:
+            read = [raster.read_png(c) for c in batch.column("content").to_pylist()]
+            sums = [[int(p[..., k].astype(int).sum()) for p in read] for k in (0, 2)]
+            yield pa.RecordBatch.from_arrays([batch.column("name").cast(pa.int64()), *[pa.array(v, pa.int64()) for v in sums]], names=["o", "red", "blue"])
+
+    return overlay.pictures(images, masks).mapInArrow(summed, "o long, red long, blue long")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from adjudica.functions import measure, raster, runs
+from adjudica.functions import measure, overlay, raster, runs
 from adjudica.operators import checks
 
 
@@ -178,3 +178,37 @@ def test_scan_of_files(spark):
     said = {(r["check_id"], r["geometry_uid"]) for r in checks.run(ctx, only=["M05", "S03", "S04", "S05"]).collect()}
     assert {("M05_FILE_MISSING", "d"), ("M05_FILE_UNREADABLE", "c"), ("S03_NO_SPACING", "e")} <= said and ("S04_ORIGINAL_FINAL_DIVERGENCE", "w") not in said
     assert all(df.count() == 0 for df in measure.scan(images.limit(0), ann.limit(0), files.limit(0)).values())
+
+
+def test_outlines_and_fills(pictures):
+    for m in pictures:
+        want = np.zeros_like(m)
+        for y, x in zip(*np.nonzero(m), strict=True):
+            want[y, x] = any(not (0 <= a < m.shape[0] and 0 <= b < m.shape[1] and m[a, b]) for a, b in ((y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)))
+        assert (overlay.outline(m) == want).all()
+    image = np.full((8, 8), 100, np.uint8)
+    a, b = np.zeros((8, 8), bool), np.zeros((8, 8), bool)
+    a[1:6, 1:6], b[3:8, 3:8] = True, True
+    got = overlay.drawn(image, [a, b, np.ones((2, 2), bool)])
+    assert got[0, 0].tolist() == [100] * 3 and got[1, 1].tolist() == list(overlay.COLOURS[0]) and got[7, 7].tolist() == list(overlay.COLOURS[1])
+    once = [int(100 * 0.72 + c * 0.28 + 0.5) for c in overlay.COLOURS[0]]
+    assert got[2, 2].tolist() == once and got[4, 4].tolist() == [int(v * 0.72 + c * 0.28 + 0.5) for v, c in zip(once, overlay.COLOURS[1], strict=True)]
+    assert overlay.drawn(image, [a], (1, 1, 3, 2)).shape == (2, 3, 3) and overlay.grey(np.array([[0, 1000]], np.uint16))[0].tolist() == [[0] * 3, [255] * 3]
+    body = np.zeros((8, 8), bool)
+    body[2:5, 2:5] = True
+    shown = overlay.band_drawn(image, {"thorax": body}, 1.0)
+    assert (shown[:, 2] == overlay.BAND_COLOUR).all() and shown[0, 0].tolist() == [100] * 3 and overlay.band_drawn(image, {}, 1.0) is None
+
+
+def test_pictures_are_written_once(spark, tmp_path):
+    image = raster.write_png(np.full((6, 7), 9, np.uint8))
+    images = spark.createDataFrame([("f", "f.png", image), ("g", "g.png", image), ("h", "h.png", b"broken")], "file_uid string, name string, content binary")
+    m = np.zeros((6, 7), bool)
+    m[2:4, 2:5] = True
+    masks = spark.createDataFrame([("f", 0, (6, 7, runs.of_array(m)))], f"file_uid string, ann_index int, mask {runs.MASK_DDL}")
+    for expected in ("written", "exists"):
+        done = {r["name"]: r["status"] for r in raster.written_files(overlay.pictures(images, masks), str(tmp_path)).collect()}
+        assert done == {"f.png": expected, "g.png": expected, "h.png": "empty"}
+    assert (raster.read_png((tmp_path / "f.png").read_bytes()) == overlay.drawn(np.full((6, 7), 9, np.uint8), [m])).all()
+    cut = overlay.pictures(images.filter("file_uid = 'f'"), masks, margin=1).first()["content"]
+    assert raster.read_png(bytes(cut)).shape == (4, 5, 3)
