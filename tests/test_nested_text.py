@@ -41,7 +41,7 @@ def test_studies_equal_the_whole_reader(spark, folder):
     paths = sorted(glob.glob(f"{folder}/*.json"))
     want = _key(nested.studies_of(nested.documents(spark, paths)))
     assert len(want) > 30
-    for size in (None, 4096, 700, 60):
+    for size in (None, 700, 90):
         assert _key(nested_text.studies(spark, paths, block_bytes=size)) == want, size
     some = want[0][1]
     assert _key(nested_text.studies(spark, paths, [some], block_bytes=300)) == [w for w in want if w[1] == some]
