@@ -53,8 +53,7 @@ def star_clusters(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """center and node: clusters of linked nodes around centers, the center among its nodes; not transitive.
 
     Nodes come up in the order in which the ascending pairs name them. A node that no earlier center is linked to becomes
-    a center, and all that is linked with it is its cluster, nodes of other clusters too. Each round decides all nodes
-    whose earlier neighbours are decided; nothing is collected.
+    a center, and all that is linked with it is its cluster, nodes of other clusters too. Nothing is collected.
     """
     edges = written(pairs.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).filter("x <> y").distinct(), "pairs")
     both = edges.union(edges.select("y", "x"))
@@ -63,11 +62,36 @@ def star_clusters(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     left = order.select(F.col("node").alias("x"), F.col("o").alias("ox"))
     right = order.select(F.col("node").alias("y"), F.col("o").alias("oy"))
     earlier = written(both.join(left, "x").join(right, "y").filter("oy < ox").select("x", "y"), "earlier")  # y comes up before x
-    state = written(order.select("node", F.lit(None).cast("boolean").alias("center")), "state")
-    while state.filter("center is null").limit(1).count():
-        before = earlier.join(state.select(F.col("node").alias("y"), "center"), "y").groupBy("x").agg(F.bool_or("center").alias("taken"), F.count_if(F.col("center").isNull()).alias("open"))
-        j = state.join(before, F.col("node") == F.col("x"), "left")
-        now = F.when(F.coalesce("taken", F.lit(False)), False).when(F.coalesce("open", F.lit(0)) == 0, True)
-        state = written(j.select("node", F.coalesce("center", now).alias("center")), "state")
-    centers = state.filter("center").select(F.col("node").alias("center"))
+    centers = _independent(order.select("node"), earlier).filter("center").select(F.col("node").alias("center"))
     return centers.select("center", F.col("center").alias("node")).union(centers.join(both, F.col("center") == F.col("x")).select("center", F.col("y").alias("node")))
+
+
+def _independent(nodes: DataFrame, earlier: DataFrame) -> DataFrame:
+    """node and center: whether no y of the pairs (x, y) of earlier, which has no circle, is a center.
+
+    A node without open y is a center, one with a y that is a center is none. A node with one open y is its opposite and
+    is replaced by that wherever it is a y itself, so chains and trees halve with each round: their rounds grow with the
+    logarithm of their depth. Only where nodes keep several open y after that does a round decide one layer.
+    """
+    open_ = earlier.select("x", "y", F.lit(False).alias("opposite"))  # x is no center where y is one, or where its opposite is
+    done = None
+    while True:
+        terms = open_.groupBy("x", "y").agg(F.min("opposite").alias("opposite"), F.max("opposite").alias("_o"))
+        true = F.col("y").isNull() | (F.col("opposite") != F.col("_o"))  # a y that is a center, or a node and its opposite
+        by_x = terms.groupBy("x").agg(F.bool_or(true).alias("_true"), F.count("*").alias("_n"), F.min(F.struct("y", "opposite")).alias("_one"))
+        center = F.when(F.col("_true"), False).when(F.col("_n").isNull(), True)
+        j = nodes.join(by_x, F.col("node") == F.col("x"), "left")
+        state = written(j.select("node", center.alias("center"), F.when(F.col("_n") == 1, F.col("_one")).alias("one")), "state")
+        decided = state.filter("center is not null").select("node", "center")
+        done = decided if done is None else done.union(decided)
+        nodes = state.filter("center is null").select("node")
+        if not nodes.limit(1).count():
+            return done
+        open_one = state.filter("center is null and one is not null").join(nodes.select(F.col("node").alias("_z")), F.col("one.y") == F.col("_z"), "left_semi").select("node", "one")
+        y = state.select("node", "center").join(open_one, "node", "left").select(F.col("node").alias("y"), "center", "one")
+        left = written(terms.select("x", "y", "opposite"), "terms").join(nodes.select(F.col("node").alias("x")), "x", "left_semi").join(y, "y")
+        known = F.col("center").isNotNull()
+        left = left.filter(~known | (F.col("center") != F.col("opposite")))
+        # a y with one term is the opposite of it
+        passed = F.when(known, F.lit(None)).when(F.col("one").isNotNull(), F.struct(F.col("one.y").alias("y"), (F.col("one.opposite") == F.col("opposite")).alias("opposite"))).otherwise(F.struct("y", "opposite"))
+        open_ = written(left.select("x", passed.alias("_p")).select("x", F.col("_p.y").alias("y"), F.coalesce("_p.opposite", F.lit(False)).alias("opposite")), "open")

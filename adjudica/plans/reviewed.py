@@ -12,7 +12,8 @@ from adjudica.plans.measured import _LINES, _lines
 from adjudica.plans.queries import _t, query
 from adjudica.schema import SOURCE_DDL
 from adjudica.sources import artifacts, nested
-from adjudica.storage import scratch_path
+from adjudica.storage import scratch_path, written
+from adjudica.streaming import review_store
 
 
 def _documents(spark, sf) -> DataFrame:
@@ -278,3 +279,50 @@ def open_gates(spark, sf):
     df = _t(spark, sf, "orders").select((key % 40).alias("n"), (key % 2 == 0).alias("allow"), (key % 3 == 0).alias("told"))
     message = ladders.gate_column(F.col("n"), "images are pending", F.col("allow"), F.col("told"))
     return df.groupBy("n", "allow", "told", message.isNotNull().alias("stops")).agg(F.count("*").alias("n_rows"))
+
+
+@query("""
+WITH RECURSIVE e AS (SELECT user_id AS u, event_id AS id, ts, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id % 4 + 1 AS f FROM events WHERE user_id IS NOT NULL),
+x AS (SELECT u, row_number() OVER (PARTITION BY u ORDER BY ts, CAST(id AS VARCHAR)) AS n, k, f, 'r' || id % 3 AS who, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS told,
+ CASE f WHEN 1 THEN ['keep', 'exclude', 'uncertain'][k % 3 + 1] WHEN 2 THEN ['frontal_view', 'wrong_label', 'frontal_view|wrong_label'][k % 3 + 1] WHEN 3 THEN 'c' || k % 5 WHEN 4 THEN ['tag+', 'tag-'][k % 2 + 1] END AS val FROM e),
+s AS (
+ SELECT DISTINCT u, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS version, CAST([0, 0, 0, 0] AS BIGINT[]) AS vers, ['', '', '', ''] AS whos, ['', '', '', ''] AS vals, '' AS reviewer, '' AS told, CAST(0 AS BIGINT) AS conflicts FROM x
+ UNION ALL
+ SELECT u, n, version + ok, CASE WHEN ok = 1 THEN [CASE WHEN i = f THEN version + 1 ELSE vers[i] END FOR i IN [1, 2, 3, 4]] ELSE vers END, CASE WHEN ok = 1 THEN [CASE WHEN i = f THEN who ELSE whos[i] END FOR i IN [1, 2, 3, 4]] ELSE whos END,
+  CASE WHEN ok = 1 THEN [CASE WHEN i = f THEN val ELSE vals[i] END FOR i IN [1, 2, 3, 4]] ELSE vals END, CASE WHEN ok = 1 AND f < 4 THEN who ELSE reviewer END, CASE WHEN ok = 1 AND f < 4 THEN told ELSE old_told END, conflicts + 1 - ok
+ FROM (SELECT s.u, x.n, version, vers, whos, vals, reviewer, s.told AS old_told, conflicts, x.f, x.who, x.val, x.told, CASE WHEN vers[x.f] > x.k AND whos[x.f] <> x.who AND vals[x.f] <> x.val THEN 0 ELSE 1 END AS ok FROM s JOIN x ON x.u = s.u AND x.n = s.n + 1)),
+l AS (SELECT s.* FROM s JOIN (SELECT u, max(n) AS n FROM x GROUP BY 1) m USING (u, n)),
+h AS (SELECT min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) // 2 AS mid FROM events),
+r AS (SELECT u, count_if(epoch_us(ts) <= mid AND id % 10 = 0) AS repeated FROM e, h GROUP BY 1),
+b AS (SELECT *, ['pending', 'keep', 'exclude', 'pending'][u % 4 + 1] AS baseline FROM l JOIN r USING (u)),
+c AS (SELECT *, CASE WHEN vals[1] = '' THEN baseline ELSE vals[1] END AS now FROM b),
+d AS (SELECT *, now <> 'pending' AND (reviewer <> '' OR now <> baseline) AS said FROM c)
+SELECT CASE WHEN u % 5 = 0 THEN 'image' ELSE 'annotation' END AS kind, 'd' || u % 3 AS dataset_id, CAST(u AS VARCHAR) AS key, version AS applied, conflicts, repeated, vals[4] = 'tag+' AS to_report,
+ CASE WHEN said THEN now ELSE baseline END AS status, CASE WHEN said THEN vals[2] ELSE '' END AS reasons, CASE WHEN said THEN vals[3] ELSE '' END AS comment, CASE WHEN said THEN reviewer ELSE '' END AS reviewer, CASE WHEN said THEN told ELSE '' END AS reviewed_at FROM d""")
+def review_round_trip(spark, sf):
+    """SK16: a store built for the users of events, each event an edit that saw some version. The stream stops after a half and goes on
+    from its checkpoint with the rest and some of the first edits again; verdicts are exported and imported into a store built anew."""
+    e = _t(spark, sf, "events").filter("user_id is not null")
+    u, n, k = F.col("user_id"), F.col("event_id"), F.get_json_object("props", "$.k").cast("long")
+    who = [F.when(u % 5 == 0, "image").otherwise("annotation").alias("kind"), F.concat(F.lit("d"), u % 3).alias("dataset_id"), u.cast("string").alias("key")]
+    one = lambda at, *values: F.element_at(F.array(*[F.lit(v) for v in values]), (at + 1).cast("int"))
+    blank = [F.lit("").alias(c) for c in ("review_reasons", "review_reason", "reviewer", "reviewed_at")]
+    manifest = e.select("user_id").distinct().select(*who, one(u % 4, "pending", "keep", "exclude", "pending").alias("review_status"), *blank, F.array(F.lit("auto:s03_tiny_annotation")).alias("auto_tags"), F.lit(False).alias("spot_check"))
+    field = one(n % 4, "status", "reasons", "comment", "tag")
+    value = F.when(n % 4 == 0, one(k % 3, "keep", "exclude", "uncertain")).when(n % 4 == 1, one(k % 3, "frontal_view", "wrong_label", "frontal_view|wrong_label")).when(n % 4 == 2, F.concat(F.lit("c"), k % 5)).otherwise("flag:needs_report")
+    edits = e.select(*who, n.cast("string").alias("edit_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), F.concat(F.lit("r"), n % 3).alias("reviewer"), k.alias("base"),
+                     F.when(n % 4 == 3, one(k % 2, "tag+", "tag-")).otherwise(field).alias("field"), value.alias("value"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_us"), (n % 10 == 0).alias("_twice"))
+    ends = _t(spark, sf, "events").agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    mid = F.lit((ends[0] or 0) + ((ends[1] or 0) - (ends[0] or 0)) // 2)
+    items = written(review_store.built(manifest), "items")
+    place = scratch_path(spark, "review")
+    for part in (F.col("_us") <= mid, (F.col("_us") > mid) | F.col("_twice")):
+        edits.filter(part).drop("_us", "_twice").write.mode("append").json(f"{place}/in")
+        review_store.edit_stream(items, f"{place}/in", f"{place}/history", f"{place}/checkpoint").awaitTermination()
+    history = spark.read.schema(review_store.HISTORY_DDL).parquet(f"{place}/history")
+    after = review_store.edited(items, history)
+    again = review_store.imported(review_store.built(manifest), review_store.exported(after))
+    keys = review_store.KEYS
+    told = history.groupBy(*keys).agg(*[F.count_if(F.col("outcome") == o).alias(c) for o, c in (("applied", "applied"), ("conflict", "conflicts"), ("repeated", "repeated"))])
+    report = review_store.flagged(after).select(*keys, F.lit(True).alias("_r"))
+    return again.join(told, keys).join(report, keys, "left").select(*keys, "applied", "conflicts", "repeated", F.coalesce("_r", F.lit(False)).alias("to_report"), "status", "reasons", "comment", "reviewer", "reviewed_at")

@@ -1,6 +1,7 @@
 """Operators on small tables: every rung, tie, missing value and key."""
 
 import json
+import random
 
 import pytest
 from conftest import rows
@@ -51,6 +52,25 @@ def test_components(spark):
     assert rows(components.star_clusters(spark.createDataFrame([(1, 2), (2, 9), (3, 9)], "a int, b int"))) == [(1, 1), (1, 2), (9, 2), (9, 3), (9, 9)]
 
 
+def test_star_clusters_of_chains_and_random_graphs(spark):
+    rng = random.Random(3)
+    graphs = [[(i, i + 1) for i in range(60)], [(i, rng.randrange(i)) for i in range(1, 80)], [(rng.randrange(30), rng.randrange(30)) for _ in range(45)]]
+    for pairs in graphs:
+        linked, order = {}, []
+        for a, b in sorted({(min(p), max(p)) for p in pairs if p[0] != p[1]}):
+            for x, y in ((a, b), (b, a)):
+                if x not in linked:
+                    order.append(x)
+                linked.setdefault(x, set()).add(y)
+        centers = []
+        for x in order:
+            if not linked[x] & set(centers):
+                centers.append(x)
+        want = sorted((c, n) for c in centers for n in (c, *linked[c]))
+        assert rows(components.star_clusters(spark.createDataFrame(pairs, "a int, b int"))) == want
+
+
+
 def test_newest_wins(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), ("b", 1, "y"), ("c", None, "x"), ("c", 3, "y"), ("d", 1, "x")], "g string, t int, u string")
     got = {(r["g"], r["u"]): (r["decision"], r["reason"], r["kept_uid"]) for r in survivors.newest_wins(df, ["g"], "t", "u").collect()}

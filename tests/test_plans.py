@@ -3,7 +3,7 @@
 import pytest
 from conftest import SF, same_as_sql
 
-from adjudica.plans import exported, measured  # noqa: F401
+from adjudica.plans import exported, imaging, measured, reviewed  # noqa: F401
 from adjudica.plans.queries import ORACLE, QUERIES
 
 
