@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudica.functions import samples
-from adjudica.operators import build, contracts, enrichment, export, ladders, merges, review, rollups
+from adjudica.operators import build, contracts, distribution, enrichment, export, ladders, merges, review, rollups
 from adjudica.plans.queries import _t, query
 from adjudica.sources import adapters, artifacts
 from adjudica.storage import scratch_path
@@ -359,3 +359,55 @@ def nested_round_trip(spark, sf):
     nested_text.write_documents(nested_text.document_lines(files.drop("o_custkey"), None, studies, series), folder, 1)
     read = nested.images_of(nested_text.studies(spark, [f"{folder}/source_json=set/part-*"], block_bytes=1 << 18))
     return read.select("institution", "study", "series", "file", "image_path", "patient_id", F.size("records").alias("n_records"), "shape_w")
+
+
+_SAMPLES_SQL = """s AS (SELECT CASE WHEN c % 13 < 12 THEN 'F' || c % 13 END AS f, c AS p, o % 3 = 0 AND o % 7 > 0 AS ill, CASE WHEN o // 5 % 4 < 3 THEN ['right', 'left', 'bilateral'][o // 5 % 4 + 1] END AS side,
+ CASE WHEN o // 11 % 4 < 3 THEN ['present', 'absent', 'unknown'][o // 11 % 4 + 1] END AS finding, ['present', 'absent', 'unknown'][o // 7 % 3 + 1] AS bulla, o % 6 > 0 AS spaced, o % 10 > 0 AS shaped, o % 5 > 0 AS viewed, o % 4 > 0 AS made,
+ (o // 2) % 3 = 1 AS m1, (o // 3) % 3 = 1 AS m2, (o // 4) % 3 = 1 AS m3, CASE WHEN o % 9 > 0 THEN CASE WHEN o % 17 = 0 THEN 0.0 ELSE t * t / (o % 1000 + 1) / 1000000.0 END END AS area, (1000 + o % 4000) * (CAST(c % 7 + 1 AS DOUBLE) / 20) AS w
+ FROM (SELECT o_orderkey AS o, o_custkey AS c, o_totalprice AS t FROM orders))"""
+_KINDS = ("present", "absent", "unknown")
+_CHART_TESTS = [
+    ("00_overview", "samples", "total", "", "true"), ("01_label_counts", "Pneumothorax case", "present/true", "", "ill"), ("01_label_counts", "Pneumothorax case", "absent/false", "", "NOT ill"),
+    ("01_label_counts", "Pneumothorax case", "unknown/null", "", "false"), ("01_label_counts", "Pneumothorax mask", "present/true", "", "m1"), ("01_label_counts", "Pneumothorax mask", "absent/false", "", "false"),
+    ("01_label_counts", "Pneumothorax mask", "unknown/null", "", "NOT m1"),
+    *[("01_label_counts", name, value, "", f"{column} = '{kind}'") for name, column in (("Abnormal finding", "finding"), ("Bulla / bleb", "bulla")) for kind, value in zip(_KINDS, ("present/true", "absent/false", "unknown/null"))],
+    *[("02_case_vs_mask", f"Pneumothorax case = {t}", f"mask {v}", "", f"{a} AND {b}") for t, a in (("true", "ill"), ("false", "NOT ill")) for v, b in (("present", "m1"), ("absent", "NOT m1"))],
+    *[("03_side", "pneumothorax_side", v, distribution.SIDE_NOTE, f"side = '{v}'") for v in ("right", "left", "bilateral")],
+    *[("04_mask_coverage", m, v, "", f"{n}m{i}") for i, m in enumerate(distribution.MASKS, 1) for v, n in (("present", ""), ("missing", "NOT "))],
+    *[("07_metadata", m, v, "", f"{n}{c}") for m, c in (("view_position", "viewed"), ("vendor_id", "made"), ("pixel_spacing", "spaced")) for v, n in (("present", ""), ("missing (null)", "NOT "))],
+    *[("08_finding_vs_case", k, f"pneumothorax {t}", "", f"finding = '{k}' AND {a}") for k in _KINDS for t, a in (("true", "ill"), ("false", "NOT ill"))],
+    *[("09_physical_width", "image_shape.width * pixel_spacing.x", f"[{a}, {b}) mm", distribution.WIDTH_NOTE, f"spaced AND shaped AND w >= {a} AND w < {b}") for a, b in ((0, 200), (200, 250), (250, 300), (300, 400), (400, 10000))],
+]
+
+
+def _sample_set(spark, sf) -> DataFrame:
+    """A sample for each order, its customer the patient."""
+    o, c, t = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
+    by = lambda n: F.floor(o / n).cast("long")
+    mask = lambda n: F.when(by(n) % 3 < 2, F.struct(F.when(by(n) % 3 == 1, "mask.png").otherwise("").alias("pixel_array")))
+    size = (c % 7 + 1).cast("double") / 20
+    return _t(spark, sf, "orders").select(
+        F.when(c % 13 < 12, F.concat(F.lit("F"), c % 13)).alias("facility_id"), c.alias("patient_id"), F.when(o % 7 > 0, o % 3 == 0).alias("pneumothorax_case"), _pick(by(5), "right", "left", "bilateral", None).alias("pneumothorax_side"),
+        _pick(by(11), *_KINDS, None).alias("abnormal_finding_status"), _pick(by(7), *_KINDS).alias("bulla_bleb_status"), F.when(o % 5 > 0, "PA").alias("view_position"), F.when(o % 4 > 0, "v").alias("vendor_id"),
+        F.when(o % 6 > 0, F.struct(size.alias("x"), size.alias("y"))).alias("pixel_spacing"), F.when(o % 10 > 0, F.struct(F.lit(2000).alias("height"), (1000 + o % 4000).alias("width"))).alias("image_shape"),
+        F.when(o % 9 > 0, F.when(o % 17 == 0, 0.0).otherwise(t * t / (o % 1000 + 1) / 1000000.0)).alias("pneumothorax_area_mm2"), mask(2).alias("pneumothorax_mask"), mask(3).alias("lung_mask"), mask(4).alias("thorax_mask"))
+
+
+@query("WITH " + _SAMPLES_SQL + ", r AS (" + " UNION ALL ".join(f"SELECT '{c}' AS chart, '{f}' AS field, '{v}' AS value, count_if({t}) AS images, '{n}' AS note FROM s" for c, f, v, n, t in _CHART_TESTS) + f"""
+ UNION ALL SELECT '03_side', 'pneumothorax_side', 'unknown (null)', count_if(ill) - count(side), '{distribution.SIDE_NOTE}' FROM s
+ UNION ALL SELECT '05_area', 'pneumothorax_area_mm2', printf('[%.0f, %.0f) mm2', pow(10.0, b / 4.0), pow(10.0, (b + 1) / 4.0)), count(*), '' FROM (SELECT least(greatest(floor(log10(area) * 4), 0), 19) AS b FROM s WHERE area > 0) GROUP BY b
+ UNION ALL SELECT '06_facility', f, 'images', count(*), '' FROM s GROUP BY f UNION ALL SELECT '06_facility', f, 'pneumothorax true', count_if(ill), '' FROM s GROUP BY f
+ UNION ALL SELECT '06_facility', f, 'pneumothorax mask', count_if(m1), '' FROM s GROUP BY f
+ UNION ALL SELECT '00_overview', 'patients', 'unique (facility, patient)', count(*), '' FROM (SELECT DISTINCT f, p FROM s) UNION ALL SELECT '00_overview', 'patients', 'with pneumothorax', count(*), '' FROM (SELECT DISTINCT f, p FROM s WHERE ill))
+SELECT chart, field, value, CAST(images AS BIGINT) AS images, note FROM r""")
+def sample_distribution(spark, sf):
+    """The counts of nine charts of a sample set."""
+    return distribution.distribution(_sample_set(spark, sf))
+
+
+@query("WITH " + _SAMPLES_SQL + """, g AS (SELECT f, count(*) AS n, count_if(ill) AS p, count_if(m1) AS m FROM s GROUP BY f), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, f NULLS FIRST) <= 5 AS here FROM g)
+SELECT CASE WHEN here THEN f END AS facility, NOT here AS other, count(*) AS facilities, CAST(sum(n) AS BIGINT) AS images, round(sum(m) * 100 / sum(n), 6) AS with_mask, round((sum(p) - sum(m)) * 100 / sum(n), 6) AS without_mask, round((sum(n) - sum(p)) * 100 / sum(n), 6) AS others
+FROM r GROUP BY ALL""")
+def facility_shares(spark, sf):
+    """Shares of the five largest facilities and of the rest."""
+    return distribution.distribution_charts(distribution.distribution(_sample_set(spark, sf)), top=5)

@@ -71,14 +71,33 @@ def read_rules(path: str | None) -> list[dict]:
 
 
 def read_template(path: str) -> dict[str, dict]:
-    """The structure of a template (JSON); an empty one is an error (SC14)."""
+    """The structure of a template, YAML or JSON; one that is broken or empty is an error (SC14).
+
+    JSON is read as such; YAML needs the package yaml, which nothing else does.
+    """
     with open(path, encoding="utf-8") as f:
-        structure = json.load(f).get("meta", {}).get("structure") or {}
-    if not structure:
+        text = f.read()
+    if path.endswith((".yaml", ".yml")):
+        import yaml
+
+        try:
+            found = yaml.safe_load(text)
+        except yaml.YAMLError as error:
+            raise ValueError("the template is no YAML") from error
+    else:
+        found = json.loads(text)
+    meta = found.get("meta") if isinstance(found, dict) else None
+    structure = meta.get("structure") if isinstance(meta, dict) else None
+    if not isinstance(structure, dict) or not structure:
         raise ValueError("the template has no structure")
     return structure
 
 
+def multiple_fields(structure: dict[str, dict]) -> set[str]:
+    """Fields that hold several values: where they have none, they are empty, not null."""
+    return {name for name, field in structure.items() if isinstance(field, dict) and field.get("multiple") is True}
+
+
 def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """SC17, SC18."""
     return spark.read.csv(path, header=True, encoding=encoding)
