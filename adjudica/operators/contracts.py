@@ -36,11 +36,28 @@ def decision_rules() -> dict[str, Column]:
     return {
         "known_decision": d.isin("keep", "exclude", "pending", "uncertain"),
         "not_needed_is_final": (s != "not_needed") | d.isin("keep", "exclude"),
-        "human_has_reviewer": (F.col("source") != "human") | F.col("reviewer").isNotNull(),
+        "human_has_reviewer": (F.col("source") != "human") | (F.coalesce(F.col("reviewer"), F.lit("")) != ""),
         "unverified_has_checks": (F.col("reason") != "kept_without_full_check") | (F.col("unverified_checks") != "none"),
     }
 
 
+def decision_contract(decisions: DataFrame, records: DataFrame, keys: list[str]) -> DataFrame:
+    """rule and n of all that must hold of a selection table (V1), zeros too: as many rows as records, no key twice, the same
+    keys, null being one, and the rules of every row. Both tables are counted by key, so they meet once."""
+    rules = decision_rules()
+    at = lambda df, side, *facts: df.groupBy(*[F.col(k).alias(f"{side}{k}") for k in keys]).agg(*facts)
+    a = at(decisions, "_d_", F.count("*").alias("_d"), *[F.count_if(~F.coalesce(test, F.lit(False))).alias(f"_r_{name}") for name, test in rules.items()])
+    b = at(records, "_i_", F.count("*").alias("_i"))
+    j = a.join(b, reduce(lambda x, y: x & y, [F.col(f"_d_{k}").eqNullSafe(F.col(f"_i_{k}")) for k in keys]), "full_outer")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    found = {
+        "row_count": F.abs(total("_d") - total("_i")), "duplicate_key": F.count_if(F.col("_d") > 1), "key_without_decision": F.count_if(F.col("_d").isNull()),
+        "decision_without_key": F.count_if(F.col("_i").isNull()), **{name: total(f"_r_{name}") for name in rules},
+    }
+    one = j.agg(*[n.alias(rule) for rule, n in found.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("n")) for rule in found])))
+
+
 def sample_rules(columns: list[str] | None = None) -> dict[str, Column]:
     """What holds of every exported sample (V3), of those of its columns that it has; a side needs a case."""
     three = lambda c: F.col(c).isin("present", "absent", "unknown")

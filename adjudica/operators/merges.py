@@ -57,9 +57,12 @@ def accumulate(base: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
 
 def union_files(parts: DataFrame, keys: list[str]) -> DataFrame:
     """The files of all datasets; a file that two hold stops the job."""
-    n = F.count("*").over(Window.partitionBy(*keys))
+    n = parts.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count("*").alias("_n"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     ok = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("file in several datasets: "), F.concat_ws("/", *keys))).cast("boolean")).otherwise(F.lit(True))
-    return parts.withColumn("_n", n).filter(ok).drop("_n")
+    return parts.join(n, on).filter(ok).select(*parts.columns)
 
 
 def container_values(parts: DataFrame, keys: list[str], values: list[str], ordinal: str) -> DataFrame:

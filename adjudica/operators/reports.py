@@ -57,6 +57,12 @@ def markdown(title: str, tables: dict[str, DataFrame], rows: int = 20) -> str:
     return "\n".join(out) + "\n"
 
 
-def payload(tables: dict[str, DataFrame]) -> str:
-    """Aggregates as compact JSON with sorted keys (SK14)."""
-    return json.dumps({k: [r.asDict(recursive=True) for r in df.collect()] for k, df in tables.items()}, sort_keys=True, separators=(",", ":"), default=str)
+def payload(tables: dict[str, DataFrame], most: int = 50_000) -> str:
+    """Aggregates as compact JSON with sorted keys (SK14); a table of more than `most` rows is no aggregate and stops the job."""
+    out = {}
+    for name, df in tables.items():
+        got = df.limit(most + 1).collect()
+        if len(got) > most:
+            raise ValueError(f"{name} has more than {most} rows: write it as a table")
+        out[name] = [r.asDict(recursive=True) for r in got]
+    return json.dumps(out, sort_keys=True, separators=(",", ":"), default=str)

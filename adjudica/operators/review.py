@@ -113,15 +113,21 @@ def dictionary_codes(df: DataFrame, column: str, order: list[str]) -> DataFrame:
     return numbered(firsts, ["_o", column], "code").select(F.col(column).alias("value"), "code")
 
 
-def display_box(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, height: Column, least: float = 8.0) -> Column:
-    """A box in shares of the image, at least 8 pixels wide and high, clamped to a frame around it (P10)."""
-    def axis(a: Column, b: Column, n: Column) -> tuple[Column, Column]:
-        grow = F.greatest((F.lit(least) - (b - a)) / 2, F.lit(0.0))
-        clamp = lambda v: F.least(F.greatest(v / n, F.lit(-0.5)), F.lit(1.5))
-        return clamp(a - grow), clamp(b + grow)
-
-    (a, c), (b, d) = axis(x0, x1, width), axis(y0, y1, height)
-    return F.struct(a.alias("x"), b.alias("y"), (c - a).alias("w"), (d - b).alias("h"))
+def display_box(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, height: Column, least: int = 8) -> Column:
+    """x, y, w and h of a box in shares of its image, with reason and original where it had to be changed (P10).
+
+    A box that is less than `least` wide or high is widened to the right and below: degenerate_widened_for_display. What
+    lies outside the image is shown there, but if a share is below -1 or above 2, all are held to -0.5 and 1.5:
+    out_of_image_clamped_for_display. Null without a size of the image.
+    """
+    small = (x1 - x0 < least) | (y1 - y0 < least)
+    wide = lambda low, high: F.when(small, F.greatest(high - low, F.lit(least))).otherwise(high - low)
+    shares = [x0 / width, y0 / height, wide(x0, x1) / width, wide(y0, y1) / height]
+    out = F.greatest(*[(v < -1) | (v > 2) for v in shares])
+    held = [F.when(out, F.least(F.greatest(v, F.lit(-0.5)), F.lit(1.5))).otherwise(v) for v in shares]
+    reason = F.when(out, "out_of_image_clamped_for_display").when(small, "degenerate_widened_for_display").alias("reason")
+    original = F.when(out | small, F.array(*[c.cast("double") for c in (x0, y0, x1, y1)])).alias("original")
+    return F.when((width != 0) & (height != 0), F.struct(*[v.alias(n) for n, v in zip("xywh", held)], reason, original))
 
 
 def partner_hint(df: DataFrame, group: str, stamp: str, uid: str) -> DataFrame:

@@ -51,13 +51,22 @@ def survivor(df: DataFrame, group: list[str], stamp: str, export: str, uid: str)
 
 
 def winner(df: DataFrame, path: str, has_kept: str, stamp: str, dataset: str, ties: list[str] = ()) -> DataFrame:
-    """Adds is_winner, group_size and reason (T2, T3): of one path, an image with kept annotations, the newest export, the first dataset."""
-    order = [F.desc(has_kept), F.desc_nulls_last(stamp), F.asc(dataset), *[F.asc(t) for t in ties]]
-    group, ranked = Window.partitionBy(path), Window.partitionBy(path).orderBy(*order)
-    kinds = F.size(F.collect_set(has_kept).over(group))
-    any_kept = F.max(F.col(has_kept).cast("int")).over(group)
-    reason = F.when(F.count("*").over(group) == 1, "unique").when(kinds == 2, "annotated_preferred").when(any_kept == 1, "both_annotated").otherwise("none_annotated")
-    return df.withColumn("is_winner", F.row_number().over(ranked) == 1).withColumn("group_size", F.count("*").over(group)).withColumn("reason", reason)
+    """Adds is_winner, group_size and reason (T2, T3): of one path, an image with kept annotations, the newest export, the first dataset.
+
+    Only rows alike in all of these and in `ties` meet in a window, as one of them wins; groups of a path meet by partial aggregates.
+    """
+    least = F.struct(F.col(dataset).alias("d"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(ties)])
+    best = F.struct(F.col(has_kept).alias("k"), F.col(stamp).alias("s"))
+    level = df.groupBy(F.col(path).alias("_p"), best.alias("_b")).agg(F.min(least).alias("_l"), F.count("*").alias("_n"))
+    kept = F.col("_b.k").cast("int")
+    found = level.groupBy("_p").agg(F.max("_b").alias("_b"), F.max_by("_l", "_b").alias("_l"), F.sum("_n").alias("group_size"), F.max(kept).alias("_any"), F.min(kept).alias("_all"))
+    j = df.join(found, F.col(path).eqNullSafe(F.col("_p")))
+    reason = F.when(F.col("group_size") == 1, "unique").when(F.col("_any") != F.col("_all"), "annotated_preferred").when(F.col("_any") == 1, "both_annotated").otherwise("none_annotated")
+    first = best.eqNullSafe(F.col("_b")) & least.eqNullSafe(F.col("_l"))
+    # of rows alike in all that decides, any one wins; all others are spread over windows of their own
+    alone = F.when(first, 0).otherwise(F.xxhash64(*[F.col(c) for c in (stamp, dataset, *ties)]))
+    place = F.row_number().over(Window.partitionBy(path, first, alone).orderBy(F.lit(0)))
+    return j.select(*df.columns, (first & (place == 1)).alias("is_winner"), "group_size", reason.alias("reason"))
 
 
 def fill_kept(df: DataFrame, group: str, decision: str, uid: str, kept: str) -> DataFrame:
@@ -69,8 +78,8 @@ def fill_kept(df: DataFrame, group: str, decision: str, uid: str, kept: str) ->
 
 def merged_automatic(df: DataFrame, uid: str, decision: str, source_ord: str) -> DataFrame:
     """One row for each uid (L5): the first source's, unless a later one excludes and it does not."""
-    w = Window.partitionBy(uid).orderBy((F.col(decision) == "exclude").cast("int").desc(), source_ord)
-    return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    late = F.coalesce(F.col(decision) != "exclude", F.lit(True))
+    return df.groupBy(F.col(uid).alias("_uid")).agg(F.min_by(F.struct(*df.columns), F.struct(late, F.col(source_ord))).alias("_v")).select("_v.*")
 
 
 def size_then_hash(df: DataFrame, size: str, content: Column, uid: str) -> DataFrame:

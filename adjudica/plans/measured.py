@@ -263,7 +263,8 @@ def review_filters(spark, sf):
 WITH e AS (SELECT event_id, event_id % 200000 AS s, CASE event_id % 4 WHEN 0 THEN 'older_duplicate|review_required|invalid_duplicate' WHEN 1 THEN 'review_required' ELSE NULL END AS field, CASE event_id % 3 WHEN 0 THEN ['reason:lateral_view', 'x'] ELSE [] END AS tags FROM events)
 SELECT event_id, CASE WHEN s >= 86400 THEN (s // 86400) || ' days' WHEN s >= 3600 THEN (s // 3600) || ' hours' WHEN s >= 60 THEN (s // 60) || ' minutes' ELSE s || ' seconds' END AS elapsed,
   CASE WHEN event_id % 4 = 0 THEN 'invalid_duplicate|older_duplicate' WHEN event_id % 3 = 0 THEN 'lateral_view' ELSE 'none' END AS reasons,
-  (event_id % 24 * 3600 + event_id % 60 * 60 + event_id % 60)::DOUBLE AS clock, least(greatest((s % 100 - 4) / 100.0::DOUBLE, -0.5), 1.5) AS box_x FROM e""")
+  (event_id % 24 * 3600 + event_id % 60 * 60 + event_id % 60)::DOUBLE AS clock, CASE WHEN s % 400 < 50 THEN -0.5 WHEN s % 400 > 350 THEN 1.5 ELSE (s % 400 - 150) / 100.0::DOUBLE END AS box_x, CASE WHEN event_id % 2 = 0 THEN 0.08 ELSE 0.2 END::DOUBLE AS box_w,
+  CASE WHEN s % 400 < 50 OR s % 400 > 350 THEN 'out_of_image_clamped_for_display' WHEN event_id % 2 = 0 THEN 'degenerate_widened_for_display' END AS box_reason FROM e""")
 def review_texts(spark, sf):
     """Reasons in the vocabulary's order, elapsed times, clock times and display boxes."""
     i = F.col("event_id")
@@ -271,10 +272,11 @@ def review_texts(spark, sf):
     field = F.when(i % 4 == 0, "older_duplicate|review_required|invalid_duplicate").when(i % 4 == 1, "review_required")
     tags = F.when(i % 3 == 0, F.array(F.lit("reason:lateral_view"), F.lit("x"))).otherwise(F.array().cast("array<string>"))
     two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    box = review.display_box(s % 100, F.lit(0), s % 100, F.lit(50), F.lit(100), F.lit(100))
+    x = s % 400 - 150
+    box = review.display_box(x, F.lit(0), x + i % 2 * 20, F.lit(50), F.lit(100), F.lit(100))
     return _t(spark, sf, "events").select(
         "event_id", review.elapsed_text(s).alias("elapsed"), review.effective_reasons(field, tags, F.lit(None).cast("string")).alias("reasons"),
-        review.clock_seconds(F.lit("bad"), F.concat(two(i % 24), two(i % 60), two(i % 60))).alias("clock"), box["x"].alias("box_x"),
+        review.clock_seconds(F.lit("bad"), F.concat(two(i % 24), two(i % 60), two(i % 60))).alias("clock"), box["x"].alias("box_x"), box["w"].alias("box_w"), box["reason"].alias("box_reason"),
     )
 
 

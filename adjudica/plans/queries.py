@@ -134,6 +134,23 @@ def selection_ladder(spark, sf):
     return _verdicts(spark, sf).select("doc_id", "decision", "decided_by", "reason")
 
 
+@query(_VERDICTS_SQL + """, b AS (SELECT doc_id, decision, decided_by, reason, doc_id AS i FROM t WHERE doc_id % 97 > 0 UNION ALL SELECT doc_id, decision, decided_by, reason, doc_id FROM t WHERE doc_id % 89 = 0
+ UNION ALL SELECT doc_id + 1000000000, decision, decided_by, reason, doc_id FROM t WHERE doc_id % 101 = 0),
+bk AS (SELECT doc_id, count(*) AS n FROM b GROUP BY 1)
+SELECT 'row_count' AS rule, abs((SELECT count(*) FROM b) - (SELECT count(*) FROM t)) AS n UNION ALL SELECT 'duplicate_key', count(*) FROM bk WHERE n > 1
+UNION ALL SELECT 'key_without_decision', count(*) FROM t WHERE doc_id NOT IN (SELECT doc_id FROM bk) UNION ALL SELECT 'decision_without_key', count(*) FROM bk WHERE doc_id NOT IN (SELECT doc_id FROM t)
+UNION ALL SELECT 'known_decision', 0 UNION ALL SELECT 'not_needed_is_final', count(*) FROM b WHERE i % 7 = 0 AND decision NOT IN ('keep', 'exclude')
+UNION ALL SELECT 'human_has_reviewer', count(*) FROM b WHERE decided_by = 'human' AND i % 3 > 0 UNION ALL SELECT 'unverified_has_checks', count(*) FROM b WHERE reason = 'kept_without_full_check' AND i % 2 = 0""")
+def selection_contract(spark, sf):
+    """V1: a selection table that lacks documents, has some twice and others that are none, held against the whole contract."""
+    v = _verdicts(spark, sf)
+    i = F.col("doc_id")
+    table = v.select("doc_id", "decision", F.col("decided_by").alias("source"), "reason", F.when(i % 7 == 0, "not_needed").otherwise("pending").alias("review_status"),
+                     F.when(i % 3 == 0, "r").when(i % 3 == 1, "").alias("reviewer"), F.when(i % 2 == 0, "none").otherwise("M05_FILE_MISSING").alias("unverified_checks"))
+    broken = table.withColumn("doc_id", F.explode(F.concat(F.when(i % 97 > 0, F.array(i)).otherwise(F.array().cast("array<long>")), F.when(i % 89 == 0, F.array(i)).otherwise(F.array().cast("array<long>")), F.when(i % 101 == 0, F.array(i + 1000000000)).otherwise(F.array().cast("array<long>")))))
+    return contracts.decision_contract(broken, v, ["doc_id"])
+
+
 @query(_VERDICTS_SQL + """
 SELECT 'decision' AS dimension, decision AS value, count(*) AS n FROM t GROUP BY 2 UNION ALL SELECT 'decided_by', decided_by, count(*) FROM t GROUP BY 2
 UNION ALL SELECT 'reason', reason, count(*) FROM t GROUP BY 2""")

@@ -112,6 +112,26 @@ def test_case_status(spark):
     assert rows(ladders.status_counts(status.filter("c = 'a'"))) == [("all_excluded", 0), ("needs_review", 0), ("no_annotation", 0), ("partial", 1), ("passed", 0)]
 
 
+def test_winner_and_automatic(spark):
+    df = spark.createDataFrame([("p", True, 1, "b", 1), ("p", True, 1, "a", 2), ("p", True, None, "a", 3), ("p", False, 9, "a", 4), ("q", False, 1, "a", 5), (None, True, 1, "a", 6), (None, True, 1, "a", 6), (None, True, 0, "a", 7)],
+                               "path string, kept boolean, t int, ds string, n int")
+    got = rows(survivors.winner(df, "path", "kept", "t", "ds", ["n"]).select("n", "is_winner", "group_size", "reason"))
+    assert got == [(1, False, 4, "annotated_preferred"), (2, True, 4, "annotated_preferred"), (3, False, 4, "annotated_preferred"), (4, False, 4, "annotated_preferred"), (5, True, 1, "unique"),
+                   (6, False, 3, "both_annotated"), (6, True, 3, "both_annotated"), (7, False, 3, "both_annotated")]
+    auto = spark.createDataFrame([("a", "keep", 0), ("a", "exclude", 2), ("a", "exclude", 1), ("b", "keep", 1), ("b", None, 0), (None, "keep", 0)], "u string, d string, o int")
+    assert sorted(rows(survivors.merged_automatic(auto, "u", "d", "o")), key=str) == [("a", "exclude", 1), ("b", None, 0), (None, "keep", 0)]
+    with pytest.raises(ValueError, match="write it as a table"):
+        reports.payload({"df": df}, most=7)
+
+
+def test_decision_contract(spark):
+    ddl = "k string, decision string, source string, reason string, review_status string, reviewer string, unverified_checks string"
+    d = spark.createDataFrame([("a", "keep", "human", "x", "pending", "", "none"), ("a", "pending", "default", "x", "not_needed", None, "none"), ("z", None, "-", "kept_without_full_check", "pending", None, "none"), (None, "keep", "-", "x", "pending", None, "none")], ddl)
+    records = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    assert dict(rows(contracts.decision_contract(d, records, ["k"]))) == {"row_count": 1, "duplicate_key": 1, "key_without_decision": 1, "decision_without_key": 1, "known_decision": 1, "not_needed_is_final": 1, "human_has_reviewer": 1, "unverified_has_checks": 1}
+    assert {n for _, n in rows(contracts.decision_contract(d.limit(0), records.limit(0), ["k"]))} == {0}
+
+
 def test_gate():
     assert ladders.gate(0, "pending") is None and ladders.gate(2, "pending", True, "keep") is None
     assert "not allowed" in ladders.gate(2, "pending", False, "keep") and "say" in ladders.gate(2, "pending", True)
@@ -234,8 +254,11 @@ def test_review(spark):
     clock = spark.createDataFrame([("bad", "010203.5"), ("235959", None), (None, None)], "a string, b string")
     assert [r[0] for r in clock.select(review.clock_seconds(F.col("a"), F.col("b"))).collect()] == [3723.5, 86399.0, None]
     assert [r[0] for r in spark.createDataFrame([(5,), (65,), (-7200,), (90000,), (None,)], "s int").select(review.elapsed_text(F.col("s"))).collect()] == ["5 seconds", "1 minutes", "2 hours", "1 days", None]
-    box = spark.range(1).select(review.display_box(F.lit(10), F.lit(10), F.lit(12), F.lit(50), F.lit(100), F.lit(100))).first()[0]
-    assert abs(box["x"] - 0.07) < 1e-12 and abs(box["w"] - 0.08) < 1e-12 and abs(box["h"] - 0.4) < 1e-12
+    boxes = spark.createDataFrame([(10, 10, 12, 50, 100), (10, 10, 40, 50, 100), (-150, 0, 20, 50, 100), (250, 10, 251, 50, 100), (-50, 0, 140, 50, 100), (0, 0, 9, 9, 0), (0, 0, 9, 9, None)], "a int, b int, c int, d int, w int")
+    got = [b and (round(b["x"], 9), round(b["y"], 9), round(b["w"], 9), round(b["h"], 9), b["reason"], b["original"]) for b, in boxes.select(review.display_box(*[F.col(c) for c in "abcdw"], F.lit(100))).collect()]
+    assert got == [
+        (0.1, 0.1, 0.08, 0.4, "degenerate_widened_for_display", [10, 10, 12, 50]), (0.1, 0.1, 0.3, 0.4, None, None), (-0.5, 0.0, 1.5, 0.5, "out_of_image_clamped_for_display", [-150, 0, 20, 50]),
+        (1.5, 0.1, 0.08, 0.4, "out_of_image_clamped_for_display", [250, 10, 251, 50]), (-0.5, 0.0, 1.9, 0.5, None, None), None, None]
     assert rows(review.dictionary_codes(items, "status", ["uid"])) == [("keep", 1), ("pending", 0)]
     assert review.run_gate({"checks_partial": True, "measurements": {"n_files": 3, "n_measured": 1}}) == ["not all checks were run", "2 files are not measured"] and review.run_gate({"measurements": {"scan_required": False, "n_files": 3}}) == []
     proof = spark.createDataFrame([(1, ["a"], ["b", "a"])], "schema_version int, explicit_negative_normal array<string>, explicit_negative_report array<string>")
