@@ -182,12 +182,18 @@ def edit_stream(items: DataFrame, incoming: str, history: str, checkpoint: str,
     RocksDB on the executors' disks, and in the checkpoint.
     """
     spark = items.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     reader = spark.readStream.schema(EDIT_DDL)
     edits = (reader.option("maxFilesPerTrigger", files) if files else reader).json(incoming).select(*KEYS, *[c for c in ("edit_id", "at", "reviewer", "base", "field", "value")])
     start = items.select(*KEYS, *_STATE).groupBy(*KEYS)
     out = edits.groupBy(*KEYS).transformWithState(Edits(), HISTORY_DDL, "Append", "None", initialState=start)
-    return out.writeStream.format("parquet").option("path", history).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    writer = out.writeStream.format("parquet").option("path", history).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return writer.start()  # a query keeps the settings that it starts with
+    finally:
+        spark.conf.set(provider, before)
 
 
 def edited(items: DataFrame, history: DataFrame) -> DataFrame:
