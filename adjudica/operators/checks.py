@@ -330,12 +330,26 @@ CHECKS: list[tuple[str, Callable[[Context], DataFrame], tuple[str, ...]]] = [
 ]
 
 
+#: Ids of one check in the order in which it finds them, where that is not the alphabet's (fixed values).
+FOUND = {
+    "M03": ("M03_MASK_NOT_BINARY", "M03_MASK_INVERTED"), "M06": ("M06_PATH_LEADING_SLASH", "M06_PATH_UNEXPECTED_ROOT", "M06_PATH_UNEXPECTED_DEPTH", "M06_PATH_NAME_MISMATCH"),
+    "D01": ("D01_EXACT_DUPLICATE", "D02_EXACT_MASK_LABEL_CONFLICT", "D03_NEAR_DUPLICATE", "D03_OVERLAPPING_DIFFERENT_FINDING", "D04_CONTAINED_DUPLICATE", "D04_CONTAINED_DIFFERENT_LABEL"),
+    "S03": ("S03_NO_SPACING", "S03_TINY_ANNOTATION", "S03_SUSPICIOUSLY_SMALL", "S03_STRAY_COMPONENT"),
+}
+
+
+def placed(name: str, at: int) -> Column:
+    """check_ord of a check's issues: its place in the registry, then that of the id, so that rollups name ids and partners as they were found."""
+    ids = F.array(*[F.lit(i) for i in FOUND.get(name, ())]).cast("array<string>")
+    return (F.lit(at * 100) + F.coalesce(F.array_position(ids, F.col("check_id")), F.lit(0))).cast("int")
+
+
 def run(ctx: Context, only: list[str] = (), skip: list[str] = ()) -> DataFrame:
-    """All issues of the chosen checks whose tables are there; check_ord is the place in the registry.
+    """All issues of the chosen checks whose tables are there; check_ord is the place in the registry and in the check.
 
     A check without its tables can't run and gives nothing: executed() tells which did.
     """
-    parts = [f(ctx).withColumn("check_ord", F.lit(i)) for i, (name, f, _) in enumerate(CHECKS) if name in executed(ctx, only, skip)]
+    parts = [f(ctx).withColumn("check_ord", placed(name, i)) for i, (name, f, _) in enumerate(CHECKS) if name in executed(ctx, only, skip)]
     return reduce(DataFrame.unionByName, parts)
 
 

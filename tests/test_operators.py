@@ -177,6 +177,20 @@ def test_rollup_order(spark):
     assert tuple(rollups.issue_rollup(more, ["u"]).filter("u = 'u'").select("duplicate_group_id", "related_uid").first()) == ("G2", "w")
 
 
+def test_ids_in_the_order_of_their_check(spark):
+    ids = ["S03_STRAY_COMPONENT", "S03_TINY_ANNOTATION", "S03_TINY_ANNOTATION", "M06_PATH_NAME_MISMATCH", "M06_PATH_UNEXPECTED_ROOT", "D03_NEAR_DUPLICATE", "D01_EXACT_DUPLICATE", "M09_UNANNOTATED_VIEW"]
+    registry = {name: i for i, (name, *_) in enumerate(checks.CHECKS)}
+    parts = [spark.createDataFrame([("u", i, "checked", "error", True)], "u string, check_id string, status string, severity string, review_required boolean") for i in ids]
+    issues = None
+    for i, part in zip(ids, parts):
+        name = "D01" if i[0] == "D" else i[:3]
+        part = part.withColumn("check_ord", checks.placed(name, registry[name])).withColumn("related_uid", F.lit("of " + i[:3]) if i[0] == "D" else F.lit(None).cast("string"))
+        issues = part if issues is None else issues.unionByName(part)
+    got = rollups.issue_rollup(issues, ["u"]).first()
+    assert got["detected_checks"] == "M06_PATH_UNEXPECTED_ROOT|M06_PATH_NAME_MISMATCH|M09_UNANNOTATED_VIEW|D01_EXACT_DUPLICATE|D03_NEAR_DUPLICATE|S03_TINY_ANNOTATION|S03_STRAY_COMPONENT"
+    assert got["related_uid"] == "of D01"
+
+
 def test_vocabulary(spark):
     df = spark.createDataFrame([(["b", "zz", "a"],), ([],), (None,)], "t array<string>")
     assert [r[0] for r in df.select(rollups.vocabulary_ordered(F.col("t"), ["a", "b", "c"])).collect()] == ["a|b", "none", "none"]
