@@ -113,7 +113,8 @@ def fingerprint(text: str) -> bytes:
         before = (before + int(sums[own]) * shift) % prime
         whole = (whole + int(_sums(codes[:own], 1)[own]) * pow(BASES[1], at, PRIMES[1])) % PRIMES[1]
         width = min(WIDTH, n)
-        spans = (sums[width:] - sums[:-width]) % prime * inverse[: len(sums) - width] % prime
+        begins = max(0, len(sums) - width)  # none in a last block that is shorter than a span: the block before has seen them
+        spans = (sums[width:] - sums[:begins]) % prime * inverse[:begins] % prime
         least = _least(np.concatenate([least, (spans.astype(np.uint64) * MIX) >> np.uint64(32)]))
     of = dict(zip(wanted.tolist(), at_wanted.tolist(), strict=True))
     first = [of[s] for s in steps]

@@ -198,6 +198,20 @@ def test_fingerprints_do_not_depend_on_blocks(monkeypatch):
     assert ladder[len(marks) : 2 * len(marks)].tolist() == [p.span(3000 - m, 3000)[0] for m in marks]
 
 
+def test_fingerprints_of_texts_a_little_longer_than_blocks(spark):
+    text = "".join(random.Random(7).choices("abcdefgh ", k=2 * prefix_hashes.BLOCK + 40))
+    for n in [prefix_hashes.BLOCK * b + k for b in (1, 2) for k in (0, 1, 2, 30, 31, 32, 33)]:
+        mark, p, steps = prefix_hashes.fingerprint(text[:n]), prefix_hashes.PrefixHashes(text[:n]), prefix_hashes.rungs(n)
+        found = np.frombuffer(mark, ">u4", offset=14).tolist()
+        assert found[: 2 * len(steps)] == [p.span(0, s)[0] for s in steps] + [p.span(n - s, n)[0] for s in steps]
+        if n not in (prefix_hashes.BLOCK + 1, 2 * prefix_hashes.BLOCK + 30):
+            continue
+        mixed = {(p.span(i, i + prefix_hashes.WIDTH)[0] * int(prefix_hashes.MIX) % 2**64) >> 32 for i in range(n - prefix_hashes.WIDTH + 1)}
+        assert found[2 * len(steps) :] == sorted(mixed)[: prefix_hashes.SPANS]
+    docs = spark.createDataFrame([(i, text[: prefix_hashes.BLOCK + i]) for i in range(4)], "doc_id long, text string")
+    assert prefix_hashes.compare_with_next(docs).count() == 4
+
+
 def test_likeness():
     r = random.Random(9)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
