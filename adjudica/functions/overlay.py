@@ -15,6 +15,10 @@ FILL, BAND_FILL = 0.28, 0.45
 BAND_COLOUR = (0xFF, 0xFF, 0x00)
 
 
+#: Bytes of pictures that a task hands on at once.
+DRAWN = 1 << 22
+
+
 def outline(mask: np.ndarray) -> np.ndarray:
     """The pixels of a mask that have a side on its outside, or on the image's edge; those around its holes too."""
     m = mask.astype(bool)
@@ -65,21 +69,29 @@ def pictures(images: DataFrame, masks: DataFrame, margin: int | None = None) ->
     images: file_uid, name and content (a grey PNG); masks: file_uid, ann_index and mask (runs). With a margin the picture is cut to the masks' bounds
     and so much around. An image that can't be read has no content; one without masks is drawn as it is. An image and its masks meet in one task.
     """
-    kept = masks.select(F.col("file_uid").alias("_f"), F.struct("ann_index", "mask").alias("_m")).groupBy("_f").agg(F.array_sort(F.collect_list("_m")).alias("masks"))
-    both = images.select("file_uid", F.col("name").cast("string").alias("name"), "content").join(kept, F.col("file_uid") == F.col("_f"), "left").select("name", "content", F.transform(F.coalesce("masks", F.array()), lambda m: m["mask"]).alias("masks"))
+    # drawing costs far more than its bytes tell, so a fixed number of tasks shares it
+    parts = int(masks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = masks.repartition(parts, "file_uid").select(F.col("file_uid").alias("_f"), F.struct("ann_index", "mask").alias("_m")).groupBy("_f").agg(F.array_sort(F.collect_list("_m")).alias("masks"))
+    both = images.repartition(parts, "file_uid").select("file_uid", F.col("name").cast("string").alias("name"), "content").join(kept, F.col("file_uid") == F.col("_f"), "left").select("name", "content", F.transform(F.coalesce("masks", F.array()), lambda m: m["mask"]).alias("masks"))
 
     def draw(stream):
         for batch in stream:
+            names, made, size = [], [], 0
             for k in range(batch.num_rows):
-                made = None
+                content = None
                 try:
                     image = raster.read_png(batch.column("content")[k].as_py())
                     own = [runs.to_array(m["height"], m["width"], [(r["y"], r["x0"], r["x1"]) for r in m["runs"]]) for m in batch.column("masks")[k].as_py()]
-                    boxes = [b for m in own if m.shape == image.shape and (b := raster.mask_stats(m)["bbox"])]
-                    box = raster.crop_box(boxes, margin, image.shape[1], image.shape[0]) if margin is not None and boxes else None
-                    made = raster.write_png(drawn(image if image.ndim == 2 else image.max(axis=2), own, box))
+                    boxes = [b for m in own if m.shape == image.shape and (b := raster.bounds(m))] if margin is not None else []
+                    box = raster.crop_box(boxes, margin, image.shape[1], image.shape[0]) if boxes else None
+                    content = raster.write_png(drawn(image if image.ndim == 2 else image.max(axis=2), own, box))
                 except Exception:  # noqa: BLE001, S110  an unreadable image has no picture, and says so by that
                     pass
-                yield pa.RecordBatch.from_arrays([batch.column("name").slice(k, 1), pa.array([made], pa.binary())], names=["name", "content"])
+                names.append(batch.column("name")[k].as_py())
+                made.append(content)
+                size += len(content or b"")
+                if size > DRAWN or k == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(made, pa.binary())], names=["name", "content"])
+                    names, made, size = [], [], 0
 
     return both.mapInArrow(draw, "name string, content binary")
