@@ -176,11 +176,11 @@ b AS (SELECT a.o, a.y * 8 + a.x AS place, b.v > a.v AS bit FROM p a JOIN p b ON
 SELECT o, string_agg(CASE WHEN bit THEN '1' ELSE '0' END, '' ORDER BY place) AS bits FROM b GROUP BY o""")
 def image_hashes(spark, sf):
     """Difference hashes of images: whether a cell is brighter than its left neighbour."""
-    return _hashed(spark, sf).select("o", F.lpad(F.conv(F.hex("digest"), 16, 2), 64, "0").alias("bits"))
+    return _hashed(spark, sf, with_thumbs=False).select("o", F.lpad(F.conv(F.hex("digest"), 16, 2), 64, "0").alias("bits"))
 
 
-def _hashed(spark, sf) -> DataFrame:
-    """o, digest and thumb: the hash of an image of 8 x 9 cells that an order's numbers make, by way of a PNG."""
+def _hashed(spark, sf, with_thumbs: bool = True) -> DataFrame:
+    """o, digest and, where it is wanted, thumb: the hash of an image of 8 x 9 cells that an order's numbers make, by way of a PNG."""
     import numpy as np
     import pyarrow as pa
 
@@ -191,7 +191,7 @@ def _hashed(spark, sf) -> DataFrame:
             for c in batch.column("c").to_pylist():
                 image = raster.read_png(raster.write_png(((c * (y * 9 + x + 1) + (c % 17) * y * x) % 251).astype(np.uint8)))
                 digests.append(bytes.fromhex(raster.difference_hash(image)))
-                thumbs.append(raster.thumbnail(image, 8))
+                thumbs.append(raster.thumbnail(image, 8) if with_thumbs else None)
             yield pa.RecordBatch.from_arrays([batch.column("o"), pa.array(digests, pa.binary()), pa.array(thumbs, pa.list_(pa.float64()))], names=["o", "digest", "thumb"])
 
     return _t(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("o"), F.col("o_custkey").cast("long").alias("c")).mapInArrow(drawn, "o long, digest binary, thumb array<double>")
