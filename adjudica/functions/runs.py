@@ -1,4 +1,4 @@
-"""Masks as sorted runs of their rows: measures, comparisons and unions as column expressions, without a Python worker.
+"""Masks as sorted runs of their rows: measures and comparisons as column expressions, unions in Arrow batches.
 
 A mask is a struct of height, width and runs; a run is (y, x0, x1) with x1 exclusive. Runs of a row neither overlap nor touch,
 so equal masks have equal runs. A mask of ten million pixels with a smooth outline is a few thousand numbers.
@@ -6,8 +6,11 @@ so equal masks have equal runs. A mask of ten million pixels with a smooth outli
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RUNS_DDL = "array<struct<y:int,x0:int,x1:int>>"
@@ -34,18 +37,48 @@ def to_array(height: int, width: int, runs) -> np.ndarray:
 def from_rows(rows: DataFrame, by: list[str], height: Column, width: Column, name: str = "mask") -> DataFrame:
     """A mask for each group of rows (columns by, y, x0, x1), which may overlap, touch and repeat: gaps and islands in each row of pixels.
 
-    A window holds the runs of one row of pixels of one mask. Parts outside the shape are cut off; rows left empty make no run, and a group
+    Rows that begin alike are one before a mask is gathered; numpy joins the parts of many masks at once. Parts outside the shape are cut off; rows left empty make no run, and a group
     without any run no mask.
     """
     cut = rows.select(*by, F.col("y").cast("int").alias("y"), F.greatest(F.col("x0"), F.lit(0)).cast("int").alias("x0"), F.least(F.col("x1"), width).cast("int").alias("x1"), height.cast("int").alias("_h"), width.cast("int").alias("_w"))
     cut = cut.filter("x0 < x1 and y >= 0 and y < _h").groupBy(*by, "_h", "_w", "y", "x0").agg(F.max("x1").alias("x1"))  # the longest of those that begin alike
-    line = Window.partitionBy(*by, "y").orderBy("x0")
-    reach = F.max("x1").over(line.rowsBetween(Window.unboundedPreceding, -1))
-    opened = cut.withColumn("_new", F.when(F.col("x0") <= reach, 0).otherwise(1))
-    islands = opened.withColumn("_island", F.sum("_new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = islands.groupBy(*by, "_h", "_w", "y", "_island").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"))
-    whole = joined.groupBy(*by, "_h", "_w").agg(F.array_sort(F.collect_list(F.struct("y", "x0", "x1"))).alias("_runs"))
-    return whole.select(*by, F.struct(F.col("_h").alias("height"), F.col("_w").alias("width"), F.col("_runs").alias("runs")).alias(name))
+    whole = cut.groupBy(*by, "_h", "_w").agg(F.collect_list(F.struct("y", "x0", "x1")).alias("_runs"))
+    return whole.select(*by, F.struct(F.col("_h").alias("height"), F.col("_w").alias("width"), _joined()("_runs").alias("runs")).alias(name))
+
+
+@lru_cache(maxsize=1)
+def _joined():
+    """A column function: parts of rows, which may overlap and touch, as sorted runs. A batch of masks is joined at once."""
+    return F.arrow_udf(_islands, RUNS_DDL)
+
+
+#: Parts that are joined at once.
+PARTS = 1 << 18
+
+
+def _islands(lists: pa.Array) -> pa.Array:
+    """The runs of each list of parts, some lists at a time: as many as have PARTS parts, or one that has more."""
+    before = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64).cumsum() // PARTS
+    cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), len(lists)]
+    return pa.concat_arrays([_islands_of(lists.slice(a, b - a)) for a, b in zip(cuts, cuts[1:], strict=False)])
+
+
+def _islands_of(lists: pa.Array) -> pa.Array:
+    parts, ends = lists.flatten(), np.asarray(lists.value_lengths().fill_null(0)).cumsum()
+    mask = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    y, x0, x1 = (np.asarray(parts.field(c)).astype(np.int64) for c in ("y", "x0", "x1"))
+    order = np.lexsort((x0, y, mask))
+    mask, y, x0, x1 = mask[order], y[order], x0[order], x1[order]
+    row = np.cumsum((np.diff(mask, prepend=-1) != 0) | (np.diff(y, prepend=-1) != 0))
+    far = int(x1.max(initial=0)) + 2  # rows stand so far apart that none reaches the next
+    reach = np.maximum.accumulate(row * far + x1) if len(x1) else x1
+    new = np.ones(len(x0), bool)
+    new[1:] = (row * far + x0)[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(x0)) - 1 if len(x0) else first
+    runs = [v.astype(np.int32) for v in (y[first], x0[first], (reach - row * far)[last])]
+    offsets = np.searchsorted(mask[first], np.arange(len(ends) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(v) for v in runs], names=["y", "x0", "x1"]))
 
 
 def merged(masks: DataFrame, by: list[str], order: list[str], mask: str = "mask") -> DataFrame:
@@ -116,10 +149,12 @@ def digest(mask: Column) -> Column:
 
 def row_filled(mask: Column) -> Column:
     """Each row from its first to its last pixel."""
-    rows = F.array_distinct(F.transform(mask["runs"], lambda r: r["y"]))
-    own = lambda y: F.filter(mask["runs"], lambda r: r["y"] == y)
-    run = lambda y: F.struct(y.alias("y"), F.array_min(F.transform(own(y), lambda r: r["x0"])).alias("x0"), F.array_max(F.transform(own(y), lambda r: r["x1"])).alias("x1"))
-    return F.struct(mask["height"].alias("height"), mask["width"].alias("width"), F.transform(rows, run).alias("runs"))
+    every = mask["runs"]
+    last = F.size(every) - 1
+    begins = F.filter(every, lambda r, i: (i == 0) | (F.get(every, i - 1)["y"] != r["y"]))  # runs are sorted, so a row's stand together
+    ends = F.filter(every, lambda r, i: (i == last) | (F.get(every, i + 1)["y"] != r["y"]))
+    run = lambda a, b: F.struct(a["y"].alias("y"), a["x0"].alias("x0"), b["x1"].alias("x1"))
+    return F.struct(mask["height"].alias("height"), mask["width"].alias("width"), F.zip_with(begins, ends, run).alias("runs"))
 
 
 def crop_box(boxes: Column, margin: int, width: Column, height: Column) -> Column:

@@ -23,9 +23,10 @@ WITH a AS (SELECT l_orderkey AS o, l_linenumber AS n, min(l_quantity)::DOUBLE AS
 
 
 def _lines(spark, sf) -> DataFrame:
+    """The lines of orders, dealt by order: what is grouped by order or by mask afterwards moves no more."""
     least = lambda c, k: F.min(c).alias(k)
     percent = lambda c, k: F.min(F.round(F.col(c) * 100)).cast("long").alias(k)
-    line = _t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"))
+    line = _t(spark, sf, "lineitem").repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"))
     return line.agg(F.min(F.col("l_quantity").cast("double")).alias("q"), percent("l_discount", "d"), percent("l_tax", "t"), least("l_partkey", "p"), least("l_suppkey", "s"), least("l_returnflag", "ds"))
 
 

@@ -71,6 +71,57 @@ def test_unions_of_runs(spark, pictures):
     assert [tuple(r) for r in runs.from_rows(overlapping, ["g"], F.lit(3), F.lit(9)).first()["mask"]["runs"]] == [(0, 0, 6), (0, 7, 9)]
 
 
+def test_masks_of_lines_move_once(spark):
+    from conftest import SF
+
+    from adjudica.plans import imaging
+
+    plan = imaging.run_masks(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
+
+
+def test_parts_are_joined_some_lists_at_a_time(monkeypatch):
+    rng = np.random.default_rng(12)
+    lists = [[(int(y), int(x), int(x) + int(w)) for y, x, w in rng.integers((0, 0, 1), (4, 20, 6), (n, 3))] for n in (0, 9, 40, 0, 3, 25, 0)]
+    kind = runs.pa.list_(runs.pa.struct([(c, runs.pa.int32()) for c in ("y", "x0", "x1")]))
+    as_array = runs.pa.array([[dict(zip(("y", "x0", "x1"), p, strict=True)) for p in some] for some in lists], kind)
+    for parts in (1 << 18, 10, 1):
+        monkeypatch.setattr(runs, "PARTS", parts)
+        got = [[tuple(r.values()) for r in some] for some in runs._islands(as_array).to_pylist()]
+        assert got == [runs.of_array(runs.to_array(4, 30, some)) for some in lists]
+    assert runs._islands(as_array.slice(2, 3)).to_pylist() == runs._islands(as_array).to_pylist()[2:5]
+
+
+def test_small_images_have_the_same_distances_and_components(monkeypatch, pictures):
+    for m in pictures:
+        near = measure.distances(m)
+        with monkeypatch.context() as c:
+            c.setattr(measure, "DIRECT", 0)
+            assert (measure.distances(m) == near).all()
+        for diagonal in (True, False):
+            labels, n = raster.components(m, diagonal)
+            again = np.zeros(m.shape, int)  # a flood from each first pixel
+            count = 0
+            for y, x in zip(*np.nonzero(m), strict=True):
+                if again[y, x]:
+                    continue
+                count, todo = count + 1, [(y, x)]
+                while todo:
+                    a, b = todo.pop()
+                    if 0 <= a < m.shape[0] and 0 <= b < m.shape[1] and m[a, b] and not again[a, b]:
+                        again[a, b] = count
+                        todo += [(a + i, b + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if diagonal or not i or not j]
+            assert n == count and (labels == again).all()
+
+
+def test_pictures_are_drawn_by_more_than_one_task(spark):
+    image, mask = raster.write_png(np.zeros((3, 3), np.uint8)), (3, 3, [(1, 0, 2)])
+    images = spark.createDataFrame([(str(k), str(k), image) for k in range(40)], "file_uid string, name string, content binary")
+    masks = spark.createDataFrame([(str(k), 0, mask) for k in range(40)], f"file_uid string, ann_index int, mask {runs.MASK_DDL}")
+    drawn = overlay.pictures(images, masks).withColumn("part", F.spark_partition_id())
+    assert drawn.select("part").distinct().count() > 1 and drawn.filter("content is not null").count() == 40
+
+
 def test_pairs_of_runs_equal_pairs_of_pictures(spark):
     rng = np.random.default_rng(10)
     some = [(f"f{k % 3}", f"g{k}", k, blobs(rng, 10, 11, 3)) for k in range(12)] + [("f0", "odd", 99, np.ones((2, 2), bool))]
