@@ -84,48 +84,36 @@ def spanning_links(sets: list[np.ndarray], bands: np.ndarray, sketches: np.ndarr
     bands and sketches have a row for each set. Rows with equal roots count as connected from the start. sides (0 or 1
     for each set) restricts the search to pairs of different sides. Sets must not be empty.
     """
-    n = np.array([len(x) for x in sets])
     floor = sketch_floor(percent, samples)
-    _, key, count = np.unique(bands, return_inverse=True, return_counts=True)
-    key, shared = key.reshape(bands.shape), count > 1
-    parent = list(range(len(sets)))
-
-    def find(k: int) -> int:
-        while parent[k] != k:
-            parent[k] = parent[parent[k]]
-            k = parent[k]
-        return k
-
-    known: dict = {}
-    for row, root in enumerate(roots or ()):
-        parent[row] = known.setdefault(root, row)
+    order = np.argsort([len(x) for x in sets], kind="stable")
+    sets, sketches, sides = [sets[k] for k in order], sketches[order], None if sides is None else sides[order]
+    n = np.array([len(x) for x in sets])
+    label = np.arange(len(sets)) if not roots else np.unique(np.array(roots, dtype=object)[order], return_inverse=True)[1]
+    _, key, count = np.unique(bands[order], return_inverse=True, return_counts=True)
+    sharing = np.argsort(key.ravel(), kind="stable")  # places in the table of bands, by key and then by row
+    end = np.empty(len(sharing), dtype=np.int64)
+    end[sharing] = np.arange(len(sharing))
+    begin, end, sharing = (np.cumsum(count) - count)[key.reshape(bands.shape)], end.reshape(bands.shape), sharing // bands.shape[1]
+    words, code = np.unique(np.concatenate(sets), return_inverse=True)
+    codes, own = np.split(code, np.cumsum(n)[:-1]), np.zeros(len(words), dtype=bool)
     links: list[tuple[int, int]] = []
-    posted: dict[int, dict[int, list[int]]] = {}
-    for x in np.argsort(n, kind="stable").tolist():
-        size = int(n[x])
-        keys = key[x][shared[key[x]]].tolist()
-        tested: set[int] = set()
-        for k in keys:
-            for root, members in posted.get(k, {}).items():
-                if find(root) == find(x):
-                    continue
-                rows = [y for y in members if y not in tested and 100 * n[y] >= percent * size and (sides is None or sides[x] != sides[y])]
-                if not rows:
-                    continue
-                tested.update(rows)
-                guess = S.odd_similarity(sketches[x], sketches[rows], samples)
-                for at in np.argsort(-guess, kind="stable"):
-                    if guess[at] < floor:
-                        break
-                    y = rows[at]
-                    both = S.common(sets[x], sets[y])
-                    if 100 * both >= percent * (size + int(n[y]) - both):
-                        links.append((x, y))
-                        parent[find(x)] = find(y)
-                        break
-        root = find(x)
-        for k in keys:
-            posted.setdefault(k, {}).setdefault(root, []).append(x)
+    for x in np.flatnonzero((end > begin).any(axis=1)).tolist():
+        spans = {(a, b) for a, b in zip(begin[x].tolist(), end[x].tolist(), strict=True) if b > a}
+        rows = np.unique(np.concatenate([sharing[a:b] for a, b in spans]))
+        rows = rows[(label[rows] != label[x]) & (100 * n[rows] >= percent * n[x]) & (True if sides is None else sides[rows] != sides[x])]
+        guess = S.odd_similarity(sketches[x], sketches[rows], samples)
+        rows = rows[np.argsort(-guess, kind="stable")][: np.count_nonzero(guess >= floor)]
+        own[codes[x]] = True
+        some = 16
+        while len(rows):  # likeliest first, and what they connect needs no test
+            now, rows, some = rows[:some], rows[some:], 4 * some
+            both = np.add.reduceat(own[np.concatenate([codes[y] for y in now])], np.cumsum(n[now]) - n[now], dtype=np.int64)
+            for y in now[100 * both >= percent * (n[x] + n[now] - both)].tolist():
+                if label[y] != label[x]:
+                    links.append((int(order[x]), int(order[y])))
+                    label[label == label[y]] = label[x]
+            rows = rows[label[rows] != label[x]]
+        own[codes[x]] = False
     return links
 
 

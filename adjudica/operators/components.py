@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adjudica.operators.scale import numbered, skew_join
 from adjudica.storage import written
 
+#: Edges up to so many are no matter for rounds over all tasks, which cost the same however few rows they move: one task joins them.
+FEW = 200_000
+_PLAIN = (T.IntegerType, T.LongType, T.StringType, T.BinaryType)
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and label, the least node of its component, for every node of the edges; an edge to itself makes a node.
 
     Large-star and small-star rounds in turn, each written out, until all edges lead straight to a node that leads nowhere:
     a number of rounds that grows with the logarithm of the graph, none if the edges are such stars already. Edges of
-    hubs are split over tasks; nothing is collected.
+    hubs are split over tasks; nothing is collected. FEW edges are joined by one task at once.
     """
     edges = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     edges = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    if isinstance(edges.schema["u"].dataType, _PLAIN) and edges.count() <= FEW:
+        return written(_joined(edges), "labels")
     loops = edges.filter("u = v").select(F.col("u").alias("node"))
     edges = edges.filter("u <> v")
     while (n := _unfinished(edges)) is not None:
@@ -33,6 +43,33 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return labels.union(loops.select("node", F.col("node").alias("label")).join(labels.select("node"), "node", "left_anti"))
 
 
+def _joined(edges: DataFrame) -> DataFrame:
+    """components() of FEW edges (u, v), by one task."""
+    def joined(stream):
+        batches = [batch for batch in stream if len(batch)]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        ends = pa.chunked_array([*table["u"].chunks, *table["v"].chunks]).combine_chunks()
+        names = ends.unique()
+        names = names.take(pc.sort_indices(names))
+        at = pc.index_in(ends, names).to_numpy().reshape(2, -1)
+        label = np.arange(len(names))
+        while True:  # labels take the least that an edge leads them to, then each node follows its label to the end
+            new = label.copy()
+            for side in at:
+                np.minimum.at(new, label[side], np.minimum(label[at[0]], label[at[1]]))
+            while not np.array_equal(far := new[new], new):
+                new = far
+            if np.array_equal(new, label):
+                break
+            label = new
+        yield pa.RecordBatch.from_arrays([names, names.take(pa.array(label))], names=["node", "label"])
+
+    kind = edges.schema["u"].dataType.simpleString()
+    return edges.coalesce(1).mapInArrow(joined, f"node {kind}, label {kind}")
+
+
 def _unfinished(edges: DataFrame) -> int | None:
     """The number of edges (u, v), u > v, or None where each u has one v, and no v is a u."""
     by_u = edges.groupBy("u").agg(F.count("*").alias("n"))  # whoever is a v of others meets this once

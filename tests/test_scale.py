@@ -38,3 +38,20 @@ def test_components_with_a_hub(spark):
     got = rows(components.components(spark.createDataFrame(edges, "a int, b int")))
     assert got == sorted((k, find(k)) for k in nodes)
     assert components.components(spark.createDataFrame([], "a int, b int")).count() == 0
+
+
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
+    random = np.random.default_rng(2)
+    edges = [(int(a), int(b)) for a, b in random.permutation(400)[np.stack([np.arange(399), np.arange(1, 400)], 1)]] + [(500, 500), (602, 601)]
+    df = spark.createDataFrame(edges, "a int, b int")
+    spark.sparkContext.setJobGroup("few edges", "")
+    got = rows(components.components(df))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few edges"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs < 20  # rounds took more than a hundred
+    assert got == [(k, 0) for k in range(400)] + [(500, 500), (601, 601), (602, 601)]
+    named = df.select(F.unhex(F.lpad(F.hex("a"), 8, "0")).alias("a"), F.unhex(F.lpad(F.hex("b"), 8, "0")).alias("b"))
+    number = lambda c: F.conv(F.hex(c), 16, 10).cast("int").alias(c)
+    assert rows(components.components(named).select(number("node"), number("label"))) == got
+    monkeypatch.setattr(components, "FEW", 0)
+    assert rows(components.components(df)) == got
