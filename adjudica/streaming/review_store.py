@@ -112,39 +112,29 @@ class Edits(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.item = handle.getValueState("item", STATE_DDL)
-        self.changes = handle.getMapState("changes", "field string", "version long, reviewer string, value string")
-        self.seen = handle.getMapState("seen", "edit_id string", "outcome string")
+        self.changes = handle.getListState("changes", "place string, version long, reviewer string, value string")
+        self.seen = handle.getListState("seen", "edit_ids array<string>")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N803
         self.item.update(tuple(initialState[c] for c in _STATE))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        held = Row(*_STATE)(*self.item.get()).asDict() if self.item.exists() else None
-        for edit in sorted(rows, key=lambda r: (r["at"] or "", r["edit_id"] or "")):
-            outcome = self._outcome(held, edit)
+        """The state is read and written once for all edits of an item in a batch: each call goes to the state server and back."""
+        edits = sorted((dict(zip(r.__fields__, r)) for r in rows), key=lambda r: (r["at"] or "", r["edit_id"] or ""))
+        held = dict(zip(_STATE, self.item.get())) if self.item.exists() else None
+        changes, seen, new = {}, set(), []
+        if held is not None and held["version"]:  # an item of version 0 had no edit
+            changes = {c[0]: tuple(c[1:]) for c in self.changes.get()}
+            seen = {e for (some,) in self.seen.get() for e in some}
+        for edit in edits:
+            outcome = _outcome(held, edit, changes, seen, new)
             if outcome == "applied":
                 _apply(held, edit)
-            yield Row(**dict(zip(KEYS, key)), edit_id=edit["edit_id"], outcome=outcome, **(held or dict.fromkeys(_STATE)))
-        if held is not None:
+            yield _HISTORY(*key, edit["edit_id"], outcome, *(held.values() if held else _NOTHING))
+        if new:
             self.item.update(tuple(held[c] for c in _STATE))
-
-    def _outcome(self, held: dict | None, edit: Row) -> str:
-        if held is None:
-            return "no item"
-        if edit["field"] not in _FIELDS:
-            return "no field"
-        this = (edit["edit_id"] or "",)
-        if self.seen.containsKey(this):
-            return "repeated"
-        place = (f"tag {edit['value']}" if edit["field"].startswith("tag") else edit["field"],)
-        last = self.changes.getValue(place) if self.changes.containsKey(place) else None
-        value = edit["field"] if edit["field"].startswith("tag") else edit["value"] or ""
-        # someone else changed the same thing, to something else, after what this editor saw
-        clash = last is not None and last[0] > (edit["base"] or 0) and last[1] != (edit["reviewer"] or "") and last[2] != value
-        self.seen.updateValue(this, ("conflict" if clash else "applied",))
-        if not clash:
-            self.changes.updateValue(place, (held["version"] + 1, edit["reviewer"] or "", value))
-        return "conflict" if clash else "applied"
+            self.changes.put([(place, *last) for place, last in changes.items()])
+            self.seen.appendList([(new[k : k + _IDS],) for k in range(0, len(new), _IDS)])
 
     def close(self) -> None:
         pass
@@ -152,6 +142,31 @@ class Edits(StatefulProcessor):
 
 _STATE = [c.split()[0] for c in STATE_DDL.split(", ")]
 _FIELDS = ("status", "reasons", "comment", "tag+", "tag-")
+_HISTORY = Row(*KEYS, "edit_id", "outcome", *_STATE)
+_NOTHING = (None,) * len(_STATE)
+#: Names of edits in one value of the state.
+_IDS = 1000
+
+
+def _outcome(held: dict | None, edit: dict, changes: dict[str, tuple], seen: set[str], new: list[str]) -> str:
+    """What becomes of an edit; changes (place to version, reviewer, value) and the names in seen and new follow."""
+    if held is None:
+        return "no item"
+    if edit["field"] not in _FIELDS:
+        return "no field"
+    this = edit["edit_id"] or ""
+    if this in seen:
+        return "repeated"
+    place = f"tag {edit['value']}" if edit["field"].startswith("tag") else edit["field"]
+    last = changes.get(place)
+    value = edit["field"] if edit["field"].startswith("tag") else edit["value"] or ""
+    # someone else changed the same thing, to something else, after what this editor saw
+    clash = last is not None and last[0] > (edit["base"] or 0) and last[1] != (edit["reviewer"] or "") and last[2] != value
+    seen.add(this)
+    new.append(this)
+    if not clash:
+        changes[place] = (held["version"] + 1, edit["reviewer"] or "", value)
+    return "conflict" if clash else "applied"
 
 
 def _apply(held: dict, edit: Row) -> None:

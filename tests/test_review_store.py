@@ -81,3 +81,27 @@ def test_status_by_tag_alone_and_no_name(spark, run):
     assert {k: (r["decision"], r["reviewer"]) for k, r in got.items()} == {("d1", "A"): ("keep", "unknown"), ("d1", "B"): ("exclude", "unknown")}
     assert store.exported(store.edited(items, history), baseline=False).count() == 0
     assert store.exported(items.limit(0)).count() == 0
+
+
+class Held:
+    """A state that counts the calls that go to it."""
+
+    def __init__(self, calls, value=None):
+        self.calls, self.value, self.values = calls, value, []
+
+    def __getattr__(self, name):
+        self.calls.append(name)
+        plain = {"exists": lambda: self.value is not None, "get": lambda: self.value or iter(self.values), "update": lambda v: setattr(self, "value", v)}
+        return {**plain, "put": lambda v: setattr(self, "values", v), "appendList": lambda v: self.values.extend(v)}.get(name) or (lambda *a: None)
+
+
+def test_state_is_called_by_item_and_not_by_edit():
+    calls, processor = [], store.Edits()
+    handle = type("Handle", (), {f"get{k}State": lambda self, *a: Held(calls) for k in ("Value", "List", "Map")})()
+    processor.init(handle)
+    processor.item.value = (0, "pending", "", "", "", "", "", [])
+    edits = [store.Row(**edit(n, "A", "comment", f"c{n}", f"r{n % 3}", base=n if n % 2 else 0)) for n in range(300)]
+    told = [r["outcome"] for r in processor.handleInputRows(("annotation", "d1", "A"), iter(edits[:200]), None)]
+    told += [r["outcome"] for r in processor.handleInputRows(("annotation", "d1", "A"), iter(edits[100:]), None)]
+    assert len(calls) < 20
+    assert told[200:300] == ["repeated"] * 100 and "repeated" not in told[:200] + told[300:] and {"applied", "conflict"} <= set(told[:200])
