@@ -21,3 +21,10 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_kinds_of_one_check_share_a_join(spark):
+    from __spark_entry__ import queries
+
+    plan = queries()["suspicious_checks"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 3  # S03, S04 and S05; a join for each kind of issue made it seven
