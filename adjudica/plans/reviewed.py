@@ -230,7 +230,7 @@ def issue_rows(spark, sf):
         F.create_map(F.lit("b"), F.substring(uid, 1, 1), F.lit("a"), F.lit("1")).alias("detail"),
     )
     path = scratch_path(spark, "issues")
-    artifacts.write_issues(issues, path)
+    artifacts.write_issues(issues, path, "gzip")
     read = spark.read.schema(", ".join(f"{c} string" for c in artifacts.ISSUE_COLUMNS)).json(f"{path}/json")
     return read.select("check_id", "dataset_id", "geometry_uid", "related_geometry_uids", "message", "detail", "image_path")
 

@@ -141,12 +141,15 @@ def issue_table(issues: DataFrame) -> DataFrame:
     return issues.select(*[c for c in ("check_ord",) if c in issues.columns], *[flat(c).alias(c) for c in ISSUE_COLUMNS])
 
 
-def write_issues(issues: DataFrame, path: str) -> None:
-    """SK2: JSON lines and CSV of the 21 columns, in registry order."""
-    flat = issue_table(issues if "check_ord" in issues.columns else issues.withColumn("check_ord", F.lit(0)))
-    flat = flat.orderBy("check_ord", "dataset_id", "source_json", "institution", "study", "series", "file", "geometry_uid").drop("check_ord")
-    flat.write.mode("overwrite").json(f"{path}/json")
-    flat.write.mode("overwrite").csv(f"{path}/csv", header=True)
+def write_issues(issues: DataFrame, path: str, compression: str = "none") -> None:
+    """SK2: JSON lines and CSV of the 21 columns, in registry order; compression is that of Spark's writers."""
+    issues = issues if "check_ord" in issues.columns else issues.withColumn("check_ord", F.lit(0))
+    order = ["check_ord", "dataset_id", "source_json", "institution", "study", "series", "file", "geometry_uid"]
+    # rows are sorted as they are, and get their blanks behind the shuffle
+    ordered = issues.orderBy(*[F.coalesce(F.col(c).cast("string"), F.lit("")) if c != "check_ord" else F.col(c) for c in order if c in issues.columns])
+    flat = issue_table(ordered).drop("check_ord")
+    flat.write.mode("overwrite").option("compression", compression).json(f"{path}/json")
+    flat.write.mode("overwrite").option("compression", compression).csv(f"{path}/csv", header=True)
 
 
 def write_verdicts(base: DataFrame | None, incoming: DataFrame, path: str) -> DataFrame:

@@ -178,3 +178,11 @@ def test_written_files(spark, tmp_path):
     assert (raster.read_png((tmp_path / "out" / "a" / "x.png").read_bytes()) == image).all() and not (tmp_path / "z.png").exists()
     assert raster.written_files(df.limit(1), str(tmp_path / "out")).first()["status"] == "exists" and raster.written_files(df.limit(1), str(tmp_path / "out"), force=True).first()["status"] == "written"
     assert sorted(os.listdir(tmp_path / "out" / "a")) == ["x.png"]
+
+
+def test_issues_are_compressed_where_asked(spark, tmp_path):
+    df = spark.createDataFrame([("S03_TINY", "b", "2", None), ("S03_TINY", None, "3", ["x", "y"]), ("D01_EXACT", "a", "1", ["z"])], "check_id string, dataset_id string, geometry_uid string, related_geometry_uids array<string>")
+    artifacts.write_issues(df.coalesce(1), str(tmp_path / "i"), "gzip")
+    assert not list((tmp_path / "i").glob("*/part-*.json")) + list((tmp_path / "i").glob("*/part-*.csv"))
+    rows_ = spark.read.json(str(tmp_path / "i" / "json")).orderBy("geometry_uid").collect()
+    assert [(r["dataset_id"], r["related_geometry_uids"], r["detail"]) for r in rows_] == [("a", "z", ""), ("b", "", ""), ("", "x|y", "")]
