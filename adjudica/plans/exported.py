@@ -344,7 +344,7 @@ WITH l AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT o_orderpriority AS institution, printf('c{%d', o_custkey) AS study, o_orderstatus AS series, CAST(o_orderkey AS VARCHAR) AS file, printf('image/"%d"', o_orderkey) AS image_path, CAST(o_custkey AS VARCHAR) AS patient_id,
   CAST(coalesce(n, 0) AS INT) AS n_records, CAST(10 + length(o_orderstatus) AS INT) AS shape_w FROM orders LEFT JOIN l ON o_orderkey = l_orderkey""")
 def nested_round_trip(spark, sf):
-    """SC1, SC3, SC4, SC5, SK5, SK6, X5: one large document written by a range sort and read in parts again, braces and quotes in its names."""
+    """SC1, SC3, SC4, SC5, SK5, SK6, X5: one large document written by a range sort, by many tasks, and read in parts again, braces and quotes in its names."""
     from adjudica.sources import nested, nested_text
 
     line = F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("geometry_uid"), F.lit("brush").alias("annotation_type"), F.col("l_partkey").alias("min_x"))
@@ -356,8 +356,8 @@ def nested_round_trip(spark, sf):
     studies = files.groupBy("source_json", "institution", "study").agg(F.to_json(F.struct(F.max(F.col("o_custkey").cast("string")).alias("patient_id"))).alias("members"))
     series = files.select("source_json", "institution", "study", "series").distinct().withColumn("members", F.to_json(F.struct(F.struct((F.length("series") + 10).alias("w")).alias("shape"))))
     folder = scratch_path(spark, "nested-document")
-    nested_text.write_documents(nested_text.document_lines(files.drop("o_custkey"), None, studies, series), folder, 1)
-    read = nested.images_of(nested_text.studies(spark, [f"{folder}/source_json=set/part-*"], block_bytes=1 << 18))
+    nested_text.write_documents(nested_text.document_lines(files.drop("o_custkey"), None, studies, series), folder)
+    read = nested.images_of(nested_text.studies(spark, folder, block_bytes=1 << 18))
     return read.select("institution", "study", "series", "file", "image_path", "patient_id", F.size("records").alias("n_records"), "shape_w")
 
 

@@ -39,29 +39,43 @@ def _depth_change(text: str) -> tuple[int, int, int]:
     return quotes % 2, change[0], change[1]
 
 
-def _blocks(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, name, size, block (where a part of a file begins) and value: its text up to each closing brace, in order."""
+#: A document in files of its own has its blocks numbered by file and by place in the file, which has fewer bytes than this.
+_FILE = 1 << 40
+
+
+def _blocks(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """path, name, file, size, block (where a part of a document begins) and value: its text up to each closing brace, in order.
+
+    paths lists documents, a file each; or it is the folder that write_documents() wrote, where the files of one source_json are a document.
+    """
     meta = F.col("_metadata")
-    return spark.read.option("lineSep", "}").text(paths).select(meta["file_path"].alias("path"), meta["file_name"].alias("name"), meta["file_size"].alias("size"), meta["file_block_start"].alias("block"), "value")
+    read = spark.read.option("lineSep", "}")
+    if isinstance(paths, str):
+        lines = read.schema("value string, source_json string").text(paths)
+        part = F.regexp_extract(meta["file_name"], r"^part-(\d+)", 1).cast("long")
+        path, name, block = F.col("source_json"), F.col("source_json"), part * _FILE + meta["file_block_start"]
+    else:
+        lines, path, name, block = read.text(paths), meta["file_path"], meta["file_name"], meta["file_block_start"]
+    return lines.select(path.alias("path"), name.alias("name"), meta["file_path"].alias("file"), meta["file_size"].alias("size"), block.alias("block"), "value")
 
 
-_STATES = [("path", pa.string()), ("size", pa.int64()), ("block", pa.int64()), ("parity", pa.int32()), ("plain", pa.int32()), ("quoted", pa.int32()), ("bytes", pa.int64()), ("object", pa.bool_())]
+_STATES = [("path", pa.string()), ("file", pa.string()), ("size", pa.int64()), ("block", pa.int64()), ("parity", pa.int32()), ("plain", pa.int32()), ("quoted", pa.int32()), ("bytes", pa.int64()), ("object", pa.bool_())]
 
 
-def block_states(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, block, inside, depth, whole: how each block of a document begins; whole tells whether the document is one object that ends.
+def block_states(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """path, block, inside, depth, bare, whole: how each block of a document begins; whole tells whether the document is one object that ends.
 
-    A window goes over the blocks of one document, a row of numbers each.
+    bare: the last text of the block is the end of a file without a brace. A window goes over the blocks of one document, a row of numbers each.
     """
     def summed(stream):
         at, total = None, None
         for batch in stream:
             out = []
-            for path, size, block, value in zip(*(batch.column(c).to_pylist() for c in ("path", "size", "block", "value")), strict=True):
-                if (path, size, block) != at:
+            for path, file, size, block, value in zip(*(batch.column(c).to_pylist() for c in ("path", "file", "size", "block", "value")), strict=True):
+                if (path, file, size, block) != at:
                     if at is not None:
                         out.append((*at, *total))
-                    at, total = (path, size, block), (0, 0, 0, 0, value.lstrip("\ufeff \t\r\n").startswith("{"))
+                    at, total = (path, file, size, block), (0, 0, 0, 0, value.lstrip("\ufeff \t\r\n").startswith("{"))
                 parity, plain, quoted = _depth_change(value + "}")
                 first, second = (plain, quoted) if total[0] == 0 else (quoted, plain)
                 total = ((total[0] + parity) % 2, total[1] + first, total[2] + second, total[3] + len(value.encode()) + 1, total[4])
@@ -71,11 +85,15 @@ def block_states(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     found = written(_blocks(spark, paths).mapInArrow(summed, _ddl(_STATES)), "block-sums")
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy("path")
+    every, own = Window.partitionBy("path"), Window.partitionBy("path", "file")
+    found = found.withColumn("_left", F.col("size") - F.sum("bytes").over(own))  # -1 where what follows a file's last brace reads as if it had one, too
+    found = found.withColumn("bare", (F.col("_left") == -1) & (F.col("block") == F.max("block").over(own)))
+    # the brace that isn't there closed nothing, if it came outside a string
+    found = found.withColumn("plain", F.col("plain") + F.when(F.col("bare") & (F.col("parity") == 0), 1).otherwise(0)).withColumn("quoted", F.col("quoted") + F.when(F.col("bare") & (F.col("parity") == 1), 1).otherwise(0))
     found = found.withColumn("inside", F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2).withColumn("_change", F.when(F.col("inside") == 0, F.col("plain")).otherwise(F.col("quoted")))
-    read_on = F.col("size") - F.sum("bytes").over(every)  # -1 where white space after the last brace reads as one more
-    whole = (F.sum("parity").over(every) % 2 == 0) & (F.sum("_change").over(every) == read_on) & F.min_by("object", "block").over(every)
-    return found.select("path", "block", (F.col("inside") == 1).alias("inside"), F.coalesce(F.sum("_change").over(before), F.lit(0)).cast("int").alias("depth"), whole.alias("whole"))
+    read = (F.min("_left").over(every) >= -1) & (F.max("_left").over(every) <= 0)
+    whole = read & (F.sum("parity").over(every) % 2 == 0) & (F.sum("_change").over(every) == 0) & F.min_by("object", "block").over(every)
+    return found.select("path", "block", (F.col("inside") == 1).alias("inside"), F.coalesce(F.sum("_change").over(before), F.lit(0)).cast("int").alias("depth"), "bare", whole.alias("whole"))
 
 
 _RECORDS = [("path", pa.string()), ("name", pa.string()), ("block", pa.int64()), ("nth", pa.int64()), ("edge", pa.bool_()), ("text", pa.string()), ("top", pa.string()), ("institution", pa.string()), ("study", pa.string())]
@@ -157,10 +175,10 @@ def _unquoted(string: str) -> str | None:
         return None
 
 
-def studies(spark: SparkSession, paths: list[str], institutions: list[str] | None = None, block_bytes: int | None = None) -> DataFrame:
+def studies(spark: SparkSession, paths: list[str] | str, institutions: list[str] | None = None, block_bytes: int | None = None) -> DataFrame:
     """source_json, institution, study and s, the study's struct, of documents that are read in parts.
 
-    A document whose brackets or quotes don't end gives no rows (rejected() names it). With institutions only theirs are parsed.
+    paths lists documents, or is the folder of write_documents(). A document whose brackets or quotes don't end gives no rows (rejected() names it). With institutions only theirs are parsed.
     The rows are those of nested.studies_of(nested.documents()). A study is one row, however many blocks it lies across; a key that
     comes twice in one object is two rows here. A document is cut into blocks as Spark cuts files, or of block_bytes. What is broadcast is a row of
     numbers for each block: a terabyte of documents has some 8,000.
@@ -175,33 +193,39 @@ def studies(spark: SparkSession, paths: list[str], institutions: list[str] | Non
         spark.conf.set(key, before)
 
 
-def _studies(spark: SparkSession, paths: list[str], institutions: list[str] | None) -> DataFrame:
-    states = written(block_states(spark, paths), "blocks").filter("whole").select(F.col("path").alias("_path"), F.col("block").alias("_block"), "inside", "depth")
+def _studies(spark: SparkSession, paths: list[str] | str, institutions: list[str] | None) -> DataFrame:
+    states = written(block_states(spark, paths), "blocks").filter("whole").select(F.col("path").alias("_path"), F.col("block").alias("_block"), "inside", "depth", "bare")
     lines = _blocks(spark, paths)
     # the state of a block comes to its lines, which stay in their order
-    lines = lines.join(F.broadcast(states), (F.col("path") == F.col("_path")) & (F.col("block") == F.col("_block"))).select("path", "name", "block", "inside", "depth", "value")
+    lines = lines.join(F.broadcast(states), (F.col("path") == F.col("_path")) & (F.col("block") == F.col("_block"))).select("path", "name", "block", "inside", "depth", "bare", "value")
 
     def cut(stream):
-        at = cutter = name = None
-        nth, known = 0, [None, None]
+        at = cutter = name = held = None
+        bare, nth, known = False, 0, [None, None]
+
+        def fed(text):
+            nonlocal nth, known
+            for record in cutter.feed(text):
+                if nth == 0:
+                    yield (at[0], name, at[1], nth, True, record, None, None, None)
+                else:
+                    top, institution, study, text = _names(record, STUDY_DEPTH)
+                    known = [known[0], institution or known[1]] if top is None else [top, institution]
+                    yield (at[0], name, at[1], nth, False, text, *known, study)
+                nth += 1
 
         def ended():
-            return [(at[0], name, at[1], nth, True, cutter.left(), None, None, None)] if cutter else []
+            return [*fed(held if bare else held + "}"), (at[0], name, at[1], nth, True, cutter.left(), None, None, None)] if cutter else []
 
         for batch in stream:
             out = []
-            for path, own, block, inside, depth, value in zip(*(batch.column(c).to_pylist() for c in ("path", "name", "block", "inside", "depth", "value")), strict=True):
+            for path, own, block, inside, depth, end, value in zip(*(batch.column(c).to_pylist() for c in ("path", "name", "block", "inside", "depth", "bare", "value")), strict=True):
                 if (path, block) != at:
                     out += ended()
-                    at, name, nth, known, cutter = (path, block), own, 0, [None, None], _Cutter(inside, depth)
-                for record in cutter.feed(value + "}"):
-                    if nth == 0:
-                        out.append((path, name, block, nth, True, record, None, None, None))
-                    else:
-                        top, institution, study, text = _names(record, STUDY_DEPTH)
-                        known = [known[0], institution or known[1]] if top is None else [top, institution]
-                        out.append((path, name, block, nth, False, text, *known, study))
-                    nth += 1
+                    at, name, bare, nth, known, cutter = (path, block), own, end, 0, [None, None], _Cutter(inside, depth)
+                else:
+                    out += fed(held + "}")
+                held = value  # the last text of a block may have no brace
             yield _batch(out, _RECORDS)
         yield _batch(ended(), _RECORDS)
 
@@ -235,7 +259,7 @@ def study_schema() -> T.StructType:
     return T.StructType.fromDDL(SOURCE_DDL)["dataset"].dataType.valueType.valueType
 
 
-def rejected(spark: SparkSession, paths: list[str]) -> DataFrame:
+def rejected(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """path of documents whose brackets or quotes don't end: no rows come of them."""
     return block_states(spark, paths).filter("not whole").select("path").distinct()
 
@@ -292,7 +316,12 @@ def document_lines(files: DataFrame, documents: DataFrame | None = None, study:
     return both.select("source_json", "n", F.concat(F.when(F.coalesce(comma, F.lit(False)), F.lit(",")).otherwise(F.lit("")), F.col("text")).alias("text"))
 
 
-def write_documents(lines: DataFrame, folder: str, parts: int) -> None:
-    """A folder for each document, source_json=<name>, whose files in the order of their names are its text, a piece a line, cut into up to so many parts."""
-    ranged = lines.repartitionByRange(parts, "source_json", "n").sortWithinPartitions("source_json", "n")
-    ranged.select("source_json", "text").write.mode("overwrite").partitionBy("source_json").text(folder)
+def write_documents(lines: DataFrame, folder: str, parts: int | None = None) -> None:
+    """A folder for each document, source_json=<name>, whose files in the order of their names are its text, a piece a line.
+
+    The text is cut into up to so many parts, or as many as Spark deals ranges to, so that no task writes a document alone. studies() reads the folder.
+    """
+    ranges = ["source_json", "n"] if parts is None else [parts, "source_json", "n"]
+    ranged = lines.repartitionByRange(*ranges).sortWithinPartitions("source_json", "n")
+    # a task writes one file of a document: its number is the file's place
+    ranged.select("source_json", "text").write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("source_json").text(folder)

@@ -2,6 +2,7 @@
 
 import glob
 import json
+import os
 import random
 
 import pytest
@@ -107,3 +108,36 @@ def test_documents_are_written_in_parts(spark, tmp_path):
     assert json.loads(texts[0][0]) == {"version_id": "v", "dataset": _pruned(doc)}
     assert json.loads(texts[0][1])["dataset"].keys() == _pruned(doc).keys()
     assert nested_text.document_lines(files.limit(0)).count() == 0
+
+
+def test_a_document_in_many_files_is_read_as_one(spark, tmp_path):
+    docs = {f"{k}": _document(k) for k in (8, 9)}
+    tables = [[df.withColumn("source_json", F.lit(k)) for df in _files(spark, doc)] for k, doc in docs.items()]
+    files, studies, series = (a.unionByName(b) for a, b in zip(*tables, strict=True))
+    folder = str(tmp_path / "many")
+    nested_text.write_documents(nested_text.document_lines(files, None, studies, series), folder, 9)
+    assert len(glob.glob(f"{folder}/*/part-*")) > 8
+    for k, doc in docs.items():
+        (tmp_path / k).write_text(json.dumps({"dataset": _pruned(doc)}))
+    want = _key(nested_text.studies(spark, [str(tmp_path / k) for k in docs]))
+    assert len(want) > 10
+    for size in (None, 700):
+        assert _key(nested_text.studies(spark, folder, block_bytes=size)) == want, size
+    assert nested_text.rejected(spark, folder).count() == 0
+    os.remove(max(glob.glob(f"{folder}/source_json=9/part-*")))
+    assert [r["path"] for r in nested_text.rejected(spark, folder).collect()] == ["9"]
+
+
+def test_a_large_document_is_written_by_many_tasks(spark, monkeypatch):
+    import re
+
+    from __spark_entry__ import queries
+
+    folders = []
+    write = nested_text.write_documents
+    monkeypatch.setattr(nested_text, "write_documents", lambda lines, folder, parts=None: (folders.append(folder), spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false"), write(lines, folder, parts)))
+    try:
+        assert queries()["nested_round_trip"](spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(glob.glob(re.sub("^file:", "", folders[0]) + "/*/part-*")) > 1
