@@ -1,7 +1,9 @@
-"""Near images by difference hashes: multi-index hashing, then the correlation of thumbnails."""
+"""Near images by difference hashes: multi-index hashing, then the correlation of thumbnails (G18, J18); near vectors of a block."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from adjudica.storage import written
 BITS = 64
 #: Hashes that share a band are compared among each other up to so many; more are split by bands of their other bits.
 CROWD = 1_000
+#: Vectors of a block that meet others in one task, about: a block that has more is cut into chunks, and every two of those meet.
+CHUNK = 1_024
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -73,3 +77,41 @@ def near_images(images: DataFrame, distance: int = 0, correlation: float = 0.98)
     met = both.join(left, "a").join(right, "b").filter((F.col("a") != F.col("b")) | (F.col("x.uid") < F.col("y.uid")))
     dot = F.aggregate(F.zip_with("x.thumb", "y.thumb", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     return met.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b"), dot.alias("r")).filter(F.col("r") >= correlation)
+
+
+def near_vectors(vectors: DataFrame, least: float, uid: str = "vec_id", vector: str = "embedding", block: str = "block") -> DataFrame:
+    """a, b and s, a < b: all pairs of one block whose vectors have a cosine s of at least `least`.
+
+    All pairs of a block are compared, as asked, but a task holds two chunks of it at most. A matrix product tells which pairs may do; of those,
+    s is summed up component by component in double precision. Vectors that are null or hold null have no pair, nor do those of unlike length;
+    a cosine that is no number, as of a zero vector, is above every bound, as it is in SQL.
+    """
+    e = F.transform(vector, lambda x: x.cast("double"))
+    known = vectors.select(F.col(uid).alias("u"), F.col(block).alias("block"), e.alias("e")).filter(F.col("block").isNotNull() & F.col("u").isNotNull())
+    known = known.withColumn("n", F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x))).withColumn("d", F.size("e")).filter("n is not null")
+    sizes = known.groupBy(F.col("block").alias("_block"), F.col("d").alias("_d")).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    dealt = known.join(sizes, (F.col("block") == F.col("_block")) & (F.col("d") == F.col("_d"))).withColumn("chunk", F.pmod(F.xxhash64("u"), F.col("chunks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    met = met.select("block", "d", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "u", "n", "e")
+
+    def compared(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        u, n, chunk = table["u"].combine_chunks(), table["n"].to_numpy(), table["chunk"].to_numpy()
+        e = table["e"].combine_chunks().flatten().to_numpy().reshape(len(n), -1)
+        left, right = np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk == chunk.max())
+        with np.errstate(all="ignore"):
+            about = (e[left] @ e[right].T) / np.outer(n[left], n[right])
+            x, y = np.nonzero(~(about < least - 1e-6))  # what is no number is summed up below
+            x, y = left[x], right[y]
+            if chunk.min() == chunk.max():
+                x, y = x[x < y], y[x < y]
+            s = np.zeros(len(x))
+            for c in np.ascontiguousarray(e.T):
+                s += c[x] * c[y]
+            s /= n[x] * n[y]
+        x, y, s = (v[~(s < least)] for v in (x, y, s))
+        return pa.table({"a": u.take(pa.array(x)), "b": u.take(pa.array(y)), "s": s})
+
+    kind = known.schema["u"].dataType.simpleString()
+    found = met.groupBy("block", "d", "i", "j").applyInArrow(compared, f"a {kind}, b {kind}, s double")
+    return found.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adjudica.operators import checks, components, contracts, ladders, merges, reports, review, rollups, survivors
+from adjudica.operators import checks, components, contracts, ladders, merges, near_images, reports, review, rollups, survivors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -455,12 +455,8 @@ SELECT a, b, CAST(round(s * 1000) AS BIGINT) AS permille FROM p WHERE s >= 0.25"
 def near_dup_blocked(spark, sf):
     """Pairs of one block whose normalised vectors correlate; a block shares the signs of the first eight components."""
     bits = F.array_join(F.transform(F.slice("embedding", 1, 8), lambda x: F.when(x > 0, "1").otherwise("0")), "")
-    v = _t(spark, sf, "embeddings").select("vec_id", bits.alias("block"), F.transform("embedding", lambda x: x.cast("double")).alias("e"))
-    norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x))
-    v = v.select("vec_id", "block", "e", norm.alias("n"))
-    a, b = (v.select("block", F.col("vec_id").alias(s), F.col("e").alias(f"e{s}"), F.col("n").alias(f"n{s}")) for s in "ab")
-    dot = F.aggregate(F.zip_with("ea", "eb", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x) / (F.col("na") * F.col("nb"))
-    return a.join(b, "block").filter("a < b").select("a", "b", dot.alias("s")).filter("s >= 0.25").select("a", "b", F.round(F.col("s") * 1000).cast("long").alias("permille"))
+    found = near_images.near_vectors(_t(spark, sf, "embeddings").select("vec_id", bits.alias("block"), "embedding"), 0.25)
+    return found.select("a", "b", F.round(F.col("s") * 1000).cast("long").alias("permille"))
 
 
 @query("SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1, 2")

@@ -1,6 +1,7 @@
 """Trees as variants, gates in the writing pass and near images, against plain Python."""
 
 import json
+import math
 import random
 
 import numpy as np
@@ -122,3 +123,25 @@ def test_near_images_from_pictures(spark):
         want = sorted((x[0], y[0]) for i, x in enumerate(rows[:-1]) for y in rows[i + 1 : -1] if bits(x[1], y[1]) <= distance and np.dot(x[2], y[2]) >= 0.98)
         got = sorted(tuple(sorted((r["a"], r["b"]))) for r in near_images.near_images(df, distance).collect())
         assert got == sorted(tuple(sorted(p)) for p in want) and len(want) >= (1 if distance == 0 else 5)
+
+
+def test_near_vectors_meet_in_chunks(spark, monkeypatch):
+    """All pairs of a block, in many small tasks, with the sums of a plain loop; no row of vectors is joined to another."""
+    monkeypatch.setattr(near_images, "CHUNK", 7)
+    r = random.Random(5)
+    vectors = [(k, k % 2 and "odd" or None if k % 5 else "five", [r.gauss(0.3, 1) for _ in range(3)]) for k in range(90)]
+    vectors += [(100, "odd", None), (101, "odd", [1.0, None, 1.0]), (102, "odd", [1.0, 1.0]), (103, "zero", [0.0, 0.0]), (104, "zero", [1.0, 0.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, block string, embedding array<double>")
+    want = []
+    for a, block, x in vectors[:90]:
+        for b, other, y in vectors[:90]:
+            if a < b and block is not None and block == other:
+                dot = norm = own = 0.0
+                for p, q in zip(x, y, strict=True):
+                    dot, norm, own = dot + p * q, norm + p * p, own + q * q
+                if (s := dot / (math.sqrt(norm) * math.sqrt(own))) >= 0.4:
+                    want.append((a, b, s))
+    found = near_images.near_vectors(df, 0.4)
+    got = sorted(tuple(x) for x in found.collect())
+    assert [g for g in got if g[0] < 100] == sorted(want) and len(want) > 100
+    assert [g[:2] for g in got if g[0] >= 100] == [(103, 104)]  # SQL's cosine of a zero vector is above all
