@@ -41,11 +41,10 @@ SELECT CAST(c AS VARCHAR) AS patient, 'D' || (c % 3) AS dataset_id,
   CASE c % 4 WHEN 1 THEN 3 WHEN 2 THEN 1 WHEN 3 THEN 0 END AS observed, CAST(len(list_distinct([c % 5, c % 3])) AS INT) AS n_labels FROM d""")
 def nested_fields(spark, sf):
     """SC5, SC7, SC8, P2, S27: labels of cases, reports that are there, empty or missing, and labels of annotations without repeats."""
-    images = nested.images(_documents(spark, sf))
-    own = nested.annotations(images).select(F.col("file_uid").alias("_f"), F.size("labels").alias("n_labels"))
-    return images.join(own, F.col("file_uid") == F.col("_f")).select(
+    found = nested.annotations(nested.images(_documents(spark, sf)), also=("case_labels", "report"))
+    return found.select(
         F.col("patient_id").alias("patient"), "dataset_id", F.size(F.filter("case_labels", lambda x: x["code"].isNotNull())).alias("n_case_labels"), F.col("report.pneumothorax_status").alias("status"),
-        F.array_join("report.pleural_effusion_findings", "|").alias("findings"), F.col("report.observed_finding_count").cast("int").alias("observed"), "n_labels",
+        F.array_join("report.pleural_effusion_findings", "|").alias("findings"), F.col("report.observed_finding_count").cast("int").alias("observed"), F.size("labels").alias("n_labels"),
     )
 
 

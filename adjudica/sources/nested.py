@@ -82,9 +82,12 @@ def report_labels(r: Column) -> Column:
     ))
 
 
-def annotations(imgs: DataFrame) -> DataFrame:
-    """A row for each annotation (SC4, SC5): bounds, is_latest and version are 0 where missing, other counts stay null."""
-    keep = [c for c in imgs.columns if c not in ("records", "report", "case_labels")]
+def annotations(imgs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each annotation (SC4, SC5): bounds, is_latest and version are 0 where missing, other counts stay null.
+
+    also names what rows keep of the image besides: report, case_labels.
+    """
+    keep = [c for c in imgs.columns if c in also or c not in ("records", "report", "case_labels")]
     a = imgs.select(*keep, F.posexplode("records").alias("ann_index", "a"))
     zero = lambda c: F.coalesce(F.col(f"a.{c}"), F.lit(0)).alias(c)
     own = lambda c: F.col(f"a.{c}").alias(c)
@@ -100,8 +103,7 @@ def annotations(imgs: DataFrame) -> DataFrame:
 def distinct_labels(labels: Column) -> Column:
     """Labels without repeats in all but label_id, the first kept."""
     bare = lambda x: F.struct(x["code"], x["code_system"], x["code_text"], x["code_text_eng"], x["confidence"])
-    keys = F.transform(labels, bare)
-    return F.filter(labels, lambda x, i: F.array_position(F.transform(keys, lambda k: F.to_json(k)), F.to_json(bare(x))) == i + 1)
+    return F.filter(labels, lambda x, i: F.array_position(F.transform(labels, bare), bare(x)) == i + 1)
 
 
 def geometry_free_count(docs: DataFrame) -> DataFrame:

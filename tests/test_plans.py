@@ -28,3 +28,10 @@ def test_kinds_of_one_check_share_a_join(spark):
 
     plan = queries()["suspicious_checks"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 3  # S03, S04 and S05; a join for each kind of issue made it seven
+
+
+def test_nested_fields_reads_documents_once(spark):
+    from __spark_entry__ import queries
+
+    plan = queries()["nested_fields"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # images were joined to their own annotations, so that documents were made and parsed twice
