@@ -78,11 +78,65 @@ def with_file(df: DataFrame, ctx: Context, how: str = "left") -> DataFrame:
     return df.join(f, F.col("file_uid") == F.col("_f"), how)
 
 
+def mask_kinds(ctx: Context) -> list[tuple[str, Column, str, str, str, Column | None, dict[str, Column]]]:
+    """Of M01 to M05, what they find of masks: check, condition, check id, severity, status, reason and detail."""
+    m = ctx.config["mask"]
+    there = F.col("m.exists") & F.col("m.read_error").isNull()
+    final, original = there & (F.col("m.role") == "mask"), there & (F.col("m.role") == "original")
+    known = F.col("f.dicom_rows").isNotNull() & F.col("f.dicom_columns").isNotNull() if ctx.files is not None else F.lit(False)
+    resized = (F.col("m.height") != F.col("f.dicom_rows")) | (F.col("m.width") != F.col("f.dicom_columns")) if ctx.files is not None else F.lit(False)
+    odd = F.size(F.array_except("m.unique_values", F.array(*[F.lit(v) for v in m["expected_values"]]))) > 0
+    inverted = (F.coalesce("m.value_min", F.lit(0)) != 0) & (F.col("m.fg_ratio") > m["inverted_ratio"])
+    empty = F.coalesce((F.col("m.fg_pixels") == 0) | (F.size("m.unique_values") == 1), F.lit(False))
+    ratio, role = {"fg_ratio": F.col("m.fg_ratio")}, F.col("m.role").isin("mask", "original")
+    return [
+        ("M01", final & known & resized, "M01_MASK_RESOLUTION", "error", "checked", None, {"height": F.col("m.height"), "width": F.col("m.width")}),
+        ("M01", final & ~known, "M01_MASK_RESOLUTION", "info", "cannot_determine", F.lit("no_dicom_header"), {}),
+        ("M02", final & (F.col("m.ndim") != 2), "M02_MASK_NOT_GRAYSCALE", "error", "checked", None, {"ndim": F.col("m.ndim")}),
+        ("M02", final & (F.col("m.dtype") != "uint8"), "M02_MASK_NOT_8BIT", "error", "checked", None, {"dtype": F.col("m.dtype")}),
+        ("M02", original & (F.col("m.ndim") != 2) & ~F.col("m.n_channels").isin(2, 4), "M02_ORIGINAL_AMBIGUOUS_CHANNELS", "info", "checked", None, {"channels": F.col("m.n_channels")}),
+        ("M03", final & (odd | F.col("m.truncated")), "M03_MASK_NOT_BINARY", "error", "checked", None, {}),
+        ("M03", final & inverted, "M03_MASK_INVERTED", "warning", "checked", None, {}),
+        ("M04", final & empty, "M04_MASK_EMPTY", "error", "checked", None, ratio),
+        ("M04", final & ~empty & (F.col("m.fg_ratio") > m["full_ratio"]), "M04_MASK_FULL", "warning", "checked", None, ratio),
+        ("M05", role & ~F.col("m.exists"), "M05_FILE_MISSING", "error", "checked", None, {"file": F.col("m.role")}),
+        ("M05", role & F.coalesce("m.exists", F.lit(True)) & F.col("m.read_error").isNotNull(), "M05_FILE_UNREADABLE", "error", "checked", None, {"file": F.col("m.role")}),
+    ]
+
+
+def mask_issues(ctx: Context, *names: str) -> DataFrame:
+    """What the checks of these names find of masks, by one join and one pass however many they are; a check's issues have its place.
+
+    A row becomes the numbers of the kinds that hold; what else an issue tells is made of the number, so nothing is made that isn't asked for.
+    """
+    kinds = [k for k in mask_kinds(ctx) if k[0] in names]
+    m = ctx.masks.select(F.col("dataset_id").alias("_d"), F.col("geometry_uid").alias("_g"), F.struct(*[c for c in ctx.masks.columns if c not in ("dataset_id", "geometry_uid", "file_uid")]).alias("m"))
+    df = ctx.annotations.join(m, (F.col("dataset_id") == F.col("_d")) & (F.col("geometry_uid") == F.col("_g")))
+    if "M01" in names:
+        df = with_file(df, ctx)
+    held = F.array_remove(F.array(*[F.when(k[1], i).otherwise(-1) for i, k in enumerate(kinds)]), -1)
+    rows = df.withColumn("_k", F.explode(held))
+
+    def told(value) -> Column:
+        out = None
+        for i, k in enumerate(kinds):
+            out = F.when(F.col("_k") == i, value(k)) if out is None else out.when(F.col("_k") == i, value(k))
+        return out
+
+    def detail(k) -> Column:
+        pairs = [c for name in sorted(k[6]) for c in (F.lit(name), k[6][name].cast("string"))]
+        return (F.create_map(*pairs) if pairs else F.create_map()).cast("map<string,string>")
+
+    at = {name: i for i, (name, _, _) in enumerate(CHECKS)}
+    found = issues(rows, told(lambda k: F.lit(k[2])), "machine", told(lambda k: F.lit(k[3])), told(lambda k: F.lit(k[4])), told(lambda k: k[5] if k[5] is not None else F.lit(None).cast("string")), told(detail))
+    order = F.lit(0)
+    for name in names:
+        order = F.when(F.col("check_id").startswith(f"{name}_"), placed(name, at[name])).otherwise(order)
+    return found.withColumn("check_ord", order.cast("int"))
+
+
 def mask_resolution(ctx: Context) -> DataFrame:
-    df = with_file(measured(ctx, "mask"), ctx)
-    known = F.col("f.dicom_rows").isNotNull() & F.col("f.dicom_columns").isNotNull()
-    wrong = issues(df.filter(known & ((F.col("m.height") != F.col("f.dicom_rows")) | (F.col("m.width") != F.col("f.dicom_columns")))), "M01_MASK_RESOLUTION", "machine", "error", height=F.col("m.height"), width=F.col("m.width"))
-    return wrong.unionByName(issues(df.filter(~known), "M01_MASK_RESOLUTION", "machine", "info", "cannot_determine", F.lit("no_dicom_header")))
+    return mask_issues(ctx, "M01")
 
 
 def declared_resolution(ctx: Context) -> DataFrame:
@@ -96,35 +150,28 @@ def declared_resolution(ctx: Context) -> DataFrame:
 
 
 def mask_channels(ctx: Context) -> DataFrame:
-    df = measured(ctx, "mask")
-    a = issues(df.filter("m.ndim <> 2"), "M02_MASK_NOT_GRAYSCALE", "machine", "error", ndim=F.col("m.ndim"))
-    b = issues(df.filter("m.dtype <> 'uint8'"), "M02_MASK_NOT_8BIT", "machine", "error", dtype=F.col("m.dtype"))
-    c = issues(measured(ctx, "original").filter("m.ndim <> 2 and m.n_channels not in (2, 4)"), "M02_ORIGINAL_AMBIGUOUS_CHANNELS", "machine", "info", channels=F.col("m.n_channels"))
-    return a.unionByName(b).unionByName(c)
+    return mask_issues(ctx, "M02")
 
 
 def mask_binary(ctx: Context) -> DataFrame:
-    df, m = measured(ctx, "mask"), ctx.config["mask"]
-    odd = F.size(F.array_except("m.unique_values", F.array(*[F.lit(v) for v in m["expected_values"]]))) > 0
-    a = issues(df.filter(odd | F.col("m.truncated")), "M03_MASK_NOT_BINARY", "machine", "error")
-    b = issues(df.filter((F.coalesce("m.value_min", F.lit(0)) != 0) & (F.col("m.fg_ratio") > m["inverted_ratio"])), "M03_MASK_INVERTED", "machine", "warning")
-    return a.unionByName(b)
+    return mask_issues(ctx, "M03")
 
 
 def mask_not_empty(ctx: Context) -> DataFrame:
-    empty = (F.col("m.fg_pixels") == 0) | (F.size("m.unique_values") == 1)
-    kind = F.when(empty, "M04_MASK_EMPTY").when(F.col("m.fg_ratio") > ctx.config["mask"]["full_ratio"], "M04_MASK_FULL")
-    df = measured(ctx, "mask").withColumn("kind", kind).filter("kind is not null")
-    return issues(df, F.col("kind"), "machine", F.when(F.col("kind") == "M04_MASK_EMPTY", "error").otherwise("warning"), fg_ratio=F.col("m.fg_ratio"))
+    return mask_issues(ctx, "M04")
 
 
 def files_exist(ctx: Context) -> DataFrame:
-    state = lambda there, error: F.when(~there, "M05_FILE_MISSING").when(error.isNotNull(), "M05_FILE_UNREADABLE")
-    parts = [measured(ctx, role, readable=False).withColumn("kind", state(F.col("m.exists"), F.col("m.read_error"))).withColumn("what", F.lit(role)) for role in ("mask", "original")]
+    return mask_issues(ctx, "M05").unionByName(images_exist(ctx))
+
+
+def images_exist(ctx: Context) -> DataFrame:
+    """What M05 finds of images, an issue each at the first annotation."""
     first = Window.partitionBy("file_uid").orderBy("ann_index")
     one = ctx.annotations.withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
-    parts.append(with_file(one, ctx, "inner").withColumn("kind", state(F.col("f.image_exists"), F.col("f.dicom_read_error"))).withColumn("what", F.lit("dicom")))
-    return reduce(DataFrame.unionByName, [issues(p.filter("kind is not null"), F.col("kind"), "machine", "error", file=F.col("what")) for p in parts])
+    state = F.when(~F.col("f.image_exists"), "M05_FILE_MISSING").when(F.col("f.dicom_read_error").isNotNull(), "M05_FILE_UNREADABLE")
+    df = with_file(one, ctx, "inner").withColumn("kind", state).filter("kind is not null")
+    return issues(df, F.col("kind"), "machine", "error", file=F.lit("dicom"))
 
 
 def _paths(ctx: Context) -> DataFrame:
@@ -364,7 +411,12 @@ def run(ctx: Context, only: list[str] = (), skip: list[str] = ()) -> DataFrame:
 
     A check without its tables can't run and gives nothing: executed() tells which did.
     """
-    parts = [f(ctx).withColumn("check_ord", placed(name, i)) for i, (name, f, _) in enumerate(CHECKS) if name in executed(ctx, only, skip)]
+    chosen = executed(ctx, only, skip)
+    masks = [name for name in ("M01", "M02", "M03", "M04", "M05") if name in chosen]
+    parts = [mask_issues(ctx, *masks)] if masks else []
+    for i, (name, f, _) in enumerate(CHECKS):
+        if name in chosen and (name not in masks or name == "M05"):
+            parts.append((images_exist if name == "M05" else f)(ctx).withColumn("check_ord", placed(name, i)))
     return reduce(DataFrame.unionByName, parts)
 
 

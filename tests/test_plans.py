@@ -35,3 +35,10 @@ def test_nested_fields_reads_documents_once(spark):
 
     plan = queries()["nested_fields"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan  # images were joined to their own annotations, so that documents were made and parsed twice
+
+
+def test_checks_of_masks_share_a_join(spark):
+    from __spark_entry__ import queries
+
+    plan = queries()["mask_checks"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 4  # masks, their files, declared sizes and images; a join for each kind of issue made it more
