@@ -29,8 +29,9 @@ def _documents(spark, sf) -> DataFrame:
     series = F.struct(none(case(c % 2, c % 7), c % 2).alias("annotations"), F.create_map(F.lit("f"), image).alias("file_list"))
     study = F.struct(c.cast("string").alias("patient_id"), none(case(c % 3, c % 4), c % 3).alias("annotations"), report.alias("report_labels"), F.create_map(F.lit("e"), series).alias("series_list"))
     value = F.to_json(F.struct(F.create_map(F.lit("I"), F.create_map(c.cast("string"), study)).alias("dataset")))
-    documents = _t(spark, sf, "customer").select(F.concat(F.lit("engineer-set-D"), (c % 3).cast("string"), F.lit("-20260102_030405.json")).alias("source_json"), value.alias("value"))
-    return documents.select("source_json", F.from_json("value", SOURCE_DDL).alias("doc"))
+    documents = _t(spark, sf, "customer").select("c_custkey").repartition("c_custkey").select(F.concat(F.lit("engineer-set-D"), (c % 3).cast("string"), F.lit("-20260102_030405.json")).alias("source_json"), value.alias("value"))
+    # written out, as conditions on parsed documents would parse them again each
+    return written(documents.select("source_json", F.from_json("value", SOURCE_DDL).alias("doc")), "source-documents")
 
 
 @query("""

@@ -42,3 +42,10 @@ def test_checks_of_masks_share_a_join(spark):
 
     plan = queries()["mask_checks"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") == 4  # masks, their files, declared sizes and images; a join for each kind of issue made it more
+
+
+def test_documents_are_parsed_once(spark):
+    from adjudica.plans.reviewed import _documents
+
+    plan = _documents(spark, "/root/testdata/sf0.001").filter("doc.dataset is not null")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan  # a condition on a parsed document parsed it again
