@@ -15,16 +15,14 @@ FILL, BAND_FILL = 0.28, 0.45
 BAND_COLOUR = (0xFF, 0xFF, 0x00)
 
 
-#: Bytes of pictures that a task hands on at once.
-DRAWN = 1 << 22
+def _inside(padded: np.ndarray) -> np.ndarray:
+    return padded[..., :-2, 1:-1] & padded[..., 2:, 1:-1] & padded[..., 1:-1, :-2] & padded[..., 1:-1, 2:]
 
 
 def outline(mask: np.ndarray) -> np.ndarray:
     """The pixels of a mask that have a side on its outside, or on the image's edge; those around its holes too."""
     m = mask.astype(bool)
-    padded = np.pad(m, 1)
-    inside = padded[:-2, 1:-1] & padded[2:, 1:-1] & padded[1:-1, :-2] & padded[1:-1, 2:]
-    return m & ~inside
+    return m & ~_inside(np.pad(m, 1))
 
 
 def grey(image: np.ndarray) -> np.ndarray:
@@ -52,6 +50,21 @@ def drawn(image: np.ndarray, masks: list[np.ndarray], box: tuple | None = None)
     return canvas[y0 : y1 + 1, x0 : x1 + 1].astype(np.uint8)
 
 
+def drawn_of(images: np.ndarray, masks: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """drawn() of a stack of 8-bit grey images; masks has, for each place in the order of an image's masks, which images have one there of their shape, and those masks."""
+    canvas = np.repeat(images.astype(np.float64)[..., None], 3, axis=3)
+    for k, (at, own) in enumerate(masks):
+        colour = COLOURS[k % len(COLOURS)]
+        part = canvas[at]
+        _filled(part, own, colour, FILL)
+        canvas[at] = part
+    for k, (at, own) in enumerate(masks):
+        part = canvas[at]
+        part[own & ~_inside(np.pad(own, ((0, 0), (1, 1), (1, 1))))] = COLOURS[k % len(COLOURS)]
+        canvas[at] = part
+    return canvas.astype(np.uint8)
+
+
 def band_drawn(image: np.ndarray, references: dict[str, np.ndarray], spacing_y: float | None) -> np.ndarray | None:
     """An image with the band beside which nothing of a body is; None without a body (SK17)."""
     region = measure.body_region(references, spacing_y)
@@ -63,6 +76,39 @@ def band_drawn(image: np.ndarray, references: dict[str, np.ndarray], spacing_y:
     return canvas.astype(np.uint8)
 
 
+def _pictures(images: list, lists: pa.Array, shapes: np.ndarray, ends: np.ndarray, margin: int | None) -> list[bytes | None]:
+    """A PNG of each image with its masks; none of an error. lists has the runs of all masks, image by image, and ends where an image's end; images of one shape are drawn at once."""
+    out: list[bytes | None] = [None] * len(images)
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    owner = np.repeat(np.arange(len(images)), ends - begins)
+    alike: dict[tuple, list[int]] = {}
+    for k, image in enumerate(images):
+        if isinstance(image, np.ndarray):
+            if image.ndim == 3:
+                images[k] = image = image.max(axis=2)
+            alike.setdefault(image.shape, []).append(k)
+    for (h, w), found in alike.items():
+        place = np.full(len(images), -1)
+        place[found] = np.arange(len(found))
+        stack = np.stack([images[k] if images[k].dtype == np.uint8 else grey(images[k])[..., 0].astype(np.uint8) for k in found])
+        same = np.flatnonzero((place[owner] >= 0) & (shapes[:, 0] == h) & (shapes[:, 1] == w))
+        masks, image = runs.stacked(h, w, lists.take(pa.array(same))), place[owner[same]]
+        nth = same - begins[owner[same]]
+        whole = drawn_of(stack, [(image[nth == k], masks[nth == k]) for k in range(int(nth.max(initial=-1)) + 1)])
+        boxes: list[list] = [[] for _ in found]
+        if margin is not None:
+            for k, m in zip(image.tolist(), masks, strict=True):
+                boxes[k] += [b] if (b := raster.bounds(m)) else []
+        if not any(boxes):
+            for k, png in zip(found, raster.write_pngs(whole), strict=True):
+                out[k] = png
+            continue
+        for k, picture, some in zip(found, whole, boxes, strict=True):
+            x0, y0, x1, y1 = raster.crop_box(some, margin, w, h) if some else (0, 0, w - 1, h - 1)
+            out[k] = raster.write_png(picture[y0 : y1 + 1, x0 : x1 + 1])
+    return out
+
+
 def pictures(images: DataFrame, masks: DataFrame, margin: int | None = None) -> DataFrame:
     """name and content, a PNG, of each image with its masks; raster.written_files() writes them and leaves alone what is there.
 
@@ -76,22 +122,16 @@ def pictures(images: DataFrame, masks: DataFrame, margin: int | None = None) ->
 
     def draw(stream):
         for batch in stream:
-            names, made, size = [], [], 0
-            for k in range(batch.num_rows):
-                content = None
-                try:
-                    image = raster.read_png(batch.column("content")[k].as_py())
-                    own = [runs.to_array(m["height"], m["width"], [(r["y"], r["x0"], r["x1"]) for r in m["runs"]]) for m in batch.column("masks")[k].as_py()]
-                    boxes = [b for m in own if m.shape == image.shape and (b := raster.bounds(m))] if margin is not None else []
-                    box = raster.crop_box(boxes, margin, image.shape[1], image.shape[0]) if boxes else None
-                    content = raster.write_png(drawn(image if image.ndim == 2 else image.max(axis=2), own, box))
-                except Exception:  # noqa: BLE001, S110  an unreadable image has no picture, and says so by that
-                    pass
-                names.append(batch.column("name")[k].as_py())
-                made.append(content)
-                size += len(content or b"")
-                if size > DRAWN or k == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(made, pa.binary())], names=["name", "content"])
-                    names, made, size = [], [], 0
+            names, files = batch.column("name"), batch.column("content").to_pylist()
+            lists = batch.column("masks")
+            ends = np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))
+            own = lists.flatten()
+            shapes = np.stack([np.asarray(own.field(c).fill_null(0)).astype(np.int64) for c in ("height", "width")], axis=1)
+            pixels = np.concatenate([[0], np.cumsum(shapes[:, 0] * shapes[:, 1])])[np.concatenate([[0], ends])]
+            sizes = [max(raster.declared_pixels(f), n) for f, n in zip(files, np.diff(pixels).tolist(), strict=True)]
+            for a, b in runs.shares(sizes, raster.PIXELS):
+                start = int(ends[a - 1]) if a else 0
+                made = _pictures(raster.read_pngs(files[a:b]), own.field("runs").slice(start, int(ends[b - 1]) - start), shapes[start : ends[b - 1]], ends[a:b] - start, margin)
+                yield pa.RecordBatch.from_arrays([names.slice(a, b - a), pa.array(made, pa.binary())], names=["name", "content"])
 
     return both.mapInArrow(draw, "name string, content binary")

@@ -34,6 +34,74 @@ def to_array(height: int, width: int, runs) -> np.ndarray:
     return np.cumsum(edge, axis=1)[:, :width] > 0
 
 
+def stacked(height: int, width: int, lists: pa.Array) -> np.ndarray:
+    """to_array() of each list of runs, for masks of one shape."""
+    out = np.empty((len(lists), height, width), bool)
+    for a, b in shares([height * width] * len(lists), PARTS):
+        own = lists.slice(a, b - a)
+        parts, n = own.flatten(), b - a
+        y, x0, x1 = (np.asarray(parts.field(c)).astype(np.int64) for c in ("y", "x0", "x1"))
+        owner = np.repeat(np.arange(n), np.asarray(own.value_lengths().fill_null(0)))
+        kept = (y >= 0) & (y < height) & (x0 < x1)
+        row, size = (owner * height + y)[kept] * (width + 1), n * height * (width + 1)
+        begins, ends = (np.bincount(row + np.clip(x[kept], 0, width), minlength=size) for x in (x0, x1))
+        out[a:b] = np.cumsum((begins - ends).reshape(n, height, width + 1), axis=2)[:, :, :width] > 0
+    return out
+
+
+def shares(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Bounds of slices that hold up to so much each, or one that is larger."""
+    cuts, held = [0], 0
+    for k, size in enumerate(sizes):
+        if k > cuts[-1] and held + size > most:
+            cuts.append(k)
+            held = 0
+        held += size
+    return list(zip(cuts, [*cuts[1:], len(sizes)], strict=True)) if sizes else []
+
+
+def from_boxes(boxes: DataFrame, by: list[str], height: int, width: int, name: str = "mask") -> DataFrame:
+    """A mask for each group of boxes (columns by, left, top, w, h and solid), which may overlap, touch and repeat; one that isn't solid is its frame, a pixel wide.
+
+    Boxes are gathered, not their rows of pixels, and equal ones once: numpy makes the rows of many masks and joins them. What lies outside the shape is cut off; a group without any pixel has no mask.
+    """
+    left, top, right, bottom, solid = F.col("left"), F.col("top"), F.col("left") + F.col("w"), F.col("top") + F.col("h"), F.coalesce(F.col("solid").cast("boolean"), F.lit(False))
+    seen = (F.col("w") > 0) & (F.col("h") > 0) & (right > 0) & (left < width) & (bottom > 0) & (top < height)
+    side = solid | (left >= 0) | (right <= width) | (top >= 0) | (bottom <= height)  # a frame all around the shape has no pixel in it
+    box = F.struct(*[F.col(c).cast("int").alias(c) for c in ("left", "top", "w", "h")], solid.alias("solid"))
+    whole = boxes.filter(seen & side).groupBy(*by).agg(F.collect_set(box).alias("_boxes"))
+    return whole.select(*by, F.struct(F.lit(height).alias("height"), F.lit(width).alias("width"), _boxed(height, width)("_boxes").alias("runs")).alias(name))
+
+
+@lru_cache(maxsize=8)
+def _boxed(height: int, width: int):
+    """A column function: boxes as the sorted runs of their rows."""
+
+    def joined(lists: pa.Array) -> pa.Array:
+        sizes = (np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64) * 2 * height).tolist()
+        return pa.concat_arrays([_box_runs(lists.slice(a, b - a), height, width) for a, b in shares(sizes, PARTS) or [(0, 0)]])
+
+    return F.arrow_udf(joined, RUNS_DDL)
+
+
+def _box_runs(lists: pa.Array, height: int, width: int) -> pa.Array:
+    boxes = lists.flatten()
+    left, top, w, h = (np.asarray(boxes.field(c)).astype(np.int64) for c in ("left", "top", "w", "h"))
+    solid = boxes.field("solid").to_numpy(zero_copy_only=False).astype(bool)
+    first = np.clip(top, 0, height)
+    many = np.clip(top + h, 0, height) - first
+    box = np.repeat(np.arange(len(top)), many)
+    y = np.arange(len(box)) - np.repeat(np.cumsum(many) - many, many) + first[box]
+    x0, x1 = left[box], (left + w)[box]
+    hollow = ~(solid[box] | (y == top[box]) | (y == (top + h)[box] - 1))  # two parts, a pixel each
+    x0, x1 = np.concatenate([x0, x1[hollow] - 1]), np.concatenate([np.where(hollow, x0 + 1, x1), x1[hollow]])
+    box, y = np.concatenate([box, box[hollow]]), np.concatenate([y, y[hollow]])
+    x0, x1 = np.maximum(x0, 0), np.minimum(x1, width)
+    kept = x0 < x1
+    mask = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths().fill_null(0)))[box[kept]]
+    return _joined_parts(len(lists), mask, y[kept], x0[kept], x1[kept])
+
+
 def from_rows(rows: DataFrame, by: list[str], height: Column, width: Column, name: str = "mask") -> DataFrame:
     """A mask for each group of rows (columns by, y, x0, x1), which may overlap, touch and repeat: gaps and islands in each row of pixels.
 
@@ -66,7 +134,11 @@ def _islands(lists: pa.Array) -> pa.Array:
 def _islands_of(lists: pa.Array) -> pa.Array:
     parts, ends = lists.flatten(), np.asarray(lists.value_lengths().fill_null(0)).cumsum()
     mask = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    y, x0, x1 = (np.asarray(parts.field(c)).astype(np.int64) for c in ("y", "x0", "x1"))
+    return _joined_parts(len(ends), mask, *(np.asarray(parts.field(c)).astype(np.int64) for c in ("y", "x0", "x1")))
+
+
+def _joined_parts(masks: int, mask: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> pa.Array:
+    """The runs of each of so many masks, of parts and whose they are."""
     order = np.lexsort((x0, y, mask))
     mask, y, x0, x1 = mask[order], y[order], x0[order], x1[order]
     row = np.cumsum((np.diff(mask, prepend=-1) != 0) | (np.diff(y, prepend=-1) != 0))
@@ -77,7 +149,7 @@ def _islands_of(lists: pa.Array) -> pa.Array:
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(x0)) - 1 if len(x0) else first
     runs = [v.astype(np.int32) for v in (y[first], x0[first], (reach - row * far)[last])]
-    offsets = np.searchsorted(mask[first], np.arange(len(ends) + 1)).astype(np.int32)
+    offsets = np.searchsorted(mask[first], np.arange(masks + 1)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(v) for v in runs], names=["y", "x0", "x1"]))
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from adjudica import config as settings
 from adjudica.functions import measure, overlay, raster, runs
 from adjudica.operators import checks
 
@@ -263,3 +264,109 @@ def test_pictures_are_written_once(spark, tmp_path):
     assert (raster.read_png((tmp_path / "f.png").read_bytes()) == overlay.drawn(np.full((6, 7), 9, np.uint8), [m])).all()
     cut = overlay.pictures(images.filter("file_uid = 'f'"), masks, margin=1).first()["content"]
     assert raster.read_png(bytes(cut)).shape == (4, 5, 3)
+
+
+def _pictured(rng, n, h, w, share=0.5):
+    """Random masks, the first empty and the second whole."""
+    m = rng.random((n, h, w)) < share
+    m[0], m[1] = False, True
+    return m
+
+
+@pytest.mark.parametrize("shape", [(1, 1), (1, 9), (7, 1), (5, 8), (12, 12), (45, 43)])
+def test_stacks_are_measured_as_single_masks_are(shape):
+    rng = np.random.default_rng(sum(shape))
+    masks = np.concatenate([_pictured(rng, 6, *shape, share) for share in (0.1, 0.5, 0.8)])
+    for diagonal in (True, False):
+        labels, counts, areas = raster.components_of(masks, diagonal)
+        single = [raster.components(m, diagonal) for m in masks]
+        assert all((a == b).all() for a, (b, _) in zip(labels, single, strict=True)) and counts.tolist() == [n for _, n in single]
+        assert areas.tolist() == [a for m, n in single for a in np.bincount(m.ravel(), minlength=n + 1)[1:].tolist()]
+    assert [s | {"bbox": s["bbox"] and tuple(s["bbox"])} for s in raster.stats_of(masks)] == [raster.mask_stats(m) for m in masks]
+    for many, one in ((raster.filled_of, raster.filled), (raster.largest_of, raster.largest_component), (measure.bands_of, measure.band_of)):
+        assert all((a == one(m)).all() for a, m in zip(many(masks), masks, strict=True)), one.__name__
+    some = masks[masks.any(axis=(1, 2))]
+    assert all((a == measure.distances(m)).all() for a, m in zip(measure._distances_of(some), some, strict=True))
+    for kind in (np.uint8, np.uint16):
+        images = rng.integers(0, 255, (4, *shape), kind)
+        files = raster.write_pngs(images)
+        assert files == [raster.write_png(i) for i in images] and all((a == b).all() and a.dtype == b.dtype for a, b in zip(raster.read_pngs(files), images, strict=True))
+
+
+def test_a_spiral_and_a_comb_are_one_component_each():
+    comb = np.zeros((41, 81), bool)
+    comb[:, ::2], comb[-1] = True, True
+    spiral = np.zeros((41, 81), bool)
+    for k in range(0, 20, 2):
+        spiral[k, max(k - 2, 0) : 81 - k] = spiral[k : 41 - k, 80 - k] = spiral[40 - k, k : 81 - k] = spiral[k + 2 : 41 - k, k] = True
+    labels, counts, areas = raster.components_of(np.stack([comb, spiral]), False)
+    assert counts.tolist() == [1, 1] and areas.tolist() == [comb.sum(), spiral.sum()] and (labels > 0).sum() == areas.sum()
+
+
+def test_broken_and_odd_files_among_many():
+    import struct
+    import zlib
+
+    image = np.arange(60, dtype=np.uint8).reshape(5, 4, 3)
+    whole = raster.write_png(image)
+    chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+    up = bytes([0, *image[0].ravel()]) + b"".join(bytes([2, *(b.ravel() - a.ravel())]) for a, b in zip(image, image[1:], strict=False))
+    parts = [chunk(b"IDAT", zlib.compress(up)[:9]), chunk(b"IDAT", zlib.compress(up)[9:])]
+    filtered, split = whole[:33] + chunk(b"IDAT", zlib.compress(up)) + chunk(b"IEND", b""), whole[:33] + b"".join(parts) + chunk(b"IEND", b"")
+    short, interlaced = whole[:33] + chunk(b"IDAT", zlib.compress(up[:-5])) + chunk(b"IEND", b""), whole[:28] + b"\1" + whole[29:]
+    got = raster.read_pngs([whole, None, filtered, b"", split, b"x" * 80, short, whole[:-20], interlaced, whole])
+    assert all((got[k] == image).all() for k in (0, 2, 4, 9)) and all(isinstance(got[k], Exception) for k in (1, 3, 5, 6, 7, 8))
+    for data, e in zip([b"", b"x" * 80, short, interlaced], [got[3], got[5], got[6], got[8]], strict=True):
+        with pytest.raises(type(e)) as raised:
+            raster.read_png(data)
+        assert str(raised.value) == str(e)
+
+
+def test_many_images_are_measured_at_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    png = lambda m: raster.write_png(m.astype(np.uint8) * 255)
+    images = []
+    for k in range(120):
+        h, w = (9, 8) if k % 2 else (6, 11)
+        part = lambda role, n, content, there=True: {"file_uid": str(k), "role": role, "geometry_uid": None if n is None else f"{k}-{n}", "ann_index": n, "there": there, "content": content, "rows": h, "columns": w, "label_key": "x", "is_latest": 1, "spacing_x": 0.5, "spacing_y": None if k % 7 == 0 else 2.0}  # noqa: E731, B023
+        masks = _pictured(rng, 5, h, w)
+        parts = [part("mask", n, png(masks[n])) for n in range(2, 4 + k % 2)] + [part("original", 2, png(masks[1] if k % 3 else np.ones((2, 2))))]
+        parts += [part("mask", 5, None, there=False), part("mask", 6, b"broken")] + ([part("mask", 0, png(masks[0]))] if k % 5 == 0 else [])
+        body = np.zeros((h, w), bool)
+        body[2:-2, 2 : 4 + k % 3] = True
+        images.append(parts + [part(kind, None, b"" if k % 11 == 0 and kind == "thorax" else png(body)) for kind in measure.KINDS if k % 13 or kind == "lung"])
+    config = settings.merged(settings.DEFAULTS, {"reference": {"margin_mm": 2.0}})
+    calls, stats_of = [], raster.stats_of
+    monkeypatch.setattr(raster, "stats_of", lambda masks: calls.append(len(masks)) or stats_of(masks))
+    found = measure.image_rows(images, config)
+    assert len(calls) <= 3 and sum(calls) > 300  # a call for each shape
+    assert found == [measure.image_rows([parts], config)[0] for parts in images]
+    for parts, (masks, pairs, file) in zip(images, found, strict=True):
+        own = {p["geometry_uid"]: raster.read_png(p["content"]) > 0 for p in parts if p["role"] == "mask" and p["there"] and p["content"] != b"broken"}
+        contents = {p["role"]: p["content"] for p in parts if p["role"] in measure.KINDS}
+        status, references = measure.reference_set(contents, config["reference"]["required_kinds"], (parts[0]["rows"], parts[0]["columns"]))
+        region = measure.body_region(references, parts[0]["spacing_y"]) if status == measure.AVAILABLE else None
+        assert file["reference_status"] == status and file["band_ratio"] == (region and region["band_ratio"]) and file["region_ratio"] == (region and region["region_ratio"])
+        for row in masks:
+            if row["role"] == "mask" and row["geometry_uid"] in own:
+                m = own[row["geometry_uid"]]
+                stats = raster.mask_stats(m)
+                assert {k: row[k] for k in ("fg_pixels", "fg_ratio", "n_components", "component_areas")} == {k: stats[k] for k in ("fg_pixels", "fg_ratio", "n_components", "component_areas")} and row["mask_hash"] == raster.mask_hash(m)
+                want = measure.outside(m, region["distance_mm"], 2.0, row["area_mm2"]) if region else dict.fromkeys(("lat_containment", "lat_outside_mm2", "lat_outside_pixels", "lat_max_mm"))
+                assert {k: row[k] for k in want} == want
+        assert all(p["iou"] == raster.iou(own[p["uid_a"]], own[p["uid_b"]]) and p["containment_a_in_b"] == raster.containment(own[p["uid_a"]], own[p["uid_b"]]) for p in pairs)
+    assert sum(r["role"] == "original" and r["filled_pixels"] is not None for m, _, _ in found for r in m) == 80
+
+
+def test_masks_of_boxes(spark):
+    boxes = [(g, left, top, w, h, solid) for g, left, top, w, h, solid in [
+        (1, 0, 0, 4, 4, False), (1, 0, 0, 4, 4, False), (1, 2, 1, 5, 2, True), (2, -3, -3, 20, 20, False), (3, -2, 1, 4, 3, False), (4, 7, 0, 5, 9, False), (5, 9, 9, 2, 2, True), (6, 0, 0, 0, 3, True), (7, 5, 4, 1, 1, False), (8, -3, -3, 20, 20, True), (9, -2, -2, 12, 5, False)]]
+    got = {r["g"]: r["mask"] for r in runs.from_boxes(spark.createDataFrame(boxes, "g int, left int, top int, w int, h int, solid boolean"), ["g"], 6, 8).collect()}
+    want: dict[int, np.ndarray] = {}
+    for g, left, top, w, h, solid in boxes:
+        y, x = np.ogrid[:6, :8]
+        inside = (y >= top) & (y < top + h) & (x >= left) & (x < left + w)
+        edge = (y == top) | (y == top + h - 1) | (x == left) | (x == left + w - 1)
+        want[g] = want.get(g, np.zeros((6, 8), bool)) | inside & (edge | solid)
+    assert {g: [tuple(r) for r in m["runs"]] for g, m in got.items()} == {g: runs.of_array(m) for g, m in want.items() if m.any()}
+    assert all((m["height"], m["width"]) == (6, 8) for m in got.values())
