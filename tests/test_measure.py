@@ -370,3 +370,17 @@ def test_masks_of_boxes(spark):
         want[g] = want.get(g, np.zeros((6, 8), bool)) | inside & (edge | solid)
     assert {g: [tuple(r) for r in m["runs"]] for g, m in got.items()} == {g: runs.of_array(m) for g, m in want.items() if m.any()}
     assert all((m["height"], m["width"]) == (6, 8) for m in got.values())
+
+
+def test_stacked_runs_are_the_arrays_of_each(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    lists = [[(int(y), int(x), int(x + d)) for y, x, d in zip(rng.integers(-2, 8, n), rng.integers(-4, 9, n), rng.integers(-1, 9, n), strict=True)] for n in rng.integers(0, 7, 40)]
+    kind = pa.list_(pa.struct([("y", pa.int32()), ("x0", pa.int32()), ("x1", pa.int32())]))
+    column = pa.array([[dict(zip(("y", "x0", "x1"), r, strict=True)) for r in some] for some in lists] + [None], kind)
+    for parts in (1 << 18, 90):
+        monkeypatch.setattr(runs, "PARTS", parts)
+        for a, b in ((0, 41), (3, 17)):
+            assert all((m == runs.to_array(6, 7, some)).all() for m, some in zip(runs.stacked(6, 7, column.slice(a, b - a)), [*lists, []][a:b], strict=True))
+    assert runs.shares([5, 1, 1, 9, 2, 2], 4) == [(0, 1), (1, 3), (3, 4), (4, 6)] and runs.shares([], 4) == []
