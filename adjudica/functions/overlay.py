@@ -52,17 +52,20 @@ def drawn(image: np.ndarray, masks: list[np.ndarray], box: tuple | None = None)
 
 def drawn_of(images: np.ndarray, masks: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """drawn() of a stack of 8-bit grey images; masks has, for each place in the order of an image's masks, which images have one there of their shape, and those masks."""
-    canvas = np.repeat(images.astype(np.float64)[..., None], 3, axis=3)
-    for k, (at, own) in enumerate(masks):
-        colour = COLOURS[k % len(COLOURS)]
-        part = canvas[at]
-        _filled(part, own, colour, FILL)
-        canvas[at] = part
-    for k, (at, own) in enumerate(masks):
-        part = canvas[at]
-        part[own & ~_inside(np.pad(own, ((0, 0), (1, 1), (1, 1))))] = COLOURS[k % len(COLOURS)]
-        canvas[at] = part
-    return canvas.astype(np.uint8)
+    out = np.empty((*images.shape, 3), np.uint8)
+    levels = np.arange(256.0)
+    edges = [own & ~_inside(np.pad(own, ((0, 0), (1, 1), (1, 1)))) for _, own in masks]
+    for c in range(3):
+        canvas = images.copy()
+        for k, (at, own) in enumerate(masks):
+            blend = np.floor(levels * (1 - FILL) + float(COLOURS[k % len(COLOURS)][c]) * FILL + 0.5).astype(np.uint8)  # what a fill makes of each value
+            part = canvas[at]
+            canvas[at] = np.where(own, blend[part], part)
+        for k, ((at, _), edge) in enumerate(zip(masks, edges, strict=True)):
+            part = canvas[at]
+            canvas[at] = np.where(edge, np.uint8(COLOURS[k % len(COLOURS)][c]), part)
+        out[..., c] = canvas
+    return out
 
 
 def band_drawn(image: np.ndarray, references: dict[str, np.ndarray], spacing_y: float | None) -> np.ndarray | None:

@@ -384,3 +384,32 @@ def test_stacked_runs_are_the_arrays_of_each(monkeypatch):
         for a, b in ((0, 41), (3, 17)):
             assert all((m == runs.to_array(6, 7, some)).all() for m, some in zip(runs.stacked(6, 7, column.slice(a, b - a)), [*lists, []][a:b], strict=True))
     assert runs.shares([5, 1, 1, 9, 2, 2], 4) == [(0, 1), (1, 3), (3, 4), (4, 6)] and runs.shares([], 4) == []
+
+
+def test_pictures_drawn_together_are_those_drawn_alone(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    images, lists, shapes, ends, want = [], [], [], [], []
+    for k in range(60):
+        h, w = [(5, 9), (12, 12), (5, 9), (3, 4)][k % 4]
+        image = rng.integers(0, 900, (h, w)).astype(np.uint16) if k % 5 == 0 else rng.integers(0, 255, (h, w) if k % 7 else (h, w, 3)).astype(np.uint8)
+        masks = [rng.random((h, w) if n != 2 else (h + 1, w)) < 0.4 for n in range(k % 9)]
+        images.append(ValueError("broken") if k % 11 == 0 else image)
+        lists += [[dict(zip(("y", "x0", "x1"), r, strict=True)) for r in runs.of_array(m)] for m in masks]
+        shapes += [m.shape for m in masks]
+        ends.append(len(lists))
+        want.append((image if image.ndim == 2 else image.max(axis=2), masks) if k % 11 else None)
+    kind = pa.list_(pa.struct([("y", pa.int32()), ("x0", pa.int32()), ("x1", pa.int32())]))
+    calls, drawn_of = [], overlay.drawn_of
+    monkeypatch.setattr(overlay, "drawn_of", lambda some, own: calls.append(len(some)) or drawn_of(some, own))
+    for margin in (None, 1):
+        calls.clear()
+        made = overlay._pictures(list(images), pa.array(lists, kind), np.array(shapes), np.array(ends), margin)
+        assert len(calls) == 3 and [m is None for m in made] == [x is None for x in want]
+        for png, x in zip(made, want, strict=True):
+            if x is not None:
+                image, masks = x
+                boxes = [b for m in masks if m.shape == image.shape and (b := raster.bounds(m))] if margin is not None else []
+                box = raster.crop_box(boxes, margin, image.shape[1], image.shape[0]) if boxes else None
+                assert (raster.read_png(png) == overlay.drawn(image, masks, box)).all()
