@@ -12,9 +12,12 @@ from __future__ import annotations
 
 import json
 import re
+from contextlib import contextmanager
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,18 +28,49 @@ from adjudica.storage import written
 
 #: Strings, an opened one that ends with the text, and brackets.
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|"(?:[^"\\]|\\.)*\Z|[{}\[\]]', re.S)
-_STRING_END = re.compile(r'(?:[^"\\]|\\.)*"', re.S)
 #: Objects around a study: the document, its dataset and an institution.
 STUDY_DEPTH = 3
 
 
-def _depth_change(text: str) -> tuple[int, int, int]:
+_ESCAPED = re.compile(rb"\\.", re.S)
+#: What the bytes of a document do: 1 for brackets that open, -1 for those that close, 2 for quotes.
+_SIGNS = np.zeros(256, np.int8)
+_SIGNS[list(b"{[")], _SIGNS[list(b"}]")], _SIGNS[ord('"')] = 1, -1, 2
+
+
+def _signs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the brackets of a text are, how each changes the depth, and how many quotes by parity lie before it; the last entry is the end of the text, without change."""
+    kinds = _SIGNS[np.frombuffer(_ESCAPED.sub(b"__", data) if b"\\" in data else data, np.uint8)]
+    at = np.flatnonzero(kinds)
+    signs = kinds[at]
+    quotes = signs == 2
+    parity = np.cumsum(quotes) & 1
+    return np.append(at[~quotes], len(data)), np.append(signs[~quotes], 0), np.append(parity[~quotes], parity[-1] if len(parity) else 0)
+
+
+def _depth_change(text: str | bytes) -> tuple[int, int, int]:
     """Quotes by parity, and how brackets change the depth if the text begins outside a string, or inside one."""
-    quotes, change = 0, [0, 0]
-    for k, piece in enumerate(re.sub(r"\\.", "", text, flags=re.S).split('"')):
-        change[k % 2] += piece.count("{") + piece.count("[") - piece.count("}") - piece.count("]")
-        quotes = k
-    return quotes % 2, change[0], change[1]
+    _, change, parity = _signs(text.encode() if isinstance(text, str) else text)
+    inside = int(change[parity == 1].sum())
+    return int(parity[-1]), int(change.sum()) - inside, inside
+
+
+def _runs_of(batch: pa.RecordBatch, columns: list[str]) -> list[tuple[int, int]]:
+    """The slices of a batch's rows that are alike in some columns."""
+    new = np.zeros(max(batch.num_rows - 1, 0), bool)
+    for c in columns:
+        own = batch.column(c)
+        new |= np.asarray(pc.not_equal(own.slice(1), own.slice(0, len(new))).to_numpy(zero_copy_only=False), bool)
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+    return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+
+
+def _ended_text(values: pa.Array) -> bytes:
+    """Texts in a row, each with the brace that ended it."""
+    if not len(values):
+        return b""
+    one = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(pa.binary()))
+    return pc.binary_join(one, pa.scalar(b"}", pa.binary()))[0].as_py() + b"}"
 
 
 #: A document in files of its own has its blocks numbered by file and by place in the file, which has fewer bytes than this.
@@ -62,7 +96,33 @@ def _blocks(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 _STATES = [("path", pa.string()), ("file", pa.string()), ("size", pa.int64()), ("block", pa.int64()), ("parity", pa.int32()), ("plain", pa.int32()), ("quoted", pa.int32()), ("bytes", pa.int64()), ("object", pa.bool_())]
 
 
-def block_states(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+@contextmanager
+def _cut_by(spark: SparkSession, block_bytes: int | None):
+    """Documents that are read meanwhile are cut into blocks of so many bytes; tables made of them are not."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    if block_bytes:
+        spark.conf.set(key, str(block_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+#: A task reads blocks one after another that have so many bytes together, or fewer, so that each core has some tasks.
+TASK_BYTES, TASKS = 1 << 24, 4
+
+
+def _dealt(lines: DataFrame, block_bytes: int | None) -> DataFrame:
+    """The lines of small blocks with several blocks a task: a task for each would cost more than its block. No row moves, and a block's stay together."""
+    if not block_bytes:
+        return lines
+    blocks = lines.rdd.getNumPartitions()
+    tasks = max(-(-blocks * block_bytes // TASK_BYTES), TASKS * lines.sparkSession.sparkContext.defaultParallelism)
+    return lines.coalesce(tasks) if tasks < blocks else lines
+
+
+def block_states(spark: SparkSession, paths: list[str] | str, block_bytes: int | None = None) -> DataFrame:
     """path, block, inside, depth, bare, whole: how each block of a document begins; whole tells whether the document is one object that ends.
 
     bare: the last text of the block is the end of a file without a brace. A window goes over the blocks of one document, a row of numbers each.
@@ -71,19 +131,22 @@ def block_states(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         at, total = None, None
         for batch in stream:
             out = []
-            for path, file, size, block, value in zip(*(batch.column(c).to_pylist() for c in ("path", "file", "size", "block", "value")), strict=True):
-                if (path, file, size, block) != at:
+            for a, b in _runs_of(batch, ["path", "file", "size", "block"]):
+                own, values = tuple(batch.column(c)[a].as_py() for c in ("path", "file", "size", "block")), batch.column("value").slice(a, b - a)
+                if own != at:
                     if at is not None:
                         out.append((*at, *total))
-                    at, total = (path, file, size, block), (0, 0, 0, 0, value.lstrip("\ufeff \t\r\n").startswith("{"))
-                parity, plain, quoted = _depth_change(value + "}")
+                    at, total = own, (0, 0, 0, 0, values[0].as_py().lstrip("\ufeff \t\r\n").startswith("{"))
+                text = _ended_text(values)
+                parity, plain, quoted = _depth_change(text)
                 first, second = (plain, quoted) if total[0] == 0 else (quoted, plain)
-                total = ((total[0] + parity) % 2, total[1] + first, total[2] + second, total[3] + len(value.encode()) + 1, total[4])
+                total = ((total[0] + parity) % 2, total[1] + first, total[2] + second, total[3] + len(text), total[4])
             yield _batch(out, _STATES)
         if at is not None:
             yield _batch([(*at, *total)], _STATES)
 
-    found = written(_blocks(spark, paths).mapInArrow(summed, _ddl(_STATES)), "block-sums")
+    with _cut_by(spark, block_bytes):
+        found = written(_dealt(_blocks(spark, paths), block_bytes).mapInArrow(summed, _ddl(_STATES)), "block-sums")
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     every, own = Window.partitionBy("path"), Window.partitionBy("path", "file")
     found = found.withColumn("_left", F.col("size") - F.sum("bytes").over(own))  # -1 where what follows a file's last brace reads as if it had one, too
@@ -112,40 +175,25 @@ class _Cutter:
     """Cuts a block into records, each what follows a study up to the end of the next one."""
 
     def __init__(self, inside: bool, depth: int):
-        self.inside, self.depth, self.held, self.rest = inside, depth, [], ""
-
-    def feed(self, text: str) -> list[str]:
-        """The records that end in this text."""
-        text, out, start, at = self.rest + text, [], 0, 0
-        self.rest = ""
-        if self.inside:
-            end = _STRING_END.match(text)
-            if not end:
-                self.held.append(text)
-                return out
-            at, self.inside = end.end(), False
-        for token in _TOKEN.finditer(text, at):
-            first = text[token.start()]
-            if first == '"':
-                if token.end() == len(text) and not _closed(token.group()):
-                    self.rest, text = text[token.start() :], text[: token.start()]
-                    break
-            elif first in "{[":
-                self.depth += 1
-            else:
-                self.depth -= 1
-                if self.depth == STUDY_DEPTH and first == "}":
-                    out.append("".join([*self.held, text[start : token.end()]]))
-                    self.held, start = [], token.end()
-        self.held.append(text[start:])
+        self.inside, self.depth, self.held = inside, depth, []
+
+    def feed(self, data: bytes) -> list[str]:
+        """The records that end in this part of the block, whose texts end with their braces."""
+        at, change, parity = _signs(data)
+        change = np.where((parity == 1) == self.inside, change, 0)  # brackets in strings are none
+        depth = self.depth + np.cumsum(change)
+        ends = at[:-1][(change == -1)[:-1] & (depth == STUDY_DEPTH)[:-1]] + 1
+        out, start = [], 0
+        for end in ends.tolist():
+            if data[end - 1 : end] == b"}":
+                out.append(b"".join([*self.held, data[start:end]]).decode())
+                self.held, start = [], end
+        self.held.append(data[start:])
+        self.inside, self.depth = self.inside != bool(parity[-1]), int(depth[-1])
         return out
 
     def left(self) -> str:
-        return "".join([*self.held, self.rest])
-
-
-def _closed(string: str) -> bool:
-    return len(string) > 1 and string.endswith('"') and (len(string) - len(string[:-1].rstrip("\\"))) % 2 == 1
+        return b"".join(self.held).decode()
 
 
 def _names(record: str, depth: int) -> tuple[str | None, str | None, str | None, str | None]:
@@ -183,29 +231,14 @@ def studies(spark: SparkSession, paths: list[str] | str, institutions: list[str]
     comes twice in one object is two rows here. A document is cut into blocks as Spark cuts files, or of block_bytes. What is broadcast is a row of
     numbers for each block: a terabyte of documents has some 8,000.
     """
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    if block_bytes:
-        spark.conf.set(key, str(block_bytes))
-    try:
-        return _studies(spark, paths, institutions)
-    finally:
-        spark.conf.set(key, before)
-
-
-def _studies(spark: SparkSession, paths: list[str] | str, institutions: list[str] | None) -> DataFrame:
-    states = written(block_states(spark, paths), "blocks").filter("whole").select(F.col("path").alias("_path"), F.col("block").alias("_block"), "inside", "depth", "bare")
-    lines = _blocks(spark, paths)
-    # the state of a block comes to its lines, which stay in their order
-    lines = lines.join(F.broadcast(states), (F.col("path") == F.col("_path")) & (F.col("block") == F.col("_block"))).select("path", "name", "block", "inside", "depth", "bare", "value")
-
+    states = written(block_states(spark, paths, block_bytes), "blocks").filter("whole").select(F.col("path").alias("_path"), F.col("block").alias("_block"), "inside", "depth", "bare")
     def cut(stream):
         at = cutter = name = held = None
         bare, nth, known = False, 0, [None, None]
 
-        def fed(text):
+        def fed(data):
             nonlocal nth, known
-            for record in cutter.feed(text):
+            for record in cutter.feed(data):
                 if nth == 0:
                     yield (at[0], name, at[1], nth, True, record, None, None, None)
                 else:
@@ -215,21 +248,29 @@ def _studies(spark: SparkSession, paths: list[str] | str, institutions: list[str
                 nth += 1
 
         def ended():
-            return [*fed(held if bare else held + "}"), (at[0], name, at[1], nth, True, cutter.left(), None, None, None)] if cutter else []
+            return [*fed(held if bare else held + b"}"), (at[0], name, at[1], nth, True, cutter.left(), None, None, None)] if cutter else []
 
         for batch in stream:
             out = []
-            for path, own, block, inside, depth, end, value in zip(*(batch.column(c).to_pylist() for c in ("path", "name", "block", "inside", "depth", "bare", "value")), strict=True):
-                if (path, block) != at:
+            for a, b in _runs_of(batch, ["path", "block"]):
+                own, values = (batch.column("path")[a].as_py(), batch.column("block")[a].as_py()), batch.column("value").slice(a, b - a)
+                before = b""
+                if own != at:
                     out += ended()
-                    at, name, bare, nth, known, cutter = (path, block), own, end, 0, [None, None], _Cutter(inside, depth)
+                    inside, depth = batch.column("inside")[a].as_py(), batch.column("depth")[a].as_py()
+                    at, name, bare, nth, known, cutter = own, batch.column("name")[a].as_py(), batch.column("bare")[a].as_py(), 0, [None, None], _Cutter(inside, depth)
                 else:
-                    out += fed(held + "}")
-                held = value  # the last text of a block may have no brace
+                    before = held + b"}"
+                out += fed(before + _ended_text(values.slice(0, b - a - 1)))
+                held = values[b - a - 1].as_py().encode()  # the last text of a block may have no brace
             yield _batch(out, _RECORDS)
         yield _batch(ended(), _RECORDS)
 
-    found = written(lines.mapInArrow(cut, _ddl(_RECORDS)), "records")
+    with _cut_by(spark, block_bytes):
+        lines = _dealt(_blocks(spark, paths), block_bytes)
+        # the state of a block comes to its lines, which stay in their order
+        lines = lines.join(F.broadcast(states), (F.col("path") == F.col("_path")) & (F.col("block") == F.col("_block"))).select("path", "name", "block", "inside", "depth", "bare", "value")
+        found = written(lines.mapInArrow(cut, _ddl(_RECORDS)), "records")
     counts = found.groupBy("path", "block").agg(F.max("nth").alias("_last"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col("path").alias("_path"), F.col("block").alias("_block"), F.coalesce(F.sum("_last").over(before), F.lit(0)).alias("_start"))

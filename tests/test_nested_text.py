@@ -141,3 +141,36 @@ def test_a_large_document_is_written_by_many_tasks(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(glob.glob(re.sub("^file:", "", folders[0]) + "/*/part-*")) > 1
+
+
+def test_many_small_blocks_are_few_tasks(spark, folder, monkeypatch):
+    paths = sorted(glob.glob(f"{folder}/*.json"))
+    want = _key(nested_text.studies(spark, paths))
+    monkeypatch.setattr(nested_text, "TASKS", 1)
+    tables, put = [], nested_text.written
+    monkeypatch.setattr(nested_text, "written", lambda df, name: tables.append((name, put(df, name))) or tables[-1][1])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert _key(nested_text.studies(spark, paths, block_bytes=200)) == want and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    made = dict(tables)
+    blocks = made["blocks"].count()
+    cores = spark.sparkContext.defaultParallelism
+    assert blocks > 10 * cores and all(len(made[name].inputFiles()) <= cores for name in ("block-sums", "records"))
+    assert made["block-sums"].rdd.getNumPartitions() <= cores  # tables of numbers aren't cut as the text is
+
+
+def test_a_text_is_cut_alike_in_one_piece_and_in_many():
+    text = json.dumps(_document(3), ensure_ascii=False).encode()
+    whole = nested_text._Cutter(False, 0)
+    records = whole.feed(text)
+    assert len(records) > 5 and "".join([*records, whole.left()]).encode() == text and (whole.inside, whole.depth) == (False, 0)
+    ends = [k + 1 for k, c in enumerate(text) if c == ord("}")]
+    for step in (1, 3, 50):
+        cutter, start, found = nested_text._Cutter(False, 0), 0, []
+        for end in [*ends[::step], len(text)]:
+            found += cutter.feed(text[start:end])
+            start = end
+        assert found == records and cutter.left() == whole.left()
+        late = nested_text._Cutter(False, 0)
+        late.feed(text[: ends[step]])
+        rest = nested_text._Cutter(late.inside, late.depth)  # a block that begins there, in a string or not
+        assert "".join([late.left(), *rest.feed(text[ends[step] :])]).endswith(records[-1])
