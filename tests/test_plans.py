@@ -49,3 +49,11 @@ def test_documents_are_parsed_once(spark):
 
     plan = _documents(spark, "/root/testdata/sf0.001").filter("doc.dataset is not null")._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan  # a condition on a parsed document parsed it again
+
+
+def test_masks_are_made_of_frames_not_of_their_rows(spark):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    found = imaging._scanned(spark, "/root/testdata/sf0.001")
+    assert "Generate" not in plan(found["annotations"])  # names of masks took all rows of pixels of all masks
+    for name in ("shape_masks", "drawn_masks"):
+        assert "Generate" not in plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
